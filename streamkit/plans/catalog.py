@@ -1,0 +1,85 @@
+"""The registered queries.  Each reads the driver tables at ``sf_dir`` in
+full; its oracle SQL names the same tables as DuckDB views."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from streamkit.functions import decode, schema
+from streamkit.operators import audit, tables
+from streamkit.operators.windows import window_agg
+from streamkit.plans.registry import query
+from streamkit.plans.topics import (EVENTS_PAYLOAD, EVENTS_TOPIC, events_envelope,
+                                    events_messages, table)
+from streamkit.session import work_path
+from streamkit.sources.topic import offset_filter
+
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def decoded_events(env: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Envelope -> typed events (``ts`` back to timestamp_ntz)."""
+    return decode.cast_timestamps(decode.json_events(env, EVENTS_PAYLOAD, keep=keep), ["ts"])
+
+
+# ---------------------------------------------------------------- decode
+
+@query("decode_events", """
+SELECT event_id, ts, user_id, event_type, value, props FROM events
+""")
+def decode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P12 encode -> P1 bytes to text -> P2 from_json -> P3 flatten -> P5 timestamps."""
+    env = events_messages(spark, sf_dir).where(F.col("topic") == EVENTS_TOPIC)
+    return decoded_events(env).select(*EVENT_COLS)
+
+
+@query("count_where_in", """
+SELECT count(*) AS cnt FROM events WHERE event_type IN ('click', 'purchase')
+""")
+def count_where_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filtered COUNT over a registered view, in SQL as the notebook does."""
+    table(spark, sf_dir, "events").createOrReplaceTempView("sk_events")
+    return spark.sql("SELECT count(*) AS cnt FROM sk_events WHERE event_type IN ('click', 'purchase')")
+
+
+# Starting positions per partition for the offsets query.
+OFFSETS_SPEC = '{"events": {"0": 100, "1": -2, "2": 250, "3": -1}}'
+
+
+@query("offsets_from", """
+WITH env AS (
+  SELECT event_id, CAST(user_id % 4 AS INTEGER) AS partition,
+         row_number() OVER (PARTITION BY user_id % 4 ORDER BY ts, event_id) - 1 AS "offset"
+  FROM events)
+SELECT partition, "offset", event_id FROM env
+WHERE (partition = 0 AND "offset" >= 100) OR partition = 1 OR (partition = 2 AND "offset" >= 250)
+""")
+def offsets_from(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start positions per partition (-2 earliest, -1 latest) on the topic."""
+    env = offset_filter(events_envelope(spark, sf_dir), OFFSETS_SPEC, topic=EVENTS_TOPIC)
+    return decoded_events(env, keep=("partition", "offset")).select("partition", "offset", "event_id")
+
+
+@query("json_props", """
+SELECT event_id, CAST(props->>'$.k' AS INTEGER) AS k FROM events
+""")
+def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 on a text column: typed field out of a JSON string."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", decode.parse_json("props", "k INT").getField("k").alias("k"))
+
+
+# ---------------------------------------------------------------- windows
+
+@query("tumbling_15m", """
+SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS window_start,
+       time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE AS window_end,
+       max(value) AS max_value, count(*) AS events
+FROM events GROUP BY 1, 2
+""")
+def tumbling_15m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Max value and count per 15-minute tumbling window (batch)."""
+    ev = table(spark, sf_dir, "events")
+    return window_agg(ev, "ts", "15 minutes", [F.max("value").alias("max_value"),
+                                               F.count(F.lit(1)).alias("events")])
