@@ -64,6 +64,15 @@ def data_schema(spark: SparkSession, path: str) -> T.StructType:
     return T.StructType([f for f in read(spark, path).schema.fields if f.name not in LAYOUT_COLS])
 
 
+def latest_by_key(df: DataFrame, keys: list[str], order_cols: list[str] = (BATCH_COL,)) -> DataFrame:
+    """Latest version of each key by ``order_cols`` (default: the batch id).
+    ``max_by`` is a plain aggregate, so versions collapse map-side first."""
+    order = F.struct(*[F.col(c) for c in order_cols])
+    rest = [c for c in df.columns if c not in keys and c not in LAYOUT_COLS]
+    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), order).alias("_row"))
+    return picked.select(*keys, *[F.col(f"_row.`{c}`").alias(c) for c in rest])
+
+
 def register(spark: SparkSession, path: str, name: str) -> DataFrame:
     """Temp view over the table (rows only, layout columns dropped)."""
     df = read(spark, path).drop(*LAYOUT_COLS)

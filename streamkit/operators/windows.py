@@ -132,3 +132,20 @@ def late_split(batch: DataFrame, time_col: str, delay_seconds: int, watermark_us
     if watermark_us is None:
         return batch.withColumn("_late", F.lit(False))
     return batch.withColumn("_late", F.coalesce(_micros(batch, time_col) < F.lit(watermark_us), F.lit(False)))
+
+
+def late_by_sequence(df: DataFrame, time_col: str, seq_col: str, delay_seconds: int) -> DataFrame:
+    """Batch twin of ``streaming.routes.late_router``: ``seq_col`` numbers the
+    micro-batch each row arrived in; a row is late (``_late``) when its event
+    time is older than the max event time of all earlier micro-batches minus
+    the delay.  The running max is taken over a one-row-per-micro-batch
+    summary, then joined back on the micro-batch number.
+    """
+    t = _micros(df, time_col)
+    per_batch = df.groupBy(seq_col).agg(F.max(t).alias("_bmax"))
+    # one row per micro-batch: a single ordered window over it is cheap
+    earlier = Window.orderBy(seq_col).rowsBetween(Window.unboundedPreceding, -1)
+    marks = per_batch.select(seq_col, (F.max("_bmax").over(earlier) - delay_seconds * MICROS).alias("_wm"))
+    return (df.join(marks, seq_col)
+              .withColumn("_late", F.coalesce(t < F.col("_wm"), F.lit(False)))
+              .drop("_wm"))

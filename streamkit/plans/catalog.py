@@ -83,3 +83,280 @@ def tumbling_15m(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return window_agg(ev, "ts", "15 minutes", [F.max("value").alias("max_value"),
                                                F.count(F.lit(1)).alias("events")])
+
+
+# ---------------------------------------------------------------- streaming helpers
+
+from streamkit.functions.encode import messages  # noqa: E402
+from streamkit.operators.dedupe import dedupe  # noqa: E402
+from streamkit.operators.joins import enrich, join_interval, join_windowed  # noqa: E402
+from streamkit.operators.windows import late_by_sequence, session_agg, sessions  # noqa: E402
+from streamkit.plans.topics import FLUSH_TS, flush_messages, write_replay  # noqa: E402
+from streamkit.sources.files import stream_file  # noqa: E402
+from streamkit.sources.topic import replay_topic  # noqa: E402
+from streamkit.streaming.run import drain  # noqa: E402
+from streamkit.streaming.sinks import SinkSpec, Trigger, start  # noqa: E402
+
+EVENTS_SQL = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
+
+
+def events_stream(spark: SparkSession, sf_dir: str, *, files: int = 4, copies: int = 1,
+                  flush_types: list[str] | None = None, max_files: int | None = None) -> DataFrame:
+    """``events`` replayed as a topic folder and read back as a decoded stream."""
+    env = events_messages(spark, sf_dir)
+    base = env
+    for _ in range(copies - 1):
+        env = env.unionByName(base)
+    if flush_types is not None:
+        env = env.unionByName(flush_messages(spark, flush_types))
+    path = write_replay(spark, env, "topic-events", files=files)
+    st = replay_topic(spark, path, EVENTS_TOPIC, EVENTS_PAYLOAD, stream=True,
+                      max_files_per_trigger=max_files)
+    return decode.cast_timestamps(st, ["ts"])
+
+
+def run_parquet(df: DataFrame, name: str) -> DataFrame:
+    """Run a stream to completion into a parquet folder and read it back."""
+    spark = df.sparkSession
+    out = work_path(spark, name)
+    drain(start(df, SinkSpec("parquet", name=None, path=out, trigger=Trigger.available_now())))
+    return spark.read.parquet(out)
+
+
+# ---------------------------------------------------------------- streaming queries
+
+@query("stream_parquet_copy", EVENTS_SQL)
+def stream_parquet_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 (replay) -> decode -> K3 parquet sink, K10 availableNow, K16 checkpoint."""
+    return run_parquet(events_stream(spark, sf_dir, max_files=1), "copy").select(*EVENT_COLS)
+
+
+@query("tumbling_15m_stream", """
+SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS window_start,
+       time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE AS window_end,
+       max(value) AS max_value, count(*) AS events
+FROM events GROUP BY 1, 2
+""")
+def tumbling_15m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """15-minute windows, 2-minute watermark, append mode to parquet."""
+    st = events_stream(spark, sf_dir, flush_types=[None])
+    agg = window_agg(st, "ts", "15 minutes", [F.max("value").alias("max_value"),
+                                              F.count(F.lit(1)).alias("events")], delay="2 minutes")
+    out = run_parquet(agg, "tumbling")
+    return out.where(F.col("window_start") < F.to_timestamp_ntz(F.lit(FLUSH_TS)))
+
+
+@query("window_join_5m", """
+WITH c AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, count(*) AS clicks
+           FROM events WHERE event_type = 'click' GROUP BY 1),
+     v AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, min(value) AS min_view_value
+           FROM events WHERE event_type = 'view' GROUP BY 1)
+SELECT c.window_start, c.window_start + INTERVAL 5 MINUTE AS window_end, clicks, min_view_value
+FROM c JOIN v ON c.window_start = v.window_start
+""")
+def window_join_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two 5-minute window aggregates of one stream, joined (stream-stream)."""
+    st = events_stream(spark, sf_dir, flush_types=["click", "view"])
+    joined = join_windowed(st.where(F.col("event_type") == "click"), st.where(F.col("event_type") == "view"),
+                           left_time="ts", right_time="ts", size="5 minutes",
+                           left_aggs=[F.count(F.lit(1)).alias("clicks")],
+                           right_aggs=[F.min("value").alias("min_view_value")], delay="2 minutes")
+    out = run_parquet(joined, "window-join")
+    return out.where(F.col("window_start") < F.to_timestamp_ntz(F.lit(FLUSH_TS)))
+
+
+@query("window_join_5m_batch", """
+WITH c AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, count(*) AS clicks
+           FROM events WHERE event_type = 'click' GROUP BY 1),
+     v AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, min(value) AS min_view_value
+           FROM events WHERE event_type = 'view' GROUP BY 1)
+SELECT c.window_start, c.window_start + INTERVAL 5 MINUTE AS window_end, clicks, min_view_value
+FROM c JOIN v ON c.window_start = v.window_start
+""")
+def window_join_5m_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 batch twin."""
+    ev = table(spark, sf_dir, "events")
+    return join_windowed(ev.where(F.col("event_type") == "click"), ev.where(F.col("event_type") == "view"),
+                         left_time="ts", right_time="ts", size="5 minutes",
+                         left_aggs=[F.count(F.lit(1)).alias("clicks")],
+                         right_aggs=[F.min("value").alias("min_view_value")])
+
+
+INTERVAL_SQL = """
+SELECT a.user_id, a.event_id AS l_event_id, a.ts AS l_ts, b.event_id AS r_event_id, b.ts AS r_ts
+FROM (SELECT * FROM events WHERE event_type = 'signup') a
+{how} JOIN (SELECT * FROM events WHERE event_type = 'purchase') b
+  ON a.user_id = b.user_id AND b.ts BETWEEN a.ts AND a.ts + INTERVAL 12 HOUR
+"""
+
+
+def _interval(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    j = join_interval(ev.where(F.col("event_type") == "signup"), ev.where(F.col("event_type") == "purchase"),
+                      keys=["user_id"], left_time="ts", right_time="ts",
+                      lower_seconds=0, upper_seconds=12 * 3600, how=how)
+    return j.select("user_id", "l_event_id", "l_ts", "r_event_id", "r_ts")
+
+
+@query("interval_join", INTERVAL_SQL.format(how=""))
+def interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases within 12 hours after a signup of the same user (time-bucketed)."""
+    return _interval(spark, sf_dir, "inner")
+
+
+@query("interval_join_left", INTERVAL_SQL.format(how="LEFT"))
+def interval_join_left(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 left outer: signups with or without a purchase within 12 hours."""
+    return _interval(spark, sf_dir, "left")
+
+
+@query("interval_join_stream", INTERVAL_SQL.format(how=""))
+def interval_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 as a stream-stream join with 2-minute watermarks on both sides."""
+    st = events_stream(spark, sf_dir).select("event_id", "ts", "user_id", "event_type")
+    j = join_interval(st.where(F.col("event_type") == "signup"), st.where(F.col("event_type") == "purchase"),
+                      keys=["user_id"], left_time="ts", right_time="ts",
+                      lower_seconds=0, upper_seconds=12 * 3600, delay="2 minutes")
+    return run_parquet(j.select("user_id", "l_event_id", "l_ts", "r_event_id", "r_ts"), "interval-join")
+
+
+ENRICH_SQL = """
+SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, o.o_orderdate, c.c_name, c.c_mktsegment, n.n_name
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+"""
+
+
+def _enriched(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
+    cust = customer.select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    j = enrich(orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"),
+               cust, {"o_custkey": "c_custkey"})
+    j = enrich(j, nation.select("n_nationkey", "n_name"), {"c_nationkey": "n_nationkey"})
+    return j.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "c_name", "c_mktsegment", "n_name")
+
+
+@query("enrich_orders", ENRICH_SQL)
+def enrich_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders stream enriched with customer and nation (stream-static joins)."""
+    st = stream_file(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
+    return run_parquet(_enriched(st, table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")),
+                       "enrich")
+
+
+@query("enrich_orders_batch", ENRICH_SQL)
+def enrich_orders_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 batch twin."""
+    return _enriched(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"),
+                     table(spark, sf_dir, "nation"))
+
+
+@query("sliding_window", """
+SELECT ws AS window_start, ws + INTERVAL 15 MINUTE AS window_end, max(value) AS max_value, count(*) AS events
+FROM (SELECT value, unnest(generate_series(time_bucket(INTERVAL 5 MINUTE, ts) - INTERVAL 10 MINUTE,
+                                          time_bucket(INTERVAL 5 MINUTE, ts), INTERVAL 5 MINUTE)) AS ws
+      FROM events)
+GROUP BY 1, 2
+""")
+def sliding_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """15-minute windows sliding every 5 minutes."""
+    ev = table(spark, sf_dir, "events")
+    return window_agg(ev, "ts", "15 minutes", [F.max("value").alias("max_value"),
+                                               F.count(F.lit(1)).alias("events")], slide="5 minutes")
+
+
+SESSION_SQL = """
+WITH g AS (
+  SELECT user_id, ts, value,
+         CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
+                OR ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE
+              THEN 1 ELSE 0 END AS new_session
+  FROM events),
+s AS (SELECT *, sum(new_session) OVER (PARTITION BY user_id ORDER BY ts
+                                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM g)
+SELECT user_id, min(ts) AS window_start, max(ts) + INTERVAL 30 MINUTE AS window_end,
+       count(*) AS events, max(value) AS max_value
+FROM s GROUP BY user_id, sid
+"""
+
+
+@query("session_window", SESSION_SQL)
+def session_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """30-minute-gap sessions per user, split by time so a busy user stays parallel."""
+    ev = table(spark, sf_dir, "events")
+    return sessions(ev, "ts", 30 * 60, keys=["user_id"],
+                    aggs=[F.count(F.lit(1)).alias("events"), F.max("value").alias("max_value")])
+
+
+@query("session_window_stream", SESSION_SQL)
+def session_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W5 streaming: ``session_window`` per user with a 2-minute watermark."""
+    st = events_stream(spark, sf_dir, flush_types=[None])
+    agg = session_agg(st, "ts", "30 minutes", [F.count(F.lit(1)).alias("events"),
+                                               F.max("value").alias("max_value")],
+                      keys=["user_id"], delay="2 minutes")
+    out = run_parquet(agg, "sessions")
+    return out.where(F.col("user_id").isNotNull()).select("user_id", "window_start", "window_end",
+                                                          "events", "max_value")
+
+
+@query("dedupe_events", EVENTS_SQL)
+def dedupe_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event delivered twice; streaming de-duplication within a 10-minute watermark."""
+    st = events_stream(spark, sf_dir, copies=2)
+    return run_parquet(dedupe(st, ["event_id"], time_col="ts", delay="10 minutes"), "dedupe") \
+        .select(*EVENT_COLS)
+
+
+@query("dedupe_events_batch", EVENTS_SQL)
+def dedupe_events_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W6 batch twin over the doubled table."""
+    ev = table(spark, sf_dir, "events")
+    return dedupe(ev.unionByName(ev), ["event_id"]).select(*EVENT_COLS)
+
+
+GROUP_SQL = """
+SELECT event_type, count(*) AS events,
+       CAST(sum(CAST(value AS DECIMAL(18, 2))) AS DOUBLE) AS total_value, max(ts) AS last_ts
+FROM events GROUP BY event_type
+"""
+
+
+def _group_aggs():
+    return [F.count(F.lit(1)).alias("events"),
+            F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total_value"),
+            F.max("ts").alias("last_ts")]
+
+
+@query("stream_group_agg", GROUP_SQL)
+def stream_group_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: running aggregate per event type in update mode; every micro-batch's
+    updated rows are appended as a table batch, the latest per key is the answer."""
+    st = events_stream(spark, sf_dir, max_files=1)
+    agg = st.groupBy("event_type").agg(*_group_aggs())
+    path = work_path(spark, "group-agg")
+    drain(start(agg, SinkSpec("table_append", path=path, mode="update")))
+    return tables.latest_by_key(tables.read(spark, path), ["event_type"]) \
+        .select("event_type", "events", "total_value", "last_ts")
+
+
+@query("late_rows", """
+WITH a AS (
+  SELECT event_id, epoch_us(ts) AS t,
+         (epoch_us(ts) + CASE WHEN user_id % 4 = 3 THEN 10800000000 ELSE 0 END) // 3600000000 AS micro_batch
+  FROM events),
+b AS (SELECT micro_batch, max(t) AS bmax FROM a GROUP BY micro_batch),
+c AS (SELECT micro_batch, max(bmax) OVER (ORDER BY micro_batch
+                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM b)
+SELECT a.event_id, a.micro_batch, coalesce(a.t < c.prev - 120000000, false) AS is_late
+FROM a JOIN c ON a.micro_batch = c.micro_batch
+""")
+def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partition 3 of the topic arrives 3 hours behind; hourly micro-batches by
+    arrival; rows older than the watermark (2 minutes) are routed aside."""
+    env = events_messages(spark, sf_dir)
+    lag = F.when(F.col("partition") == 3, F.expr("INTERVAL 3 HOURS")).otherwise(F.expr("INTERVAL 0 SECONDS"))
+    env = env.withColumn("timestamp", F.col("timestamp") + lag)
+    ev = decoded_events(env, keep=("timestamp",)).withColumn(
+        "micro_batch", F.expr("unix_micros(timestamp) div 3600000000"))
+    tagged = late_by_sequence(ev, "ts", "micro_batch", delay_seconds=120)
+    return tagged.select("event_id", "micro_batch", F.col("_late").alias("is_late"))

@@ -65,3 +65,20 @@ def write_replay_sequence(spark: SparkSession, parts: list[DataFrame], name: str
         for f in files:
             fs.set_mtime(f, base_ms + 10_000 * i)
     return path
+
+
+# A marker dated far after any real event; fed with the data
+# it moves the watermark past every real window (append mode then emits
+# them all), and its own window is never emitted.
+FLUSH_TS = "2099-01-01 00:00:00"
+
+
+def flush_messages(spark: SparkSession, event_types: list[str] | None = None) -> DataFrame:
+    """Envelope rows carrying only the marker event time (one per event type)."""
+    types = event_types or [None]
+    rows = spark.createDataFrame([(t,) for t in types], "event_type string")
+    marker = rows.select(F.lit(None).cast("bigint").alias("event_id"),
+                         F.to_timestamp_ntz(F.lit(FLUSH_TS)).alias("ts"),
+                         F.lit(None).cast("bigint").alias("user_id"), "event_type",
+                         F.lit(None).cast("double").alias("value"), F.lit(None).cast("string").alias("props"))
+    return messages(marker, EVENTS_TOPIC, partition=F.lit(0), timestamp=F.col("ts"))

@@ -35,3 +35,15 @@ def stream_files(spark: SparkSession, path: str, *, format: str = "json", schema
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     return reader.load(path)
+
+
+def stream_file(spark: SparkSession, file_path: str, *, format: str = "parquet", schema=None,
+                max_files_per_trigger: int | None = None) -> DataFrame:
+    """File stream over one table file (the file source lists folders or
+    globs; a glob matching exactly this file is used)."""
+    path = file_path.rstrip("/")
+    glob = f"{path[:-1]}[{path[-1]}]"
+    if schema is None:
+        schema = spark.read.format(format).load(path).schema
+    return stream_files(spark, glob, format=format, schema=schema,
+                        max_files_per_trigger=max_files_per_trigger)
