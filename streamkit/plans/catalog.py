@@ -360,3 +360,305 @@ def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "micro_batch", F.expr("unix_micros(timestamp) div 3600000000"))
     tagged = late_by_sequence(ev, "ts", "micro_batch", delay_seconds=120)
     return tagged.select("event_id", "micro_batch", F.col("_late").alias("is_late"))
+
+
+# ---------------------------------------------------------------- table maintenance
+
+from pyspark.sql import types as T  # noqa: E402
+
+from streamkit.sources import generators as gen  # noqa: E402
+
+CUTOFF = "2024-01-15 00:00:00"
+
+
+def _cutoff() -> F.Column:
+    return F.to_timestamp_ntz(F.lit(CUTOFF))
+
+
+def _appended_table(spark: SparkSession, sf_dir: str, name: str, files: int) -> str:
+    """``events`` streamed into a batch-addressable table, one micro-batch per file."""
+    path = work_path(spark, name)
+    st = events_stream(spark, sf_dir, files=files, max_files=1)
+    drain(start(st, SinkSpec("table_append", path=path)))
+    return path
+
+
+@query("merge_insert_events", f"""
+SELECT event_id, ts, user_id, event_type,
+       CASE WHEN ts < TIMESTAMP '{CUTOFF}' THEN -value ELSE value END AS value, props
+FROM events
+""")
+def merge_insert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table already holds the first half of the month (with a
+    marker: negated value); the whole topic is merged in 10 micro-batches on
+    ``event_id``.  Matched rows stay untouched, the rest are inserted."""
+    path = work_path(spark, "merge-target")
+    old = table(spark, sf_dir, "events").where(F.col("ts") < _cutoff()).withColumn("value", -F.col("value"))
+    tables.bootstrap(spark, path, old, EVENT_COLS)
+    st = events_stream(spark, sf_dir, files=10, max_files=1)
+    drain(start(st, SinkSpec("table_merge", path=path, keys=["event_id"])))
+    return tables.read(spark, path).select(*EVENT_COLS)
+
+
+@query("merge_dedupe_keys", """
+WITH t AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-03 00:00:00'),
+s AS (SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY user_id, event_type)
+SELECT event_id, ts, user_id, event_type, value, props FROM t
+UNION ALL
+SELECT e.event_id, e.ts, e.user_id, e.event_type, e.value, e.props
+FROM s JOIN events e ON e.event_id = s.event_id
+WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.user_id = s.user_id AND t.event_type = s.event_type)
+""")
+def merge_dedupe_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 + M2 with ``dedupe_source``: composite key (user_id, event_type); the
+    source (every event, delivered twice) keeps one row per key -- the one
+    with the smallest event id -- and only keys new to the table go in."""
+    path = work_path(spark, "merge-dedupe")
+    ev = table(spark, sf_dir, "events")
+    tables.bootstrap(spark, path, ev.where(F.col("ts") < F.to_timestamp_ntz(F.lit("2024-01-03 00:00:00"))),
+                     EVENT_COLS)
+    tables.merge_insert(ev.unionByName(ev).select(*EVENT_COLS), path, ["user_id", "event_type"],
+                        stream_id="backfill", batch_id=0, dedupe_source=True)
+    return tables.read(spark, path).select(*EVENT_COLS)
+
+
+@query("align_columns", """
+SELECT event_id, ts, user_id, event_type, value, props,
+       CAST(NULL AS VARCHAR) AS region, CAST(NULL AS DOUBLE) AS score, CAST(NULL AS TIMESTAMP) AS seen_at
+FROM events
+""")
+def align_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded messages shaped to a wider table schema; the missing
+    columns arrive as NULLs of the table's types (never ``void``)."""
+    decoded = decoded_events(events_messages(spark, sf_dir))
+    target = T.StructType(decoded.schema.fields + [
+        T.StructField("region", T.StringType()), T.StructField("score", T.DoubleType()),
+        T.StructField("seen_at", T.TimestampNTZType())])
+    return schema.align(decoded, target)
+
+
+@query("merge_evolve", f"""
+SELECT event_id, ts, user_id, event_type, value,
+       CASE WHEN ts < TIMESTAMP '{CUTOFF}' THEN NULL ELSE props END AS props
+FROM events
+""")
+def merge_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table predates the ``props`` field; merging the stream with
+    ``evolve`` adds the column (older batches read it as NULL via mergeSchema)."""
+    path = work_path(spark, "merge-evolve")
+    old = table(spark, sf_dir, "events").where(F.col("ts") < _cutoff()).drop("props")
+    tables.bootstrap(spark, path, old)
+    st = events_stream(spark, sf_dir, files=4, max_files=1)
+    drain(start(st, SinkSpec("table_merge", path=path, keys=["event_id"], evolve=True)))
+    return tables.read(spark, path, merge_schema=True).select(*EVENT_COLS)
+
+
+@query("evolve_json", """
+SELECT event_id, user_id, event_type, props AS rest_props, value AS rest_value FROM events
+""")
+def evolve_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads carry fields the reader's schema does not know yet; they
+    are kept in a ``map<string,string>`` rest column instead of being lost."""
+    env = events_messages(spark, sf_dir).select(F.col("value").cast("string").alias("json"))
+    known = "event_id BIGINT, ts STRING, user_id BIGINT, event_type STRING"
+    parsed = schema.evolve_json(env, "json", known)
+    return parsed.select("event_id", "user_id", "event_type",
+                         F.col("_rest")["props"].alias("rest_props"),
+                         F.col("_rest")["value"].cast("double").alias("rest_value"))
+
+
+@query("delete_where", """
+SELECT event_id, ts, user_id, event_type, value, props FROM events
+WHERE NOT coalesce(event_type IN ('error', 'signup'), false)
+""")
+def delete_where(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: predicate delete that rewrites only the batches holding matches."""
+    path = _appended_table(spark, sf_dir, "delete", files=4)
+    tables.delete_where(spark, path, "event_type IN ('error', 'signup')")
+    return tables.read(spark, path).select(*EVENT_COLS)
+
+
+@query("compact", EVENTS_SQL)
+def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9: small-file compaction; the row set is unchanged."""
+    path = _appended_table(spark, sf_dir, "compact", files=8)
+    tables.compact(spark, path, rows_per_file=2000)
+    return tables.read(spark, path).select(*EVENT_COLS)
+
+
+@query("expire", EVENTS_SQL)
+def expire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: after compaction, expiry with zero retention removes only what no
+    committed batch references; the row set is unchanged."""
+    path = _appended_table(spark, sf_dir, "expire", files=4)
+    tables.compact(spark, path, rows_per_file=5000)
+    tables.expire(spark, path, retention_hours=0)
+    return tables.read(spark, path).select(*EVENT_COLS)
+
+
+@query("split_bad", """
+SELECT CAST(event_id AS VARCHAR) AS key, false AS is_bad, event_id, event_type, CAST(NULL AS VARCHAR) AS payload
+FROM events
+UNION ALL
+SELECT 'doc:' || CAST(doc_id AS VARCHAR), true, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), text
+FROM documents
+""")
+def split_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic carrying event messages and raw document texts; texts that
+    are not JSON objects are set aside with their full payload."""
+    env = events_messages(spark, sf_dir)
+    docs = table(spark, sf_dir, "documents")
+    doc_msgs = docs.select(F.concat(F.lit("doc:"), F.col("doc_id").cast("string")).cast("binary").alias("key"),
+                           F.col("text").cast("binary").alias("value"), F.lit(EVENTS_TOPIC).alias("topic"),
+                           F.lit(0).alias("partition"), F.lit(None).cast("bigint").alias("offset"),
+                           F.current_timestamp().alias("timestamp"), F.lit(0).alias("timestampType"))
+    tagged = decode.with_corrupt(env.unionByName(doc_msgs), EVENTS_PAYLOAD, keep=("key",))
+    return tagged.select(F.col("key").cast("string").alias("key"), F.col("_is_bad").alias("is_bad"),
+                         "event_id", "event_type", F.col(decode.CORRUPT_COL).alias("payload"))
+
+
+# ---------------------------------------------------------------- generators and quality
+
+def _h(k: int, id_expr: str = "event_id") -> str:
+    return gen.hash_sql(id_expr, k)
+
+
+def _sql_list(values) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+_TS0 = f"TIMESTAMP '{gen.BASE_TIME}'"
+
+CLICK_SQL = f"""
+WITH g AS (SELECT event_id, {_sql_list(gen.CLICK_EVENT_TYPES)}[{_h(1)} % 5 + 1] AS event_type FROM events)
+SELECT event_id AS id,
+       CAST({_h(0)} % 5 + 1 AS INTEGER) AS user_id,
+       strftime({_TS0} + to_seconds(event_id * 150 + {_h(7)} % 150), '%Y-%m-%d %H:%M:%S') AS timestamp,
+       event_type,
+       CASE WHEN event_type IN ('page_view', 'click') THEN {_sql_list(gen.CLICK_PAGES)}[{_h(2)} % 5 + 1] END AS page,
+       CASE WHEN event_type = 'click' THEN 'button' || CAST({_h(3)} % 50 + 1 AS VARCHAR) END AS element,
+       CASE WHEN event_type = 'search' THEN 'example search term' || CAST({_h(4)} % 10 + 1 AS VARCHAR) END AS query,
+       CASE WHEN event_type IN ('add_to_cart', 'purchase')
+            THEN {_sql_list(gen.CLICK_PRODUCTS)}[{_h(5)} % 5 + 1] END AS product,
+       CASE WHEN event_type IN ('add_to_cart', 'purchase')
+            THEN round(10 + ({_h(6)} % 9001) / 100.0::DOUBLE, 2) END AS price
+FROM g
+"""
+
+
+@query("gen_clickstream", CLICK_SQL)
+def gen_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One clickstream event per ``events`` row (ids from ``event_id``)."""
+    return gen.clickstream(spark, table(spark, sf_dir, "events"), id_col="event_id")
+
+
+def _trip_sql(id_expr: str = "event_id", source: str = "events", overrides: dict | None = None,
+              extra: str = "") -> str:
+    o = overrides or {}
+
+    def pick(name: str, expr: str) -> str:
+        if name not in o:
+            return f"{expr} AS {name}"
+        v = o[name]
+        return f"{v if isinstance(v, int) else repr(v)} AS {name}"
+    pickup = f"{_TS0} + to_seconds({_h(4, id_expr)} % 1801)"
+    dropoff = f"{_TS0} + to_seconds({_h(4, id_expr)} % 1801 + {_h(5, id_expr)} % 1801)"
+    return f"""SELECT {id_expr} AS id, {extra}
+       {pick('hvfhs_license_num', f"'HV' || lpad(CAST({_h(0, id_expr)} % 9 + 1 AS VARCHAR), 5, '0')")},
+       {pick('dispatching_base_num', f"{_sql_list(gen.TRIP_BASES)}[{_h(1, id_expr)} % 5 + 1]")},
+       {pick('PULocationID', f"CAST({_h(2, id_expr)} % 265 + 1 AS INTEGER)")},
+       {pick('DOLocationID', f"CAST({_h(3, id_expr)} % 265 + 1 AS INTEGER)")},
+       {pick('pickup_datetime', f"strftime({pickup}, '%Y-%m-%d %H:%M:%S')")},
+       {pick('dropoff_datetime', f"strftime({dropoff}, '%Y-%m-%d %H:%M:%S')")}
+FROM {source}"""
+
+
+@query("gen_trips", _trip_sql())
+def gen_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One taxi trip per ``events`` row."""
+    return gen.trips(spark, table(spark, sf_dir, "events"), id_col="event_id")
+
+
+# The two override sets of the trip producer notebook, plus a
+# pickup-only override that exposes dropoffs before pickups.
+TRIP_OVERRIDES = [
+    {"dispatching_base_num": "B03494", "PULocationID": 100, "DOLocationID": 100},
+    {"dispatching_base_num": "B03496", "PULocationID": 120, "DOLocationID": 150,
+     "pickup_datetime": "2025-01-01 00:15:56", "dropoff_datetime": "2025-01-01 01:00:12"},
+]
+PICKUP_ONLY = {"pickup_datetime": "2025-01-01 00:20:00"}
+
+
+def _many_sql(sets: list[dict]) -> str:
+    return "\nUNION ALL\n".join(_trip_sql(overrides=o, extra=f"{v} AS variant,") for v, o in enumerate(sets))
+
+
+@query("gen_trips_many", _many_sql(TRIP_OVERRIDES))
+def gen_trips_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The producer notebook's two override sets, interleaved into one output."""
+    return gen.trips_many(spark, table(spark, sf_dir, "events"), TRIP_OVERRIDES, id_col="event_id")
+
+
+@query("gen_temperatures", f"""
+SELECT event_id AS id, CAST({_h(0)} % 265 + 1 AS INTEGER) AS locationId,
+       round(10 + ({_h(1)} % 2001) / 100.0::DOUBLE, 2) AS temperature,
+       {_TS0} + to_seconds({_h(2)} % 86401) AS record_datetime
+FROM events
+""")
+def gen_temperatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One temperature reading per ``events`` row."""
+    return gen.temperatures(spark, table(spark, sf_dir, "events"), id_col="event_id")
+
+
+@query("quality_trips", f"""
+WITH t AS ({_many_sql(TRIP_OVERRIDES + [PICKUP_ONLY])}),
+p AS (SELECT *, try_strptime(pickup_datetime, '%Y-%m-%d %H:%M:%S') AS pu,
+                try_strptime(dropoff_datetime, '%Y-%m-%d %H:%M:%S') AS dof FROM t)
+SELECT variant, count(*) AS rows,
+       count(*) FILTER (WHERE pu IS NULL OR dof IS NULL) AS bad_parse,
+       count(*) FILTER (WHERE NOT coalesce(dof >= pu, false)) AS bad_order,
+       count(*) FILTER (WHERE NOT coalesce(PULocationID BETWEEN 1 AND 265, false)) AS bad_pickup_zone,
+       count(*) FILTER (WHERE NOT coalesce(DOLocationID BETWEEN 1 AND 265, false)) AS bad_dropoff_zone
+FROM p GROUP BY variant
+""")
+def quality_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2: trip rules per override set; a pickup-only override yields dropoffs before pickups."""
+    trips = gen.trips_many(spark, table(spark, sf_dir, "events"), TRIP_OVERRIDES + [PICKUP_ONLY],
+                           id_col="event_id")
+    from streamkit.operators import quality
+    return quality.summary(quality.trip_rules(trips), ["variant"])
+
+
+@query("quality_clickstream", f"""
+WITH c AS ({CLICK_SQL})
+SELECT count(*) AS rows,
+  count(*) FILTER (WHERE NOT coalesce(event_type IN {tuple(gen.CLICK_EVENT_TYPES)}, false)) AS bad_event_type,
+  count(*) FILTER (WHERE (page IS NOT NULL) <> coalesce(event_type IN ('page_view', 'click'), false)) AS bad_page,
+  count(*) FILTER (WHERE (element IS NOT NULL) <> coalesce(event_type = 'click', false)) AS bad_element,
+  count(*) FILTER (WHERE (query IS NOT NULL) <> coalesce(event_type = 'search', false)) AS bad_query,
+  count(*) FILTER (WHERE NOT ((product IS NOT NULL) = coalesce(event_type IN ('add_to_cart', 'purchase'), false)
+                          AND (price IS NOT NULL) = coalesce(event_type IN ('add_to_cart', 'purchase'), false)))
+    AS bad_product,
+  count(*) FILTER (WHERE try_strptime(timestamp, '%Y-%m-%d %H:%M:%S') IS NULL) AS bad_timestamp
+FROM c
+""")
+def quality_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1: the clickstream sparse-field contract, as violation counts."""
+    from streamkit.operators import quality
+    clicks = gen.clickstream(spark, table(spark, sf_dir, "events"), id_col="event_id")
+    return quality.summary(quality.clickstream_rules(clicks))
+
+
+@query("null_rows", """
+SELECT count(*) AS messages, count(*) FILTER (WHERE doc_id IS NOT NULL) AS null_rows FROM (
+  SELECT NULL AS doc_id FROM events UNION ALL SELECT doc_id FROM documents)
+""")
+def null_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3: after a plain PERMISSIVE decode (no filter), undecodable messages
+    become all-NULL rows; count them."""
+    from streamkit.operators import quality
+    env = events_messages(spark, sf_dir)
+    docs = table(spark, sf_dir, "documents").select(F.col("text").cast("binary").alias("value"))
+    decoded = decode.json_events(env.select("value").unionByName(docs), EVENTS_PAYLOAD)
+    return decoded.agg(F.count(F.lit(1)).alias("messages"),
+                       F.count_if(quality.null_rows(decoded)).alias("null_rows"))

@@ -161,3 +161,8 @@ def rate_events(spark: SparkSession, kind: str, rows_per_second: int, *,
     ticks = reader.load()
     fn = KINDS[kind]
     return fn(spark, ticks.select(F.col("value").alias("id")), **overrides)
+
+
+def hash_sql(id_expr: str, k: int) -> str:
+    """``field_hash`` written as SQL, for oracles and SQL users."""
+    return f"((({id_expr}) % {HASH_PRIME}) * {MULTIPLIERS[k]} + {INCREMENTS[k]}) % {HASH_PRIME}"
