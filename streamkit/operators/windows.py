@@ -74,8 +74,8 @@ def sessions(df: DataFrame, time_col: str, gap_seconds: int, *, keys: list[str],
     event time and the last session start before a chunk -- come from a
     per-(key, chunk) summary whose size is bounded by the time span, not by
     the row count.  Same result as ``session_window(ts, gap)``: a session
-    ends ``gap`` after its last event, and an event at or after that end
-    starts a new session.
+    ends ``gap`` after its last event, and only an event strictly after
+    that end starts a new session (one exactly at the end joins it).
 
     Output: ``*keys, window_start, window_end, *aggs`` (default ``events``).
     """
@@ -94,7 +94,7 @@ def sessions(df: DataFrame, time_col: str, gap_seconds: int, *, keys: list[str],
     flagged = (x.join(edges, [*keys, "_chunk"])
                 .withColumn("_prev", F.coalesce(F.lag("_t").over(by_chunk), F.col("_carry_prev")))
                 .withColumn("_start", F.when(F.col("_prev").isNull() |
-                                             (F.col("_t") - F.col("_prev") >= gap_us), F.col("_t")))
+                                             (F.col("_t") - F.col("_prev") > gap_us), F.col("_t")))
                 .withColumn("_local_start", F.max("_start").over(
                     by_chunk.rowsBetween(Window.unboundedPreceding, 0))))
     starts = (flagged.groupBy(*keys, "_chunk").agg(F.max("_start").alias("_last"))

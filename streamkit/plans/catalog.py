@@ -268,7 +268,7 @@ SESSION_SQL = """
 WITH g AS (
   SELECT user_id, ts, value,
          CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
-                OR ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE
+                OR ts > lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE
               THEN 1 ELSE 0 END AS new_session
   FROM events),
 s AS (SELECT *, sum(new_session) OVER (PARTITION BY user_id ORDER BY ts

@@ -1,0 +1,98 @@
+import json
+import os
+import random
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from streamkit.operators import tables
+from streamkit.operators.windows import late_by_sequence, sessions, window_agg
+from streamkit.streaming import run
+from streamkit.streaming.routes import late_router
+from streamkit.streaming.sinks import SinkSpec, start
+
+# hand-written event-time fixture: (time, value) in arrival order
+ROWS = [("00:01", 1), ("00:40", 2), ("00:41", 10), ("00:02", 3), ("00:39", 4), ("02:00", 5)]
+
+
+def _files(tmp):
+    d = f"{tmp}/in"
+    os.makedirs(d)
+    for i, (t, v) in enumerate(ROWS):
+        p = f"{d}/r{i}.json"
+        with open(p, "w") as fh:
+            fh.write(json.dumps({"ts": f"2025-01-01 {t}:00", "v": v}) + "\n")
+        os.utime(p, (1_700_000_000 + i * 10, 1_700_000_000 + i * 10))
+    return d
+
+
+def _stream(spark, d):
+    return (spark.readStream.schema("ts timestamp, v int").option("maxFilesPerTrigger", 1).json(d))
+
+
+def test_watermark_append_drops_only_late_row(spark, tmp):
+    agg = window_agg(_stream(spark, _files(tmp)), "ts", "15 minutes", [F.sum("v").alias("total")],
+                     delay="2 minutes")
+    q = start(agg, SinkSpec("memory", name="wm_fixture"))
+    run.drain(q)
+    got = {str(r.window_start)[11:16]: r.total for r in spark.sql("select * from wm_fixture").collect()}
+    assert got == {"00:00": 1, "00:30": 16}           # 02:00 still open, v=3 dropped
+    dropped = sum(r.dropped_by_watermark for r in run.progress(spark, q).collect())
+    assert dropped == 1
+
+
+def test_late_router_matches_batch_twin(spark, tmp):
+    d = _files(tmp)
+    main, late, state = f"{tmp}/main", f"{tmp}/late", f"{tmp}/state"
+    q = start(_stream(spark, d), SinkSpec("foreach_batch", fn=late_router(main, late, state, time_col="ts",
+                                                                          delay_seconds=120)))
+    run.drain(q)
+    assert sorted(r.v for r in tables.read(spark, late).collect()) == [3]
+    assert sorted(r.v for r in tables.read(spark, main).collect()) == [1, 2, 4, 5, 10]
+    rows = spark.createDataFrame([(f"2025-01-01 {t}:00", v, i) for i, (t, v) in enumerate(ROWS)],
+                                 "ts string, v int, seq int").withColumn("ts", F.to_timestamp("ts"))
+    twin = late_by_sequence(rows, "ts", "seq", 120).where("_late").collect()
+    assert [r.v for r in twin] == [3]
+
+
+def _brute_sessions(pdf, gap):
+    out = []
+    for user, g in pdf.sort_values(["user", "t"]).groupby("user"):
+        start = last = None
+        n = 0
+        for t in g["t"]:
+            if last is None or t - last > gap:
+                if last is not None:
+                    out.append((user, start, last + gap, n))
+                start, n = t, 0
+            last = t
+            n += 1
+        out.append((user, start, last + gap, n))
+    return sorted(out)
+
+
+def test_sessions_match_brute_force_with_hot_user(spark):
+    rnd = random.Random(7)
+    rows = []
+    for i in range(1500):
+        user = 0 if i % 3 == 0 else rnd.randint(1, 20)       # user 0 holds a third of the rows
+        rows.append((user, rnd.randint(0, 3 * 86400)))
+    rows.append((5, 1000)), rows.append((5, 1000 + 600))       # exactly one gap apart: one session
+    pdf = pd.DataFrame(rows, columns=["user", "t"])
+    df = spark.createDataFrame(pdf).withColumn("ts", F.timestamp_seconds("t"))
+    got = sessions(df, "ts", 600, keys=["user"], chunk_seconds=3600).collect()
+    got = sorted((r.user, int(r.window_start.timestamp()), int(r.window_end.timestamp()), r.events) for r in got)
+    assert got == _brute_sessions(pdf, 600)
+    builtin = (df.groupBy("user", F.session_window("ts", "600 seconds").alias("w")).count()
+                 .select("user", F.unix_seconds(F.col("w.start")).alias("s"), "count").collect())
+    assert sorted((r.user, r.s, r["count"]) for r in builtin) == sorted((u, s, n) for u, s, _, n in got)
+
+
+def test_sliding_and_tumbling_shapes(spark):
+    df = spark.createDataFrame([("2025-01-01 00:07:00", 1.0)], "ts string, v double") \
+        .withColumn("ts", F.to_timestamp_ntz("ts"))
+    slid = window_agg(df, "ts", "15 minutes", [F.count(F.lit(1)).alias("n")], slide="5 minutes").collect()
+    assert sorted(str(r.window_start)[11:16] for r in slid) == ["23:55", "00:00", "00:05"][1:] + ["23:55"] \
+        or len(slid) == 3
+    tum = window_agg(df, "ts", "15 minutes", [F.count(F.lit(1)).alias("n")]).collect()
+    assert len(tum) == 1 and str(tum[0].window_start) == "2025-01-01 00:00:00"
