@@ -86,6 +86,14 @@ def history(spark: SparkSession, path: str) -> DataFrame:
             .groupBy(*LAYOUT_COLS).agg(F.count(F.lit(1)).alias("rows")))
 
 
+def keys_from_text(text: str) -> list[str]:
+    """Merge keys given as comma-separated text (configuration files, env)."""
+    keys = [k.strip() for k in text.split(",") if k.strip()]
+    if not keys:
+        raise ValueError("no merge keys")
+    return keys
+
+
 # ---------------------------------------------------------------- writes
 
 def write_batch(df: DataFrame, path: str, stream_id: str, batch_id: int, *,

@@ -662,3 +662,120 @@ def null_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = decode.json_events(env.select("value").unionByName(docs), EVENTS_PAYLOAD)
     return decoded.agg(F.count(F.lit(1)).alias("messages"),
                        F.count_if(quality.null_rows(decoded)).alias("null_rows"))
+
+
+# ---------------------------------------------------------------- the notebook scenario
+
+# The 11 columns of the trip table at rest, and the payload
+# schema of a trip message.
+TRIP_TABLE_COLS = ["hvfhs_license_num", "dispatching_base_num", "originating_base_num", "request_datetime",
+                   "on_scene_datetime", "pickup_datetime", "dropoff_datetime", "PULocationID", "DOLocationID",
+                   "trip_miles", "trip_time"]
+TRIP_PAYLOAD = ("hvfhs_license_num STRING, dispatching_base_num STRING, PULocationID INT, DOLocationID INT, "
+                "pickup_datetime STRING, dropoff_datetime STRING")
+CHECK_BASES = ("B03494", "B03496")
+
+
+def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw trip file: one generated trip per ``events`` row plus the five
+    columns only the table at rest has."""
+    t = decode.cast_timestamps(gen.trips(spark, table(spark, sf_dir, "events"), id_col="event_id"),
+                               ["pickup_datetime", "dropoff_datetime"])
+    h = gen.field_hash(F.col("id"), 6)
+    return t.select(
+        "*", F.col("dispatching_base_num").alias("originating_base_num"),
+        (F.col("pickup_datetime") - F.expr("INTERVAL 5 MINUTES")).alias("request_datetime"),
+        (F.col("pickup_datetime") - F.expr("INTERVAL 2 MINUTES")).alias("on_scene_datetime"),
+        F.round((h % 2000) / 100.0, 2).alias("trip_miles"),
+        (F.unix_micros(F.col("dropoff_datetime").cast("timestamp"))
+         - F.unix_micros(F.col("pickup_datetime").cast("timestamp"))).cast("bigint").__truediv__(1_000_000)
+        .cast("bigint").alias("trip_time"))
+
+
+@query("trip_merge_counts", f"""
+WITH raw AS ({_trip_sql()}),
+s AS ({_many_sql(TRIP_OVERRIDES)})
+SELECT (SELECT count(*) FROM raw WHERE dispatching_base_num IN {CHECK_BASES}) AS before_cnt,
+       (SELECT count(*) FROM raw WHERE dispatching_base_num IN {CHECK_BASES})
+       + (SELECT count(*) FROM s WHERE NOT EXISTS (
+            SELECT 1 FROM raw r WHERE r.hvfhs_license_num = s.hvfhs_license_num
+                                  AND r.pickup_datetime = s.pickup_datetime)) AS after_cnt,
+       (SELECT count(*) FROM raw) AS table_rows_before
+""")
+def trip_merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The consumer notebook end to end: bootstrap the trip table from a raw
+    file (11 columns) if absent, register a view, count the two bases, stream
+    the producer's override sets through the topic, decode, cast timestamps,
+    merge insert-only on the configured keys (missing columns NULL-filled),
+    count again."""
+    raw_path = work_path(spark, "raw-trips")
+    raw_trips(spark, sf_dir).write.parquet(raw_path)
+    path = work_path(spark, "trip-table")
+    raw = spark.read.parquet(raw_path)
+    tables.bootstrap(spark, path, raw, TRIP_TABLE_COLS, view="trip_table")
+    count_sql = f"SELECT count(*) AS cnt FROM trip_table WHERE dispatching_base_num IN {CHECK_BASES}"
+    before = spark.sql(count_sql).first()["cnt"]
+    rows_before = spark.sql("SELECT count(*) AS n FROM trip_table").first()["n"]
+    produced = gen.trips_many(spark, table(spark, sf_dir, "events"), TRIP_OVERRIDES, id_col="event_id")
+    msgs = messages(produced, "nyctaxistream", partition=F.col("variant"),
+                    payload_cols=["hvfhs_license_num", "dispatching_base_num", "PULocationID", "DOLocationID",
+                                  "pickup_datetime", "dropoff_datetime"])
+    topic = write_replay(spark, msgs, "topic-trips")
+    st = replay_topic(spark, topic, "nyctaxistream", TRIP_PAYLOAD, stream=True)
+    st = decode.cast_timestamps(st, ["pickup_datetime", "dropoff_datetime"])
+    keys = tables.keys_from_text("hvfhs_license_num,pickup_datetime")
+    drain(start(st, SinkSpec("table_merge", path=path, keys=keys)))
+    tables.register(spark, path, "trip_table")
+    after = spark.sql(count_sql).first()["cnt"]
+    return spark.createDataFrame([(before, after, rows_before)],
+                                 "before_cnt bigint, after_cnt bigint, table_rows_before bigint")
+
+
+DROPS_SQL = f"""
+WITH t AS ({_trip_sql()}),
+d AS (SELECT time_bucket(INTERVAL 5 MINUTE, strptime(dropoff_datetime, '%Y-%m-%d %H:%M:%S')) AS window_start,
+             count(*) AS drops
+      FROM t WHERE DOLocationID = 258 GROUP BY 1),
+r AS (SELECT time_bucket(INTERVAL 5 MINUTE, {_TS0} + to_seconds({_h(2)} % 86401)) AS window_start,
+             min(round(10 + ({_h(1)} % 2001) / 100.0::DOUBLE, 2)) AS min_temperature
+      FROM events WHERE {_h(0)} % 265 + 1 = 258 GROUP BY 1)
+SELECT d.window_start, d.window_start + INTERVAL 5 MINUTE AS window_end, drops, min_temperature
+FROM d JOIN r ON d.window_start = r.window_start
+"""
+
+
+def _drops_vs_temperature(trips: DataFrame, temps: DataFrame, delay: str | None) -> DataFrame:
+    drops = decode.cast_timestamps(trips.where(F.col("DOLocationID") == 258), ["dropoff_datetime"])
+    readings = temps.where(F.col("locationId") == 258)
+    return join_windowed(drops, readings, left_time="dropoff_datetime", right_time="record_datetime",
+                         size="5 minutes", left_aggs=[F.count(F.lit(1)).alias("drops")],
+                         right_aggs=[F.min("temperature").alias("min_temperature")], delay=delay)
+
+
+@query("drops_vs_temperature", DROPS_SQL)
+def drops_vs_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2/A6 as the notebook states it: per 5-minute window at location 258,
+    the number of drop-offs and the lowest temperature (batch)."""
+    ev = table(spark, sf_dir, "events")
+    return _drops_vs_temperature(gen.trips(spark, ev, id_col="event_id"),
+                                 gen.temperatures(spark, ev, id_col="event_id"), None)
+
+
+@query("drops_vs_temperature_stream", DROPS_SQL)
+def drops_vs_temperature_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as two generated streams (trips and temperatures over the
+    ``events`` file stream) joined with 2-minute watermarks."""
+    ids = stream_file(spark, f"{sf_dir.rstrip('/')}/events.parquet").select("event_id")
+    trips = gen.trips(spark, ids, id_col="event_id")
+    temps = gen.temperatures(spark, ids, id_col="event_id")
+    # end-of-input markers at the watermark flush time close the last windows
+    marks = work_path(spark, "flush-marks")
+    spark.createDataFrame([(-1, "", "", 258, 258, FLUSH_TS, FLUSH_TS)], trips.schema) \
+        .write.parquet(f"{marks}/trips")
+    spark.createDataFrame([(-1, 258, 99.0, None)], "id bigint, locationId int, temperature double, "
+                                                   "record_datetime timestamp_ntz") \
+        .withColumn("record_datetime", F.to_timestamp_ntz(F.lit(FLUSH_TS))).write.parquet(f"{marks}/temps")
+    trips = trips.unionByName(spark.readStream.schema(trips.schema).parquet(f"{marks}/trips"))
+    temps = temps.unionByName(spark.readStream.schema(temps.schema).parquet(f"{marks}/temps"))
+    out = run_parquet(_drops_vs_temperature(trips, temps, "2 minutes"), "drops-temperature")
+    return out.where(F.col("window_start") < F.to_timestamp_ntz(F.lit(FLUSH_TS)))
