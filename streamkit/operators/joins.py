@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamkit.operators.windows import MICROS, _is_ntz, window_agg, with_event_time
+from streamkit.operators.windows import MICROS, _is_ntz, flatten_window, window_groups, with_event_time
 
 # broadcast a dimension only when it has at most this many rows (checked)
 DEFAULT_BROADCAST_ROWS = 1_000_000
@@ -23,16 +23,16 @@ def join_windowed(left: DataFrame, right: DataFrame, *, left_time: str, right_ti
                   delay: str | None = None) -> DataFrame:
     """Aggregate both sides per (window, keys) and join the aggregates.
 
-    Both aggregates come out hash-partitioned on (window, keys), which is
-    also the join key, so the join adds no shuffle of its own.  Streaming:
-    both sides carry the watermark ``delay``; append mode emits a joined row
-    once both windows are final.
+    The join key is the window struct itself plus ``keys`` -- exactly the
+    aggregates' grouping keys -- so both sides arrive already hash-partitioned
+    for the join and it adds no shuffle of its own.  Streaming: both sides
+    carry the watermark ``delay``; append mode emits a joined row once both
+    windows are final.
     """
     keys = list(keys)
-    la = window_agg(left, left_time, size, left_aggs, keys=keys, delay=delay)
-    ra = window_agg(right, right_time, size, right_aggs, keys=keys, delay=delay)
-    on = ["window_start", "window_end", *keys]
-    return la.join(ra, on, how)
+    la = window_groups(left, left_time, size, left_aggs, keys=keys, delay=delay)
+    ra = window_groups(right, right_time, size, right_aggs, keys=keys, delay=delay)
+    return flatten_window(la.join(ra, ["_w", *keys], how), _is_ntz(left, left_time))
 
 
 def join_interval(left: DataFrame, right: DataFrame, *, keys: list[str], left_time: str,

@@ -176,8 +176,22 @@ def new_rows(batch: DataFrame, target: DataFrame | None, keys: list[str], *,
     if tmissing:
         raise ValueError(f"merge keys {tmissing} not in target columns {target.columns}")
     src_keys = src.select(*keys).dropDuplicates()
-    small = src_keys.limit(broadcast_keys + 1).count() <= broadcast_keys
+    # one pass over the batch: its size bounds the distinct keys, and its key
+    # range is pushed to the target scan, where parquet skips row groups
+    # whose min/max statistics fall outside it (ids and event times that grow
+    # over time make this skip most of the table)
+    stats = batch.agg(F.count(F.lit(1)).alias("rows"),
+                      *[F.min(k).alias(f"lo{i}") for i, k in enumerate(keys)],
+                      *[F.max(k).alias(f"hi{i}") for i, k in enumerate(keys)]).first()
+    small = stats["rows"] <= broadcast_keys or \
+        src_keys.limit(broadcast_keys + 1).count() <= broadcast_keys
     tk = target.select(*keys)
+    for i, k in enumerate(keys):
+        lo, hi = stats[f"lo{i}"], stats[f"hi{i}"]
+        dt = src.schema[k].dataType
+        if lo is not None and _orderable(dt):
+            in_range = F.col(k).between(_typed_lit(lo, dt), _typed_lit(hi, dt))
+            tk = tk.where(in_range | F.col(k).isNull() if null_safe else in_range)
     if not null_safe:  # NULL never equals anything: such target rows cannot match
         for k in keys:
             tk = tk.where(F.col(k).isNotNull())
@@ -190,6 +204,16 @@ def new_rows(batch: DataFrame, target: DataFrame | None, keys: list[str], *,
                                  "left_anti")
 
 
+def _typed_lit(v, dt: T.DataType) -> Column:
+    if isinstance(dt, T.TimestampNTZType):   # wall clock: no time-zone round trip
+        return F.lit(v.isoformat(" ")).cast(dt)
+    return F.lit(v).cast(dt)
+
+
+def _orderable(dt: T.DataType) -> bool:
+    return isinstance(dt, (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
 def merge_insert(batch: DataFrame, path: str, keys: list[str], *, stream_id: str,
                  batch_id: int, dedupe_source: bool = False, null_safe: bool = False,
                  broadcast_keys: int = DEFAULT_BROADCAST_KEYS,

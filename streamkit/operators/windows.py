@@ -45,11 +45,23 @@ def window_agg(df: DataFrame, time_col: str, size: str, aggs: list[Column], *,
     on the wire.  Streaming input needs ``delay`` (the watermark); append
     mode then emits a window once the watermark passes its end.
     """
-    ntz = _is_ntz(df, time_col)
+    return _flatten_window(window_groups(df, time_col, size, aggs, keys=keys, slide=slide, delay=delay),
+                           "_w", _is_ntz(df, time_col))
+
+
+def window_groups(df: DataFrame, time_col: str, size: str, aggs: list[Column], *,
+                  keys: Iterable[str] = (), slide: str | None = None,
+                  delay: str | None = None) -> DataFrame:
+    """``window_agg`` before flattening: the window stays one struct column
+    ``_w`` (the aggregate's partitioning key, reusable by a later join)."""
     src = with_event_time(df, time_col, delay) if (df.isStreaming or delay) else df
     w = F.window(time_col, size, slide) if slide else F.window(time_col, size)
-    out = src.groupBy(w.alias("_w"), *keys).agg(*aggs)
-    return _flatten_window(out, "_w", ntz)
+    return src.groupBy(w.alias("_w"), *keys).agg(*aggs)
+
+
+def flatten_window(df: DataFrame, ntz: bool, wcol: str = "_w") -> DataFrame:
+    """``_w`` struct -> ``window_start``, ``window_end`` (as timestamp_ntz when ``ntz``)."""
+    return _flatten_window(df, wcol, ntz)
 
 
 def session_agg(df: DataFrame, time_col: str, gap: str, aggs: list[Column], *,
