@@ -19,6 +19,7 @@ a failure rewrites its own output instead of adding to it.
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Iterable
 
@@ -46,12 +47,43 @@ def exists(spark: SparkSession, path: str) -> bool:
                for name, is_dir, _, _ in fs.list(path))
 
 
+SCHEMA_FILE = "_schema.json"   # hidden from Spark's file listing by the leading underscore
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The table's current row schema as last written, if recorded."""
+    fs = FS(spark, path)
+    f = f"{path.rstrip('/')}/{SCHEMA_FILE}"
+    if not fs.exists(f):
+        return None
+    return T.StructType.fromJson(json.loads(fs.read_text(f)))
+
+
+def save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    rows = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields
+                         if f.name not in LAYOUT_COLS])
+    FS(spark, path).write_text(f"{path.rstrip('/')}/{SCHEMA_FILE}", rows.json())
+
+
+def _with_layout(schema: T.StructType) -> T.StructType:
+    return T.StructType(list(schema.fields) + [T.StructField(STREAM_COL, T.StringType()),
+                                              T.StructField(BATCH_COL, T.LongType())])
+
+
 def read(spark: SparkSession, path: str, *, merge_schema: bool = False,
          columns: list[str] | None = None) -> DataFrame:
     """The table as a DataFrame; ``batch_id`` is BIGINT, ``stream_id`` STRING.
-    ``merge_schema`` reconciles batches written with different (widened) schemas."""
+
+    With a recorded schema (written on every create and evolution) the files
+    are read with it, so batches written before a column was added show it
+    as NULL without opening every footer; ``merge_schema`` forces footer
+    reconciliation instead.
+    """
+    stored = None if merge_schema else stored_schema(spark, path)
     reader = spark.read.option("basePath", path)
-    if merge_schema:
+    if stored is not None:
+        reader = reader.schema(_with_layout(stored))
+    elif merge_schema:
         reader = reader.option("mergeSchema", "true")
     df = reader.parquet(path)
     df = df.withColumn(STREAM_COL, F.col(STREAM_COL).cast("string")) \
@@ -61,6 +93,9 @@ def read(spark: SparkSession, path: str, *, merge_schema: bool = False,
 
 def data_schema(spark: SparkSession, path: str) -> T.StructType:
     """Schema of the stored rows, without the layout columns."""
+    stored = stored_schema(spark, path)
+    if stored is not None:
+        return stored
     return T.StructType([f for f in read(spark, path).schema.fields if f.name not in LAYOUT_COLS])
 
 
@@ -99,9 +134,12 @@ def keys_from_text(text: str) -> list[str]:
 def write_batch(df: DataFrame, path: str, stream_id: str, batch_id: int, *,
                 rows_per_file: int | None = None) -> None:
     """Write ``df`` as batch (stream_id, batch_id), replacing that batch if present."""
-    out = (df.drop(*[c for c in LAYOUT_COLS if c in df.columns])
-             .withColumn(STREAM_COL, F.lit(str(stream_id)))
-             .withColumn(BATCH_COL, F.lit(int(batch_id)).cast("bigint")))
+    spark = df.sparkSession
+    rows = df.drop(*[c for c in LAYOUT_COLS if c in df.columns])
+    if stored_schema(spark, path) is None:
+        save_schema(spark, path, rows.schema)
+    out = (rows.withColumn(STREAM_COL, F.lit(str(stream_id)))
+               .withColumn(BATCH_COL, F.lit(int(batch_id)).cast("bigint")))
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if rows_per_file:
         w = w.option("maxRecordsPerFile", rows_per_file)
@@ -110,10 +148,11 @@ def write_batch(df: DataFrame, path: str, stream_id: str, batch_id: int, *,
 
 def overwrite(df: DataFrame, path: str) -> None:
     """Replace the whole table by ``df`` (one bootstrap batch)."""
-    (df.drop(*[c for c in LAYOUT_COLS if c in df.columns])
-       .withColumn(STREAM_COL, F.lit(BOOTSTRAP_STREAM))
-       .withColumn(BATCH_COL, F.lit(0).cast("bigint"))
-       .write.mode("overwrite").partitionBy(*LAYOUT_COLS).parquet(path))
+    rows = df.drop(*[c for c in LAYOUT_COLS if c in df.columns])
+    (rows.withColumn(STREAM_COL, F.lit(BOOTSTRAP_STREAM))
+         .withColumn(BATCH_COL, F.lit(0).cast("bigint"))
+         .write.mode("overwrite").partitionBy(*LAYOUT_COLS).parquet(path))
+    save_schema(df.sparkSession, path, rows.schema)
 
 
 def bootstrap(spark: SparkSession, path: str, source: DataFrame,
@@ -231,11 +270,16 @@ def merge_insert(batch: DataFrame, path: str, keys: list[str], *, stream_id: str
     if exists(spark, path):
         t = read(spark, path)
         target = t.where(~((F.col(STREAM_COL) == str(stream_id)) & (F.col(BATCH_COL) >= int(batch_id))))
-        tschema = T.StructType([f for f in t.schema.fields if f.name not in LAYOUT_COLS])
+        tschema = data_schema(spark, path)
         extra = [c for c in batch.columns if c not in tschema.fieldNames()]
         if extra and not evolve:
             raise ValueError(f"batch columns {extra} are not in the table; pass evolve=True to add them")
-        batch = align(batch, widen(tschema, batch.schema) if evolve else tschema)
+        if evolve:
+            wider = widen(tschema, batch.schema)
+            if wider != tschema:
+                save_schema(spark, path, wider)
+            tschema = wider
+        batch = align(batch, tschema)
     rows = new_rows(batch, target, keys, dedupe_source=dedupe_source, null_safe=null_safe,
                     broadcast_keys=broadcast_keys)
     write_batch(rows, path, stream_id, batch_id)
@@ -325,7 +369,7 @@ def expire(spark: SparkSession, path: str, *, retention_hours: float = 168.0,
 
     for name, is_dir, _, mtime in fs.list(path):
         base = name.rsplit("/", 1)[-1]
-        if base == "_SUCCESS":
+        if base in ("_SUCCESS", SCHEMA_FILE):
             continue
         if base.startswith(f"{STREAM_COL}=") and is_dir:
             for bname, bdir, _, bm in fs.list(name):

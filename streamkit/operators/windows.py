@@ -124,19 +124,6 @@ def sessions(df: DataFrame, time_col: str, gap_seconds: int, *, keys: list[str],
     return out.select(*keys, start.alias("window_start"), end.alias("window_end"), *agg_names)
 
 
-def with_flush(df: DataFrame, time_col: str, at: str = "2099-01-01 00:00:00") -> DataFrame:
-    """Append one marker row dated ``at`` (other columns NULL).  Fed last to an
-    append-mode windowed query, it moves the watermark past every real
-    window so all of them are emitted; drop windows starting at or after
-    ``at`` from the result."""
-    spark = df.sparkSession
-    dtype = df.schema[time_col].dataType
-    marker = spark.range(1).select(*[
-        (F.lit(at).cast(dtype) if c == time_col else F.lit(None).cast(df.schema[c].dataType)).alias(c)
-        for c in df.columns])
-    return marker
-
-
 def late_split(batch: DataFrame, time_col: str, delay_seconds: int, watermark_us: int | None) -> DataFrame:
     """Tag rows of one micro-batch as late (``_late``) against a watermark:
     event time older than ``watermark_us`` (the max event time of all

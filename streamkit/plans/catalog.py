@@ -444,13 +444,14 @@ FROM events
 """)
 def merge_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table predates the ``props`` field; merging the stream with
-    ``evolve`` adds the column (older batches read it as NULL via mergeSchema)."""
+    ``evolve`` widens the recorded table schema, and older batches read the
+    new column as NULL."""
     path = work_path(spark, "merge-evolve")
     old = table(spark, sf_dir, "events").where(F.col("ts") < _cutoff()).drop("props")
     tables.bootstrap(spark, path, old)
     st = events_stream(spark, sf_dir, files=4, max_files=1)
     drain(start(st, SinkSpec("table_merge", path=path, keys=["event_id"], evolve=True)))
-    return tables.read(spark, path, merge_schema=True).select(*EVENT_COLS)
+    return tables.read(spark, path).select(*EVENT_COLS)
 
 
 @query("evolve_json", """

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamkit.functions.encode import envelope, messages
-from streamkit.session import FS, use_utc, work_path
+from streamkit.session import use_utc, work_path
 
 # Payload schema of an ``events`` message and its topic layout.
 EVENTS_TOPIC = "events"
@@ -49,24 +49,6 @@ def write_replay(spark: SparkSession, env: DataFrame, name: str, *, files: int |
     return path
 
 
-def write_replay_sequence(spark: SparkSession, parts: list[DataFrame], name: str) -> str:
-    """Write several envelope frames into one replay folder, each as its own
-    files with strictly later modification times, so a file stream reads
-    them in this order (``maxFilesPerTrigger`` then cuts micro-batches)."""
-    path = work_path(spark, name)
-    fs = FS(spark, path)
-    base_ms = None
-    for i, part in enumerate(parts):
-        sub = f"{path}/part{i:04d}"
-        part.write.parquet(sub)
-        files = [f for f, d, _, m in fs.list(sub) if f.endswith(".parquet")]
-        if base_ms is None:
-            base_ms = max(m for _, _, _, m in fs.list(sub))
-        for f in files:
-            fs.set_mtime(f, base_ms + 10_000 * i)
-    return path
-
-
 # A marker dated far after any real event; fed with the data
 # it moves the watermark past every real window (append mode then emits
 # them all), and its own window is never emitted.

@@ -64,6 +64,9 @@ def test_merge_rejects_unknown_keys_and_columns(spark, tmp):
         tables.merge_insert(extra, path, ["k"], stream_id="s", batch_id=0)
     tables.merge_insert(extra, path, ["k"], stream_id="s", batch_id=0, evolve=True)
     assert "w" in tables.read(spark, path, merge_schema=True).columns
+    assert "w" in tables.read(spark, path).columns          # recorded schema, no footer merge
+    tables.merge_insert(_batch(spark), path, ["k"], stream_id="s", batch_id=1)   # narrower batch: NULL-filled
+    assert tables.read(spark, path).where("w is null").count() >= 1
 
 
 def test_merge_fills_missing_columns_typed(spark, tmp):
