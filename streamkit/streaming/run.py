@@ -26,6 +26,14 @@ def drain(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
+def _plain(v):
+    if hasattr(v, "asDict"):
+        return {k: _plain(x) for k, x in v.asDict().items()}
+    if isinstance(v, dict):
+        return {k: _plain(x) for k, x in v.items()}
+    return v
+
+
 def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """``recentProgress`` flattened: one row per micro-batch (driver metadata,
     bounded by ``spark.sql.streaming.numRecentProgressUpdates``)."""
@@ -41,7 +49,7 @@ def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
             int((p.get("durationMs") or {}).get("triggerExecution", 0)),
             json.dumps(sources[0].get("endOffset")),
             int(sum(int(s.get("numRowsDroppedByWatermark", 0)) for s in states)),
-            json.dumps(p.get("observedMetrics") or {}),
+            json.dumps(_plain(p.get("observedMetrics") or {}), default=str),
         ))
     return spark.createDataFrame(rows, "batch_id bigint, input_rows bigint, input_rows_per_second double, "
                                        "processed_rows_per_second double, trigger_ms bigint, end_offset string, "

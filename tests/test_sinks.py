@@ -95,3 +95,46 @@ def test_rate_source_continuous_to_memory(spark):
     run.drain(q)
     rows = spark.sql("select * from rate_mem").collect()
     assert rows and all(1 <= r.locationId <= 265 for r in rows)
+
+
+def test_failure_in_batch_function_propagates(spark, tmp):
+    _write(spark, f"{tmp}/in", [(1, "a")])
+
+    def boom(df, epoch):
+        raise RuntimeError("merge failed")
+    q = start(_stream(spark, f"{tmp}/in"), SinkSpec("foreach_batch", fn=boom))
+    with pytest.raises(Exception):
+        run.drain(q)
+
+
+def test_observed_metrics_reach_progress(spark, tmp):
+    from streamkit.operators.audit import batch_metrics
+    _write(spark, f"{tmp}/in", [(1, "a"), (2, "b"), (3, "a")])
+    st = batch_metrics(_stream(spark, f"{tmp}/in"), "in_rows", a_rows="v = 'a'")
+    q = start(st, SinkSpec("parquet", path=f"{tmp}/out"))
+    run.drain(q)
+    import json
+    seen = [json.loads(r.observed) for r in run.progress(spark, q).collect()]
+    assert any(m.get("in_rows", {}).get("rows") == 3 and m["in_rows"]["a_rows"] == 2 for m in seen)
+
+
+def test_console_sink_and_continuous_trigger(spark, tmp):
+    _write(spark, f"{tmp}/in", [(1, "a")])
+    run.drain(start(_stream(spark, f"{tmp}/in"), SinkSpec("console", trigger=Trigger.once())))
+    rate = spark.readStream.format("rate").option("rowsPerSecond", 20).load()
+    q = start(rate, SinkSpec("memory", name="cont_mem", trigger=Trigger.continuous("1 second")))
+    import time
+    time.sleep(4)
+    q.stop()
+    assert spark.sql("select count(*) c from cont_mem").first().c > 0
+
+
+def test_quarantine_router_splits_messages(spark, tmp):
+    from streamkit.streaming.routes import quarantine_router
+    rows = [('{"k": 1, "v": "a"}',), ("oops",), ('{"k": 2}',), ("",)]
+    spark.createDataFrame(rows, "t string").select(F.col("t").cast("binary").alias("value")) \
+        .write.parquet(f"{tmp}/msgs")
+    st = spark.readStream.schema("value binary").parquet(f"{tmp}/msgs")
+    run.drain(start(st, SinkSpec("foreach_batch", fn=quarantine_router(f"{tmp}/good", f"{tmp}/bad", "k INT, v STRING"))))
+    assert sorted(r.k for r in tables.read(spark, f"{tmp}/good").collect()) == [1, 2]
+    assert sorted(r.payload for r in tables.read(spark, f"{tmp}/bad").collect()) == ["", "oops"]
