@@ -78,24 +78,43 @@ def _micros(df: DataFrame, col: str) -> Column:
 
 
 def sessions(df: DataFrame, time_col: str, gap_seconds: int, *, keys: list[str],
-             aggs: list[Column] | None = None, chunk_seconds: int = 86400) -> DataFrame:
+             aggs: list[Column] | None = None, rows_per_chunk: int = 2_000_000,
+             max_hot_keys: int = 200_000) -> DataFrame:
     """Batch session windows that stay parallel when one key holds most rows.
 
-    Rows are numbered into time chunks per key; gaps are found with a window
-    over (key, chunk), and the two facts that cross chunk borders -- the last
-    event time and the last session start before a chunk -- come from a
-    per-(key, chunk) summary whose size is bounded by the time span, not by
-    the row count.  Same result as ``session_window(ts, gap)``: a session
-    ends ``gap`` after its last event, and only an event strictly after
-    that end starts a new session (one exactly at the end joins it).
+    A key with at most ``rows_per_chunk`` rows is one group.  A hotter key is
+    cut into time chunks that hold about ``rows_per_chunk`` rows on average
+    (never shorter than the gap).  The table of hot keys has at most
+    rows / rows_per_chunk entries, so it is broadcast after a size check
+    instead of shuffling the rows by key.  Gaps are found with a window over
+    (key, chunk); the two facts that cross chunk borders -- the last event
+    time and the last session start before a chunk -- come from a
+    per-(key, chunk) summary.  Same result as ``session_window(ts, gap)``: a
+    session ends ``gap`` after its last event, and only an event strictly
+    after that end starts a new session (one exactly at the end joins it).
 
     Output: ``*keys, window_start, window_end, *aggs`` (default ``events``).
     """
+    from streamkit.operators.joins import fits
+
     ntz = _is_ntz(df, time_col)
     gap_us = int(gap_seconds) * MICROS
-    chunk_us = int(chunk_seconds) * MICROS
-    x = (df.withColumn("_t", _micros(df, time_col))
-           .withColumn("_chunk", F.floor(F.col("_t") / F.lit(chunk_us))))
+    x = df.withColumn("_t", _micros(df, time_col))
+    density = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"),
+                                   F.max("_t").alias("_hi"))
+    hot = (density.where(F.col("_n") > rows_per_chunk)
+                  .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],
+                          F.greatest(F.lit(gap_us), F.ceil((F.col("_hi") - F.col("_lo") + 1)
+                                                            * rows_per_chunk / F.col("_n"))).cast("bigint")
+                          .alias("_span")))
+    hot = F.broadcast(hot) if fits(hot, max_hot_keys) else hot
+    same_key = F.lit(True)
+    for i, k in enumerate(keys):
+        same_key = same_key & F.col(k).eqNullSafe(F.col(f"_hk{i}"))
+    x = (x.join(hot, same_key, "left")
+          .withColumn("_chunk", F.when(F.col("_span").isNull(), F.lit(0))
+                                 .otherwise(F.floor(F.col("_t") / F.col("_span"))))
+          .drop("_span", *[f"_hk{i}" for i in range(len(keys))]))
     by_chunk = Window.partitionBy(*keys, "_chunk").orderBy("_t")
     over_chunks = Window.partitionBy(*keys).orderBy("_chunk")
     before = over_chunks.rowsBetween(Window.unboundedPreceding, -1)

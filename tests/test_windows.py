@@ -80,12 +80,15 @@ def test_sessions_match_brute_force_with_hot_user(spark):
     rows.append((5, 1000)), rows.append((5, 1000 + 600))       # exactly one gap apart: one session
     pdf = pd.DataFrame(rows, columns=["user", "t"])
     df = spark.createDataFrame(pdf).withColumn("ts", F.timestamp_seconds("t"))
-    got = sessions(df, "ts", 600, keys=["user"], chunk_seconds=3600).collect()
+    got = sessions(df, "ts", 600, keys=["user"], rows_per_chunk=40).collect()   # user 0 split in ~13 chunks
     got = sorted((r.user, int(r.window_start.timestamp()), int(r.window_end.timestamp()), r.events) for r in got)
     assert got == _brute_sessions(pdf, 600)
     builtin = (df.groupBy("user", F.session_window("ts", "600 seconds").alias("w")).count()
                  .select("user", F.unix_seconds(F.col("w.start")).alias("s"), "count").collect())
     assert sorted((r.user, r.s, r["count"]) for r in builtin) == sorted((u, s, n) for u, s, _, n in got)
+    whole = sessions(df, "ts", 600, keys=["user"]).collect()              # no key is hot: one group each
+    assert sorted((r.user, int(r.window_start.timestamp()), r.events) for r in whole) == \
+        sorted((u, s, n) for u, s, _, n in got)
 
 
 def test_sliding_and_tumbling_shapes(spark):
