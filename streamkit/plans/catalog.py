@@ -780,3 +780,76 @@ def drops_vs_temperature_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     temps = temps.unionByName(spark.readStream.schema(temps.schema).parquet(f"{marks}/temps"))
     out = run_parquet(_drops_vs_temperature(trips, temps, "2 minutes"), "drops-temperature")
     return out.where(F.col("window_start") < F.to_timestamp_ntz(F.lit(FLUSH_TS)))
+
+
+# ---------------------------------------------------------------- files, replay, history
+
+from streamkit.sources.files import stream_files  # noqa: E402
+
+TUMBLING_SQL = """
+SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS window_start,
+       time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE AS window_end,
+       max(value) AS max_value, count(*) AS events
+FROM events GROUP BY 1, 2
+"""
+
+
+@query("decoded_tumbling", TUMBLING_SQL)
+def decoded_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingest chain in one plan: rows -> JSON messages -> decode -> typed
+    event time -> 15-minute windows."""
+    ev = decoded_events(events_messages(spark, sf_dir))
+    return window_agg(ev, "ts", "15 minutes", [F.max("value").alias("max_value"),
+                                               F.count(F.lit(1)).alias("events")])
+
+
+@query("json_file_stream", EVENTS_SQL)
+def json_file_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON-lines files streamed with the schema inferred at start
+    (``spark.sql.streaming.schemaInference``), then typed."""
+    folder = work_path(spark, "json-files")
+    ev = table(spark, sf_dir, "events")
+    ev.select(F.to_json(F.struct(*[F.col(c) for c in EVENT_COLS]),
+                        {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}).alias("value")) \
+        .write.text(folder)
+    st = stream_files(spark, folder, format="json", options={"prefersDecimal": "false"})
+    typed = decode.cast_timestamps(st, ["ts"]).select(
+        F.col("event_id").cast("bigint").alias("event_id"), "ts", F.col("user_id").cast("bigint").alias("user_id"),
+        "event_type", F.col("value").cast("double").alias("value"), "props")
+    return run_parquet(typed, "json-stream")
+
+
+def _typed_batches(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """``events`` written as one table batch per event type (types in sorted order)."""
+    path = work_path(spark, name)
+    ev = table(spark, sf_dir, "events")
+    for i, et in enumerate(EVENT_TYPES_SORTED):
+        tables.write_batch(ev.where(F.col("event_type") == et), path, "loader", i)
+    return path
+
+
+# The event types of the driver's ``events`` table, sorted.
+EVENT_TYPES_SORTED = ["click", "error", "purchase", "signup", "view"]
+
+
+@query("replay_from_batch", """
+SELECT event_id, ts, user_id, event_type, value, props FROM events
+WHERE event_type IN ('purchase', 'signup', 'view')
+""")
+def replay_from_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table read back as a stream from batch 2 on."""
+    path = _typed_batches(spark, sf_dir, "replay")
+    st = tables.replay(spark, path, from_batch=2, stream=True, max_files_per_trigger=2)
+    return run_parquet(st.select(*EVENT_COLS), "replayed")
+
+
+@query("table_history", """
+SELECT 'loader' AS stream_id,
+       CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2
+                       WHEN 'signup' THEN 3 WHEN 'view' THEN 4 END AS batch_id,
+       count(*) AS "rows"
+FROM events GROUP BY event_type
+""")
+def table_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch-addressable history: one row per committed batch with its row count."""
+    return tables.history(spark, _typed_batches(spark, sf_dir, "history"))
