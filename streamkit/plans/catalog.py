@@ -534,7 +534,7 @@ CLICK_SQL = f"""
 WITH g AS (SELECT event_id, {_sql_list(gen.CLICK_EVENT_TYPES)}[{_h(1)} % 5 + 1] AS event_type FROM events)
 SELECT event_id AS id,
        CAST({_h(0)} % 5 + 1 AS INTEGER) AS user_id,
-       strftime({_TS0} + to_seconds(event_id * 150 + {_h(7)} % 150), '%Y-%m-%d %H:%M:%S') AS timestamp,
+       strftime({_TS0} + to_seconds((event_id % {gen.CLICK_PERIOD}) * {gen.CLICK_STEP_S} + {_h(7)} % {gen.CLICK_STEP_S}), '%Y-%m-%d %H:%M:%S') AS timestamp,
        event_type,
        CASE WHEN event_type IN ('page_view', 'click') THEN {_sql_list(gen.CLICK_PAGES)}[{_h(2)} % 5 + 1] END AS page,
        CASE WHEN event_type = 'click' THEN 'button' || CAST({_h(3)} % 50 + 1 AS VARCHAR) END AS element,

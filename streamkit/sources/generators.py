@@ -29,6 +29,8 @@ ZONES = 265                # location ids 1 .. 265
 BASE_TIME = "2025-01-01 00:00:00"
 TRIP_WINDOW_S = 1800       # pickup and trip length: 0 .. 1800 s
 DAY_S = 86400
+CLICK_STEP_S = 150          # mean seconds between consecutive clickstream ids
+CLICK_PERIOD = 10**9        # ids per lap of the clickstream clock (about 4,750 years)
 WIRE_TS = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -70,12 +72,14 @@ def clickstream(spark: SparkSession, ids: int | DataFrame, *, id_col: str = "id"
     """Clickstream events; sparse fields follow the event type:
     ``page`` for page_view/click, ``element`` for click, ``query`` for search,
     ``product`` and ``price`` for add_to_cart/purchase.  Event time rises by
-    1-299 s from one id to the next without any global ordering step."""
+    1-299 s from one id to the next without any global ordering step; the
+    clock starts over every ``CLICK_PERIOD`` ids so that any id maps to a
+    valid timestamp."""
     base = _ids(spark, ids, id_col)
     i = F.col("_id")
     et = _pick(CLICK_EVENT_TYPES, field_hash(i, 1))
     shopping = F.col("event_type").isin("add_to_cart", "purchase")
-    secs = i * 150 + field_hash(i, 7) % 150
+    secs = (i % CLICK_PERIOD) * CLICK_STEP_S + field_hash(i, 7) % CLICK_STEP_S
     out = (base.select(i, et.alias("event_type"))
            .select(
                *( [i.alias("id")] if keep_id else [] ),
