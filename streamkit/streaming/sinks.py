@@ -20,6 +20,7 @@ folder, never inside the output table.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -91,6 +92,11 @@ class SinkSpec:
     evolve: bool = False
     fn: Callable[[DataFrame, int], None] | None = None
     options: dict = field(default_factory=dict)
+    # stateful queries: "rocksdb" keeps state off the JVM heap (large joins,
+    # de-duplication); state_partitions is frozen into the checkpoint at the
+    # first start, so size it for the target volume
+    state_store: str | None = None
+    state_partitions: int | None = None
 
     def validate(self, df: DataFrame) -> None:
         if self.kind not in KINDS:
@@ -109,6 +115,8 @@ class SinkSpec:
             missing = [k for k in self.keys if k not in df.columns]
             if missing:
                 raise ValueError(f"merge keys {missing} not in stream columns {df.columns}")
+        if self.state_store not in (None, "rocksdb", "hdfs"):
+            raise ValueError(f"unknown state store {self.state_store!r}")
         if self.kind == "foreach_batch" and self.fn is None:
             raise ValueError("foreach_batch needs fn")
         if self.kind == "memory" and not self.name:
@@ -151,9 +159,43 @@ def _merge_fn(spec: SinkSpec) -> Callable[[DataFrame, int], None]:
     return run
 
 
+STATE_PROVIDERS = {
+    "rocksdb": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "hdfs": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
+}
+
+
+@contextmanager
+def _query_conf(spark, values: dict):
+    """Session settings read when a query starts (the query keeps its own copy)."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def start(df: DataFrame, spec: SinkSpec) -> StreamingQuery:
     """Validate ``spec`` and start the streaming query."""
     spec.validate(df)
+    conf = {}
+    if spec.state_store:
+        conf["spark.sql.streaming.stateStore.providerClass"] = STATE_PROVIDERS[spec.state_store]
+        if spec.state_store == "rocksdb":
+            conf["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
+    if spec.state_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(spec.state_partitions)
+    with _query_conf(df.sparkSession, conf):
+        return _start(df, spec)
+
+
+def _start(df: DataFrame, spec: SinkSpec) -> StreamingQuery:
     spark = df.sparkSession
     w = df.writeStream.trigger(**spec.trigger.kwargs())
     if spec.name:

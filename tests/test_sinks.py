@@ -138,3 +138,16 @@ def test_quarantine_router_splits_messages(spark, tmp):
     run.drain(start(st, SinkSpec("foreach_batch", fn=quarantine_router(f"{tmp}/good", f"{tmp}/bad", "k INT, v STRING"))))
     assert sorted(r.k for r in tables.read(spark, f"{tmp}/good").collect()) == [1, 2]
     assert sorted(r.payload for r in tables.read(spark, f"{tmp}/bad").collect()) == ["", "oops"]
+
+
+def test_rocksdb_state_store_dedupe(spark, tmp):
+    from streamkit.operators.dedupe import dedupe
+    rows = [(i % 7, f"2025-01-01 00:0{i % 10}:00") for i in range(40)]
+    spark.createDataFrame(rows, "k bigint, ts string").withColumn("ts", F.to_timestamp("ts")) \
+        .write.parquet(f"{tmp}/in")
+    st = spark.readStream.schema("k bigint, ts timestamp").parquet(f"{tmp}/in")
+    q = start(dedupe(st, ["k"], time_col="ts", delay="1 hour"),
+              SinkSpec("parquet", path=f"{tmp}/out", state_store="rocksdb", state_partitions=3))
+    run.drain(q)
+    assert sorted(r.k for r in spark.read.parquet(f"{tmp}/out").collect()) == list(range(7))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"      # session setting restored
