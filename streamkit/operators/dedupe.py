@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from streamkit.operators.windows import with_event_time
 
@@ -21,7 +22,7 @@ def dedupe(df: DataFrame, keys: list[str], *, time_col: str | None = None,
     if df.isStreaming:
         if not (time_col and delay):
             raise ValueError("streaming de-duplication needs time_col and delay")
-        ntz = str(df.schema[time_col].dataType) == "TimestampNTZType()"
+        ntz = isinstance(df.schema[time_col].dataType, T.TimestampNTZType)
         out = with_event_time(df, time_col, delay).dropDuplicatesWithinWatermark(keys)
         return out.withColumn(time_col, out[time_col].cast("timestamp_ntz")) if ntz else out
     return df.dropDuplicates(keys)

@@ -146,6 +146,20 @@ def write_batch(df: DataFrame, path: str, stream_id: str, batch_id: int, *,
     w.partitionBy(*LAYOUT_COLS).parquet(path)
 
 
+def write_batches(df: DataFrame, path: str, stream_id: str, batch_col: str) -> None:
+    """Write many batches in one job (one scan): ``batch_col`` holds each
+    row's batch number; every batch present is replaced."""
+    spark = df.sparkSession
+    rows = df.drop(*[c for c in LAYOUT_COLS if c in df.columns])
+    if stored_schema(spark, path) is None:
+        save_schema(spark, path, rows.drop(batch_col).schema)
+    (rows.withColumn(STREAM_COL, F.lit(str(stream_id)))
+         .withColumn(BATCH_COL, F.col(batch_col).cast("bigint"))
+         .drop(batch_col)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*LAYOUT_COLS).parquet(path))
+
+
 def overwrite(df: DataFrame, path: str) -> None:
     """Replace the whole table by ``df`` (one bootstrap batch)."""
     rows = df.drop(*[c for c in LAYOUT_COLS if c in df.columns])

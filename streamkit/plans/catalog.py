@@ -823,8 +823,9 @@ def _typed_batches(spark: SparkSession, sf_dir: str, name: str) -> str:
     """``events`` written as one table batch per event type (types in sorted order)."""
     path = work_path(spark, name)
     ev = table(spark, sf_dir, "events")
-    for i, et in enumerate(EVENT_TYPES_SORTED):
-        tables.write_batch(ev.where(F.col("event_type") == et), path, "loader", i)
+    order = F.array(*[F.lit(t) for t in EVENT_TYPES_SORTED])
+    tables.write_batches(ev.withColumn("_batch", F.array_position(order, F.col("event_type")) - 1),
+                         path, "loader", "_batch")
     return path
 
 
