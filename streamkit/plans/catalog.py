@@ -846,8 +846,8 @@ def replay_from_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("table_history", """
 SELECT 'loader' AS stream_id,
-       CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2
-                       WHEN 'signup' THEN 3 WHEN 'view' THEN 4 END AS batch_id,
+       CAST(CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2
+                            WHEN 'signup' THEN 3 WHEN 'view' THEN 4 END AS BIGINT) AS batch_id,
        count(*) AS "rows"
 FROM events GROUP BY event_type
 """)
