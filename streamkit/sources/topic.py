@@ -41,7 +41,13 @@ def read_topic(spark: SparkSession, topic: str, schema=None, *,
               .option("startingOffsets", starting_offsets))
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    raw = reader.load()
+    try:
+        raw = reader.load()
+    except Exception as e:  # the connector is a separate artifact
+        if "kafka" in str(e).lower() and "data source" in str(e).lower():
+            raise RuntimeError("the Kafka source needs the spark-sql-kafka-0-10 connector on the "
+                               "classpath; replay envelope files with replay_topic instead") from e
+        raise
     return json_events(raw, schema) if schema is not None else raw
 
 

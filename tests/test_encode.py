@@ -38,3 +38,26 @@ def test_offset_filter_spec(spark):
     assert offset_filter(env, "earliest", topic="t").count() == 1000
     assert offset_filter(env, "latest", topic="t").count() == 0
     assert offset_filter(env, '{"t": {"1": -2}}', topic="t").count() == sizes[1]
+
+
+def test_kafka_source_reports_missing_connector(spark):
+    import pytest
+    from streamkit.sources.topic import read_topic
+    try:
+        df = read_topic(spark, "t", "a INT", bootstrap_servers="localhost:1")
+    except RuntimeError as e:
+        assert "connector" in str(e)
+    else:   # connector present: the plan is a streaming decode of the topic
+        assert df.isStreaming and df.columns == ["a"]
+
+
+def test_replay_topic_stream_with_start_offsets(spark, tmp_path):
+    from streamkit.sources.topic import replay_topic
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    env = envelope(ev, "t", partition=F.pmod("user_id", F.lit(2)), order_cols=["ts", "event_id"])
+    env.write.parquet(str(tmp_path / "topic"))
+    st = replay_topic(spark, str(tmp_path / "topic"), "t", "event_id BIGINT", stream=True,
+                      starting_offsets='{"t": {"0": 5, "1": -2}}')
+    q = st.writeStream.format("memory").queryName("replay_off").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert spark.sql("select count(*) c from replay_off").first().c == 1000 - 5

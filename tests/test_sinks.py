@@ -151,3 +151,29 @@ def test_rocksdb_state_store_dedupe(spark, tmp):
     run.drain(q)
     assert sorted(r.k for r in spark.read.parquet(f"{tmp}/out").collect()) == list(range(7))
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"      # session setting restored
+
+
+def test_crash_after_write_then_restart_leaves_table_exact(spark, tmp):
+    """Epoch 1 fails after its merge was written (no commit); the restart
+    replays epoch 1 under the same query id, overwriting its own batch."""
+    from streamkit.streaming.sinks import stream_id
+    src, out, ck = f"{tmp}/in", f"{tmp}/table", f"{tmp}/ck"
+    for part in ([(1, "a"), (2, "b")], [(2, "x"), (3, "c"), (None, "n")], [(4, "d")]):
+        _write(spark, src, part)
+    tables.overwrite(spark.createDataFrame([(1, "old")], "k bigint, v string"), out)
+    qid = stream_id()
+    state = {"crash": True}
+
+    def merge_then_maybe_crash(batch, epoch):
+        tables.merge_insert(batch, out, ["k"], stream_id=qid(batch), batch_id=epoch)
+        if epoch == 1 and state["crash"]:
+            state["crash"] = False
+            raise RuntimeError("executor lost after write")
+
+    st = spark.readStream.schema("k bigint, v string").option("maxFilesPerTrigger", 1).parquet(src)
+    spec = SinkSpec("foreach_batch", fn=merge_then_maybe_crash, checkpoint=ck)
+    with pytest.raises(Exception):
+        run.drain(start(st, spec))
+    run.drain(start(st, spec))
+    got = sorted(((r.k if r.k is not None else -1), r.v) for r in tables.read(spark, out).collect())
+    assert got == [(-1, "n"), (1, "old"), (2, "b"), (3, "c"), (4, "d")]
