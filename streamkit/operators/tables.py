@@ -306,30 +306,45 @@ def _predicate(pred: str | Column) -> Column:
     return F.expr(pred) if isinstance(pred, str) else pred
 
 
+def read_batches(spark: SparkSession, path: str, batches: Iterable[tuple[str, int]]) -> DataFrame:
+    """Only the named batch folders: pruning by path, no join with a batch list."""
+    paths = [f"{path.rstrip('/')}/{STREAM_COL}={s}/{BATCH_COL}={int(b)}" for s, b in batches]
+    stored = stored_schema(spark, path)
+    reader = spark.read.option("basePath", path)
+    if stored is not None:
+        reader = reader.schema(_with_layout(stored))
+    df = reader.parquet(*paths)
+    return df.withColumn(STREAM_COL, F.col(STREAM_COL).cast("string")) \
+             .withColumn(BATCH_COL, F.col(BATCH_COL).cast("bigint"))
+
+
 def delete_where(spark: SparkSession, path: str, predicate: str | Column) -> int:
     """Delete rows matching ``predicate`` (SQL text or Column).
 
     Rows where the predicate is NULL are kept.  Only batches that hold a
-    matching row are rewritten; a batch left empty is removed.  Returns the
+    matching row are read (by folder) and rewritten; a batch left empty is
+    removed.  Re-running after a failure finishes the job.  Returns the
     number of rewritten batches.
     """
-    t = read(spark, path)
     hit = F.coalesce(_predicate(predicate), F.lit(False))
-    touched = t.where(hit).select(*LAYOUT_COLS).distinct()
     # the list of touched batches is table metadata (one row per batch)
-    touched_rows = touched.collect()
-    if not touched_rows:
+    touched = [(r[STREAM_COL], r[BATCH_COL]) for r in
+               read(spark, path).where(hit).select(*LAYOUT_COLS).distinct().collect()]
+    if not touched:
         return 0
-    kept = t.join(F.broadcast(touched), LAYOUT_COLS, "left_semi").where(~hit)
+    kept = read_batches(spark, path, touched).where(~hit)
     survivors = {(r[STREAM_COL], r[BATCH_COL]) for r in kept.select(*LAYOUT_COLS).distinct().collect()}
     (kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*LAYOUT_COLS).parquet(path))
     fs = FS(spark, path)
-    for r in touched_rows:
-        key = (r[STREAM_COL], r[BATCH_COL])
+    for key in touched:
         if key not in survivors:
             fs.delete(f"{path}/{STREAM_COL}={key[0]}/{BATCH_COL}={key[1]}")
-    return len(touched_rows)
+    return len(touched)
+
+
+# broadcast per-batch tables (one row per batch) only up to this many batches
+MAX_BROADCAST_BATCHES = 1_000_000
 
 
 def compact(spark: SparkSession, path: str, *, rows_per_file: int = 1_000_000,
@@ -339,26 +354,33 @@ def compact(spark: SparkSession, path: str, *, rows_per_file: int = 1_000_000,
     Each batch is split into ceil(rows / rows_per_file) salt groups by a hash
     of the whole row, and the data is range-partitioned on (batch, salt), so
     one task writes about one file and a very large batch is spread over
-    many tasks.  Returns the number of files planned.
+    many tasks.  The per-batch file counts (one row per batch) are broadcast
+    after a size check; past it every batch uses the largest batch's salt
+    count, which needs no join.  Returns the number of range partitions.
     """
-    t = read(spark, path)
-    if batches is not None:
-        wanted = spark.createDataFrame([(s, int(b)) for s, b in batches], f"{STREAM_COL} string, {BATCH_COL} bigint")
-        t = t.join(F.broadcast(wanted), LAYOUT_COLS, "left_semi")
+    from streamkit.operators.joins import fits
+
+    t = read_batches(spark, path, batches) if batches is not None else read(spark, path)
     data_cols = [c for c in t.columns if c not in LAYOUT_COLS]
     counts = (t.groupBy(*LAYOUT_COLS).agg(F.count(F.lit(1)).alias("_rows"))
                .withColumn("_files", F.greatest(F.lit(1), F.ceil(F.col("_rows") / rows_per_file)).cast("bigint")))
-    total_files = counts.agg(F.sum("_files")).first()[0] or 0
-    if total_files == 0:
+    totals = counts.agg(F.sum("_files").alias("files"), F.max("_files").alias("widest"),
+                        F.count(F.lit(1)).alias("batches")).first()
+    if not totals["files"]:
         return 0
-    salted = (t.join(counts.select(*LAYOUT_COLS, "_files"), LAYOUT_COLS)
-               .withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in data_cols]), F.col("_files")))
-               .repartitionByRange(int(total_files), *LAYOUT_COLS, "_salt")
-               .drop("_salt", "_files"))
-    (salted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .option("maxRecordsPerFile", rows_per_file)
-           .partitionBy(*LAYOUT_COLS).parquet(path))
-    return int(total_files)
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in data_cols])
+    if fits(counts, MAX_BROADCAST_BATCHES):
+        parts = int(totals["files"])
+        salted = (t.join(F.broadcast(counts.select(*LAYOUT_COLS, "_files")), LAYOUT_COLS)
+                   .withColumn("_salt", F.pmod(row_hash, F.col("_files"))).drop("_files"))
+    else:
+        parts = int(totals["batches"]) * int(totals["widest"])
+        salted = t.withColumn("_salt", F.pmod(row_hash, F.lit(int(totals["widest"]))))
+    out = salted.repartitionByRange(parts, *LAYOUT_COLS, "_salt").drop("_salt")
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", rows_per_file)
+        .partitionBy(*LAYOUT_COLS).parquet(path))
+    return parts
 
 
 def expire(spark: SparkSession, path: str, *, retention_hours: float = 168.0,

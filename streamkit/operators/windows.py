@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from streamkit.session import shared_dir
+
 MICROS = 1_000_000
 
 
@@ -102,12 +104,20 @@ def sessions(df: DataFrame, time_col: str, gap_seconds: int, *, keys: list[str],
     x = df.withColumn("_t", _micros(df, time_col))
     density = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"),
                                    F.max("_t").alias("_hi"))
-    hot = (density.where(F.col("_n") > rows_per_chunk)
-                  .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],
-                          F.greatest(F.lit(gap_us), F.ceil((F.col("_hi") - F.col("_lo") + 1)
-                                                            * rows_per_chunk / F.col("_n"))).cast("bigint")
-                          .alias("_span")))
-    hot = F.broadcast(hot) if fits(hot, max_hot_keys) else hot
+    # candidates: keys with more than rows_per_chunk rows -- at most
+    # rows / rows_per_chunk of them -- materialized once (reliable checkpoint)
+    shared_dir(df.sparkSession)
+    cand = (density.where(F.col("_n") > rows_per_chunk)
+                   .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], "_n", "_lo", "_hi")
+                   .checkpoint(eager=True))
+    # raise the threshold until the hot-key table fits the broadcast bound
+    threshold = rows_per_chunk
+    while not fits(cand.where(F.col("_n") > threshold), max_hot_keys):
+        threshold *= 4
+    hot = F.broadcast(cand.where(F.col("_n") > threshold).select(
+        *[f"_hk{i}" for i in range(len(keys))],
+        F.greatest(F.lit(gap_us), F.ceil((F.col("_hi") - F.col("_lo") + 1) * threshold / F.col("_n")))
+        .cast("bigint").alias("_span")))
     same_key = F.lit(True)
     for i, k in enumerate(keys):
         same_key = same_key & F.col(k).eqNullSafe(F.col(f"_hk{i}"))
@@ -152,18 +162,23 @@ def late_split(batch: DataFrame, time_col: str, delay_seconds: int, watermark_us
     return batch.withColumn("_late", F.coalesce(_micros(batch, time_col) < F.lit(watermark_us), F.lit(False)))
 
 
-def late_by_sequence(df: DataFrame, time_col: str, seq_col: str, delay_seconds: int) -> DataFrame:
+def late_by_sequence(df: DataFrame, time_col: str, seq_col: str, delay_seconds: int, *,
+                     max_batches: int = 1_000_000) -> DataFrame:
     """Batch twin of ``streaming.routes.late_router``: ``seq_col`` numbers the
     micro-batch each row arrived in; a row is late (``_late``) when its event
     time is older than the max event time of all earlier micro-batches minus
     the delay.  The running max is taken over a one-row-per-micro-batch
     summary, then joined back on the micro-batch number.
     """
+    from streamkit.operators.joins import fits
+
     t = _micros(df, time_col)
     per_batch = df.groupBy(seq_col).agg(F.max(t).alias("_bmax"))
     # one row per micro-batch: a single ordered window over it is cheap
     earlier = Window.orderBy(seq_col).rowsBetween(Window.unboundedPreceding, -1)
     marks = per_batch.select(seq_col, (F.max("_bmax").over(earlier) - delay_seconds * MICROS).alias("_wm"))
+    # broadcast (checked): joining by shuffle would put a busy micro-batch in one task
+    marks = F.broadcast(marks) if fits(marks, max_batches) else marks
     return (df.join(marks, seq_col)
               .withColumn("_late", F.coalesce(t < F.col("_wm"), F.lit(False)))
               .drop("_wm"))
