@@ -5,4 +5,4 @@ ANSI SQL that computes the same result on DuckDB (when one exists).
 """
 
 from streamkit.plans.registry import ORACLE, QUERIES  # noqa: F401
-from streamkit.plans import catalog  # noqa: F401  (registers the queries)
+from streamkit.plans import ingest, event_time, joins, maintenance, generated  # noqa: F401,E402

@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from streamkit.functions.decode import split_bad
 from streamkit.operators import tables
 from streamkit.operators.windows import MICROS, late_split
-from streamkit.session import FS
 from streamkit.streaming.sinks import stream_id
 
 

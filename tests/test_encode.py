@@ -1,4 +1,3 @@
-import pandas as pd
 from pyspark.sql import functions as F
 
 from streamkit.functions.encode import assign_offsets, envelope
@@ -41,7 +40,6 @@ def test_offset_filter_spec(spark):
 
 
 def test_kafka_source_reports_missing_connector(spark):
-    import pytest
     from streamkit.sources.topic import read_topic
     try:
         df = read_topic(spark, "t", "a INT", bootstrap_servers="localhost:1")

@@ -1,6 +1,5 @@
 import random
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from streamkit.operators.joins import enrich, fits, join_interval, join_windowed

@@ -3,7 +3,6 @@ plus plan-shape checks (pushdown, pruning, join strategy, no Python UDFs)."""
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tools.oracle_check import TABLES, rows_of

@@ -1,7 +1,5 @@
 import json
 
-import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamkit.functions import schema as S

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from streamkit.operators import tables
-from streamkit.sources.topic import ENVELOPE_SCHEMA
 from streamkit.streaming import run
 from streamkit.streaming.sinks import SinkSpec, Trigger, start
 
