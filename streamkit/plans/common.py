@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from streamkit.functions import decode
 from streamkit.operators import tables
 from streamkit.plans.topics import EVENTS_PAYLOAD, EVENTS_TOPIC, events_messages, table
-from streamkit.plans.topics import flush_messages, write_replay
+from streamkit.plans.topics import flush_messages, input_bytes, replay_layout, write_replay
 from streamkit.session import work_path
 from streamkit.sources import generators as gen
 from streamkit.sources.topic import replay_topic
@@ -27,18 +27,22 @@ def decoded_events(env: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 EVENTS_SQL = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 
 
-def events_stream(spark: SparkSession, sf_dir: str, *, files: int = 4, copies: int = 1,
-                  flush_types: list[str] | None = None, max_files: int | None = None) -> DataFrame:
-    """``events`` replayed as a topic folder and read back as a decoded stream."""
+def events_stream(spark: SparkSession, sf_dir: str, *, batches: int | None = None, copies: int = 1,
+                  flush_types: list[str] | None = None) -> DataFrame:
+    """``events`` replayed as a topic folder and read back as a decoded
+    stream: one micro-batch, or ``batches`` micro-batches of equal file
+    counts.  Files are sized from the table's bytes, not fixed in number."""
     env = events_messages(spark, sf_dir)
     base = env
     for _ in range(copies - 1):
         env = env.unionByName(base)
     if flush_types is not None:
         env = env.unionByName(flush_messages(spark, flush_types))
+    files, per_batch = replay_layout(copies * input_bytes(spark, f"{sf_dir.rstrip('/')}/events.parquet"),
+                                     batches)
     path = write_replay(spark, env, "topic-events", files=files)
     st = replay_topic(spark, path, EVENTS_TOPIC, EVENTS_PAYLOAD, stream=True,
-                      max_files_per_trigger=max_files)
+                      max_files_per_trigger=per_batch)
     return decode.cast_timestamps(st, ["ts"])
 
 
@@ -57,10 +61,10 @@ def _cutoff() -> F.Column:
     return F.to_timestamp_ntz(F.lit(CUTOFF))
 
 
-def _appended_table(spark: SparkSession, sf_dir: str, name: str, files: int) -> str:
+def _appended_table(spark: SparkSession, sf_dir: str, name: str, batches: int) -> str:
     """``events`` streamed into a batch-addressable table, one micro-batch per file."""
     path = work_path(spark, name)
-    st = events_stream(spark, sf_dir, files=files, max_files=1)
+    st = events_stream(spark, sf_dir, batches=batches)
     drain(start(st, SinkSpec("table_append", path=path)))
     return path
 

@@ -127,7 +127,7 @@ def _group_aggs():
 def stream_group_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4: running aggregate per event type in update mode; every micro-batch's
     updated rows are appended as a table batch, the latest per key is the answer."""
-    st = events_stream(spark, sf_dir, max_files=1)
+    st = events_stream(spark, sf_dir, batches=4)
     agg = st.groupBy("event_type").agg(*_group_aggs())
     path = work_path(spark, "group-agg")
     drain(start(agg, SinkSpec("table_append", path=path, mode="update")))

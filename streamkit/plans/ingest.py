@@ -63,7 +63,7 @@ def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_parquet_copy", EVENTS_SQL)
 def stream_parquet_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 (replay) -> decode -> K3 parquet sink, K10 availableNow, K16 checkpoint."""
-    return run_parquet(events_stream(spark, sf_dir, max_files=1), "copy").select(*EVENT_COLS)
+    return run_parquet(events_stream(spark, sf_dir, batches=4), "copy").select(*EVENT_COLS)
 
 
 @query("align_columns", """

@@ -31,7 +31,7 @@ def merge_insert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "merge-target")
     old = table(spark, sf_dir, "events").where(F.col("ts") < _cutoff()).withColumn("value", -F.col("value"))
     tables.bootstrap(spark, path, old, EVENT_COLS)
-    st = events_stream(spark, sf_dir, files=10, max_files=1)
+    st = events_stream(spark, sf_dir, batches=10)
     drain(start(st, SinkSpec("table_merge", path=path, keys=["event_id"])))
     return tables.read(spark, path).select(*EVENT_COLS)
 
@@ -70,7 +70,7 @@ def merge_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "merge-evolve")
     old = table(spark, sf_dir, "events").where(F.col("ts") < _cutoff()).drop("props")
     tables.bootstrap(spark, path, old)
-    st = events_stream(spark, sf_dir, files=4, max_files=1)
+    st = events_stream(spark, sf_dir, batches=4)
     drain(start(st, SinkSpec("table_merge", path=path, keys=["event_id"], evolve=True)))
     return tables.read(spark, path).select(*EVENT_COLS)
 
@@ -81,7 +81,7 @@ WHERE NOT coalesce(event_type IN ('error', 'signup'), false)
 """)
 def delete_where(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M7: predicate delete that rewrites only the batches holding matches."""
-    path = _appended_table(spark, sf_dir, "delete", files=4)
+    path = _appended_table(spark, sf_dir, "delete", batches=4)
     tables.delete_where(spark, path, "event_type IN ('error', 'signup')")
     return tables.read(spark, path).select(*EVENT_COLS)
 
@@ -89,7 +89,7 @@ def delete_where(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("compact", EVENTS_SQL)
 def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M9: small-file compaction; the row set is unchanged."""
-    path = _appended_table(spark, sf_dir, "compact", files=8)
+    path = _appended_table(spark, sf_dir, "compact", batches=8)
     tables.compact(spark, path, rows_per_file=2000)
     return tables.read(spark, path).select(*EVENT_COLS)
 
@@ -98,7 +98,7 @@ def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def expire(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M6: after compaction, expiry with zero retention removes only what no
     committed batch references; the row set is unchanged."""
-    path = _appended_table(spark, sf_dir, "expire", files=4)
+    path = _appended_table(spark, sf_dir, "expire", batches=4)
     tables.compact(spark, path, rows_per_file=5000)
     tables.expire(spark, path, retention_hours=0)
     return tables.read(spark, path).select(*EVENT_COLS)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamkit.functions.encode import envelope, messages
-from streamkit.session import use_utc, work_path
+from streamkit.session import FS, use_utc, work_path
 
 # Payload schema of an ``events`` message and its topic layout.
 EVENTS_TOPIC = "events"
@@ -41,14 +41,34 @@ def events_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
                     key=F.col("event_id").cast("string"))
 
 
+# replay files are sized like Spark's input splits
+TARGET_FILE_BYTES = 128 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path`` (one summary call to the file system)."""
+    fs = FS(spark, path)
+    return int(fs.fs.getContentSummary(fs.p(path)).getLength())
+
+
 def write_replay(spark: SparkSession, env: DataFrame, name: str, *, files: int | None = None) -> str:
-    """Write envelope rows as a replay folder and return its path."""
+    """Write envelope rows as a replay folder and return its path
+    (``files`` output files when given, else one per input split)."""
     path = work_path(spark, name)
     out = env.repartition(files) if files else env
     out.write.parquet(path)
     return path
 
 
+def replay_layout(size_bytes: int, batches: int | None) -> tuple[int, int | None]:
+    """(files to write, files per micro-batch) so that each file is about
+    ``TARGET_FILE_BYTES`` and a stream with ``maxFilesPerTrigger`` set to the
+    second number runs ``batches`` micro-batches (None: one micro-batch)."""
+    n = max(1, batches or 1)
+    per_batch = max(1, -(-size_bytes // (n * TARGET_FILE_BYTES)))
+    return n * per_batch, (per_batch if batches else None)
+
+
 # A marker dated far after any real event; fed with the data
 # it moves the watermark past every real window (append mode then emits
 # them all), and its own window is never emitted.

@@ -59,3 +59,13 @@ def test_replay_topic_stream_with_start_offsets(spark, tmp_path):
     q = st.writeStream.format("memory").queryName("replay_off").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.sql("select count(*) c from replay_off").first().c == 1000 - 5
+
+
+def test_replay_layout_sizes_files_by_bytes():
+    from streamkit.plans.topics import TARGET_FILE_BYTES, replay_layout
+    assert replay_layout(10, None) == (1, None)
+    assert replay_layout(10, 4) == (4, 1)
+    files, per_batch = replay_layout(100 * TARGET_FILE_BYTES, 10)     # ~100 splits, 10 micro-batches
+    assert (files, per_batch) == (100, 10)
+    files, per_batch = replay_layout(10**14, None)                        # 100 TB, one micro-batch
+    assert per_batch is None and files == -(-10**14 // TARGET_FILE_BYTES)
