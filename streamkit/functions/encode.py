@@ -46,7 +46,9 @@ def assign_offsets(df: DataFrame, partition_col: str, order_cols: list[str], *,
 
     Equivalent to ``row_number() OVER (PARTITION BY p ORDER BY ...) - 1`` but
     spread over ``slices`` range partitions instead of one task per topic
-    partition, so a hot partition is split like any other.
+    partition, so a hot partition is split like any other.  Size ``slices``
+    to the data (about one per 128 MB); the default is the session's
+    shuffle partition count.
     """
     spark = df.sparkSession
     shared_dir(spark)

@@ -37,8 +37,10 @@ def events_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a topic: partition = user_id mod 4, offsets by (ts, event_id)."""
     ev = table(spark, sf_dir, "events")
+    size = input_bytes(spark, f"{sf_dir.rstrip('/')}/events.parquet")
     return envelope(ev, EVENTS_TOPIC, partition=events_partition(), order_cols=["ts", "event_id"],
-                    key=F.col("event_id").cast("string"))
+                    key=F.col("event_id").cast("string"),
+                    slices=max(EVENTS_PARTITIONS, -(-size // TARGET_FILE_BYTES)))
 
 
 # replay files are sized like Spark's input splits
