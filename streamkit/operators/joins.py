@@ -35,6 +35,11 @@ def join_windowed(left: DataFrame, right: DataFrame, *, left_time: str, right_ti
     return flatten_window(la.join(ra, ["_w", *keys], how), _is_ntz(left, left_time))
 
 
+def _floor_div(x: Column, d: int) -> Column:
+    """Exact floor(x / d) for BIGINT x (no floating point near bucket edges)."""
+    return ((x - F.pmod(x, F.lit(d))) / F.lit(d)).cast("bigint")
+
+
 def join_interval(left: DataFrame, right: DataFrame, *, keys: list[str], left_time: str,
                   right_time: str, lower_seconds: int, upper_seconds: int,
                   how: str = "inner", delay: str | None = None,
@@ -70,9 +75,9 @@ def join_interval(left: DataFrame, right: DataFrame, *, keys: list[str], left_ti
     if bucketed:
         lt = F.unix_micros(F.col(lname).cast("timestamp"))
         rt = F.unix_micros(F.col(rname).cast("timestamp"))
-        lsel = lsel.withColumn("_bucket", F.explode(F.sequence(F.floor((lt + lo_us) / w_us),
-                                                               F.floor((lt + hi_us) / w_us))))
-        rsel = rsel.withColumn("_bucket", F.floor(rt / w_us))
+        lsel = lsel.withColumn("_bucket", F.explode(F.sequence(_floor_div(lt + lo_us, w_us),
+                                                               _floor_div(lt + hi_us, w_us))))
+        rsel = rsel.withColumn("_bucket", _floor_div(rt, w_us))
     L, R = lsel.alias("L"), rsel.alias("R")
     cond = F.lit(True)
     for k in keys + (["_bucket"] if bucketed else []):

@@ -56,3 +56,19 @@ def test_join_windowed_batch(spark):
                       size="5 minutes", left_aggs=[F.count(F.lit(1)).alias("n")],
                       right_aggs=[F.min("v").alias("mn")]).collect()
     assert [(str(r.window_start)[11:16], r.n, r.mn) for r in j] == [("00:00", 1, 2.0)]
+
+
+def test_interval_join_exact_at_bucket_edges(spark):
+    # rows one microsecond either side of bucket edges and exactly on them
+    w = 3600 * 1_000_000
+    base = 1_735_689_600 * 1_000_000          # 2025-01-01 00:00:00
+    lt = [base + w - 1, base + w, base + 2 * w - 1]
+    rt = [base + w - 1, base + w, base + 2 * w - 1, base + 2 * w, base + 3 * w - 1]
+    left = spark.createDataFrame([(i, 1, t) for i, t in enumerate(lt)], "id long, u long, t long") \
+        .withColumn("ts", F.timestamp_micros("t")).drop("t")
+    right = spark.createDataFrame([(i, 1, t) for i, t in enumerate(rt)], "id long, u long, t long") \
+        .withColumn("ts", F.timestamp_micros("t")).drop("t")
+    got = join_interval(left, right, keys=["u"], left_time="ts", right_time="ts",
+                        lower_seconds=0, upper_seconds=3600).select("l_id", "r_id").collect()
+    want = sorted((i, j) for i, a in enumerate(lt) for j, b in enumerate(rt) if a <= b <= a + w)
+    assert sorted((r.l_id, r.r_id) for r in got) == want
