@@ -46,11 +46,25 @@ def events_stream(spark: SparkSession, sf_dir: str, *, batches: int | None = Non
     return decode.cast_timestamps(st, ["ts"])
 
 
-def run_parquet(df: DataFrame, name: str) -> DataFrame:
-    """Run a stream to completion into a parquet folder and read it back."""
+# input bytes per state partition of a new stateful query
+STATE_BYTES = 64 * 1024 * 1024
+
+
+def state_partitions(spark: SparkSession, sf_dir: str, table_name: str = "events") -> int:
+    """State partitions for a new stateful query over ``table_name``: one per
+    ``STATE_BYTES`` of input, at most two per core of the cluster (the count
+    is frozen into the checkpoint at the first start)."""
+    size = input_bytes(spark, f"{sf_dir.rstrip('/')}/{table_name}.parquet")
+    return max(1, min(2 * spark.sparkContext.defaultParallelism, -(-size // STATE_BYTES)))
+
+
+def run_parquet(df: DataFrame, name: str, *, partitions: int | None = None) -> DataFrame:
+    """Run a stream to completion into a parquet folder and read it back;
+    ``partitions`` sets the state partitions of a stateful query."""
     spark = df.sparkSession
     out = work_path(spark, name)
-    drain(start(df, SinkSpec("parquet", name=None, path=out, trigger=Trigger.available_now())))
+    drain(start(df, SinkSpec("parquet", path=out, trigger=Trigger.available_now(),
+                             state_partitions=partitions)))
     return spark.read.parquet(out)
 
 

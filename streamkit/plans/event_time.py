@@ -9,7 +9,7 @@ from streamkit.operators import tables
 from streamkit.operators.dedupe import dedupe
 from streamkit.operators.windows import late_by_sequence, session_agg, sessions
 from streamkit.operators.windows import window_agg
-from streamkit.plans.common import EVENT_COLS, decoded_events, EVENTS_SQL, events_stream, run_parquet, TUMBLING_SQL
+from streamkit.plans.common import state_partitions, EVENT_COLS, decoded_events, EVENTS_SQL, events_stream, run_parquet, TUMBLING_SQL
 from streamkit.plans.registry import query
 from streamkit.plans.topics import FLUSH_TS
 from streamkit.plans.topics import events_messages, table
@@ -42,7 +42,7 @@ def tumbling_15m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = events_stream(spark, sf_dir, flush_types=[None])
     agg = window_agg(st, "ts", "15 minutes", [F.max("value").alias("max_value"),
                                               F.count(F.lit(1)).alias("events")], delay="2 minutes")
-    out = run_parquet(agg, "tumbling")
+    out = run_parquet(agg, "tumbling", partitions=state_partitions(spark, sf_dir))
     return out.where(F.col("window_start") < F.to_timestamp_ntz(F.lit(FLUSH_TS)))
 
 
@@ -90,7 +90,7 @@ def session_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     agg = session_agg(st, "ts", "30 minutes", [F.count(F.lit(1)).alias("events"),
                                                F.max("value").alias("max_value")],
                       keys=["user_id"], delay="2 minutes")
-    out = run_parquet(agg, "sessions")
+    out = run_parquet(agg, "sessions", partitions=state_partitions(spark, sf_dir))
     return out.where(F.col("user_id").isNotNull()).select("user_id", "window_start", "window_end",
                                                           "events", "max_value")
 
@@ -99,7 +99,8 @@ def session_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedupe_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event delivered twice; streaming de-duplication within a 10-minute watermark."""
     st = events_stream(spark, sf_dir, copies=2)
-    return run_parquet(dedupe(st, ["event_id"], time_col="ts", delay="10 minutes"), "dedupe") \
+    return run_parquet(dedupe(st, ["event_id"], time_col="ts", delay="10 minutes"), "dedupe",
+                       partitions=state_partitions(spark, sf_dir)) \
         .select(*EVENT_COLS)
 
 
@@ -130,7 +131,8 @@ def stream_group_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = events_stream(spark, sf_dir, batches=4)
     agg = st.groupBy("event_type").agg(*_group_aggs())
     path = work_path(spark, "group-agg")
-    drain(start(agg, SinkSpec("table_append", path=path, mode="update")))
+    drain(start(agg, SinkSpec("table_append", path=path, mode="update",
+                              state_partitions=state_partitions(spark, sf_dir))))
     return tables.latest_by_key(tables.read(spark, path), ["event_type"]) \
         .select("event_type", "events", "total_value", "last_ts")
 

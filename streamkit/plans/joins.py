@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from streamkit.functions import decode
 from streamkit.operators.joins import enrich, join_interval, join_windowed
-from streamkit.plans.common import events_stream, run_parquet, _h, _TS0, _trip_sql
+from streamkit.plans.common import state_partitions, events_stream, run_parquet, _h, _TS0, _trip_sql
 from streamkit.plans.registry import query
 from streamkit.plans.topics import FLUSH_TS
 from streamkit.plans.topics import table
@@ -31,7 +31,7 @@ def window_join_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
                            left_time="ts", right_time="ts", size="5 minutes",
                            left_aggs=[F.count(F.lit(1)).alias("clicks")],
                            right_aggs=[F.min("value").alias("min_view_value")], delay="2 minutes")
-    out = run_parquet(joined, "window-join")
+    out = run_parquet(joined, "window-join", partitions=state_partitions(spark, sf_dir))
     return out.where(F.col("window_start") < F.to_timestamp_ntz(F.lit(FLUSH_TS)))
 
 
@@ -87,7 +87,8 @@ def interval_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = join_interval(st.where(F.col("event_type") == "signup"), st.where(F.col("event_type") == "purchase"),
                       keys=["user_id"], left_time="ts", right_time="ts",
                       lower_seconds=0, upper_seconds=12 * 3600, delay="2 minutes")
-    return run_parquet(j.select("user_id", "l_event_id", "l_ts", "r_event_id", "r_ts"), "interval-join")
+    return run_parquet(j.select("user_id", "l_event_id", "l_ts", "r_event_id", "r_ts"), "interval-join",
+                       partitions=state_partitions(spark, sf_dir))
 
 
 ENRICH_SQL = """
@@ -166,5 +167,6 @@ def drops_vs_temperature_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("record_datetime", F.to_timestamp_ntz(F.lit(FLUSH_TS))).write.parquet(f"{marks}/temps")
     trips = trips.unionByName(spark.readStream.schema(trips.schema).parquet(f"{marks}/trips"))
     temps = temps.unionByName(spark.readStream.schema(temps.schema).parquet(f"{marks}/temps"))
-    out = run_parquet(_drops_vs_temperature(trips, temps, "2 minutes"), "drops-temperature")
+    out = run_parquet(_drops_vs_temperature(trips, temps, "2 minutes"), "drops-temperature",
+                      partitions=state_partitions(spark, sf_dir))
     return out.where(F.col("window_start") < F.to_timestamp_ntz(F.lit(FLUSH_TS)))
