@@ -2,9 +2,10 @@
 
 * ``late_router`` -- rows older than the watermark go to a side table
   instead of being silently dropped.  The watermark is Spark's rule (max
-  event time of all earlier micro-batches minus the delay), kept in a small
-  state table with one row per micro-batch, so a replayed micro-batch sees
-  the same watermark it saw the first time.
+  event time of all earlier micro-batches minus the delay), kept as a
+  running max in a small state table; only the last two micro-batches'
+  entries are kept, so a replayed micro-batch sees the same watermark it saw
+  the first time and the state never grows.
 * ``quarantine_router`` -- decoded rows to one table, undecodable messages
   to another.
 
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from streamkit.functions.decode import split_bad
 from streamkit.operators import tables
 from streamkit.operators.windows import MICROS, late_split
+from streamkit.session import FS
 from streamkit.streaming.sinks import stream_id
 
 
@@ -35,6 +37,16 @@ def _watermark_before(batch: DataFrame, state_path: str, sid: str, epoch: int) -
     return None if row is None or row[0] is None else int(row[0])
 
 
+def _forget_before(spark, state_path: str, sid: str, keep_from: int) -> None:
+    """Drop state entries older than ``keep_from``: each entry holds the
+    running max, and a replay only ever needs the entry before its epoch."""
+    fs = FS(spark, state_path)
+    for name, is_dir, _, _ in fs.list(f"{state_path}/{tables.STREAM_COL}={sid}"):
+        base = name.rsplit("/", 1)[-1]
+        if is_dir and base.startswith(f"{tables.BATCH_COL}=") and int(base.split("=", 1)[1]) < keep_from:
+            fs.delete(name)
+
+
 def late_router(main_path: str, late_path: str, state_path: str, *, time_col: str,
                 delay_seconds: int) -> Callable[[DataFrame, int], None]:
     qid = stream_id()
@@ -53,6 +65,7 @@ def late_router(main_path: str, late_path: str, state_path: str, *, time_col: st
             spark = batch.sparkSession
             state = spark.createDataFrame([(running,)], "max_event_us bigint")
             tables.write_batch(state, state_path, sid, epoch_id)
+            _forget_before(spark, state_path, sid, epoch_id - 1)
         finally:
             batch.unpersist()
     return run

@@ -99,3 +99,13 @@ def test_sliding_and_tumbling_shapes(spark):
         or len(slid) == 3
     tum = window_agg(df, "ts", "15 minutes", [F.count(F.lit(1)).alias("n")]).collect()
     assert len(tum) == 1 and str(tum[0].window_start) == "2025-01-01 00:00:00"
+
+
+def test_late_router_state_stays_small(spark, tmp):
+    d = _files(tmp)
+    state = f"{tmp}/state"
+    run.drain(start(_stream(spark, d), SinkSpec("foreach_batch", fn=late_router(
+        f"{tmp}/main", f"{tmp}/late", state, time_col="ts", delay_seconds=120))))
+    sids = [p for p in os.listdir(state) if p.startswith("stream_id=")]
+    assert len(sids) == 1
+    assert sorted(os.listdir(f"{state}/{sids[0]}")) == ["batch_id=4", "batch_id=5"]
