@@ -131,13 +131,26 @@ def keys_from_text(text: str) -> list[str]:
 
 # ---------------------------------------------------------------- writes
 
+def _record_schema(spark: SparkSession, path: str, rows: T.StructType, evolve: bool) -> None:
+    """First write records the schema; later writes may only add columns
+    with ``evolve`` (the recorded schema is widened), never silently."""
+    stored = stored_schema(spark, path)
+    if stored is None:
+        save_schema(spark, path, rows)
+        return
+    extra = [f.name for f in rows.fields if f.name not in stored.fieldNames()]
+    if extra and not evolve:
+        raise ValueError(f"columns {extra} are not in the table; pass evolve=True to add them")
+    if extra:
+        save_schema(spark, path, widen(stored, rows))
+
+
 def write_batch(df: DataFrame, path: str, stream_id: str, batch_id: int, *,
-                rows_per_file: int | None = None) -> None:
+                rows_per_file: int | None = None, evolve: bool = False) -> None:
     """Write ``df`` as batch (stream_id, batch_id), replacing that batch if present."""
     spark = df.sparkSession
     rows = df.drop(*[c for c in LAYOUT_COLS if c in df.columns])
-    if stored_schema(spark, path) is None:
-        save_schema(spark, path, rows.schema)
+    _record_schema(spark, path, rows.schema, evolve)
     out = (rows.withColumn(STREAM_COL, F.lit(str(stream_id)))
                .withColumn(BATCH_COL, F.lit(int(batch_id)).cast("bigint")))
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -146,13 +159,13 @@ def write_batch(df: DataFrame, path: str, stream_id: str, batch_id: int, *,
     w.partitionBy(*LAYOUT_COLS).parquet(path)
 
 
-def write_batches(df: DataFrame, path: str, stream_id: str, batch_col: str) -> None:
+def write_batches(df: DataFrame, path: str, stream_id: str, batch_col: str, *,
+                  evolve: bool = False) -> None:
     """Write many batches in one job (one scan): ``batch_col`` holds each
     row's batch number; every batch present is replaced."""
     spark = df.sparkSession
     rows = df.drop(*[c for c in LAYOUT_COLS if c in df.columns])
-    if stored_schema(spark, path) is None:
-        save_schema(spark, path, rows.drop(batch_col).schema)
+    _record_schema(spark, path, rows.drop(batch_col).schema, evolve)
     (rows.withColumn(STREAM_COL, F.lit(str(stream_id)))
          .withColumn(BATCH_COL, F.col(batch_col).cast("bigint"))
          .drop(batch_col)
@@ -165,7 +178,8 @@ def overwrite(df: DataFrame, path: str) -> None:
     rows = df.drop(*[c for c in LAYOUT_COLS if c in df.columns])
     (rows.withColumn(STREAM_COL, F.lit(BOOTSTRAP_STREAM))
          .withColumn(BATCH_COL, F.lit(0).cast("bigint"))
-         .write.mode("overwrite").partitionBy(*LAYOUT_COLS).parquet(path))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(*LAYOUT_COLS).parquet(path))
     save_schema(df.sparkSession, path, rows.schema)
 
 

@@ -136,11 +136,11 @@ def stream_id() -> Callable[[DataFrame], str]:
     return get
 
 
-def _append_fn(path: str) -> Callable[[DataFrame, int], None]:
+def _append_fn(path: str, evolve: bool) -> Callable[[DataFrame, int], None]:
     qid = stream_id()
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        tables.write_batch(batch, path, qid(batch), epoch_id)
+        tables.write_batch(batch, path, qid(batch), epoch_id, evolve=evolve)
     return run
 
 
@@ -214,7 +214,7 @@ def _start(df: DataFrame, spec: SinkSpec) -> StreamingQuery:
     if spec.kind == "kafka":
         return w.format("kafka").outputMode(spec.mode).start()
     if spec.kind == "table_append":
-        return w.outputMode(spec.mode).foreachBatch(_append_fn(spec.path)).start()
+        return w.outputMode(spec.mode).foreachBatch(_append_fn(spec.path, spec.evolve)).start()
     if spec.kind == "table_merge":
         return w.outputMode(spec.mode).foreachBatch(_merge_fn(spec)).start()
     return w.outputMode(spec.mode).foreachBatch(spec.fn).start()

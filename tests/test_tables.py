@@ -133,3 +133,25 @@ def test_bootstrap_history_register_latest(spark, tmp):
     assert [(r.batch_id, r.rows) for r in h] == [(0, 1), (1, 1)]
     latest = tables.latest_by_key(tables.read(spark, f"{tmp}/v"), ["id"]).collect()
     assert [(r.id, r.x) for r in latest] == [(1, 11)]
+
+
+def test_append_rejects_unknown_columns_unless_evolving(spark, tmp):
+    path = f"{tmp}/t"
+    tables.write_batch(spark.createDataFrame([(1,)], "k int"), path, "s", 0)
+    wider = spark.createDataFrame([(2, "x")], "k int, extra string")
+    with pytest.raises(ValueError):
+        tables.write_batch(wider, path, "s", 1)
+    tables.write_batch(wider, path, "s", 1, evolve=True)
+    got = sorted((r.k, r.extra) for r in tables.read(spark, path).collect())
+    assert got == [(1, None), (2, "x")]
+
+
+def test_overwrite_replaces_every_batch_even_in_dynamic_sessions(spark, tmp):
+    path = f"{tmp}/t"
+    tables.write_batch(spark.createDataFrame([(1,)], "k int"), path, "s", 3)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        tables.overwrite(spark.createDataFrame([(9,)], "k int"), path)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [r.k for r in tables.read(spark, path).collect()] == [9]
