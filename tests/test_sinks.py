@@ -176,3 +176,25 @@ def test_crash_after_write_then_restart_leaves_table_exact(spark, tmp):
     run.drain(start(st, spec))
     got = sorted(((r.k if r.k is not None else -1), r.v) for r in tables.read(spark, out).collect())
     assert got == [(-1, "n"), (1, "old"), (2, "b"), (3, "c"), (4, "d")]
+
+
+def test_schema_evolution_stop_widen_restart(spark, tmp):
+    """A running query's schema is fixed: stop it, widen the read schema,
+    restart from the same checkpoint; the table gains the column."""
+    import json as _json
+    src, out, ck = f"{tmp}/in", f"{tmp}/t", f"{tmp}/ck"
+    os.makedirs(src)
+    with open(f"{src}/a.json", "w") as fh:
+        fh.write(_json.dumps({"k": 1}) + "\n")
+    v1 = spark.readStream.schema("k bigint").json(src)
+    run.drain(start(v1, SinkSpec("table_append", path=out, checkpoint=ck)))
+    with open(f"{src}/b.json", "w") as fh:
+        fh.write(_json.dumps({"k": 2, "note": "new"}) + "\n")
+    from streamkit.functions.schema import widen
+    from pyspark.sql import types as T
+    v2 = spark.readStream.schema(widen(T.StructType.fromDDL("k bigint"), T.StructType.fromDDL("note string"))).json(src)
+    with pytest.raises(Exception):
+        run.drain(start(v2, SinkSpec("table_append", path=out, checkpoint=ck)))   # not allowed silently
+    run.drain(start(v2, SinkSpec("table_append", path=out, checkpoint=ck, evolve=True)))
+    got = sorted((r.k, r.note) for r in tables.read(spark, out).collect())
+    assert got == [(1, None), (2, "new")]
