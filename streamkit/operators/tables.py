@@ -59,12 +59,29 @@ def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
     return T.StructType.fromJson(json.loads(fs.read_text(f)))
 
 
-def save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    rows = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields
-                         if f.name not in LAYOUT_COLS])
+PARTITION_FLAG = "streamkit.partition"
+
+
+def save_schema(spark: SparkSession, path: str, schema: T.StructType,
+                partition_by: Iterable[str] = ()) -> None:
+    """Record the row schema; ``partition_by`` columns are flagged in the
+    field metadata (they become folders below each batch)."""
+    flagged = set(partition_by)
+    rows = T.StructType([T.StructField(f.name, f.dataType, True,
+                                       {**(f.metadata or {}), **({PARTITION_FLAG: True} if f.name in flagged else {})})
+                         for f in schema.fields if f.name not in LAYOUT_COLS])
     FS(spark, path).write_text(f"{path.rstrip('/')}/{SCHEMA_FILE}", rows.json())
 
 
+def partition_cols(schema: T.StructType | None) -> list[str]:
+    """Data columns the table is partitioned by below each batch folder."""
+    return [f.name for f in (schema.fields if schema else []) if (f.metadata or {}).get(PARTITION_FLAG)]
+
+
+def _parts(spark: SparkSession, path: str) -> list[str]:
+    return LAYOUT_COLS + partition_cols(stored_schema(spark, path))
+
+
 def _with_layout(schema: T.StructType) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(STREAM_COL, T.StringType()),
                                               T.StructField(BATCH_COL, T.LongType())])
@@ -142,7 +159,7 @@ def _record_schema(spark: SparkSession, path: str, rows: T.StructType, evolve: b
     if extra and not evolve:
         raise ValueError(f"columns {extra} are not in the table; pass evolve=True to add them")
     if extra:
-        save_schema(spark, path, widen(stored, rows))
+        save_schema(spark, path, widen(stored, rows), partition_cols(stored))
 
 
 def write_batch(df: DataFrame, path: str, stream_id: str, batch_id: int, *,
@@ -156,7 +173,7 @@ def write_batch(df: DataFrame, path: str, stream_id: str, batch_id: int, *,
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if rows_per_file:
         w = w.option("maxRecordsPerFile", rows_per_file)
-    w.partitionBy(*LAYOUT_COLS).parquet(path)
+    w.partitionBy(*_parts(spark, path)).parquet(path)
 
 
 def write_batches(df: DataFrame, path: str, stream_id: str, batch_col: str, *,
@@ -170,21 +187,31 @@ def write_batches(df: DataFrame, path: str, stream_id: str, batch_col: str, *,
          .withColumn(BATCH_COL, F.col(batch_col).cast("bigint"))
          .drop(batch_col)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*LAYOUT_COLS).parquet(path))
+         .partitionBy(*_parts(spark, path)).parquet(path))
+
 
+def overwrite(df: DataFrame, path: str, *, partition_by: Iterable[str] = ()) -> None:
+    """Replace the whole table by ``df`` (one bootstrap batch).
 
-def overwrite(df: DataFrame, path: str) -> None:
-    """Replace the whole table by ``df`` (one bootstrap batch)."""
+    ``partition_by`` names data columns (an event date, say) stored as
+    folders below each batch, so a merge or a query that filters on them
+    reads only the matching folders (partition pruning).
+    """
+    partition_by = list(partition_by)
+    missing = [c for c in partition_by if c not in df.columns]
+    if missing:
+        raise ValueError(f"partition columns {missing} not in {df.columns}")
     rows = df.drop(*[c for c in LAYOUT_COLS if c in df.columns])
     (rows.withColumn(STREAM_COL, F.lit(BOOTSTRAP_STREAM))
          .withColumn(BATCH_COL, F.lit(0).cast("bigint"))
          .write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy(*LAYOUT_COLS).parquet(path))
-    save_schema(df.sparkSession, path, rows.schema)
+         .partitionBy(*LAYOUT_COLS, *partition_by).parquet(path))
+    save_schema(df.sparkSession, path, rows.schema, partition_by)
 
 
 def bootstrap(spark: SparkSession, path: str, source: DataFrame,
-              columns: list[str] | None = None, *, view: str | None = None) -> bool:
+              columns: list[str] | None = None, *, view: str | None = None,
+              partition_by: Iterable[str] = ()) -> bool:
     """Create the table from ``source`` (projected to ``columns``) if absent.
 
     Returns True when it was created.  Missing columns fail before anything
@@ -197,7 +224,7 @@ def bootstrap(spark: SparkSession, path: str, source: DataFrame,
             if missing:
                 raise ValueError(f"source lacks columns {missing}")
             source = source.select(*columns)
-        overwrite(source, path)
+        overwrite(source, path, partition_by=partition_by)
         created = True
     if view:
         register(spark, path, view)
@@ -271,6 +298,34 @@ def new_rows(batch: DataFrame, target: DataFrame | None, keys: list[str], *,
                                  "left_anti")
 
 
+# list a batch's partition values in the target filter up to this many
+MAX_PRUNE_VALUES = 10_000
+
+
+def _prune_partitions(batch: DataFrame, target: DataFrame, pcols: list[str]) -> DataFrame:
+    """Keep only target folders whose partition values occur in the batch
+    (a literal IN list, so Spark prunes folders before reading).  A batch
+    with more distinct values than ``MAX_PRUNE_VALUES`` reads them all."""
+    if not pcols:
+        return target
+    values = batch.select(*pcols).distinct().limit(MAX_PRUNE_VALUES + 1).collect()
+    if len(values) > MAX_PRUNE_VALUES:
+        return target
+    if len(pcols) == 1:
+        present = [r[0] for r in values if r[0] is not None]
+        cond = F.col(pcols[0]).isin(present)
+        if any(r[0] is None for r in values):
+            cond = cond | F.col(pcols[0]).isNull()
+        return target.where(cond)
+    cond = F.lit(False)
+    for r in values:
+        one = F.lit(True)
+        for c in pcols:
+            one = one & F.col(c).eqNullSafe(F.lit(r[c]))
+        cond = cond | one
+    return target.where(cond)
+
+
 def _typed_lit(v, dt: T.DataType) -> Column:
     if isinstance(dt, T.TimestampNTZType):   # wall clock: no time-zone round trip
         return F.lit(v.isoformat(" ")).cast(dt)
@@ -305,9 +360,10 @@ def merge_insert(batch: DataFrame, path: str, keys: list[str], *, stream_id: str
         if evolve:
             wider = widen(tschema, batch.schema)
             if wider != tschema:
-                save_schema(spark, path, wider)
+                save_schema(spark, path, wider, partition_cols(tschema))
             tschema = wider
         batch = align(batch, tschema)
+        target = _prune_partitions(batch, target, partition_cols(tschema))
     rows = new_rows(batch, target, keys, dedupe_source=dedupe_source, null_safe=null_safe,
                     broadcast_keys=broadcast_keys)
     write_batch(rows, path, stream_id, batch_id)
@@ -332,13 +388,17 @@ def read_batches(spark: SparkSession, path: str, batches: Iterable[tuple[str, in
              .withColumn(BATCH_COL, F.col(BATCH_COL).cast("bigint"))
 
 
+def _folder(file_path: Column) -> Column:
+    return F.regexp_extract(file_path, r"^(.*)/[^/]*$", 1)
+
+
 def delete_where(spark: SparkSession, path: str, predicate: str | Column) -> int:
     """Delete rows matching ``predicate`` (SQL text or Column).
 
     Rows where the predicate is NULL are kept.  Only batches that hold a
-    matching row are read (by folder) and rewritten; a batch left empty is
-    removed.  Re-running after a failure finishes the job.  Returns the
-    number of rewritten batches.
+    matching row are read (by folder) and rewritten; a partition folder left
+    empty is removed.  Re-running after a failure finishes the job.
+    Returns the number of rewritten batches.
     """
     hit = F.coalesce(_predicate(predicate), F.lit(False))
     # the list of touched batches is table metadata (one row per batch)
@@ -346,14 +406,18 @@ def delete_where(spark: SparkSession, path: str, predicate: str | Column) -> int
                read(spark, path).where(hit).select(*LAYOUT_COLS).distinct().collect()]
     if not touched:
         return 0
-    kept = read_batches(spark, path, touched).where(~hit)
-    survivors = {(r[STREAM_COL], r[BATCH_COL]) for r in kept.select(*LAYOUT_COLS).distinct().collect()}
-    (kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*LAYOUT_COLS).parquet(path))
+    affected = read_batches(spark, path, touched)
+    # folders of the files that hold deleted rows, and of those that keep some
+    folders = (affected.select(_folder(F.col("_metadata.file_path")).alias("_dir"),
+                               hit.alias("_hit"))
+                       .groupBy("_dir").agg(F.min(F.col("_hit").cast("int")).alias("_all_hit"))
+                       .where(F.col("_all_hit") == 1).select("_dir"))
+    emptied = [r["_dir"] for r in folders.collect()]
+    (affected.where(~hit).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*_parts(spark, path)).parquet(path))
     fs = FS(spark, path)
-    for key in touched:
-        if key not in survivors:
-            fs.delete(f"{path}/{STREAM_COL}={key[0]}/{BATCH_COL}={key[1]}")
+    for d in emptied:
+        fs.delete(d)
     return len(touched)
 
 
@@ -375,8 +439,9 @@ def compact(spark: SparkSession, path: str, *, rows_per_file: int = 1_000_000,
     from streamkit.operators.joins import fits
 
     t = read_batches(spark, path, batches) if batches is not None else read(spark, path)
+    parts_cols = _parts(spark, path)
     data_cols = [c for c in t.columns if c not in LAYOUT_COLS]
-    counts = (t.groupBy(*LAYOUT_COLS).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = (t.groupBy(*parts_cols).agg(F.count(F.lit(1)).alias("_rows"))
                .withColumn("_files", F.greatest(F.lit(1), F.ceil(F.col("_rows") / rows_per_file)).cast("bigint")))
     totals = counts.agg(F.sum("_files").alias("files"), F.max("_files").alias("widest"),
                         F.count(F.lit(1)).alias("batches")).first()
@@ -385,15 +450,17 @@ def compact(spark: SparkSession, path: str, *, rows_per_file: int = 1_000_000,
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in data_cols])
     if fits(counts, MAX_BROADCAST_BATCHES):
         parts = int(totals["files"])
-        salted = (t.join(F.broadcast(counts.select(*LAYOUT_COLS, "_files")), LAYOUT_COLS)
+        salted = (t.alias("t").join(F.broadcast(counts.select(*parts_cols, "_files")).alias("c"),
+                                    _key_condition("t", "c", parts_cols, True))
+                   .select("t.*", "c._files")
                    .withColumn("_salt", F.pmod(row_hash, F.col("_files"))).drop("_files"))
     else:
         parts = int(totals["batches"]) * int(totals["widest"])
         salted = t.withColumn("_salt", F.pmod(row_hash, F.lit(int(totals["widest"]))))
-    out = salted.repartitionByRange(parts, *LAYOUT_COLS, "_salt").drop("_salt")
+    out = salted.repartitionByRange(parts, *parts_cols, "_salt").drop("_salt")
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)
-        .partitionBy(*LAYOUT_COLS).parquet(path))
+        .partitionBy(*parts_cols).parquet(path))
     return parts
 
 
@@ -414,38 +481,31 @@ def expire(spark: SparkSession, path: str, *, retention_hours: float = 168.0,
     cutoff_ms = int((time.time() - retention_hours * 3600.0) * 1000)
     removed: list[str] = []
 
-    def old(mtime: int) -> bool:
-        return mtime <= cutoff_ms
-
-    for name, is_dir, _, mtime in fs.list(path):
-        base = name.rsplit("/", 1)[-1]
-        if base in ("_SUCCESS", SCHEMA_FILE):
-            continue
-        if base.startswith(f"{STREAM_COL}=") and is_dir:
-            for bname, bdir, _, bm in fs.list(name):
-                bbase = bname.rsplit("/", 1)[-1]
-                if bdir and bbase.startswith(f"{BATCH_COL}="):
-                    files = fs.list(bname)
-                    if not any(f.endswith(".parquet") for f, d, _, _ in files) and old(bm):
-                        fs.delete(bname)
-                        removed.append(bname)
-                    else:
-                        for f, d, _, fm in files:
-                            fb = f.rsplit("/", 1)[-1]
-                            if (d or fb.startswith((".", "_"))) and not fb.endswith(".crc") and old(fm):
-                                fs.delete(f)
-                                removed.append(f)
-                elif old(bm):
-                    fs.delete(bname)
-                    removed.append(bname)
-            if not fs.list(name):
-                fs.delete(name)
-                removed.append(name)
-        elif (base.startswith(("_temporary", ".spark-staging", "_staging")) or not is_dir) and old(mtime):
-            if base.endswith(".crc"):
+    def remove(p: str, mtime: int) -> None:
+        if mtime <= cutoff_ms:
+            fs.delete(p)
+            removed.append(p)
+
+    def sweep(folder: str) -> bool:
+        """Clean one folder level by level; True if it still holds data."""
+        has_data = False
+        for name, is_dir, _, mtime in fs.list(folder):
+            base = name.rsplit("/", 1)[-1]
+            if base in ("_SUCCESS", SCHEMA_FILE) or base.endswith(".crc"):
                 continue
-            fs.delete(name)
-            removed.append(name)
+            hidden = base.startswith((".", "_"))
+            if is_dir and "=" in base and not hidden:        # stream, batch or partition folder
+                if sweep(name):
+                    has_data = True
+                else:
+                    remove(name, mtime)
+            elif not is_dir and base.endswith(".parquet") and not hidden:
+                has_data = True
+            else:                                             # staging left by failed jobs, strays
+                remove(name, mtime)
+        return has_data
+
+    sweep(path)
     return removed
 
 

@@ -36,6 +36,25 @@ def merge_insert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read(spark, path).select(*EVENT_COLS)
 
 
+@query("merge_insert_by_day", f"""
+SELECT event_id, ts, user_id, event_type,
+       CASE WHEN ts < TIMESTAMP '{CUTOFF}' THEN -value ELSE value END AS value, props,
+       CAST(ts AS DATE) AS event_date
+FROM events
+""")
+def merge_insert_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 on a target partitioned by event date below each batch: every
+    micro-batch reads only the target folders of the days it carries (the
+    event date is a function of the event, so a key never changes day)."""
+    path = work_path(spark, "merge-by-day")
+    ev = table(spark, sf_dir, "events").withColumn("event_date", F.to_date("ts"))
+    old = ev.where(F.col("ts") < _cutoff()).withColumn("value", -F.col("value"))
+    tables.bootstrap(spark, path, old, EVENT_COLS + ["event_date"], partition_by=["event_date"])
+    st = events_stream(spark, sf_dir, batches=10).withColumn("event_date", F.to_date("ts"))
+    drain(start(st, SinkSpec("table_merge", path=path, keys=["event_id"])))
+    return tables.read(spark, path).select(*EVENT_COLS, "event_date")
+
+
 @query("merge_dedupe_keys", """
 WITH t AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-03 00:00:00'),
 s AS (SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY user_id, event_type)

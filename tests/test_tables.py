@@ -155,3 +155,38 @@ def test_overwrite_replaces_every_batch_even_in_dynamic_sessions(spark, tmp):
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     assert [r.k for r in tables.read(spark, path).collect()] == [9]
+
+
+def _dated(spark, lo, hi):
+    return spark.range(lo, hi).select(F.col("id").alias("k"),
+                                      F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 5).cast("int"))
+                                      .alias("day"))
+
+
+def test_partitioned_table_merge_prunes_and_maintains(spark, tmp):
+    path = f"{tmp}/t"
+    tables.overwrite(_dated(spark, 0, 100), path, partition_by=["day"])
+    assert tables.partition_cols(tables.stored_schema(spark, path)) == ["day"]
+    batch = _dated(spark, 95, 110).where("day = date'2024-01-02'")      # one day only
+    target = tables.read(spark, path)
+    pruned = tables._prune_partitions(batch, target, ["day"])
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "day" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    tables.merge_insert(batch, path, ["k"], stream_id="s", batch_id=0)
+    got = sorted(r.k for r in tables.read(spark, path).collect())
+    assert got == sorted(set(range(100)) | {k for k in range(95, 110) if k % 5 == 1})
+    assert os.path.isdir(f"{path}/stream_id=s/batch_id=0/day=2024-01-02")
+    # delete a whole day: its folder in every batch goes, other days stay
+    tables.delete_where(spark, path, "day = date'2024-01-02'")
+    assert tables.read(spark, path).where("day = date'2024-01-02'").count() == 0
+    assert not os.path.exists(f"{path}/stream_id=bootstrap/batch_id=0/day=2024-01-02")
+    n = tables.read(spark, path).count()
+    tables.compact(spark, path, rows_per_file=7)
+    assert tables.read(spark, path).count() == n
+    tables.expire(spark, path, retention_hours=0)
+    assert tables.read(spark, path).count() == n
+    # widening keeps the partition flag
+    tables.merge_insert(_dated(spark, 200, 201).withColumn("note", F.lit("x")), path, ["k"],
+                        stream_id="s", batch_id=1, evolve=True)
+    assert tables.partition_cols(tables.stored_schema(spark, path)) == ["day"]
+    assert tables.read(spark, path).where("k = 200").first().note == "x"
