@@ -362,8 +362,11 @@ def merge_insert(batch: DataFrame, path: str, keys: list[str], *, stream_id: str
             if wider != tschema:
                 save_schema(spark, path, wider, partition_cols(tschema))
             tschema = wider
+        pcols = partition_cols(tschema)
+        carried = all(c in batch.columns for c in pcols)   # before NULL-filling
         batch = align(batch, tschema)
-        target = _prune_partitions(batch, target, partition_cols(tschema))
+        if carried:
+            target = _prune_partitions(batch, target, pcols)
     rows = new_rows(batch, target, keys, dedupe_source=dedupe_source, null_safe=null_safe,
                     broadcast_keys=broadcast_keys)
     write_batch(rows, path, stream_id, batch_id)

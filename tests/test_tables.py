@@ -190,3 +190,11 @@ def test_partitioned_table_merge_prunes_and_maintains(spark, tmp):
                         stream_id="s", batch_id=1, evolve=True)
     assert tables.partition_cols(tables.stored_schema(spark, path)) == ["day"]
     assert tables.read(spark, path).where("k = 200").first().note == "x"
+
+
+def test_partitioned_merge_without_partition_column_reads_everything(spark, tmp):
+    path = f"{tmp}/t"
+    tables.overwrite(_dated(spark, 0, 10), path, partition_by=["day"])
+    batch = spark.range(5, 15).select(F.col("id").alias("k"))          # no day column
+    tables.merge_insert(batch, path, ["k"], stream_id="s", batch_id=0)
+    assert sorted(r.k for r in tables.read(spark, path).collect()) == list(range(15))
