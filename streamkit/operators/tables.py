@@ -347,8 +347,23 @@ def merge_insert(batch: DataFrame, path: str, keys: list[str], *, stream_id: str
     target schema (missing columns become typed NULLs; with ``evolve`` new
     batch columns widen the table instead of failing), and writes the new
     rows as batch (stream_id, batch_id).  Returns the inserted rows' frame.
+    The batch is evaluated once (persisted here unless the caller did).
     """
     spark = batch.sparkSession
+    cached_here = not batch.is_cached
+    source = batch.persist() if cached_here else batch
+    try:
+        return _merge_insert(source, path, keys, stream_id=stream_id, batch_id=batch_id,
+                             dedupe_source=dedupe_source, null_safe=null_safe,
+                             broadcast_keys=broadcast_keys, evolve=evolve)
+    finally:
+        if cached_here:
+            source.unpersist()
+
+
+def _merge_insert(batch: DataFrame, path: str, keys: list[str], *, stream_id: str, batch_id: int,
+                  dedupe_source: bool, null_safe: bool, broadcast_keys: int, evolve: bool) -> DataFrame:
+    spark = batch.sparkSession
     target = None
     if exists(spark, path):
         t = read(spark, path)
