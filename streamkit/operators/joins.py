@@ -46,41 +46,38 @@ def join_interval(left: DataFrame, right: DataFrame, *, keys: list[str], left_ti
                   bucket_seconds: int | None = None,
                   left_prefix: str = "l_", right_prefix: str = "r_") -> DataFrame:
     """Row-level interval join: ``r.time BETWEEN l.time + lower AND l.time + upper``
-    on equal ``keys``.
+    on equal ``keys``; ``how`` is ``inner`` or ``left``.
 
     The time axis is cut into buckets of ``bucket_seconds`` (default: the
     interval width) and the bucket joins the equi-keys, so a key with many
-    rows is split by time and each row meets only candidates from the
-    buckets its interval touches (never key-wide pairing).  Each left row is
-    copied once per bucket its interval touches -- two for the default
-    width; the copies see disjoint right rows, so no pair repeats.
-    ``how="left"`` adds left rows without any partner.  Streaming input
-    needs ``delay`` (both watermarks); a streaming left join matches on the
-    keys and the time range only, since unmatched bucket copies would each
-    emit a NULL row.  Output columns are prefixed; keys appear once.
+    rows is split by time and each row meets only candidates from nearby
+    buckets (never key-wide pairing).  Each left row sits in the one bucket
+    of its own time; each right row is copied to every bucket whose left
+    rows it can match -- two for the default width.  Left rows are never
+    copied, so a left join emits exactly one NULL row for a left row
+    without partners, and no pair repeats.  Streaming input needs ``delay``
+    (both watermarks).  Output columns are prefixed; keys appear once.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     width = int(bucket_seconds or max(1, upper_seconds - lower_seconds))
     lo_us, hi_us, w_us = lower_seconds * MICROS, upper_seconds * MICROS, width * MICROS
     ntz_l, ntz_r = _is_ntz(left, left_time), _is_ntz(right, right_time)
-    streaming = left.isStreaming or right.isStreaming
-    if streaming:
+    if left.isStreaming or right.isStreaming:
         left = with_event_time(left, left_time, delay)
         right = with_event_time(right, right_time, delay)
     lname, rname = left_prefix + left_time, right_prefix + right_time
-    lsel = left.select(*[F.col(f"`{c}`").alias(c if c in keys else left_prefix + c) for c in left.columns])
-    rsel = right.select(*[F.col(f"`{c}`").alias(c if c in keys else right_prefix + c) for c in right.columns])
-    bucketed = not (streaming and how == "left")
-    if bucketed:
-        lt = F.unix_micros(F.col(lname).cast("timestamp"))
-        rt = F.unix_micros(F.col(rname).cast("timestamp"))
-        lsel = lsel.withColumn("_bucket", F.explode(F.sequence(_floor_div(lt + lo_us, w_us),
-                                                               _floor_div(lt + hi_us, w_us))))
-        rsel = rsel.withColumn("_bucket", _floor_div(rt, w_us))
+    lt = F.unix_micros(F.col(lname).cast("timestamp"))
+    rt = F.unix_micros(F.col(rname).cast("timestamp"))
+    lsel = (left.select(*[F.col(f"`{c}`").alias(c if c in keys else left_prefix + c) for c in left.columns])
+                .withColumn("_bucket", _floor_div(lt, w_us)))
+    # a right row at r matches left rows with time in [r - upper, r - lower]
+    rsel = (right.select(*[F.col(f"`{c}`").alias(c if c in keys else right_prefix + c) for c in right.columns])
+                 .withColumn("_bucket", F.explode(F.sequence(_floor_div(rt - hi_us, w_us),
+                                                             _floor_div(rt - lo_us, w_us)))))
     L, R = lsel.alias("L"), rsel.alias("R")
     cond = F.lit(True)
-    for k in keys + (["_bucket"] if bucketed else []):
+    for k in keys + ["_bucket"]:
         cond = cond & (F.col(f"L.`{k}`") == F.col(f"R.`{k}`"))
     lts = F.col(f"L.`{lname}`").cast("timestamp")
     rts = F.col(f"R.`{rname}`").cast("timestamp")
@@ -88,22 +85,9 @@ def join_interval(left: DataFrame, right: DataFrame, *, keys: list[str], left_ti
                  & (rts <= lts + F.expr(f"INTERVAL {int(upper_seconds)} SECONDS")))
     lcols = [c for c in lsel.columns if c not in keys and c != "_bucket"]
     rcols = [c for c in rsel.columns if c not in keys and c != "_bucket"]
-    out_cols = ([F.col(f"L.`{k}`").alias(k) for k in keys] + [F.col(f"L.`{c}`") for c in lcols]
-                + [F.col(f"R.`{c}`") for c in rcols])
-    if how == "inner" or not bucketed:
-        out = L.join(R, cond, "inner" if how == "inner" else "left_outer").select(*out_cols)
-        return _restore_ntz(out, lname, rname, ntz_l, ntz_r)
-    # batch left join: the pairs, plus left rows with no partner in any bucket
-    matched = L.join(R, cond, "inner").select(*out_cols)
-    left_rows = left.select(*[F.col(f"`{c}`").alias(c if c in keys else left_prefix + c) for c in left.columns])
-    partnered = matched.select(*keys, *lcols).dropDuplicates()
-    same = F.lit(True)
-    for c in [*keys, *lcols]:
-        same = same & F.col(f"a.`{c}`").eqNullSafe(F.col(f"b.`{c}`"))
-    lone = left_rows.alias("a").join(partnered.alias("b"), same, "left_anti")
-    for c in rcols:
-        lone = lone.withColumn(c, F.lit(None).cast(rsel.schema[c].dataType))
-    out = matched.unionByName(lone.select(*keys, *lcols, *rcols))
+    out = L.join(R, cond, "inner" if how == "inner" else "left_outer").select(
+        *[F.col(f"L.`{k}`").alias(k) for k in keys], *[F.col(f"L.`{c}`") for c in lcols],
+        *[F.col(f"R.`{c}`") for c in rcols])
     return _restore_ntz(out, lname, rname, ntz_l, ntz_r)
 
 

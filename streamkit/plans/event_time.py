@@ -11,7 +11,7 @@ from streamkit.operators.windows import late_by_sequence, session_agg, sessions
 from streamkit.operators.windows import window_agg
 from streamkit.plans.common import state_partitions, EVENT_COLS, decoded_events, EVENTS_SQL, events_stream, run_parquet, TUMBLING_SQL
 from streamkit.plans.registry import query
-from streamkit.plans.topics import FLUSH_TS
+from streamkit.plans.topics import FLUSH_TS, FLUSH_USER
 from streamkit.plans.topics import events_messages, table
 from streamkit.session import work_path
 from streamkit.streaming.run import drain
@@ -91,7 +91,7 @@ def session_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                F.max("value").alias("max_value")],
                       keys=["user_id"], delay="2 minutes")
     out = run_parquet(agg, "sessions", partitions=state_partitions(spark, sf_dir))
-    return out.where(F.col("user_id").isNotNull()).select("user_id", "window_start", "window_end",
+    return out.where(F.col("user_id") != FLUSH_USER).select("user_id", "window_start", "window_end",
                                                           "events", "max_value")
 
 

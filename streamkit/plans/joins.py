@@ -91,6 +91,21 @@ def interval_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                        partitions=state_partitions(spark, sf_dir))
 
 
+@query("interval_join_left_stream", INTERVAL_SQL.format(how="LEFT"))
+def interval_join_left_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 left outer as a stream: a signup without a purchase within 12 hours
+    is emitted with NULLs once the watermark passes its interval (end-of-input
+    markers close the last intervals)."""
+    st = events_stream(spark, sf_dir, flush_types=["signup", "purchase"]) \
+        .select("event_id", "ts", "user_id", "event_type")
+    j = join_interval(st.where(F.col("event_type") == "signup"), st.where(F.col("event_type") == "purchase"),
+                      keys=["user_id"], left_time="ts", right_time="ts",
+                      lower_seconds=0, upper_seconds=12 * 3600, how="left", delay="2 minutes")
+    out = run_parquet(j.select("user_id", "l_event_id", "l_ts", "r_event_id", "r_ts"), "interval-left",
+                      partitions=state_partitions(spark, sf_dir))
+    return out.where(F.col("l_ts") < F.to_timestamp_ntz(F.lit(FLUSH_TS)))
+
+
 ENRICH_SQL = """
 SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, o.o_orderdate, c.c_name, c.c_mktsegment, n.n_name
 FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey

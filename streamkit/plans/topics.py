@@ -75,14 +75,17 @@ def replay_layout(size_bytes: int, batches: int | None) -> tuple[int, int | None
 # it moves the watermark past every real window (append mode then emits
 # them all), and its own window is never emitted.
 FLUSH_TS = "2099-01-01 00:00:00"
+FLUSH_USER = -1
 
 
 def flush_messages(spark: SparkSession, event_types: list[str] | None = None) -> DataFrame:
     """Envelope rows carrying only the marker event time (one per event type)."""
     types = event_types or [None]
     rows = spark.createDataFrame([(t,) for t in types], "event_type string")
+    # the key is set (to a user no real event has): a join infers NOT NULL on
+    # its keys and may filter a NULL-key marker before the watermark sees it
     marker = rows.select(F.lit(None).cast("bigint").alias("event_id"),
                          F.to_timestamp_ntz(F.lit(FLUSH_TS)).alias("ts"),
-                         F.lit(None).cast("bigint").alias("user_id"), "event_type",
+                         F.lit(FLUSH_USER).cast("bigint").alias("user_id"), "event_type",
                          F.lit(None).cast("double").alias("value"), F.lit(None).cast("string").alias("props"))
     return messages(marker, EVENTS_TOPIC, partition=F.lit(0), timestamp=F.col("ts"))
