@@ -148,18 +148,22 @@ def keys_from_text(text: str) -> list[str]:
 
 # ---------------------------------------------------------------- writes
 
-def _record_schema(spark: SparkSession, path: str, rows: T.StructType, evolve: bool) -> None:
+def _record_schema(spark: SparkSession, path: str, rows: T.StructType, evolve: bool) -> T.StructType:
     """First write records the schema; later writes may only add columns
-    with ``evolve`` (the recorded schema is widened), never silently."""
+    with ``evolve`` (the recorded schema is widened), never silently.
+    Returns the schema in force after the write."""
     stored = stored_schema(spark, path)
     if stored is None:
         save_schema(spark, path, rows)
-        return
+        return rows
     extra = [f.name for f in rows.fields if f.name not in stored.fieldNames()]
     if extra and not evolve:
         raise ValueError(f"columns {extra} are not in the table; pass evolve=True to add them")
     if extra:
-        save_schema(spark, path, widen(stored, rows), partition_cols(stored))
+        wider = widen(stored, rows)
+        save_schema(spark, path, wider, partition_cols(stored))
+        return stored_schema(spark, path)
+    return stored
 
 
 def write_batch(df: DataFrame, path: str, stream_id: str, batch_id: int, *,
@@ -167,13 +171,13 @@ def write_batch(df: DataFrame, path: str, stream_id: str, batch_id: int, *,
     """Write ``df`` as batch (stream_id, batch_id), replacing that batch if present."""
     spark = df.sparkSession
     rows = df.drop(*[c for c in LAYOUT_COLS if c in df.columns])
-    _record_schema(spark, path, rows.schema, evolve)
+    schema = _record_schema(spark, path, rows.schema, evolve)
     out = (rows.withColumn(STREAM_COL, F.lit(str(stream_id)))
                .withColumn(BATCH_COL, F.lit(int(batch_id)).cast("bigint")))
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if rows_per_file:
         w = w.option("maxRecordsPerFile", rows_per_file)
-    w.partitionBy(*_parts(spark, path)).parquet(path)
+    w.partitionBy(*LAYOUT_COLS, *partition_cols(schema)).parquet(path)
 
 
 def write_batches(df: DataFrame, path: str, stream_id: str, batch_col: str, *,
@@ -182,12 +186,12 @@ def write_batches(df: DataFrame, path: str, stream_id: str, batch_col: str, *,
     row's batch number; every batch present is replaced."""
     spark = df.sparkSession
     rows = df.drop(*[c for c in LAYOUT_COLS if c in df.columns])
-    _record_schema(spark, path, rows.drop(batch_col).schema, evolve)
+    schema = _record_schema(spark, path, rows.drop(batch_col).schema, evolve)
     (rows.withColumn(STREAM_COL, F.lit(str(stream_id)))
          .withColumn(BATCH_COL, F.col(batch_col).cast("bigint"))
          .drop(batch_col)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*_parts(spark, path)).parquet(path))
+         .partitionBy(*LAYOUT_COLS, *partition_cols(schema)).parquet(path))
 
 
 def overwrite(df: DataFrame, path: str, *, partition_by: Iterable[str] = ()) -> None:
@@ -269,7 +273,6 @@ def new_rows(batch: DataFrame, target: DataFrame | None, keys: list[str], *,
     tmissing = [k for k in keys if k not in target.columns]
     if tmissing:
         raise ValueError(f"merge keys {tmissing} not in target columns {target.columns}")
-    src_keys = src.select(*keys).dropDuplicates()
     # one pass over the batch: its size bounds the distinct keys, and its key
     # range is pushed to the target scan, where parquet skips row groups
     # whose min/max statistics fall outside it (ids and event times that grow
@@ -277,8 +280,13 @@ def new_rows(batch: DataFrame, target: DataFrame | None, keys: list[str], *,
     stats = batch.agg(F.count(F.lit(1)).alias("rows"),
                       *[F.min(k).alias(f"lo{i}") for i, k in enumerate(keys)],
                       *[F.max(k).alias(f"hi{i}") for i, k in enumerate(keys)]).first()
-    small = stats["rows"] <= broadcast_keys or \
-        src_keys.limit(broadcast_keys + 1).count() <= broadcast_keys
+    if stats["rows"] <= broadcast_keys:
+        # the row count already bounds the key list: broadcast it as is
+        # (duplicates do not change a semi-join), no de-duplicating shuffle
+        src_keys, small = src.select(*keys), True
+    else:
+        src_keys = src.select(*keys).dropDuplicates()
+        small = src_keys.limit(broadcast_keys + 1).count() <= broadcast_keys
     tk = target.select(*keys)
     for i, k in enumerate(keys):
         lo, hi = stats[f"lo{i}"], stats[f"hi{i}"]
