@@ -102,6 +102,15 @@ def sessions(df: DataFrame, time_col: str, gap_seconds: int, *, keys: list[str],
     ntz = _is_ntz(df, time_col)
     gap_us = int(gap_seconds) * MICROS
     x = df.withColumn("_t", _micros(df, time_col))
+    if not keys:
+        # global sessions: the one "key" is hot when it has more than
+        # rows_per_chunk rows; its chunk span is a scalar, no join needed
+        keys = ["_all"]
+        n, lo, hi = x.agg(F.count("_t"), F.min("_t"), F.max("_t")).first()
+        span = max(gap_us, -(-(hi - lo + 1) * rows_per_chunk // n)) if n and n > rows_per_chunk else None
+        x = x.withColumn("_all", F.lit(0)).withColumn(
+            "_chunk", F.floor(F.col("_t") / F.lit(span)) if span else F.lit(0))
+        return _sessions_by_chunk(x, keys, gap_us, aggs, ntz).drop("_all")
     density = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"),
                                    F.max("_t").alias("_hi"))
     # candidates: keys with more than rows_per_chunk rows -- at most
@@ -125,6 +134,12 @@ def sessions(df: DataFrame, time_col: str, gap_seconds: int, *, keys: list[str],
           .withColumn("_chunk", F.when(F.col("_span").isNull(), F.lit(0))
                                  .otherwise(F.floor(F.col("_t") / F.col("_span"))))
           .drop("_span", *[f"_hk{i}" for i in range(len(keys))]))
+    return _sessions_by_chunk(x, keys, gap_us, aggs, ntz)
+
+
+def _sessions_by_chunk(x: DataFrame, keys: list[str], gap_us: int, aggs: list[Column] | None,
+                       ntz: bool) -> DataFrame:
+    """Sessions of rows carrying ``_t`` (micros) and ``_chunk``."""
     by_chunk = Window.partitionBy(*keys, "_chunk").orderBy("_t")
     over_chunks = Window.partitionBy(*keys).orderBy("_chunk")
     before = over_chunks.rowsBetween(Window.unboundedPreceding, -1)

@@ -109,3 +109,14 @@ def test_late_router_state_stays_small(spark, tmp):
     sids = [p for p in os.listdir(state) if p.startswith("stream_id=")]
     assert len(sids) == 1
     assert sorted(os.listdir(f"{state}/{sids[0]}")) == ["batch_id=4", "batch_id=5"]
+
+
+def test_global_sessions_split_by_time(spark):
+    rnd = random.Random(3)
+    ts = sorted(rnd.randint(0, 2 * 86400) for _ in range(800))
+    pdf = pd.DataFrame({"user": 0, "t": ts})
+    df = spark.createDataFrame(pdf[["t"]]).withColumn("ts", F.timestamp_seconds("t"))
+    got = sessions(df, "ts", 300, keys=[], rows_per_chunk=50).collect()
+    want = [(s, e, n) for _, s, e, n in _brute_sessions(pdf, 300)]
+    assert sorted((int(r.window_start.timestamp()), int(r.window_end.timestamp()), r.events) for r in got) == want
+    assert "BroadcastNestedLoopJoin" not in sessions(df, "ts", 300, keys=[])._jdf.queryExecution().executedPlan().toString()
