@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamkit.functions.schema import align, widen
-from streamkit.session import FS
+from streamkit.session import FS, shared_dir
 
 STREAM_COL = "stream_id"
 BATCH_COL = "batch_id"
@@ -458,23 +458,26 @@ def compact(spark: SparkSession, path: str, *, rows_per_file: int = 1_000_000,
     Each batch is split into ceil(rows / rows_per_file) salt groups by a hash
     of the whole row, and the data is range-partitioned on (batch, salt), so
     one task writes about one file and a very large batch is spread over
-    many tasks.  The per-batch file counts (one row per batch) are broadcast
-    after a size check; past it every batch uses the largest batch's salt
-    count, which needs no join.  Returns the number of range partitions.
+    many tasks.  The per-batch file counts (one row per partition folder)
+    are broadcast when their number is within ``MAX_BROADCAST_BATCHES``;
+    past it every batch uses the largest batch's salt count, which needs no
+    join.  Returns the number of range partitions.
     """
-    from streamkit.operators.joins import fits
-
     t = read_batches(spark, path, batches) if batches is not None else read(spark, path)
     parts_cols = _parts(spark, path)
     data_cols = [c for c in t.columns if c not in LAYOUT_COLS]
+    # one row per partition folder, materialized once (reliable checkpoint)
+    # so the totals and the join below do not scan the table again
+    shared_dir(spark)
     counts = (t.groupBy(*parts_cols).agg(F.count(F.lit(1)).alias("_rows"))
-               .withColumn("_files", F.greatest(F.lit(1), F.ceil(F.col("_rows") / rows_per_file)).cast("bigint")))
+               .withColumn("_files", F.greatest(F.lit(1), F.ceil(F.col("_rows") / rows_per_file)).cast("bigint"))
+               .checkpoint(eager=True))
     totals = counts.agg(F.sum("_files").alias("files"), F.max("_files").alias("widest"),
                         F.count(F.lit(1)).alias("batches")).first()
     if not totals["files"]:
         return 0
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in data_cols])
-    if fits(counts, MAX_BROADCAST_BATCHES):
+    if totals["batches"] <= MAX_BROADCAST_BATCHES:
         parts = int(totals["files"])
         salted = (t.alias("t").join(F.broadcast(counts.select(*parts_cols, "_files")).alias("c"),
                                     _key_condition("t", "c", parts_cols, True))
