@@ -105,13 +105,24 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def bucket_dimension(dim: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:
+    """Save a large dimension as a catalog table bucketed (and sorted) on the
+    join keys and return it.  Joined on those keys, it is read already
+    partitioned: only the other side is shuffled, so a stream-static join
+    does not re-shuffle the whole dimension in every micro-batch."""
+    (dim.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name))
+    return dim.sparkSession.table(name)
+
+
 def enrich(stream: DataFrame, dim: DataFrame, keys: list[str] | dict[str, str], *,
            how: str = "left", broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Stream-batch (or batch-batch) enrichment join.
 
     ``keys`` is a list of shared column names or a {stream_col: dim_col}
     map.  The dimension is broadcast only after ``fits`` proves it has at
-    most ``broadcast_rows`` rows; otherwise Spark plans a shuffle join.
+    most ``broadcast_rows`` rows; otherwise Spark plans a shuffle join --
+    give a large dimension as a ``bucket_dimension`` table so that only the
+    stream side is shuffled.
     """
     small = fits(dim, broadcast_rows)
     right = F.broadcast(dim) if small else dim

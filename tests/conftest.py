@@ -17,6 +17,7 @@ def spark():
                .appName("streamkit-tests")
                .config("spark.sql.shuffle.partitions", "8")
                .config("spark.sql.session.timeZone", "UTC")
+               .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="streamkit-warehouse-"))
                .config("spark.ui.enabled", "false"))
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")

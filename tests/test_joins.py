@@ -72,3 +72,22 @@ def test_interval_join_exact_at_bucket_edges(spark):
                         lower_seconds=0, upper_seconds=3600).select("l_id", "r_id").collect()
     want = sorted((i, j) for i, a in enumerate(lt) for j, b in enumerate(rt) if a <= b <= a + w)
     assert sorted((r.l_id, r.r_id) for r in got) == want
+
+
+def test_bucketed_dimension_is_not_reshuffled(spark):
+    from streamkit.operators.joins import bucket_dimension
+    dim = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 3).alias("label"))
+    table = bucket_dimension(dim, "sk_dim_bucketed", ["k"], 8)
+    facts = spark.range(20000).select((F.col("id") % 5000).alias("k"), F.col("id").alias("v"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # stands in for a large dimension
+    try:
+        j = enrich(facts, table, ["k"], broadcast_rows=100)      # too big to broadcast
+        plan = j._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert plan.count("Exchange hashpartitioning") == 1        # the fact side only
+    assert j.count() == 20000
+    spark.sql("DROP TABLE sk_dim_bucketed")
