@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from streamkit.operators import tables
 from streamkit.operators.dedupe import dedupe
 from streamkit.operators.windows import late_by_sequence, session_agg, sessions
@@ -15,7 +16,10 @@ from streamkit.plans.topics import FLUSH_TS, FLUSH_USER
 from streamkit.plans.topics import events_messages, table
 from streamkit.session import work_path
 from streamkit.streaming.run import drain
-from streamkit.streaming.sinks import SinkSpec, start
+from streamkit.streaming.sinks import SinkSpec, Trigger, start
+from streamkit.streaming.routes import late_router
+from streamkit.sources.topic import ENVELOPE_SCHEMA
+from streamkit.session import FS
 
 
 @query("tumbling_15m", """
@@ -160,6 +164,52 @@ def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged.select("event_id", "micro_batch", F.col("_late").alias("is_late"))
 
 
+# Arrival groups of the streamed late-row query.
+ARRIVAL_GROUP_US = 3 * 86400 * 1_000_000    # one micro-batch per 3 days of arrival
+LAGGING_PARTITION_US = 3 * 86400 * 1_000_000  # topic partition 3 arrives one group late
+
+
+@query("late_rows_stream", f"""
+WITH a AS (
+  SELECT event_id, epoch_us(ts) AS t,
+         (epoch_us(ts) + CASE WHEN user_id % 4 = 3 THEN {LAGGING_PARTITION_US} ELSE 0 END)
+           // {ARRIVAL_GROUP_US} AS arrival_group
+  FROM events),
+b AS (SELECT arrival_group, max(t) AS bmax FROM a GROUP BY arrival_group),
+c AS (SELECT arrival_group, max(bmax) OVER (ORDER BY arrival_group
+                                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM b)
+SELECT a.event_id, coalesce(a.t < c.prev - 120000000, false) AS is_late
+FROM a JOIN c ON a.arrival_group = c.arrival_group
+""")
+def late_rows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W4 as a stream: the topic is replayed in arrival order, one micro-batch
+    per 3-day arrival group, partition 3 one group behind the others.  The
+    late-row router sends rows older than the watermark (2 minutes behind
+    the max event time of earlier micro-batches) to a side table.  Each
+    group's files are published to the topic folder just before its
+    trigger, as a producer would append them."""
+    env = events_messages(spark, sf_dir)
+    lag = F.when(F.col("partition") == 3, F.lit(LAGGING_PARTITION_US)).otherwise(F.lit(0))
+    arrival = F.expr(f"(unix_micros(timestamp) + _lag) div {ARRIVAL_GROUP_US}")
+    staged = env.withColumn("_lag", lag).withColumn("arrival_group", arrival).drop("_lag")
+    staging, topic = work_path(spark, "late-staging"), work_path(spark, "late-topic")
+    staged.write.partitionBy("arrival_group").parquet(staging)
+    groups = sorted(r[0] for r in staged.select("arrival_group").distinct().collect())   # one per 3 days
+    fs = FS(spark, topic)
+    fs.mkdirs(topic)
+    main, late, state, ck = (work_path(spark, n) for n in ("late-main", "late-side", "late-state", "late-ck"))
+    router = late_router(main, late, state, time_col="ts", delay_seconds=120)
+    schema = T.StructType(ENVELOPE_SCHEMA.fields + [T.StructField("arrival_group", T.LongType())])
+    for g in groups:
+        fs.rename(f"{staging}/arrival_group={g}", f"{topic}/arrival_group={g}")
+        st = spark.readStream.schema(schema).parquet(topic)
+        drain(start(decoded_events(st), SinkSpec("foreach_batch", fn=router, checkpoint=ck,
+                                                 trigger=Trigger.available_now())))
+    on_time = tables.read(spark, main).select("event_id", F.lit(False).alias("is_late"))
+    aside = tables.read(spark, late).select("event_id", F.lit(True).alias("is_late"))
+    return on_time.unionByName(aside)
+
+
 @query("decoded_tumbling", TUMBLING_SQL)
 def decoded_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ingest chain in one plan: rows -> JSON messages -> decode -> typed
