@@ -12,7 +12,12 @@ from streamkit.plans.registry import query
 from streamkit.plans.topics import EVENTS_PAYLOAD, EVENTS_TOPIC, events_envelope, events_messages, table
 from streamkit.session import work_path
 from streamkit.sources.files import stream_files
-from streamkit.sources.topic import offset_filter
+from streamkit.operators import tables
+from streamkit.plans.topics import write_replay
+from streamkit.sources.topic import offset_filter, replay_topic
+from streamkit.streaming.routes import quarantine_router
+from streamkit.streaming.run import drain
+from streamkit.streaming.sinks import SinkSpec, start
 
 
 @query("decode_events", """
@@ -95,27 +100,50 @@ def evolve_json(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.col("_rest")["value"].cast("double").alias("rest_value"))
 
 
-@query("split_bad", """
+SPLIT_SQL = """
 SELECT CAST(event_id AS VARCHAR) AS key, false AS is_bad, event_id, event_type, CAST(NULL AS VARCHAR) AS payload
 FROM events
 UNION ALL
 SELECT 'doc:' || CAST(doc_id AS VARCHAR), true, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), text
 FROM documents
-""")
-def split_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A topic carrying event messages and raw document texts; texts that
-    are not JSON objects are set aside with their full payload."""
+"""
+
+
+def mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One topic carrying event messages and raw document texts."""
     env = events_messages(spark, sf_dir)
     docs = table(spark, sf_dir, "documents")
     doc_msgs = docs.select(F.concat(F.lit("doc:"), F.col("doc_id").cast("string")).cast("binary").alias("key"),
                            F.col("text").cast("binary").alias("value"), F.lit(EVENTS_TOPIC).alias("topic"),
                            F.lit(0).alias("partition"), F.lit(None).cast("bigint").alias("offset"),
                            F.current_timestamp().alias("timestamp"), F.lit(0).alias("timestampType"))
-    tagged = decode.with_corrupt(env.unionByName(doc_msgs), EVENTS_PAYLOAD, keep=("key",))
+    return env.unionByName(doc_msgs)
+
+
+@query("split_bad", SPLIT_SQL)
+def split_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that are not JSON objects are set aside with their full payload."""
+    tagged = decode.with_corrupt(mixed_messages(spark, sf_dir), EVENTS_PAYLOAD, keep=("key",))
     return tagged.select(F.col("key").cast("string").alias("key"), F.col("_is_bad").alias("is_bad"),
                          "event_id", "event_type", F.col(decode.CORRUPT_COL).alias("payload"))
 
 
+@query("split_bad_stream", SPLIT_SQL)
+def split_bad_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P19 on a stream: each micro-batch is decoded once and routed -- good
+    rows to one table, undecodable messages to a quarantine table."""
+    topic = write_replay(spark, mixed_messages(spark, sf_dir), "topic-mixed")
+    st = replay_topic(spark, topic, EVENTS_TOPIC, stream=True)
+    good, bad = work_path(spark, "good"), work_path(spark, "quarantine")
+    drain(start(st, SinkSpec("foreach_batch", fn=quarantine_router(good, bad, EVENTS_PAYLOAD, keep=("key",)))))
+    ok = tables.read(spark, good).select(F.col("key").cast("string").alias("key"), F.lit(False).alias("is_bad"),
+                                         "event_id", "event_type", F.lit(None).cast("string").alias("payload"))
+    aside = tables.read(spark, bad).select(F.col("key").cast("string").alias("key"), F.lit(True).alias("is_bad"),
+                                           F.lit(None).cast("bigint").alias("event_id"),
+                                           F.lit(None).cast("string").alias("event_type"), "payload")
+    return ok.unionByName(aside)
+
+
 @query("null_rows", """
 SELECT count(*) AS messages, count(*) FILTER (WHERE doc_id IS NOT NULL) AS null_rows FROM (
   SELECT NULL AS doc_id FROM events UNION ALL SELECT doc_id FROM documents)
