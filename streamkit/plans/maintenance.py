@@ -135,6 +135,7 @@ TRIP_PAYLOAD = ("hvfhs_license_num STRING, dispatching_base_num STRING, PULocati
 
 
 CHECK_BASES = ("B03494", "B03496")
+TRIPS_TOPIC = "trips"
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,11 +179,11 @@ def trip_merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = spark.sql(count_sql).first()["cnt"]
     rows_before = spark.sql("SELECT count(*) AS n FROM trip_table").first()["n"]
     produced = gen.trips_many(spark, table(spark, sf_dir, "events"), TRIP_OVERRIDES, id_col="event_id")
-    msgs = messages(produced, "nyctaxistream", partition=F.col("variant"),
+    msgs = messages(produced, TRIPS_TOPIC, partition=F.col("variant"),
                     payload_cols=["hvfhs_license_num", "dispatching_base_num", "PULocationID", "DOLocationID",
                                   "pickup_datetime", "dropoff_datetime"])
     topic = write_replay(spark, msgs, "topic-trips")
-    st = replay_topic(spark, topic, "nyctaxistream", TRIP_PAYLOAD, stream=True)
+    st = replay_topic(spark, topic, TRIPS_TOPIC, TRIP_PAYLOAD, stream=True)
     st = decode.cast_timestamps(st, ["pickup_datetime", "dropoff_datetime"])
     keys = tables.keys_from_text("hvfhs_license_num,pickup_datetime")
     drain(start(st, SinkSpec("table_merge", path=path, keys=keys)))
