@@ -77,9 +77,6 @@ class FS:
                         int(st.getLen()), int(st.getModificationTime())))
         return out
 
-    def set_mtime(self, path: str, ms: int) -> None:
-        self.fs.setTimes(self.p(path), ms, -1)
-
     def write_text(self, path: str, text: str) -> None:
         out = self.fs.create(self.p(path), True)
         try:

@@ -72,3 +72,21 @@ def test_windowed_aggregate_is_partial_before_shuffle(spark):
     df = spark.range(1000).select(F.timestamp_seconds(F.col("id") * 7).alias("ts"), F.col("id").alias("v"))
     p = plan(window_agg(df, "ts", "15 minutes", [F.max("v").alias("m")]))
     assert "partial_max" in p
+
+
+def test_read_table_prunes_columns_and_pushes_filters(spark):
+    from streamkit.sources.files import read_table
+    df = read_table(spark, "/root/testdata/sf0.001/events.parquet", columns=["event_id", "value"]) \
+        .where(F.col("value") > 100)
+    p = plan(df)
+    assert "ReadSchema: struct<event_id:bigint,value:double>" in p
+    assert "GreaterThan(value,100" in p
+
+
+def test_audit_counts(spark):
+    from streamkit.operators import audit
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    one = audit.count_where(ev, "event_type IN ('click', 'purchase')").first().cnt
+    both = audit.counts(ev, clicks="event_type = 'click'", buys=F.col("event_type") == "purchase").first()
+    assert both.total == 1000 and both.clicks + both.buys == one
+    assert audit.delta_count(3, 5) == {"before": 3, "after": 5, "delta": 2}
