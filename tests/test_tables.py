@@ -198,3 +198,12 @@ def test_partitioned_merge_without_partition_column_reads_everything(spark, tmp)
     batch = spark.range(5, 15).select(F.col("id").alias("k"))          # no day column
     tables.merge_insert(batch, path, ["k"], stream_id="s", batch_id=0)
     assert sorted(r.k for r in tables.read(spark, path).collect()) == list(range(15))
+
+
+def test_type_widening_on_evolve(spark, tmp):
+    path = f"{tmp}/t"
+    tables.overwrite(spark.createDataFrame([(1, 1.5)], "k int, v float"), path)
+    tables.merge_insert(spark.createDataFrame([(2, 2.5)], "k bigint, v double"), path, ["k"],
+                        stream_id="s", batch_id=0, evolve=True)
+    assert tables.stored_schema(spark, path).simpleString() == "struct<k:bigint,v:double>"
+    assert sorted(tuple(r) for r in tables.read(spark, path).select("k", "v").collect()) == [(1, 1.5), (2, 2.5)]
