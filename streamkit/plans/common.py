@@ -3,12 +3,12 @@ streams, SQL fragments for the generators."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
 from streamkit.functions import decode
 from streamkit.operators import tables
-from streamkit.plans.topics import EVENTS_PAYLOAD, EVENTS_TOPIC, events_messages, table
-from streamkit.plans.topics import flush_messages, input_bytes, replay_layout, write_replay
+from streamkit.plans.topics import (EVENTS_PAYLOAD, EVENTS_TOPIC, events_messages, flush_messages,
+    input_bytes, replay_layout, table, write_replay)
 from streamkit.session import work_path
 from streamkit.sources import generators as gen
 from streamkit.sources.topic import replay_topic
@@ -71,11 +71,11 @@ def run_parquet(df: DataFrame, name: str, *, partitions: int | None = None) -> D
 CUTOFF = "2024-01-15 00:00:00"
 
 
-def _cutoff() -> F.Column:
+def cutoff() -> F.Column:
     return F.to_timestamp_ntz(F.lit(CUTOFF))
 
 
-def _appended_table(spark: SparkSession, sf_dir: str, name: str, batches: int) -> str:
+def appended_table(spark: SparkSession, sf_dir: str, name: str, batches: int) -> str:
     """``events`` streamed into a batch-addressable table, one micro-batch per file."""
     path = work_path(spark, name)
     st = events_stream(spark, sf_dir, batches=batches)
@@ -83,35 +83,35 @@ def _appended_table(spark: SparkSession, sf_dir: str, name: str, batches: int) -
     return path
 
 
-def _h(k: int, id_expr: str = "event_id") -> str:
+def hsql(k: int, id_expr: str = "event_id") -> str:
     return gen.hash_sql(id_expr, k)
 
 
-def _sql_list(values) -> str:
+def sql_list(values) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
 
-_TS0 = f"TIMESTAMP '{gen.BASE_TIME}'"
+TS0_SQL = f"TIMESTAMP '{gen.BASE_TIME}'"
 
 
 CLICK_SQL = f"""
-WITH g AS (SELECT event_id, {_sql_list(gen.CLICK_EVENT_TYPES)}[{_h(1)} % 5 + 1] AS event_type FROM events)
+WITH g AS (SELECT event_id, {sql_list(gen.CLICK_EVENT_TYPES)}[{hsql(1)} % 5 + 1] AS event_type FROM events)
 SELECT event_id AS id,
-       CAST({_h(0)} % 5 + 1 AS INTEGER) AS user_id,
-       strftime({_TS0} + to_seconds((event_id % {gen.CLICK_PERIOD}) * {gen.CLICK_STEP_S} + {_h(7)} % {gen.CLICK_STEP_S}), '%Y-%m-%d %H:%M:%S') AS timestamp,
+       CAST({hsql(0)} % 5 + 1 AS INTEGER) AS user_id,
+       strftime({TS0_SQL} + to_seconds((event_id % {gen.CLICK_PERIOD}) * {gen.CLICK_STEP_S} + {hsql(7)} % {gen.CLICK_STEP_S}), '%Y-%m-%d %H:%M:%S') AS timestamp,
        event_type,
-       CASE WHEN event_type IN ('page_view', 'click') THEN {_sql_list(gen.CLICK_PAGES)}[{_h(2)} % 5 + 1] END AS page,
-       CASE WHEN event_type = 'click' THEN 'button' || CAST({_h(3)} % 50 + 1 AS VARCHAR) END AS element,
-       CASE WHEN event_type = 'search' THEN 'example search term' || CAST({_h(4)} % 10 + 1 AS VARCHAR) END AS query,
+       CASE WHEN event_type IN ('page_view', 'click') THEN {sql_list(gen.CLICK_PAGES)}[{hsql(2)} % 5 + 1] END AS page,
+       CASE WHEN event_type = 'click' THEN 'button' || CAST({hsql(3)} % 50 + 1 AS VARCHAR) END AS element,
+       CASE WHEN event_type = 'search' THEN 'example search term' || CAST({hsql(4)} % 10 + 1 AS VARCHAR) END AS query,
        CASE WHEN event_type IN ('add_to_cart', 'purchase')
-            THEN {_sql_list(gen.CLICK_PRODUCTS)}[{_h(5)} % 5 + 1] END AS product,
+            THEN {sql_list(gen.CLICK_PRODUCTS)}[{hsql(5)} % 5 + 1] END AS product,
        CASE WHEN event_type IN ('add_to_cart', 'purchase')
-            THEN round(10 + ({_h(6)} % 9001) / 100.0::DOUBLE, 2) END AS price
+            THEN round(10 + ({hsql(6)} % 9001) / 100.0::DOUBLE, 2) END AS price
 FROM g
 """
 
 
-def _trip_sql(id_expr: str = "event_id", source: str = "events", overrides: dict | None = None,
+def trip_sql(id_expr: str = "event_id", source: str = "events", overrides: dict | None = None,
               extra: str = "") -> str:
     o = overrides or {}
 
@@ -120,13 +120,13 @@ def _trip_sql(id_expr: str = "event_id", source: str = "events", overrides: dict
             return f"{expr} AS {name}"
         v = o[name]
         return f"{v if isinstance(v, int) else repr(v)} AS {name}"
-    pickup = f"{_TS0} + to_seconds({_h(4, id_expr)} % 1801)"
-    dropoff = f"{_TS0} + to_seconds({_h(4, id_expr)} % 1801 + {_h(5, id_expr)} % 1801)"
+    pickup = f"{TS0_SQL} + to_seconds({hsql(4, id_expr)} % 1801)"
+    dropoff = f"{TS0_SQL} + to_seconds({hsql(4, id_expr)} % 1801 + {hsql(5, id_expr)} % 1801)"
     return f"""SELECT {id_expr} AS id, {extra}
-       {pick('hvfhs_license_num', f"'HV' || lpad(CAST({_h(0, id_expr)} % 9 + 1 AS VARCHAR), 5, '0')")},
-       {pick('dispatching_base_num', f"{_sql_list(gen.TRIP_BASES)}[{_h(1, id_expr)} % 5 + 1]")},
-       {pick('PULocationID', f"CAST({_h(2, id_expr)} % 265 + 1 AS INTEGER)")},
-       {pick('DOLocationID', f"CAST({_h(3, id_expr)} % 265 + 1 AS INTEGER)")},
+       {pick('hvfhs_license_num', f"'HV' || lpad(CAST({hsql(0, id_expr)} % 9 + 1 AS VARCHAR), 5, '0')")},
+       {pick('dispatching_base_num', f"{sql_list(gen.TRIP_BASES)}[{hsql(1, id_expr)} % 5 + 1]")},
+       {pick('PULocationID', f"CAST({hsql(2, id_expr)} % 265 + 1 AS INTEGER)")},
+       {pick('DOLocationID', f"CAST({hsql(3, id_expr)} % 265 + 1 AS INTEGER)")},
        {pick('pickup_datetime', f"strftime({pickup}, '%Y-%m-%d %H:%M:%S')")},
        {pick('dropoff_datetime', f"strftime({dropoff}, '%Y-%m-%d %H:%M:%S')")}
 FROM {source}"""
@@ -144,8 +144,8 @@ TRIP_OVERRIDES = [
 PICKUP_ONLY = {"pickup_datetime": "2025-01-01 00:20:00"}
 
 
-def _many_sql(sets: list[dict]) -> str:
-    return "\nUNION ALL\n".join(_trip_sql(overrides=o, extra=f"{v} AS variant,") for v, o in enumerate(sets))
+def many_sql(sets: list[dict]) -> str:
+    return "\nUNION ALL\n".join(trip_sql(overrides=o, extra=f"{v} AS variant,") for v, o in enumerate(sets))
 
 
 TUMBLING_SQL = """
@@ -156,7 +156,7 @@ FROM events GROUP BY 1, 2
 """
 
 
-def _typed_batches(spark: SparkSession, sf_dir: str, name: str) -> str:
+def typed_batches(spark: SparkSession, sf_dir: str, name: str) -> str:
     """``events`` written as one table batch per event type (types in sorted order)."""
     path = work_path(spark, name)
     ev = table(spark, sf_dir, "events")

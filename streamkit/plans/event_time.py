@@ -3,23 +3,20 @@ watermarks, late rows, de-duplication, streaming aggregation."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
 from streamkit.operators import tables
 from streamkit.operators.dedupe import dedupe
-from streamkit.operators.windows import late_by_sequence, session_agg, sessions
-from streamkit.operators.windows import window_agg
-from streamkit.plans.common import state_partitions, EVENT_COLS, decoded_events, EVENTS_SQL, events_stream, run_parquet, TUMBLING_SQL
+from streamkit.operators.windows import late_by_sequence, session_agg, sessions, window_agg
+from streamkit.plans.common import (EVENT_COLS, EVENTS_SQL, TUMBLING_SQL, decoded_events, events_stream,
+    run_parquet, state_partitions)
 from streamkit.plans.registry import query
-from streamkit.plans.topics import FLUSH_TS, FLUSH_USER
-from streamkit.plans.topics import events_messages, table
-from streamkit.session import work_path
+from streamkit.plans.topics import FLUSH_TS, FLUSH_USER, events_messages, table
+from streamkit.session import FS, work_path
+from streamkit.sources.topic import ENVELOPE_SCHEMA
+from streamkit.streaming.routes import late_router
 from streamkit.streaming.run import drain
 from streamkit.streaming.sinks import SinkSpec, Trigger, start
-from streamkit.streaming.routes import late_router
-from streamkit.sources.topic import ENVELOPE_SCHEMA
-from streamkit.session import FS
 
 
 @query("tumbling_15m", """

@@ -4,7 +4,8 @@ derived from the ``events`` ids, and their quality checks."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from streamkit.plans.common import _h, _TS0, CLICK_SQL, _trip_sql, TRIP_OVERRIDES, PICKUP_ONLY, _many_sql
+
+from streamkit.plans.common import CLICK_SQL, PICKUP_ONLY, TRIP_OVERRIDES, TS0_SQL, hsql, many_sql, trip_sql
 from streamkit.plans.registry import query
 from streamkit.plans.topics import table
 from streamkit.sources import generators as gen
@@ -16,22 +17,22 @@ def gen_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gen.clickstream(spark, table(spark, sf_dir, "events"), id_col="event_id")
 
 
-@query("gen_trips", _trip_sql())
+@query("gen_trips", trip_sql())
 def gen_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One taxi trip per ``events`` row."""
     return gen.trips(spark, table(spark, sf_dir, "events"), id_col="event_id")
 
 
-@query("gen_trips_many", _many_sql(TRIP_OVERRIDES))
+@query("gen_trips_many", many_sql(TRIP_OVERRIDES))
 def gen_trips_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The producer notebook's two override sets, interleaved into one output."""
     return gen.trips_many(spark, table(spark, sf_dir, "events"), TRIP_OVERRIDES, id_col="event_id")
 
 
 @query("gen_temperatures", f"""
-SELECT event_id AS id, CAST({_h(0)} % 265 + 1 AS INTEGER) AS locationId,
-       round(10 + ({_h(1)} % 2001) / 100.0::DOUBLE, 2) AS temperature,
-       {_TS0} + to_seconds({_h(2)} % 86401) AS record_datetime
+SELECT event_id AS id, CAST({hsql(0)} % 265 + 1 AS INTEGER) AS locationId,
+       round(10 + ({hsql(1)} % 2001) / 100.0::DOUBLE, 2) AS temperature,
+       {TS0_SQL} + to_seconds({hsql(2)} % 86401) AS record_datetime
 FROM events
 """)
 def gen_temperatures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +41,7 @@ def gen_temperatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("quality_trips", f"""
-WITH t AS ({_many_sql(TRIP_OVERRIDES + [PICKUP_ONLY])}),
+WITH t AS ({many_sql(TRIP_OVERRIDES + [PICKUP_ONLY])}),
 p AS (SELECT *, try_strptime(pickup_datetime, '%Y-%m-%d %H:%M:%S') AS pu,
                 try_strptime(dropoff_datetime, '%Y-%m-%d %H:%M:%S') AS dof FROM t)
 SELECT variant, count(*) AS rows,

@@ -3,17 +3,16 @@ schema alignment and evolution, file streams."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
 from streamkit.functions import decode, schema
-from streamkit.plans.common import EVENT_COLS, decoded_events, EVENTS_SQL, events_stream, run_parquet
+from streamkit.operators import tables
+from streamkit.plans.common import EVENT_COLS, EVENTS_SQL, decoded_events, events_stream, run_parquet
 from streamkit.plans.registry import query
-from streamkit.plans.topics import EVENTS_PAYLOAD, EVENTS_TOPIC, events_envelope, events_messages, table
+from streamkit.plans.topics import (EVENTS_PAYLOAD, EVENTS_TOPIC, events_envelope, events_messages,
+    table, write_replay)
 from streamkit.session import work_path
 from streamkit.sources.files import stream_files
-from streamkit.operators import tables
-from streamkit.plans.topics import write_replay
 from streamkit.sources.topic import offset_filter, replay_topic
 from streamkit.streaming.routes import quarantine_router
 from streamkit.streaming.run import drain

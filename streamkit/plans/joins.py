@@ -3,14 +3,13 @@ stream-batch enrichment."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
 from streamkit.functions import decode
 from streamkit.operators.joins import enrich, join_interval, join_windowed
-from streamkit.plans.common import state_partitions, events_stream, run_parquet, _h, _TS0, _trip_sql
+from streamkit.plans.common import TS0_SQL, events_stream, hsql, run_parquet, state_partitions, trip_sql
 from streamkit.plans.registry import query
-from streamkit.plans.topics import FLUSH_TS
-from streamkit.plans.topics import table
+from streamkit.plans.topics import FLUSH_TS, table
 from streamkit.session import work_path
 from streamkit.sources import generators as gen
 from streamkit.sources.files import stream_file
@@ -137,13 +136,13 @@ def enrich_orders_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 DROPS_SQL = f"""
-WITH t AS ({_trip_sql()}),
+WITH t AS ({trip_sql()}),
 d AS (SELECT time_bucket(INTERVAL 5 MINUTE, strptime(dropoff_datetime, '%Y-%m-%d %H:%M:%S')) AS window_start,
              count(*) AS drops
       FROM t WHERE DOLocationID = 258 GROUP BY 1),
-r AS (SELECT time_bucket(INTERVAL 5 MINUTE, {_TS0} + to_seconds({_h(2)} % 86401)) AS window_start,
-             min(round(10 + ({_h(1)} % 2001) / 100.0::DOUBLE, 2)) AS min_temperature
-      FROM events WHERE {_h(0)} % 265 + 1 = 258 GROUP BY 1)
+r AS (SELECT time_bucket(INTERVAL 5 MINUTE, {TS0_SQL} + to_seconds({hsql(2)} % 86401)) AS window_start,
+             min(round(10 + ({hsql(1)} % 2001) / 100.0::DOUBLE, 2)) AS min_temperature
+      FROM events WHERE {hsql(0)} % 265 + 1 = 258 GROUP BY 1)
 SELECT d.window_start, d.window_start + INTERVAL 5 MINUTE AS window_end, drops, min_temperature
 FROM d JOIN r ON d.window_start = r.window_start
 """

@@ -3,15 +3,15 @@ compaction, expiry, replay and history, and the consumer notebook end to end."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
 from streamkit.functions import decode
 from streamkit.functions.encode import messages
 from streamkit.operators import tables
-from streamkit.plans.common import EVENT_COLS, EVENTS_SQL, events_stream, run_parquet, CUTOFF, _cutoff, _appended_table, _typed_batches, _trip_sql, TRIP_OVERRIDES, _many_sql
+from streamkit.plans.common import (CUTOFF, EVENT_COLS, EVENTS_SQL, TRIP_OVERRIDES, appended_table,
+    cutoff, events_stream, many_sql, run_parquet, trip_sql, typed_batches)
 from streamkit.plans.registry import query
-from streamkit.plans.topics import table
-from streamkit.plans.topics import write_replay
+from streamkit.plans.topics import table, write_replay
 from streamkit.session import work_path
 from streamkit.sources import generators as gen
 from streamkit.sources.topic import replay_topic
@@ -29,7 +29,7 @@ def merge_insert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     marker: negated value); the whole topic is merged in 10 micro-batches on
     ``event_id``.  Matched rows stay untouched, the rest are inserted."""
     path = work_path(spark, "merge-target")
-    old = table(spark, sf_dir, "events").where(F.col("ts") < _cutoff()).withColumn("value", -F.col("value"))
+    old = table(spark, sf_dir, "events").where(F.col("ts") < cutoff()).withColumn("value", -F.col("value"))
     tables.bootstrap(spark, path, old, EVENT_COLS)
     st = events_stream(spark, sf_dir, batches=10)
     drain(start(st, SinkSpec("table_merge", path=path, keys=["event_id"])))
@@ -48,7 +48,7 @@ def merge_insert_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     event date is a function of the event, so a key never changes day)."""
     path = work_path(spark, "merge-by-day")
     ev = table(spark, sf_dir, "events").withColumn("event_date", F.to_date("ts"))
-    old = ev.where(F.col("ts") < _cutoff()).withColumn("value", -F.col("value"))
+    old = ev.where(F.col("ts") < cutoff()).withColumn("value", -F.col("value"))
     tables.bootstrap(spark, path, old, EVENT_COLS + ["event_date"], partition_by=["event_date"])
     st = events_stream(spark, sf_dir, batches=10).withColumn("event_date", F.to_date("ts"))
     drain(start(st, SinkSpec("table_merge", path=path, keys=["event_id"])))
@@ -87,7 +87,7 @@ def merge_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``evolve`` widens the recorded table schema, and older batches read the
     new column as NULL."""
     path = work_path(spark, "merge-evolve")
-    old = table(spark, sf_dir, "events").where(F.col("ts") < _cutoff()).drop("props")
+    old = table(spark, sf_dir, "events").where(F.col("ts") < cutoff()).drop("props")
     tables.bootstrap(spark, path, old)
     st = events_stream(spark, sf_dir, batches=4)
     drain(start(st, SinkSpec("table_merge", path=path, keys=["event_id"], evolve=True)))
@@ -100,7 +100,7 @@ WHERE NOT coalesce(event_type IN ('error', 'signup'), false)
 """)
 def delete_where(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M7: predicate delete that rewrites only the batches holding matches."""
-    path = _appended_table(spark, sf_dir, "delete", batches=4)
+    path = appended_table(spark, sf_dir, "delete", batches=4)
     tables.delete_where(spark, path, "event_type IN ('error', 'signup')")
     return tables.read(spark, path).select(*EVENT_COLS)
 
@@ -108,7 +108,7 @@ def delete_where(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("compact", EVENTS_SQL)
 def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M9: small-file compaction; the row set is unchanged."""
-    path = _appended_table(spark, sf_dir, "compact", batches=8)
+    path = appended_table(spark, sf_dir, "compact", batches=8)
     tables.compact(spark, path, rows_per_file=2000)
     return tables.read(spark, path).select(*EVENT_COLS)
 
@@ -117,7 +117,7 @@ def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def expire(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M6: after compaction, expiry with zero retention removes only what no
     committed batch references; the row set is unchanged."""
-    path = _appended_table(spark, sf_dir, "expire", batches=4)
+    path = appended_table(spark, sf_dir, "expire", batches=4)
     tables.compact(spark, path, rows_per_file=5000)
     tables.expire(spark, path, retention_hours=0)
     return tables.read(spark, path).select(*EVENT_COLS)
@@ -155,8 +155,8 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("trip_merge_counts", f"""
-WITH raw AS ({_trip_sql()}),
-s AS ({_many_sql(TRIP_OVERRIDES)})
+WITH raw AS ({trip_sql()}),
+s AS ({many_sql(TRIP_OVERRIDES)})
 SELECT (SELECT count(*) FROM raw WHERE dispatching_base_num IN {CHECK_BASES}) AS before_cnt,
        (SELECT count(*) FROM raw WHERE dispatching_base_num IN {CHECK_BASES})
        + (SELECT count(*) FROM s WHERE NOT EXISTS (
@@ -199,7 +199,7 @@ WHERE event_type IN ('purchase', 'signup', 'view')
 """)
 def replay_from_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table read back as a stream from batch 2 on."""
-    path = _typed_batches(spark, sf_dir, "replay")
+    path = typed_batches(spark, sf_dir, "replay")
     st = tables.replay(spark, path, from_batch=2, stream=True, max_files_per_trigger=2)
     return run_parquet(st.select(*EVENT_COLS), "replayed")
 
@@ -213,4 +213,4 @@ FROM events GROUP BY event_type
 """)
 def table_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch-addressable history: one row per committed batch with its row count."""
-    return tables.history(spark, _typed_batches(spark, sf_dir, "history"))
+    return tables.history(spark, typed_batches(spark, sf_dir, "history"))

@@ -6,12 +6,12 @@ the session's shared folder, read back as a file stream.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streamkit.functions.encode import envelope, messages
 from streamkit.session import FS, use_utc, work_path
 
+
 # Payload schema of an ``events`` message and its topic layout.
 EVENTS_TOPIC = "events"
 EVENTS_PAYLOAD = "event_id BIGINT, ts STRING, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
