@@ -41,3 +41,44 @@ def test_generators_respect_contracts_for_any_ids(spark, ids):
     assert all(c[f] == 0 for f in c.__fields__ if f.startswith("bad_"))
     t = quality.summary(quality.trip_rules(gen.trips(spark, df))).first()
     assert t.bad_order == 0 and t.bad_parse == 0 and t.bad_pickup_zone == 0 and t.bad_dropoff_zone == 0
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 20000)), min_size=1, max_size=60),
+       lower=st.integers(-3000, 1000), width=st.integers(1, 5000), bucket=st.one_of(st.none(), st.integers(1, 4000)),
+       how=st.sampled_from(["inner", "left"]))
+def test_interval_join_equals_brute_force(spark, rows, lower, width, bucket, how):
+    from streamkit.operators.joins import join_interval
+    upper = lower + width
+    data = [(i, u, t) for i, (u, t) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id long, u long, t long").withColumn("ts", F.timestamp_seconds("t")).drop("t")
+    got = join_interval(df, df, keys=["u"], left_time="ts", right_time="ts", lower_seconds=lower,
+                        upper_seconds=upper, bucket_seconds=bucket, how=how).select("l_id", "r_id").collect()
+    pairs = [(a[0], b[0]) for a in data for b in data if a[1] == b[1] and a[2] + lower <= b[2] <= a[2] + upper]
+    if how == "left":
+        matched = {p[0] for p in pairs}
+        pairs += [(a[0], None) for a in data if a[0] not in matched]
+    key = lambda p: (p[0], -1 if p[1] is None else p[1])
+    assert sorted(((r.l_id, r.r_id) for r in got), key=key) == sorted(pairs, key=key)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 50000)), min_size=1, max_size=80),
+       gap=st.integers(1, 3000), per_chunk=st.integers(1, 30))
+def test_sessions_equal_brute_force(spark, rows, gap, per_chunk):
+    from streamkit.operators.windows import sessions
+    df = spark.createDataFrame(rows, "u long, t long").withColumn("ts", F.timestamp_seconds("t"))
+    got = sessions(df, "ts", gap, keys=["u"], rows_per_chunk=per_chunk).collect()
+    want = []
+    for u in sorted({r[0] for r in rows}):
+        ts = sorted(t for uu, t in rows if uu == u)
+        start, last, n = ts[0], ts[0], 1
+        for t in ts[1:]:
+            if t - last > gap:
+                want.append((u, start, last + gap, n))
+                start, n = t, 0
+            last = t
+            n += 1
+        want.append((u, start, last + gap, n))
+    assert sorted((r.u, int(r.window_start.timestamp()), int(r.window_end.timestamp()), r.events)
+                  for r in got) == sorted(want)
