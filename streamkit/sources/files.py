@@ -28,13 +28,19 @@ def stream_files(spark: SparkSession, path: str, *, format: str = "json", schema
     reader = spark.readStream.format(format)
     if schema is not None:
         reader = reader.schema(resolve_schema(schema))
-    elif spark.conf.get("spark.sql.streaming.schemaInference", "false") != "true":
-        spark.conf.set("spark.sql.streaming.schemaInference", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    return reader.load(path)
+    if schema is not None:
+        return reader.load(path)
+    key = "spark.sql.streaming.schemaInference"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")           # read once, when the stream is defined
+    try:
+        return reader.load(path)
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def stream_file(spark: SparkSession, file_path: str, *, format: str = "parquet", schema=None,
