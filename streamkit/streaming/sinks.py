@@ -148,14 +148,10 @@ def _merge_fn(spec: SinkSpec) -> Callable[[DataFrame, int], None]:
     qid = stream_id()
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        # evaluated once: counting, the key check and the write reuse it
-        batch = batch.persist()
-        try:
-            tables.merge_insert(batch, spec.path, spec.keys, stream_id=qid(batch), batch_id=epoch_id,
-                                dedupe_source=spec.dedupe_source, null_safe=spec.null_safe,
-                                evolve=spec.evolve)
-        finally:
-            batch.unpersist()
+        # merge_insert persists the micro-batch: stats, keys and write reuse it
+        tables.merge_insert(batch, spec.path, spec.keys, stream_id=qid(batch), batch_id=epoch_id,
+                            dedupe_source=spec.dedupe_source, null_safe=spec.null_safe,
+                            evolve=spec.evolve)
     return run
 
 
