@@ -1,14 +1,17 @@
 """Batch-addressable parquet tables with replay-safe maintenance.
 
-Layout: ``<path>/stream_id=<writer>/batch_id=<n>/part-*.parquet``.  Every
-write replaces exactly the partitions it produces (dynamic partition
-overwrite, Spark's own commit protocol), so re-running a micro-batch after
-a failure rewrites its own output instead of adding to it.
+Layout: ``<path>/stream_id=<writer>/batch_id=<n>/[<col>=<v>/]part-*.parquet``
+with optional data partition columns (``partition_by``) below each batch,
+and ``_schema.json`` recording the row schema.  Every write replaces
+exactly the partitions it produces (dynamic partition overwrite, Spark's
+own commit protocol), so re-running a micro-batch after a failure rewrites
+its own output instead of adding to it.
 
 * ``merge_insert`` -- insert-only MERGE: source rows whose key is not in the
   target are appended (``whenNotMatchedInsertAll``); matched rows are left
-  alone.  The target is first reduced to the batch's keys with a semi-join
-  (broadcast only under a checked key count), then anti-joined.
+  alone.  The target scan is pruned to the batch's key range (and partition
+  values), reduced to the batch's keys with a semi-join (broadcast only
+  under a checked key count), then anti-joined.
 * ``delete_where`` -- rewrites only the batches holding matching rows.
 * ``compact`` -- rewrites batches into files of about ``rows_per_file``
   rows, salting each batch by a row hash so a hot batch is spread over many
