@@ -19,12 +19,7 @@ from streamkit.streaming.run import drain
 from streamkit.streaming.sinks import SinkSpec, Trigger, start
 
 
-@query("tumbling_15m", """
-SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS window_start,
-       time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE AS window_end,
-       max(value) AS max_value, count(*) AS events
-FROM events GROUP BY 1, 2
-""")
+@query("tumbling_15m", TUMBLING_SQL)
 def tumbling_15m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Max value and count per 15-minute tumbling window (batch)."""
     ev = table(spark, sf_dir, "events")
@@ -32,12 +27,7 @@ def tumbling_15m(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                F.count(F.lit(1)).alias("events")])
 
 
-@query("tumbling_15m_stream", """
-SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS window_start,
-       time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE AS window_end,
-       max(value) AS max_value, count(*) AS events
-FROM events GROUP BY 1, 2
-""")
+@query("tumbling_15m_stream", TUMBLING_SQL)
 def tumbling_15m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """15-minute windows, 2-minute watermark, append mode to parquet."""
     st = events_stream(spark, sf_dir, flush_types=[None])

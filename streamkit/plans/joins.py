@@ -15,14 +15,17 @@ from streamkit.sources import generators as gen
 from streamkit.sources.files import stream_file
 
 
-@query("window_join_5m", """
+WINDOW_JOIN_SQL = """
 WITH c AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, count(*) AS clicks
            FROM events WHERE event_type = 'click' GROUP BY 1),
      v AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, min(value) AS min_view_value
            FROM events WHERE event_type = 'view' GROUP BY 1)
 SELECT c.window_start, c.window_start + INTERVAL 5 MINUTE AS window_end, clicks, min_view_value
 FROM c JOIN v ON c.window_start = v.window_start
-""")
+"""
+
+
+@query("window_join_5m", WINDOW_JOIN_SQL)
 def window_join_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two 5-minute window aggregates of one stream, joined (stream-stream)."""
     st = events_stream(spark, sf_dir, flush_types=["click", "view"])
@@ -34,14 +37,7 @@ def window_join_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.where(F.col("window_start") < F.to_timestamp_ntz(F.lit(FLUSH_TS)))
 
 
-@query("window_join_5m_batch", """
-WITH c AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, count(*) AS clicks
-           FROM events WHERE event_type = 'click' GROUP BY 1),
-     v AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, min(value) AS min_view_value
-           FROM events WHERE event_type = 'view' GROUP BY 1)
-SELECT c.window_start, c.window_start + INTERVAL 5 MINUTE AS window_end, clicks, min_view_value
-FROM c JOIN v ON c.window_start = v.window_start
-""")
+@query("window_join_5m_batch", WINDOW_JOIN_SQL)
 def window_join_5m_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2 batch twin."""
     ev = table(spark, sf_dir, "events")
