@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamkit.operators.windows import MICROS, _is_ntz, flatten_window, window_groups, with_event_time
+from streamkit.operators.windows import MICROS, is_ntz, flatten_window, window_groups, with_event_time
 
 # broadcast a dimension only when it has at most this many rows (checked)
 DEFAULT_BROADCAST_ROWS = 1_000_000
@@ -32,7 +32,7 @@ def join_windowed(left: DataFrame, right: DataFrame, *, left_time: str, right_ti
     keys = list(keys)
     la = window_groups(left, left_time, size, left_aggs, keys=keys, delay=delay)
     ra = window_groups(right, right_time, size, right_aggs, keys=keys, delay=delay)
-    return flatten_window(la.join(ra, ["_w", *keys], how), _is_ntz(left, left_time))
+    return flatten_window(la.join(ra, ["_w", *keys], how), is_ntz(left, left_time))
 
 
 def _floor_div(x: Column, d: int) -> Column:
@@ -62,7 +62,7 @@ def join_interval(left: DataFrame, right: DataFrame, *, keys: list[str], left_ti
         raise ValueError("how must be 'inner' or 'left'")
     width = int(bucket_seconds or max(1, upper_seconds - lower_seconds))
     lo_us, hi_us, w_us = lower_seconds * MICROS, upper_seconds * MICROS, width * MICROS
-    ntz_l, ntz_r = _is_ntz(left, left_time), _is_ntz(right, right_time)
+    ntz_l, ntz_r = is_ntz(left, left_time), is_ntz(right, right_time)
     if left.isStreaming or right.isStreaming:
         left = with_event_time(left, left_time, delay)
         right = with_event_time(right, right_time, delay)

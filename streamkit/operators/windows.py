@@ -19,13 +19,13 @@ from streamkit.session import shared_dir
 MICROS = 1_000_000
 
 
-def _is_ntz(df: DataFrame, col: str) -> bool:
+def is_ntz(df: DataFrame, col: str) -> bool:
     return isinstance(df.schema[col].dataType, T.TimestampNTZType)
 
 
 def with_event_time(df: DataFrame, col: str, delay: str | None) -> DataFrame:
     """Cast ``col`` to ``timestamp`` if needed and set the watermark ``delay``."""
-    out = df.withColumn(col, F.col(col).cast("timestamp")) if _is_ntz(df, col) else df
+    out = df.withColumn(col, F.col(col).cast("timestamp")) if is_ntz(df, col) else df
     return out.withWatermark(col, delay) if delay else out
 
 
@@ -48,7 +48,7 @@ def window_agg(df: DataFrame, time_col: str, size: str, aggs: list[Column], *,
     mode then emits a window once the watermark passes its end.
     """
     return _flatten_window(window_groups(df, time_col, size, aggs, keys=keys, slide=slide, delay=delay),
-                           "_w", _is_ntz(df, time_col))
+                           "_w", is_ntz(df, time_col))
 
 
 def window_groups(df: DataFrame, time_col: str, size: str, aggs: list[Column], *,
@@ -69,7 +69,7 @@ def flatten_window(df: DataFrame, ntz: bool, wcol: str = "_w") -> DataFrame:
 def session_agg(df: DataFrame, time_col: str, gap: str, aggs: list[Column], *,
                 keys: Iterable[str] = (), delay: str | None = None) -> DataFrame:
     """Session windows with Spark's ``session_window`` (streaming path)."""
-    ntz = _is_ntz(df, time_col)
+    ntz = is_ntz(df, time_col)
     src = with_event_time(df, time_col, delay) if (df.isStreaming or delay) else df
     out = src.groupBy(F.session_window(time_col, gap).alias("_w"), *keys).agg(*aggs)
     return _flatten_window(out, "_w", ntz)
@@ -99,7 +99,7 @@ def sessions(df: DataFrame, time_col: str, gap_seconds: int, *, keys: list[str],
     """
     from streamkit.operators.joins import fits
 
-    ntz = _is_ntz(df, time_col)
+    ntz = is_ntz(df, time_col)
     gap_us = int(gap_seconds) * MICROS
     x = df.withColumn("_t", _micros(df, time_col))
     if not keys:
