@@ -3,6 +3,8 @@ watermarks, late rows, de-duplication, streaming aggregation."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from streamkit.operators import tables
@@ -187,11 +189,26 @@ def late_rows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     main, late, state, ck = (work_path(spark, n) for n in ("late-main", "late-side", "late-state", "late-ck"))
     router = late_router(main, late, state, time_col="ts", delay_seconds=120)
     schema = T.StructType(ENVELOPE_SCHEMA.fields + [T.StructField("arrival_group", T.LongType())])
-    for g in groups:
-        fs.rename(f"{staging}/arrival_group={g}", f"{topic}/arrival_group={g}")
-        st = spark.readStream.schema(schema).parquet(topic)
-        drain(start(decoded_events(st), SinkSpec("foreach_batch", fn=router, checkpoint=ck,
-                                                 trigger=Trigger.available_now())))
+    done: list[int] = []
+
+    def route(batch: DataFrame, epoch_id: int) -> None:
+        router(batch, epoch_id)
+        done.append(epoch_id)
+
+    st = spark.readStream.schema(schema).parquet(topic)
+    q = start(decoded_events(st), SinkSpec("foreach_batch", fn=route, checkpoint=ck,
+                                           trigger=Trigger.every(0.2)))
+    try:
+        for i, g in enumerate(groups):   # one running query; each group is one micro-batch
+            # folder rename publishes a whole group at once (atomic on HDFS and
+            # local file systems; on object stores a topic belongs in Kafka)
+            fs.rename(f"{staging}/arrival_group={g}", f"{topic}/arrival_group={g}")
+            while len(done) <= i:        # publish the next group only after this one ran
+                q.processAllAvailable()
+                if len(done) <= i:
+                    time.sleep(0.05)
+    finally:
+        drain(q)
     on_time = tables.read(spark, main).select("event_id", F.lit(False).alias("is_late"))
     aside = tables.read(spark, late).select("event_id", F.lit(True).alias("is_late"))
     return on_time.unionByName(aside)
