@@ -541,6 +541,18 @@ def expire(spark: SparkSession, path: str, *, retention_hours: float = 168.0,
     return removed
 
 
+def as_of(spark: SparkSession, path: str, batch_id: int, *, stream_id: str | None = None) -> DataFrame:
+    """The table as it stood after ``batch_id`` of ``stream_id`` (or of every
+    writer): later batches are left out by partition pruning.  Exact for
+    insert-only tables; after a delete or compaction the rewritten batches
+    hold their current rows."""
+    t = read(spark, path)
+    upto = F.col(BATCH_COL) <= int(batch_id)
+    if stream_id is not None:
+        upto = (F.col(STREAM_COL) != str(stream_id)) | upto
+    return t.where(upto)
+
+
 def replay(spark: SparkSession, path: str, *, from_batch: int = 0, stream_id: str | None = None,
            stream: bool = False, max_files_per_trigger: int | None = None) -> DataFrame:
     """Read the table back from a batch on, as a batch or a file stream."""

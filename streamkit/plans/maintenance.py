@@ -204,6 +204,16 @@ def replay_from_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_parquet(st.select(*EVENT_COLS), "replayed")
 
 
+@query("table_as_of", """
+SELECT event_id, ts, user_id, event_type, value, props FROM events
+WHERE event_type IN ('click', 'error', 'purchase')
+""")
+def table_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch-addressable history: the table as it stood after batch 2."""
+    path = typed_batches(spark, sf_dir, "as-of")
+    return tables.as_of(spark, path, 2, stream_id="loader").select(*EVENT_COLS)
+
+
 @query("table_history", """
 SELECT 'loader' AS stream_id,
        CAST(CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHEN 'purchase' THEN 2

@@ -90,3 +90,14 @@ def test_audit_counts(spark):
     both = audit.counts(ev, clicks="event_type = 'click'", buys=F.col("event_type") == "purchase").first()
     assert both.total == 1000 and both.clicks + both.buys == one
     assert audit.delta_count(3, 5) == {"before": 3, "after": 5, "delta": 2}
+
+
+def test_as_of_prunes_later_batches(spark, tmp_path):
+    from streamkit.operators import tables
+    path = str(tmp_path / "t")
+    for b in range(4):
+        tables.write_batch(spark.range(b * 10, b * 10 + 10).withColumnRenamed("id", "k"), path, "s", b)
+    df = tables.as_of(spark, path, 1, stream_id="s")
+    assert sorted(r.k for r in df.collect()) == list(range(20))
+    p = plan(df)
+    assert "PartitionFilters: [" in p and "batch_id" in p.split("PartitionFilters: [")[1].split("]")[0]
