@@ -112,6 +112,24 @@ def widen(a: T.StructType, b: T.StructType) -> T.StructType:
     return T.StructType(fields)
 
 
+def conform(c: Column, src: T.DataType, dst: T.DataType) -> Column:
+    """Column ``c`` of type ``src`` reshaped to ``dst``: structs are rebuilt
+    field by field (missing fields NULL, extra ones dropped, a NULL struct
+    stays NULL), arrays of structs element by element, anything else cast."""
+    if src == dst:
+        return c
+    if isinstance(src, T.StructType) and isinstance(dst, T.StructType):
+        names = set(src.fieldNames())
+        rebuilt = F.struct(*[
+            (conform(c.getField(f.name), src[f.name].dataType, f.dataType) if f.name in names
+             else F.lit(None).cast(f.dataType)).alias(f.name) for f in dst.fields])
+        return F.when(c.isNull(), F.lit(None).cast(dst)).otherwise(rebuilt)
+    if isinstance(src, T.ArrayType) and isinstance(dst, T.ArrayType) and \
+            isinstance(src.elementType, T.StructType) and isinstance(dst.elementType, T.StructType):
+        return F.transform(c, lambda e: conform(e, src.elementType, dst.elementType))
+    return c.cast(dst)
+
+
 def align(df: DataFrame, target: T.StructType | DataFrame, *, keep_extra: bool = False) -> DataFrame:
     """Shape ``df`` like ``target``: missing columns become typed NULLs, shared
     columns are cast to the target type, output follows the target's order.
@@ -124,9 +142,7 @@ def align(df: DataFrame, target: T.StructType | DataFrame, *, keep_extra: bool =
     cols: list[Column] = []
     for f in t.fields:
         if f.name in have:
-            src_type = df.schema[f.name].dataType
-            c = F.col(f"`{f.name}`")
-            cols.append((c if src_type == f.dataType else c.cast(f.dataType)).alias(f.name))
+            cols.append(conform(F.col(f"`{f.name}`"), df.schema[f.name].dataType, f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     if keep_extra:

@@ -44,3 +44,15 @@ def test_evolve_json_keeps_unknown_fields(spark):
     assert out[1]._rest == {}
     fields = {r.field: r.rows for r in S.unknown_fields(S.evolve_json(df, "j", "a INT")).collect()}
     assert fields == {"b": 1, "new": 1}
+
+
+def test_align_rebuilds_nested_structs(spark):
+    a = T.StructType.fromDDL("x INT, s STRUCT<a: INT, b: STRING>, l ARRAY<STRUCT<p: INT>>")
+    b = T.StructType.fromDDL("x BIGINT, s STRUCT<a: BIGINT, c: DOUBLE>, l ARRAY<STRUCT<p: BIGINT, q: STRING>>")
+    w = S.widen(a, b)
+    assert w.simpleString() == ("struct<x:bigint,s:struct<a:bigint,b:string,c:double>,"
+                                "l:array<struct<p:bigint,q:string>>>")
+    df = spark.createDataFrame([(1, (2, "z"), [(3,)]), (2, None, None)], a)
+    rows = S.align(df, w).orderBy("x").collect()
+    assert rows[0].s.asDict() == {"a": 2, "b": "z", "c": None} and rows[0].l[0].asDict() == {"p": 3, "q": None}
+    assert rows[1].s is None and rows[1].l is None            # a NULL struct stays NULL

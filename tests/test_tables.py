@@ -207,3 +207,12 @@ def test_type_widening_on_evolve(spark, tmp):
                         stream_id="s", batch_id=0, evolve=True)
     assert tables.stored_schema(spark, path).simpleString() == "struct<k:bigint,v:double>"
     assert sorted(tuple(r) for r in tables.read(spark, path).select("k", "v").collect()) == [(1, 1.5), (2, 2.5)]
+
+
+def test_nested_field_added_on_evolve(spark, tmp):
+    path = f"{tmp}/t"
+    tables.overwrite(spark.createDataFrame([(1, (1, "a"))], "k int, s struct<a:int,b:string>"), path)
+    tables.merge_insert(spark.createDataFrame([(2, (2, "b", 2.5))], "k int, s struct<a:int,b:string,c:double>"),
+                        path, ["k"], stream_id="s", batch_id=0, evolve=True)
+    rows = {r.k: r.s.asDict() for r in tables.read(spark, path).collect()}
+    assert rows == {1: {"a": 1, "b": "a", "c": None}, 2: {"a": 2, "b": "b", "c": 2.5}}
