@@ -98,7 +98,7 @@ CLICK_SQL = f"""
 WITH g AS (SELECT event_id, {sql_list(gen.CLICK_EVENT_TYPES)}[{hsql(1)} % 5 + 1] AS event_type FROM events)
 SELECT event_id AS id,
        CAST({hsql(0)} % 5 + 1 AS INTEGER) AS user_id,
-       strftime({TS0_SQL} + to_seconds((event_id % {gen.CLICK_PERIOD}) * {gen.CLICK_STEP_S} + {hsql(7)} % {gen.CLICK_STEP_S}), '%Y-%m-%d %H:%M:%S') AS timestamp,
+       strftime({TS0_SQL} + to_seconds((((event_id % {gen.CLICK_PERIOD}) + {gen.CLICK_PERIOD}) % {gen.CLICK_PERIOD}) * {gen.CLICK_STEP_S} + {hsql(7)} % {gen.CLICK_STEP_S}), '%Y-%m-%d %H:%M:%S') AS timestamp,
        event_type,
        CASE WHEN event_type IN ('page_view', 'click') THEN {sql_list(gen.CLICK_PAGES)}[{hsql(2)} % 5 + 1] END AS page,
        CASE WHEN event_type = 'click' THEN 'button' || CAST({hsql(3)} % 50 + 1 AS VARCHAR) END AS element,

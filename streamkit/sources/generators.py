@@ -35,8 +35,9 @@ WIRE_TS = "yyyy-MM-dd HH:mm:ss"
 
 
 def field_hash(id_col: Column, k: int) -> Column:
-    """Non-negative pseudo-random BIGINT in [0, HASH_PRIME) for field k."""
-    return ((id_col.cast("bigint") % HASH_PRIME) * MULTIPLIERS[k] + INCREMENTS[k]) % HASH_PRIME
+    """Non-negative pseudo-random BIGINT in [0, HASH_PRIME) for field k (any id,
+    negative ones included)."""
+    return (F.pmod(id_col.cast("bigint"), F.lit(HASH_PRIME)) * MULTIPLIERS[k] + INCREMENTS[k]) % HASH_PRIME
 
 
 def _pick(values: list[str], h: Column) -> Column:
@@ -79,7 +80,7 @@ def clickstream(spark: SparkSession, ids: int | DataFrame, *, id_col: str = "id"
     i = F.col("_id")
     et = _pick(CLICK_EVENT_TYPES, field_hash(i, 1))
     shopping = F.col("event_type").isin("add_to_cart", "purchase")
-    secs = (i % CLICK_PERIOD) * CLICK_STEP_S + field_hash(i, 7) % CLICK_STEP_S
+    secs = F.pmod(i, F.lit(CLICK_PERIOD)) * CLICK_STEP_S + field_hash(i, 7) % CLICK_STEP_S
     out = (base.select(i, et.alias("event_type"))
            .select(
                *( [i.alias("id")] if keep_id else [] ),
@@ -169,4 +170,5 @@ def rate_events(spark: SparkSession, kind: str, rows_per_second: int, *,
 
 def hash_sql(id_expr: str, k: int) -> str:
     """``field_hash`` written as SQL, for oracles and SQL users."""
-    return f"((({id_expr}) % {HASH_PRIME}) * {MULTIPLIERS[k]} + {INCREMENTS[k]}) % {HASH_PRIME}"
+    return (f"((((({id_expr}) % {HASH_PRIME}) + {HASH_PRIME}) % {HASH_PRIME}) * {MULTIPLIERS[k]}"
+            f" + {INCREMENTS[k]}) % {HASH_PRIME}")

@@ -36,3 +36,10 @@ def test_temperatures_ranges(spark):
     t = gen.temperatures(spark, 3000).agg(F.min("temperature"), F.max("temperature"),
                                           F.min("locationId"), F.max("locationId")).first()
     assert 10 <= t[0] and t[1] <= 30 and 1 <= t[2] and t[3] <= 265
+
+
+def test_negative_ids_generate_valid_events(spark):
+    ids = spark.createDataFrame([(-1,), (-1000003,), (-7,)], "id bigint")
+    c = quality.summary(quality.clickstream_rules(gen.clickstream(spark, ids))).first()
+    assert c.rows == 3 and all(c[f] == 0 for f in c.__fields__ if f.startswith("bad_"))
+    assert gen.trips(spark, ids).where("PULocationID < 1").count() == 0
