@@ -198,3 +198,11 @@ def test_schema_evolution_stop_widen_restart(spark, tmp):
     run.drain(start(v2, SinkSpec("table_append", path=out, checkpoint=ck, evolve=True)))
     got = sorted((r.k, r.note) for r in tables.read(spark, out).collect())
     assert got == [(1, None), (2, "new")]
+
+
+def test_progress_of_idle_query_is_empty_frame(spark, tmp):
+    os.makedirs(f"{tmp}/empty")
+    q = start(_stream(spark, f"{tmp}/empty"), SinkSpec("memory", name="idle_q", trigger=Trigger.once()))
+    run.drain(q)
+    p = run.progress(spark, q)
+    assert "batch_id" in p.columns and p.where("input_rows > 0").count() == 0

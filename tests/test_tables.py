@@ -216,3 +216,18 @@ def test_nested_field_added_on_evolve(spark, tmp):
                         path, ["k"], stream_id="s", batch_id=0, evolve=True)
     rows = {r.k: r.s.asDict() for r in tables.read(spark, path).collect()}
     assert rows == {1: {"a": 1, "b": "a", "c": None}, 2: {"a": 2, "b": "b", "c": 2.5}}
+
+
+def test_compact_named_batches_and_delete_by_batch(spark, tmp):
+    path = f"{tmp}/t"
+    for b in range(3):
+        tables.write_batch(spark.range(b * 100, b * 100 + 100).withColumnRenamed("id", "k").repartition(5),
+                           path, "s", b)
+    before = sorted(r.k for r in tables.read(spark, path).collect())
+    assert tables.compact(spark, path, rows_per_file=1000, batches=[("s", 1)]) == 1
+    files = [f for f in os.listdir(f"{path}/stream_id=s/batch_id=1") if f.endswith(".parquet")]
+    assert len(files) == 1
+    assert sorted(r.k for r in tables.read(spark, path).collect()) == before
+    assert tables.delete_where(spark, path, "batch_id = 2") == 1          # a predicate on the layout only
+    assert not os.path.exists(f"{path}/stream_id=s/batch_id=2")
+    assert tables.read(spark, path).count() == 200
