@@ -39,13 +39,16 @@ def tumbling_15m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.where(F.col("window_start") < F.to_timestamp_ntz(F.lit(FLUSH_TS)))
 
 
-@query("sliding_window", """
+SLIDING_SQL = """
 SELECT ws AS window_start, ws + INTERVAL 15 MINUTE AS window_end, max(value) AS max_value, count(*) AS events
 FROM (SELECT value, unnest(generate_series(time_bucket(INTERVAL 5 MINUTE, ts) - INTERVAL 10 MINUTE,
                                           time_bucket(INTERVAL 5 MINUTE, ts), INTERVAL 5 MINUTE)) AS ws
       FROM events)
 GROUP BY 1, 2
-""")
+"""
+
+
+@query("sliding_window", SLIDING_SQL)
 def sliding_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """15-minute windows sliding every 5 minutes."""
     ev = table(spark, sf_dir, "events")
@@ -53,6 +56,31 @@ def sliding_window(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                F.count(F.lit(1)).alias("events")], slide="5 minutes")
 
 
+@query("sliding_window_stream", SLIDING_SQL)
+def sliding_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W5 streaming: 15-minute windows sliding every 5 minutes, 2-minute
+    watermark, append mode (an end-of-input marker closes the last windows)."""
+    st = events_stream(spark, sf_dir, flush_types=[None])
+    agg = window_agg(st, "ts", "15 minutes", [F.max("value").alias("max_value"),
+                                              F.count(F.lit(1)).alias("events")],
+                     slide="5 minutes", delay="2 minutes")
+    out = run_parquet(agg, "sliding", partitions=state_partitions(spark, sf_dir))
+    return out.where(F.col("window_end") <= F.to_timestamp_ntz(F.lit(FLUSH_TS)))
+
+
+@query("tumbling_by_type", """
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+       time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+       event_type, count(*) AS events, max(value) AS max_value, count(DISTINCT user_id) AS users
+FROM events GROUP BY 1, 2, event_type
+""")
+def tumbling_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 with a grouping key: hourly windows per event type, with distinct users."""
+    ev = table(spark, sf_dir, "events")
+    return window_agg(ev, "ts", "1 hour", [F.count(F.lit(1)).alias("events"), F.max("value").alias("max_value"),
+                                           F.countDistinct("user_id").alias("users")], keys=["event_type"])
+
+
 SESSION_SQL = """
 WITH g AS (
   SELECT user_id, ts, value,
