@@ -55,11 +55,11 @@ def write_topic(df: DataFrame, topic: str, *, bootstrap_servers: str,
                 checkpoint: str | None = None):
     """Kafka sink for a batch or streaming envelope (``key``, ``value``)."""
     if df.isStreaming:
-        w = (df.select("key", "value").writeStream.format("kafka")
-             .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic))
-        if checkpoint:
-            w = w.option("checkpointLocation", checkpoint)
-        return w.start()
+        from streamkit.session import work_path
+        return (df.select("key", "value").writeStream.format("kafka")
+                  .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic)
+                  .option("checkpointLocation", checkpoint or work_path(df.sparkSession, f"checkpoint-kafka-{topic}"))
+                  .start())
     (df.select("key", "value").write.format("kafka")
        .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic).save())
     return None
