@@ -350,7 +350,7 @@ def _orderable(dt: T.DataType) -> bool:
 def merge_insert(batch: DataFrame, path: str, keys: list[str], *, stream_id: str,
                  batch_id: int, dedupe_source: bool = False, null_safe: bool = False,
                  broadcast_keys: int = DEFAULT_BROADCAST_KEYS,
-                 evolve: bool = False) -> DataFrame:
+                 evolve: bool = False, rows_per_file: int | None = None) -> DataFrame:
     """Insert-only MERGE of one batch, replay-safe.
 
     Reads the target without this writer's batches >= ``batch_id`` (so a
@@ -366,14 +366,15 @@ def merge_insert(batch: DataFrame, path: str, keys: list[str], *, stream_id: str
     try:
         return _merge_insert(source, path, keys, stream_id=stream_id, batch_id=batch_id,
                              dedupe_source=dedupe_source, null_safe=null_safe,
-                             broadcast_keys=broadcast_keys, evolve=evolve)
+                             broadcast_keys=broadcast_keys, evolve=evolve, rows_per_file=rows_per_file)
     finally:
         if cached_here:
             source.unpersist()
 
 
 def _merge_insert(batch: DataFrame, path: str, keys: list[str], *, stream_id: str, batch_id: int,
-                  dedupe_source: bool, null_safe: bool, broadcast_keys: int, evolve: bool) -> DataFrame:
+                  dedupe_source: bool, null_safe: bool, broadcast_keys: int, evolve: bool,
+                  rows_per_file: int | None) -> DataFrame:
     spark = batch.sparkSession
     target = None
     if exists(spark, path):
@@ -395,7 +396,7 @@ def _merge_insert(batch: DataFrame, path: str, keys: list[str], *, stream_id: st
             target = _prune_partitions(batch, target, pcols)
     rows = new_rows(batch, target, keys, dedupe_source=dedupe_source, null_safe=null_safe,
                     broadcast_keys=broadcast_keys)
-    write_batch(rows, path, stream_id, batch_id)
+    write_batch(rows, path, stream_id, batch_id, rows_per_file=rows_per_file)
     return rows
 
 

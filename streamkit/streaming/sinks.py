@@ -97,6 +97,8 @@ class SinkSpec:
     # first start, so size it for the target volume
     state_store: str | None = None
     state_partitions: int | None = None
+    # table sinks: cap rows per output file (maxRecordsPerFile)
+    rows_per_file: int | None = None
 
     def validate(self, df: DataFrame) -> None:
         if self.kind not in KINDS:
@@ -136,11 +138,12 @@ def stream_id() -> Callable[[DataFrame], str]:
     return get
 
 
-def _append_fn(path: str, evolve: bool) -> Callable[[DataFrame, int], None]:
+def _append_fn(spec: SinkSpec) -> Callable[[DataFrame, int], None]:
     qid = stream_id()
 
     def run(batch: DataFrame, epoch_id: int) -> None:
-        tables.write_batch(batch, path, qid(batch), epoch_id, evolve=evolve)
+        tables.write_batch(batch, spec.path, qid(batch), epoch_id, evolve=spec.evolve,
+                           rows_per_file=spec.rows_per_file)
     return run
 
 
@@ -151,7 +154,7 @@ def _merge_fn(spec: SinkSpec) -> Callable[[DataFrame, int], None]:
         # merge_insert persists the micro-batch: stats, keys and write reuse it
         tables.merge_insert(batch, spec.path, spec.keys, stream_id=qid(batch), batch_id=epoch_id,
                             dedupe_source=spec.dedupe_source, null_safe=spec.null_safe,
-                            evolve=spec.evolve)
+                            evolve=spec.evolve, rows_per_file=spec.rows_per_file)
     return run
 
 
@@ -210,7 +213,7 @@ def _start(df: DataFrame, spec: SinkSpec) -> StreamingQuery:
     if spec.kind == "kafka":
         return w.format("kafka").outputMode(spec.mode).start()
     if spec.kind == "table_append":
-        return w.outputMode(spec.mode).foreachBatch(_append_fn(spec.path, spec.evolve)).start()
+        return w.outputMode(spec.mode).foreachBatch(_append_fn(spec)).start()
     if spec.kind == "table_merge":
         return w.outputMode(spec.mode).foreachBatch(_merge_fn(spec)).start()
     return w.outputMode(spec.mode).foreachBatch(spec.fn).start()

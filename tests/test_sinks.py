@@ -206,3 +206,12 @@ def test_progress_of_idle_query_is_empty_frame(spark, tmp):
     run.drain(q)
     p = run.progress(spark, q)
     assert "batch_id" in p.columns and p.where("input_rows > 0").count() == 0
+
+
+def test_table_sinks_cap_rows_per_file(spark, tmp):
+    spark.range(100).select(F.col("id").alias("k"), F.lit("v").alias("v")).coalesce(1).write.parquet(f"{tmp}/in")
+    run.drain(start(_stream(spark, f"{tmp}/in"), SinkSpec("table_append", path=f"{tmp}/a", rows_per_file=30)))
+    run.drain(start(_stream(spark, f"{tmp}/in"), SinkSpec("table_merge", path=f"{tmp}/m", keys=["k"], rows_per_file=30)))
+    for t in ("a", "m"):
+        files = [f for _, _, fs in os.walk(f"{tmp}/{t}") for f in fs if f.endswith(".parquet")]
+        assert len(files) >= 4 and tables.read(spark, f"{tmp}/{t}").count() == 100
