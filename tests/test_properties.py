@@ -82,3 +82,18 @@ def test_sessions_equal_brute_force(spark, rows, gap, per_chunk):
         want.append((u, start, last + gap, n))
     assert sorted((r.u, int(r.window_start.timestamp()), int(r.window_end.timestamp()), r.events)
                   for r in got) == sorted(want)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 50)), min_size=1, max_size=120),
+       slices=st.integers(1, 9))
+def test_offsets_equal_row_number(spark, rows, slices):
+    from streamkit.functions.encode import assign_offsets
+    data = [(i, p, t) for i, (p, t) in enumerate(rows)]          # (id, partition, time) with ties on time
+    df = spark.createDataFrame(data, "id long, p int, t long")
+    got = {r.id: r.offset for r in assign_offsets(df, "p", ["t", "id"], slices=slices).collect()}
+    want = {}
+    for p in {r[1] for r in data}:
+        for n, r in enumerate(sorted((r for r in data if r[1] == p), key=lambda r: (r[2], r[0]))):
+            want[r[0]] = n
+    assert got == want
