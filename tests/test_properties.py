@@ -97,3 +97,28 @@ def test_offsets_equal_row_number(spark, rows, slices):
         for n, r in enumerate(sorted((r for r in data if r[1] == p), key=lambda r: (r[2], r[0]))):
             want[r[0]] = n
     assert got == want
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 4), st.one_of(st.none(), st.integers(0, 9)), st.integers(0, 5)),
+                     min_size=1, max_size=60))
+def test_key_reducers_equal_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, "k int, v int, batch_id bigint")
+    got = {r.k: (r.v, r.batch_id) for r in tables.dedupe_by_key(df, ["k"]).collect()}
+    # smallest (v, batch_id) struct per key; NULL sorts first in Spark's struct order
+    want = {}
+    for k, v, b in rows:
+        cand = (v, b)
+        cur = want.get(k)
+        order = lambda t: (t[0] is not None, t[0] if t[0] is not None else 0, t[1])
+        if cur is None or order(cand) < order(cur):
+            want[k] = cand
+    assert got == want
+    unique = df.dropDuplicates(["k", "batch_id"]).persist()      # one version per (key, batch)
+    latest = {r.k: r.v for r in tables.latest_by_key(unique, ["k"]).collect()}
+    tops = {}
+    for r in unique.collect():
+        if r.k not in tops or r.batch_id > tops[r.k][0]:
+            tops[r.k] = (r.batch_id, r.v)
+    unique.unpersist()
+    assert latest == {k: v for k, (_, v) in tops.items()}
