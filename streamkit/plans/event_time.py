@@ -158,6 +158,21 @@ def stream_group_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("event_type", "events", "total_value", "last_ts")
 
 
+@query("stream_group_agg_complete", GROUP_SQL)
+def stream_group_agg_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4 in complete mode: every micro-batch writes the whole result as a
+    table batch; the last batch is the answer."""
+    st = events_stream(spark, sf_dir, batches=4)
+    agg = st.groupBy("event_type").agg(*_group_aggs())
+    path = work_path(spark, "group-agg-complete")
+    drain(start(agg, SinkSpec("table_append", path=path, mode="complete",
+                              state_partitions=state_partitions(spark, sf_dir))))
+    t = tables.read(spark, path)
+    last = t.agg(F.max(tables.BATCH_COL)).first()[0]
+    return tables.as_of(spark, path, last).where(F.col(tables.BATCH_COL) == last) \
+        .select("event_type", "events", "total_value", "last_ts")
+
+
 @query("late_rows", """
 WITH a AS (
   SELECT event_id, epoch_us(ts) AS t,
