@@ -5,4 +5,4 @@ Nothing else in the library imports this subpackage.  ``QUERIES`` and
 ``ORACLE`` hold the registered queries of its modules."""
 
 from streamkit.llm.registry import ORACLE, QUERIES  # noqa: F401
-from streamkit.llm import near_dedup, packing, substring_dedup, token_counts  # noqa: F401
+from streamkit.llm import license_scan, mixing, near_dedup, packing, quality_rules, substring_dedup, token_counts  # noqa: F401

@@ -22,7 +22,7 @@ import public_tokenizers
 WHITE = "\t\n\x0b\x0c\r \xa0                　"
 ODD = re.compile("[\x1c-\x1f\x85᠎​﻿]")
 PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-KEEP = 250_000  # pieces kept for good (the first seen: the frequent ones), and as many more that come and go
+KEEP, PASSING = 700_000, 300_000  # pieces kept for good (the first seen: the frequent ones), and others that come and go
 
 
 class Pieces:
@@ -45,7 +45,7 @@ class Pieces:
         if room > 0:
             self.kept.update(list(new.items())[:room])
         else:
-            if len(self.recent) + len(new) > KEEP:
+            if len(self.recent) + len(new) > PASSING:
                 self.recent = {}
             self.recent.update(new)
         return new
