@@ -5,5 +5,5 @@ Nothing else in the library imports this subpackage.  ``QUERIES`` and
 ``ORACLE`` hold the registered queries of its modules."""
 
 from streamkit.llm.registry import ORACLE, QUERIES  # noqa: F401
-from streamkit.llm import (fingerprints, license_scan, mixing, near_dedup, packing, quality_rules,  # noqa: F401
-                           substring_dedup, token_counts)
+from streamkit.llm import (archives, fingerprints, license_scan, mixing, near_dedup, packing,  # noqa: F401
+                           quality_rules, sharding, substring_dedup, token_counts)
