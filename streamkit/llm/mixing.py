@@ -46,7 +46,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
         .withColumn("full", F.coalesce(F.sum("source_size").over(before), F.lit(0)) * most).withColumn("used", F.coalesce(F.sum("weight").over(before), F.lit(0)))
     level = (F.col("total") - F.col("full")).cast("double") / (F.col("all_weights") - F.col("used"))
     per = per.withColumn("level", F.when(level * F.col("weight") <= F.col("source_size") * most, level))
-    return per.withColumn("target", F.least(F.coalesce(F.min("level").over(full), F.lit(0.0)) * F.col("weight"), (F.col("source_size") * most).cast("double"))) \
+    return per.withColumn("target", F.least(F.coalesce(F.max("level").over(full), F.lit(0.0)) * F.col("weight"), (F.col("source_size") * most).cast("double"))) \
         .select("source", "source_size", "total", "target")
 
 
@@ -119,7 +119,7 @@ b AS (SELECT *, sum(s) OVER ()::BIGINT AS total, sum(w) OVER ()::BIGINT AS tw,
              coalesce(sum(s) OVER f, 0)::BIGINT * 3 AS full_, coalesce(sum(w) OVER f, 0)::BIGINT AS used FROM a
       WINDOW f AS (ORDER BY s / w::DOUBLE, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 l AS (SELECT *, (total - full_)::DOUBLE / (tw - used) AS lv FROM b),
-t AS (SELECT source, s, total, least(coalesce(min(CASE WHEN lv * w <= s * 3 THEN lv END) OVER (), 0.0) * w, (s * 3)::DOUBLE) AS target FROM l),
+t AS (SELECT source, s, total, least(coalesce(max(CASE WHEN lv * w <= s * 3 THEN lv END) OVER (), 0.0) * w, (s * 3)::DOUBLE) AS target FROM l),
 p AS (SELECT *, greatest(16, ceil(total / {SLOTS}::DOUBLE))::BIGINT AS block,
              floor(sum(target) OVER (ORDER BY source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / greatest(total, 1) * 4294967296)::BIGINT AS high FROM t),
 q AS (SELECT *, coalesce(lag(high) OVER (ORDER BY source NULLS LAST), 0) AS low, ceil(s / block::DOUBLE)::BIGINT AS nb FROM p),
