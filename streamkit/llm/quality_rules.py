@@ -18,6 +18,7 @@ from streamkit.llm.registry import query, saved, table
 
 BUCKETS = 1 << 14
 WIDTH, LENGTH0 = 6.0, 60.0
+TRUSTED = 20_000  # labelled texts that the target multinomial is fitted on: a fixed sample by hash of the id, so a broadcast of bounded size
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -60,9 +61,12 @@ def grams(words: Column) -> Column:
     return let(F.transform(words, lambda w: F.xxhash64(F.lower(w))), both)
 
 
-def base_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).withColumn("words", words_of(F.col("text")))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).withColumn("words", words_of(F.col("text")))
+
+
+def base_rules(rows: DataFrame) -> DataFrame:
     lines = F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
     return rows.select(
         "doc_id", F.size("words").cast("long").alias("n_words"),
@@ -75,7 +79,8 @@ def base_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def model(rows: DataFrame, trusted: DataFrame) -> DataFrame:
     """One row: the log ratio of trusted to corpus frequency of each bucket."""
-    marked = rows.select("doc_id", "grams").join(trusted.select("doc_id", F.lit(1).alias("good")), "doc_id", "left")
+    marked = rows.select("doc_id", let(F.col("words"), grams).alias("grams")) \
+        .join(F.broadcast(trusted.select("doc_id", F.lit(1).alias("good"))), "doc_id", "left")
     counts = marked.select(F.explode("grams").alias("g"), F.coalesce("good", F.lit(0)).alias("good")) \
         .groupBy("g").agg(F.count("*").alias("raw"), F.sum("good").alias("target"))
     full = rows.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("g")).join(counts, "g", "left") \
@@ -90,20 +95,21 @@ def quality(docs: DataFrame, labels: DataFrame, *, width: float = WIDTH, id_col:
     n_repeat_words, base_failed, kept and score.
 
     ``labels`` (doc_id, quality, toxic) names the trusted texts: quality 1 and
-    not toxic.  base_failed: under 20 words, or over 30% of the words in 8-word
+    not toxic, TRUSTED of them at most.  base_failed: under 20 words, or over 30% of the words in 8-word
     windows that occur twice in the text.  kept: not base_failed, and the score
     is not under the threshold.  Without trusted texts only the base rules count.
 
     A null text is empty: no words, score null, base_failed.  Null ids are judged
     like others (they are never trusted); rows that repeat an id are judged each
     by itself; other columns are ignored; an empty table gives an empty one."""
-    rows = saved(base_rules(docs, id_col, text_col), "quality-rows")
-    trusted = labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    rows = texts(docs, id_col, text_col)
+    good = labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    trusted = saved(good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED), "quality-trusted")
     weights = saved(model(rows, trusted), "quality-model")
-    scored = saved(rows.withColumn("w", weights.select("w").scalar()).withColumn("n", F.size("grams"))
+    scored = saved(base_rules(rows).withColumn("w", weights.select("w").scalar()).withColumn("n", F.size("grams"))
                    .withColumn("score", F.when(F.col("n") > 0, F.aggregate("grams", F.lit(0.0), lambda a, g: a + F.get(F.col("w"), g)) / F.col("n")))
                    .drop("w", "grams"), "quality-scored")
-    of = scored.join(trusted, "doc_id", "left_semi").where("n_words >= 20") \
+    of = scored.join(F.broadcast(trusted), "doc_id", "left_semi").where("n_words >= 20") \
         .agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("deviation"))
     limit = saved(of, "quality-limit")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
