@@ -25,6 +25,7 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -309,32 +310,21 @@ def new_rows(batch: DataFrame, target: DataFrame | None, keys: list[str], *,
                                  "left_anti")
 
 
-# list a batch's partition values in the target filter up to this many
-MAX_PRUNE_VALUES = 10_000
-
-
 def _prune_partitions(batch: DataFrame, target: DataFrame, pcols: list[str]) -> DataFrame:
-    """Keep only target folders whose partition values occur in the batch
-    (a literal IN list, so Spark prunes folders before reading).  A batch
-    with more distinct values than ``MAX_PRUNE_VALUES`` reads them all."""
+    """Keep only target folders whose partition values lie in the batch's range
+    of each partition column (or are NULL, if the batch has NULLs): a literal
+    filter of fixed size, whatever the batch, that prunes folders before reading."""
+    pcols = [c for c in pcols if _orderable(batch.schema[c].dataType)]
     if not pcols:
         return target
-    values = batch.select(*pcols).distinct().limit(MAX_PRUNE_VALUES + 1).collect()
-    if len(values) > MAX_PRUNE_VALUES:
-        return target
-    if len(pcols) == 1:
-        present = [r[0] for r in values if r[0] is not None]
-        cond = F.col(pcols[0]).isin(present)
-        if any(r[0] is None for r in values):
-            cond = cond | F.col(pcols[0]).isNull()
-        return target.where(cond)
-    cond = F.lit(False)
-    for r in values:
-        one = F.lit(True)
-        for c in pcols:
-            one = one & F.col(c).eqNullSafe(F.lit(r[c]))
-        cond = cond | one
-    return target.where(cond)
+    seen = batch.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(pcols) for n, f in (("lo", F.min), ("hi", F.max))],
+                     *[F.coalesce(F.bool_or(F.col(c).isNull()), F.lit(False)).alias(f"null{i}") for i, c in enumerate(pcols)]).first()
+    for i, c in enumerate(pcols):
+        dt, cond = batch.schema[c].dataType, F.lit(False)
+        if seen[f"lo{i}"] is not None:
+            cond = F.col(c).between(_typed_lit(seen[f"lo{i}"], dt), _typed_lit(seen[f"hi{i}"], dt))
+        target = target.where(cond | F.col(c).isNull() if seen[f"null{i}"] else cond)
+    return target
 
 
 def _typed_lit(v, dt: T.DataType) -> Column:
@@ -350,9 +340,14 @@ def _orderable(dt: T.DataType) -> bool:
 def merge_insert(batch: DataFrame, path: str, keys: list[str], *, stream_id: str,
                  batch_id: int, dedupe_source: bool = False, null_safe: bool = False,
                  broadcast_keys: int = DEFAULT_BROADCAST_KEYS,
-                 evolve: bool = False, rows_per_file: int | None = None) -> DataFrame:
+                 evolve: bool = False, rows_per_file: int | None = None,
+                 partition_follows_key: bool = False) -> DataFrame:
     """Insert-only MERGE of one batch, replay-safe.
 
+    A key is looked for in the whole target.  Only with ``partition_follows_key``
+    (the caller states that a key's partition values never change) are the
+    folders outside the batch's range of partition values left out.
+
     Reads the target without this writer's batches >= ``batch_id`` (so a
     replayed batch sees what it saw the first time), aligns the batch to the
     target schema (missing columns become typed NULLs; with ``evolve`` new
@@ -366,7 +361,8 @@ def merge_insert(batch: DataFrame, path: str, keys: list[str], *, stream_id: str
     try:
         return _merge_insert(source, path, keys, stream_id=stream_id, batch_id=batch_id,
                              dedupe_source=dedupe_source, null_safe=null_safe,
-                             broadcast_keys=broadcast_keys, evolve=evolve, rows_per_file=rows_per_file)
+                             broadcast_keys=broadcast_keys, evolve=evolve, rows_per_file=rows_per_file,
+                             partition_follows_key=partition_follows_key)
     finally:
         if cached_here:
             source.unpersist()
@@ -374,7 +370,7 @@ def merge_insert(batch: DataFrame, path: str, keys: list[str], *, stream_id: str
 
 def _merge_insert(batch: DataFrame, path: str, keys: list[str], *, stream_id: str, batch_id: int,
                   dedupe_source: bool, null_safe: bool, broadcast_keys: int, evolve: bool,
-                  rows_per_file: int | None) -> DataFrame:
+                  rows_per_file: int | None, partition_follows_key: bool) -> DataFrame:
     spark = batch.sparkSession
     target = None
     if exists(spark, path):
@@ -392,7 +388,7 @@ def _merge_insert(batch: DataFrame, path: str, keys: list[str], *, stream_id: st
         pcols = partition_cols(tschema)
         carried = all(c in batch.columns for c in pcols)   # before NULL-filling
         batch = align(batch, tschema)
-        if carried:
+        if carried and partition_follows_key:
             target = _prune_partitions(batch, target, pcols)
     rows = new_rows(batch, target, keys, dedupe_source=dedupe_source, null_safe=null_safe,
                     broadcast_keys=broadcast_keys)
@@ -442,12 +438,13 @@ def delete_where(spark: SparkSession, path: str, predicate: str | Column) -> int
                                hit.alias("_hit"))
                        .groupBy("_dir").agg(F.min(F.col("_hit").cast("int")).alias("_all_hit"))
                        .where(F.col("_all_hit") == 1).select("_dir"))
-    emptied = [r["_dir"] for r in folders.collect()]
+    emptied = [unquote(r["_dir"]) for r in folders.collect()]  # file paths come as escaped URIs
     (affected.where(~hit).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(*_parts(spark, path)).parquet(path))
     fs = FS(spark, path)
     for d in emptied:
-        fs.delete(d)
+        if not fs.delete(d):
+            raise OSError(f"folder of deleted rows could not be removed: {d}")
     return len(touched)
 
 

@@ -101,7 +101,7 @@ def sessions(df: DataFrame, time_col: str, gap_seconds: int, *, keys: list[str],
 
     ntz = is_ntz(df, time_col)
     gap_us = int(gap_seconds) * MICROS
-    x = df.withColumn("_t", _micros(df, time_col))
+    x = df.withColumn("_t", _micros(df, time_col)).where(F.col("_t").isNotNull())
     if not keys:
         # global sessions: the one "key" is hot when it has more than
         # rows_per_chunk rows; its chunk span is a scalar, no join needed
@@ -137,6 +137,15 @@ def sessions(df: DataFrame, time_col: str, gap_seconds: int, *, keys: list[str],
     return _sessions_by_chunk(x, keys, gap_us, aggs, ntz)
 
 
+def _join_by(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
+    """Inner join on ``names`` in which NULL keys match NULL keys."""
+    right = right.select(*[F.col(n).alias(f"_j{i}") for i, n in enumerate(names)], *[c for c in right.columns if c not in names])
+    cond = F.lit(True)
+    for i, n in enumerate(names):
+        cond = cond & F.col(n).eqNullSafe(F.col(f"_j{i}"))
+    return left.join(right, cond).drop(*[f"_j{i}" for i in range(len(names))])
+
+
 def _sessions_by_chunk(x: DataFrame, keys: list[str], gap_us: int, aggs: list[Column] | None,
                        ntz: bool) -> DataFrame:
     """Sessions of rows carrying ``_t`` (micros) and ``_chunk``."""
@@ -147,7 +156,7 @@ def _sessions_by_chunk(x: DataFrame, keys: list[str], gap_us: int, aggs: list[Co
     edges = (x.groupBy(*keys, "_chunk").agg(F.max("_t").alias("_cmax"))
               .withColumn("_carry_prev", F.lag("_cmax").over(over_chunks))
               .drop("_cmax"))
-    flagged = (x.join(edges, [*keys, "_chunk"])
+    flagged = (_join_by(x, edges, [*keys, "_chunk"])
                 .withColumn("_prev", F.coalesce(F.lag("_t").over(by_chunk), F.col("_carry_prev")))
                 .withColumn("_start", F.when(F.col("_prev").isNull() |
                                              (F.col("_t") - F.col("_prev") > gap_us), F.col("_t")))
@@ -156,7 +165,7 @@ def _sessions_by_chunk(x: DataFrame, keys: list[str], gap_us: int, aggs: list[Co
     starts = (flagged.groupBy(*keys, "_chunk").agg(F.max("_start").alias("_last"))
                      .withColumn("_carry_start", F.max("_last").over(before))
                      .drop("_last"))
-    tagged = (flagged.join(starts, [*keys, "_chunk"])
+    tagged = (_join_by(flagged, starts, [*keys, "_chunk"])
                      .withColumn("_sid", F.coalesce("_local_start", "_carry_start")))
     out = tagged.groupBy(*keys, "_sid").agg(
         F.max("_t").alias("_last_t"), *(aggs or [F.count(F.lit(1)).alias("events")]))

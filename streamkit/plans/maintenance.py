@@ -51,10 +51,26 @@ def merge_insert_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = ev.where(F.col("ts") < cutoff()).withColumn("value", -F.col("value"))
     tables.bootstrap(spark, path, old, EVENT_COLS + ["event_date"], partition_by=["event_date"])
     st = events_stream(spark, sf_dir, batches=10).withColumn("event_date", F.to_date("ts"))
-    drain(start(st, SinkSpec("table_merge", path=path, keys=["event_id"])))
+    drain(start(st, SinkSpec("table_merge", path=path, keys=["event_id"], partition_follows_key=True)))
     return tables.read(spark, path).select(*EVENT_COLS, "event_date")
 
 
+@query("merge_key_changes_day", f"""
+SELECT event_id, ts, CAST(CASE WHEN ts < TIMESTAMP '{CUTOFF}' THEN ts ELSE ts + INTERVAL 1 DAY END AS DATE) AS event_date
+FROM events
+""")
+def merge_key_changes_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 on a partitioned target whose keys reappear under another day: every
+    event comes again a day later, and the keys in the table stay as they are."""
+    path = work_path(spark, "merge-days")
+    ev = table(spark, sf_dir, "events").select("event_id", "ts")
+    old = ev.where(F.col("ts") < cutoff()).withColumn("event_date", F.to_date("ts"))
+    tables.bootstrap(spark, path, old, ["event_id", "ts", "event_date"], partition_by=["event_date"])
+    tables.merge_insert(ev.withColumn("event_date", F.date_add(F.to_date("ts"), 1)), path, ["event_id"],
+                        stream_id="later", batch_id=0)
+    return tables.read(spark, path).select("event_id", "ts", "event_date")
+
+
 @query("merge_dedupe_keys", """
 WITH t AS (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-03 00:00:00'),
 s AS (SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY user_id, event_type)

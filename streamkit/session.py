@@ -26,6 +26,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="streamkit-")  # unset: local/test session only
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")

@@ -99,6 +99,7 @@ class SinkSpec:
     state_partitions: int | None = None
     # table sinks: cap rows per output file (maxRecordsPerFile)
     rows_per_file: int | None = None
+    partition_follows_key: bool = False     # table_merge: a key's partition values never change
 
     def validate(self, df: DataFrame) -> None:
         if self.kind not in KINDS:
@@ -154,7 +155,8 @@ def _merge_fn(spec: SinkSpec) -> Callable[[DataFrame, int], None]:
         # merge_insert persists the micro-batch: stats, keys and write reuse it
         tables.merge_insert(batch, spec.path, spec.keys, stream_id=qid(batch), batch_id=epoch_id,
                             dedupe_source=spec.dedupe_source, null_safe=spec.null_safe,
-                            evolve=spec.evolve, rows_per_file=spec.rows_per_file)
+                            evolve=spec.evolve, rows_per_file=spec.rows_per_file,
+                            partition_follows_key=spec.partition_follows_key)
     return run
 
 

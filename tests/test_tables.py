@@ -231,3 +231,33 @@ def test_compact_named_batches_and_delete_by_batch(spark, tmp):
     assert tables.delete_where(spark, path, "batch_id = 2") == 1          # a predicate on the layout only
     assert not os.path.exists(f"{path}/stream_id=s/batch_id=2")
     assert tables.read(spark, path).count() == 200
+
+
+def test_merge_finds_keys_under_other_partitions_for_any_batch_split(spark, tmp):
+    for split in (1, 3):
+        path = f"{tmp}/split{split}"
+        tables.overwrite(_dated(spark, 0, 30), path, partition_by=["day"])
+        moved = _dated(spark, 0, 45).withColumn("day", F.date_add("day", 40))
+        for b in range(split):
+            tables.merge_insert(moved.where(F.col("k") % split == b), path, ["k"], stream_id="s", batch_id=b)
+        assert sorted(r.k for r in tables.read(spark, path).collect()) == list(range(45))
+
+
+def test_partition_filter_has_a_fixed_size(spark, tmp):
+    path = f"{tmp}/t"
+    rows = spark.range(20).select(F.col("id").alias("k"), F.lit(1).alias("a"), F.lit("x").alias("b"))
+    tables.overwrite(rows, path, partition_by=["a", "b"])
+    batch = spark.range(20_000).select(F.col("id").alias("k"), (F.col("id") % 200).cast("int").alias("a"),
+                                       F.concat(F.lit("x"), F.col("id") % 100).alias("b"))
+    target = tables._prune_partitions(batch.unionByName(rows), tables.read(spark, path), ["a", "b"])
+    assert target.count() == 20
+    nulls = batch.limit(1).withColumn("a", F.lit(None).cast("int"))
+    assert tables._prune_partitions(nulls, tables.read(spark, path), ["a"]).count() == 0
+
+
+def test_delete_removes_folders_whose_names_need_escapes(spark, tmp):
+    path = f"{tmp}/t"
+    rows = spark.range(6).select(F.col("id").alias("k"), F.when(F.col("id") < 3, "x:y z%").otherwise("plain").alias("p"))
+    tables.overwrite(rows, path, partition_by=["p"])
+    tables.delete_where(spark, path, "p = 'x:y z%'")
+    assert sorted(r.k for r in tables.read(spark, path).collect()) == [3, 4, 5]

@@ -120,3 +120,11 @@ def test_global_sessions_split_by_time(spark):
     want = [(s, e, n) for _, s, e, n in _brute_sessions(pdf, 300)]
     assert sorted((int(r.window_start.timestamp()), int(r.window_end.timestamp()), r.events) for r in got) == want
     assert "BroadcastNestedLoopJoin" not in sessions(df, "ts", 300, keys=[])._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sessions_keep_null_keys_and_drop_null_times(spark):
+    rows = [(None, "2024-01-01 00:00:00"), (None, "2024-01-01 00:05:00"), (1, "2024-01-01 00:00:00"), (1, None), (2, None)]
+    df = spark.createDataFrame(rows, "u int, t string").withColumn("t", F.to_timestamp("t"))
+    for chunk in (1, 1000):
+        got = sessions(df, "t", 600, keys=["u"], rows_per_chunk=chunk)
+        assert sorted((r.u or 0, r.events) for r in got.collect()) == [(0, 2), (1, 1)]
