@@ -164,10 +164,10 @@ def pack(docs: DataFrame, *, size: int = SIZE, vocabulary: str = "byte_bpe_50k.j
     pieces = saved(rows.mapInArrow(_tokenize(vocabulary, end_id, size), "doc_id long, piece int, start long, length long, ids_crc32 long")
                    .withColumn("uid", F.monotonically_increasing_id()), "pack-pieces")
     todo, level, settled = pieces.where(F.col("length") < size).select("uid", "length"), 0, []
-    count = todo.count()
+    count, before = todo.count(), None
     while count:
         groups = -(-count // group)
-        last = groups == 1
+        last = groups == 1 or (before is not None and 2 * count > before)  # the pool must shrink by half, or it is settled
         packed = saved(todo.groupBy(F.pmod(F.xxhash64("uid"), F.lit(groups)).alias("grp"))
                        .applyInPandas(_pack(size, 0 if last else POOLED), "uid long, length long, grp long, bin long, at long, loose boolean"),
                        f"pack-level{level}")
@@ -177,7 +177,7 @@ def pack(docs: DataFrame, *, size: int = SIZE, vocabulary: str = "byte_bpe_50k.j
         if last:
             break
         todo, level = packed.where("loose").select("uid", "length"), level + 1
-        count = todo.count()
+        count, before = todo.count(), count
     full = pieces.where(F.col("length") == size).select("doc_id", "piece", "start", "length", "ids_crc32",
                                                         F.col("uid").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     for i, place in enumerate(settled):

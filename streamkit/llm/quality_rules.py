@@ -113,7 +113,7 @@ def quality(docs: DataFrame, labels: DataFrame, *, width: float = WIDTH, id_col:
         .agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("deviation"))
     limit = saved(of, "quality-limit")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    floor = F.col("mean") - width * F.col("deviation") * F.sqrt(1 + LENGTH0 / F.col("n"))
+    floor = F.col("mean") - width * F.col("deviation") * F.sqrt(1 + LENGTH0 / F.greatest("n", F.lit(1)))
     return scored.withColumn("mean", limit.select("mean").scalar()).withColumn("deviation", limit.select("deviation").scalar()) \
         .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
                 (~failed & F.coalesce(F.col("score") >= floor, F.lit(True))).alias("kept"), "score", floor.alias("threshold"))
