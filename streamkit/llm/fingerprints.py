@@ -145,7 +145,7 @@ def fingerprints(docs: DataFrame, *, ranges: int | None = None, id_col: str = "d
     extra = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(small), ["part", "key", "h"]).dropDuplicates(["part", "key", "h"]) \
         .select(F.col("to").alias("part"), "doc_id", "text", F.lit(True).alias("extra"), "key", "h")
     both = rows.select("part", "doc_id", "text", F.lit(False).alias("extra"), "key", F.xxhash64("text").alias("h")).unionByName(extra)
-    return both.repartition(len(order), "part").sortWithinPartitions("part", "extra", F.desc("key"), F.desc("h")).select("part", "doc_id", "text", "extra") \
+    return both.repartitionByRange(len(order), "part").sortWithinPartitions("part", "extra", F.desc("key"), F.desc("h")).select("part", "doc_id", "text", "extra") \
         .mapInArrow(_compare, _TYPES)
 
 
