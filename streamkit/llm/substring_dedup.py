@@ -12,7 +12,8 @@ ends, or texts diverge), the first occurrence of each distinct path is opened
 into its single edges, and the smallest coordinate of each edge decides.
 
 Keys are 128 bits (minimizer and path or edge hash).  A passage in a third
-of all documents costs a partial aggregate and a join that Spark can split."""
+of all documents costs a partial aggregate and a join that Spark splits: the
+aggregates are written tables, so no join sits on top of one."""
 
 from __future__ import annotations
 
@@ -157,14 +158,16 @@ def substring_dedup(docs: DataFrame, *, window: int = 50, id_col: str = "doc_id"
     gives an empty one."""
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = base.where("doc_id IS NOT NULL").mapInArrow(_all_paths(window), "m long, s long, doc_id long, meta long")
-    often = found.groupBy("m").agg(F.count("*").alias("c")).where("c > 1").select("m")
+    # each aggregate is a table of its own: a join with it is a plain join of two
+    # scans, in which Spark splits the rows of a hot key over many tasks
+    often = saved(found.groupBy("m").agg(F.count("*").alias("c")).where("c > 1").select("m"), "substring-often")
     repeats = saved(found.join(often, "m"), "substring-repeats")
 
-    first = repeats.groupBy("m", "s").agg(F.min(F.struct("doc_id", "meta")).alias("first"))
-    branching = first.groupBy("m").agg(F.count("*").alias("c")).where("c > 1").select("m", F.lit(True).alias("branches"))
+    first = saved(repeats.groupBy("m", "s").agg(F.min(F.struct("doc_id", "meta")).alias("first")), "substring-first")
+    branching = saved(first.groupBy("m").agg(F.count("*").alias("c")).where("c > 1").select("m", F.lit(True).alias("branches")), "substring-branching")
+    settled = saved(first.join(branching, "m", "left"), "substring-settled")
     at = F.struct("doc_id", "meta")
-    marks = repeats.join(first, ["m", "s"]).withColumn("again", at > F.col("first")) \
-        .join(branching, "m", "left").where("again OR branches") \
+    marks = repeats.join(settled, ["m", "s"]).withColumn("again", at > F.col("first")).where("again OR branches") \
         .select("doc_id", F.struct("m", "meta", (~F.col("again")).alias("opened")).alias("mark")) \
         .groupBy("doc_id").agg(F.collect_set("mark").alias("marks"))
     looked = saved(base.join(marks, "doc_id", "left").mapInArrow(_first_look, _FIRST), "substring-looked")
@@ -172,7 +175,8 @@ def substring_dedup(docs: DataFrame, *, window: int = 50, id_col: str = "doc_id"
     marked = looked.where("marks IS NOT NULL")
     edges = saved(marked.where(F.exists("marks", lambda x: x["opened"])).select("doc_id", "text", "marks")
                   .mapInArrow(_edges(window), "m long, h long, doc_id long, at long"), "substring-edges")
-    origin = edges.groupBy("m", "h").agg(F.min(F.struct("doc_id", "at")).alias("first"))
+    origin = saved(edges.groupBy("m", "h").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"),
+                   "substring-origin")
     single = edges.join(origin, ["m", "h"]).where(F.struct("doc_id", "at") > F.col("first")) \
         .groupBy("doc_id").agg(F.collect_set("at").alias("single"))
     done = marked.join(single, "doc_id", "left").select("doc_id", "text", "marks", "single", "n_words").mapInArrow(
