@@ -61,7 +61,9 @@ def cast_timestamps(df: DataFrame, cols: Iterable[str], *, fmt: str | None = Non
 def with_corrupt(df: DataFrame, schema, *, value_col: str = "value",
                  keep: Iterable[str] = ()) -> DataFrame:
     """Decode like ``json_events`` and add ``_corrupt_record`` (the raw text
-    of messages that are not a JSON object of the schema) and ``_is_bad``."""
+    of messages that are not a JSON object of the schema) and ``_is_bad``.
+    An object with a field of another type is bad here, field and all, while
+    ``json_events`` keeps it with that field NULL."""
     st = resolve_schema(schema)
     with_col = T.StructType(st.fields + [T.StructField(CORRUPT_COL, T.StringType(), True)])
     text = F.col(value_col).cast("string")
@@ -82,9 +84,14 @@ def split_bad(df: DataFrame, schema, *, value_col: str = "value",
     """(good, bad): decoded rows, and undecodable messages set aside.
 
     Both outputs derive from one tagged frame; inside ``foreachBatch``
-    persist the micro-batch once and write both (see ``sinks``).
+    persist ``with_corrupt`` and split that (``split_tagged``), so that each
+    message is decoded once.
     """
-    tagged = with_corrupt(df, schema, value_col=value_col, keep=keep)
+    return split_tagged(with_corrupt(df, schema, value_col=value_col, keep=keep), schema, keep=keep)
+
+
+def split_tagged(tagged: DataFrame, schema, *, keep: Iterable[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) of a frame made by ``with_corrupt``."""
     st = resolve_schema(schema)
     good = tagged.where(~F.col("_is_bad")).select(*keep, *[f"`{f.name}`" for f in st.fields])
     bad = tagged.where(F.col("_is_bad")).select(*keep, F.col(CORRUPT_COL).alias("payload"))

@@ -112,6 +112,28 @@ def widen(a: T.StructType, b: T.StructType) -> T.StructType:
     return T.StructType(fields)
 
 
+def readable_as(old: T.DataType, new: T.DataType) -> bool:
+    """True when parquet files written as ``old`` can be read as ``new``
+    without losing a value; other changes of type need a rewrite."""
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        names = set(new.fieldNames())
+        return all(f.name in names and readable_as(f.dataType, new[f.name].dataType) for f in old.fields)
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return readable_as(old.elementType, new.elementType)
+    if isinstance(old, T.MapType) and isinstance(new, T.MapType):
+        return readable_as(old.keyType, new.keyType) and readable_as(old.valueType, new.valueType)
+    if isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType):
+        return new.scale >= old.scale and new.precision - new.scale >= old.precision - old.scale
+    if old == new:
+        return True
+    whole = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
+    if type(old) in whole and type(new) in whole:
+        return whole.index(type(old)) <= whole.index(type(new))
+    if isinstance(new, T.DoubleType):
+        return isinstance(old, (T.ByteType, T.ShortType, T.IntegerType, T.FloatType))
+    return False
+
+
 def conform(c: Column, src: T.DataType, dst: T.DataType) -> Column:
     """Column ``c`` of type ``src`` reshaped to ``dst``: structs are rebuilt
     field by field (missing fields NULL, extra ones dropped, a NULL struct

@@ -37,7 +37,7 @@ def join_windowed(left: DataFrame, right: DataFrame, *, left_time: str, right_ti
 
 def _floor_div(x: Column, d: int) -> Column:
     """Exact floor(x / d) for BIGINT x (no floating point near bucket edges)."""
-    return ((x - F.pmod(x, F.lit(d))) / F.lit(d)).cast("bigint")
+    return F.call_function("div", x - F.pmod(x, F.lit(d)), F.lit(d))
 
 
 def join_interval(left: DataFrame, right: DataFrame, *, keys: list[str], left_time: str,

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from streamkit.functions.schema import align, widen
+from streamkit.functions.schema import align, conform, readable_as, widen
 from streamkit.session import FS, shared_dir
 
 STREAM_COL = "stream_id"
@@ -45,9 +45,10 @@ DEFAULT_BROADCAST_KEYS = 2_000_000
 # ---------------------------------------------------------------- reads
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds at least one committed batch folder."""
+    """True when ``path`` holds a created table: the recorded schema, which a
+    create writes last, and a batch folder.  A half-written create is no table."""
     fs = FS(spark, path)
-    return any(is_dir and name.rsplit("/", 1)[-1].startswith(f"{STREAM_COL}=")
+    return fs.exists(f"{path.rstrip('/')}/{SCHEMA_FILE}") and any(is_dir and name.rsplit("/", 1)[-1].startswith(f"{STREAM_COL}=")
                for name, is_dir, _, _ in fs.list(path))
 
 
@@ -153,9 +154,9 @@ def keys_from_text(text: str) -> list[str]:
 # ---------------------------------------------------------------- writes
 
 def _record_schema(spark: SparkSession, path: str, rows: T.StructType, evolve: bool) -> T.StructType:
-    """First write records the schema; later writes may only add columns
-    with ``evolve`` (the recorded schema is widened), never silently.
-    Returns the schema in force after the write."""
+    """First write records the schema; later writes may only add columns or
+    widen types with ``evolve`` (the recorded schema is widened), never
+    silently.  Returns the schema in force after the write."""
     stored = stored_schema(spark, path)
     if stored is None:
         save_schema(spark, path, rows)
@@ -163,25 +164,66 @@ def _record_schema(spark: SparkSession, path: str, rows: T.StructType, evolve: b
     extra = [f.name for f in rows.fields if f.name not in stored.fieldNames()]
     if extra and not evolve:
         raise ValueError(f"columns {extra} are not in the table; pass evolve=True to add them")
-    if extra:
-        wider = widen(stored, rows)
-        save_schema(spark, path, wider, partition_cols(stored))
+    if evolve:
+        return _widened(spark, path, stored, rows)
+    return stored
+
+
+def _widened(spark: SparkSession, path: str, stored: T.StructType, rows: T.StructType) -> T.StructType:
+    """The recorded schema widened to hold ``rows``; refused, before anything is
+    written, where files at rest could not be read as the wider type."""
+    wider = widen(stored, rows)
+    bad = [f"{f.name}: {f.dataType.simpleString()} -> {wider[f.name].dataType.simpleString()}"
+           for f in stored.fields if not readable_as(f.dataType, wider[f.name].dataType)]
+    if bad:
+        raise ValueError(f"stored batches cannot be read with the changed types {bad}; rewrite the table first")
+    pcols = partition_cols(stored)
+    if [(f.name, f.dataType) for f in wider.fields] != [(f.name, f.dataType) for f in stored.fields]:
+        save_schema(spark, path, wider, pcols)
         return stored_schema(spark, path)
     return stored
 
 
+def _typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """``rows`` with the types of the recorded schema; a column whose values may
+    not fit fails before anything is written."""
+    bad = [f"{f.name}: {f.dataType.simpleString()} -> {schema[f.name].dataType.simpleString()}"
+           for f in rows.schema.fields
+           if not isinstance(f.dataType, T.NullType) and not readable_as(f.dataType, schema[f.name].dataType)]
+    if bad:
+        raise ValueError(f"columns do not have the table's types: {bad}")
+    return rows.select(*[conform(F.col(f"`{f.name}`"), f.dataType, schema[f.name].dataType).alias(f.name)
+                         for f in rows.schema.fields])
+
+
+def _files(fs: FS, folder: str) -> list[str]:
+    """Data files below ``folder``."""
+    out = []
+    for name, is_dir, _, _ in fs.list(folder):
+        out += _files(fs, name) if is_dir else [name]
+    return out
+
+
 def write_batch(df: DataFrame, path: str, stream_id: str, batch_id: int, *,
                 rows_per_file: int | None = None, evolve: bool = False) -> None:
-    """Write ``df`` as batch (stream_id, batch_id), replacing that batch if present."""
+    """Write ``df`` as batch (stream_id, batch_id), replacing that batch if
+    present: files of an earlier attempt go, also those in folders that get
+    no rows this time.  Rows take the table's recorded types or are refused."""
     spark = df.sparkSession
     rows = df.drop(*[c for c in LAYOUT_COLS if c in df.columns])
     schema = _record_schema(spark, path, rows.schema, evolve)
-    out = (rows.withColumn(STREAM_COL, F.lit(str(stream_id)))
+    out = (_typed(rows, schema).withColumn(STREAM_COL, F.lit(str(stream_id)))
                .withColumn(BATCH_COL, F.lit(int(batch_id)).cast("bigint")))
+    fs = FS(spark, path)
+    mine = _stream_folders(spark, path).get(str(stream_id))
+    earlier = _files(fs, f"{mine}/{BATCH_COL}={int(batch_id)}") if mine else []
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if rows_per_file:
         w = w.option("maxRecordsPerFile", rows_per_file)
     w.partitionBy(*LAYOUT_COLS, *partition_cols(schema)).parquet(path)
+    for name in earlier:   # the job removed those in the folders it wrote
+        if fs.exists(name):
+            fs.delete(name)
 
 
 def write_batches(df: DataFrame, path: str, stream_id: str, batch_col: str, *,
@@ -191,9 +233,10 @@ def write_batches(df: DataFrame, path: str, stream_id: str, batch_col: str, *,
     spark = df.sparkSession
     rows = df.drop(*[c for c in LAYOUT_COLS if c in df.columns])
     schema = _record_schema(spark, path, rows.drop(batch_col).schema, evolve)
-    (rows.withColumn(STREAM_COL, F.lit(str(stream_id)))
-         .withColumn(BATCH_COL, F.col(batch_col).cast("bigint"))
-         .drop(batch_col)
+    number = F.col(f"`{batch_col}`").cast("bigint").alias(BATCH_COL)
+    types = T.StructType([*schema.fields, T.StructField(BATCH_COL, T.LongType())])
+    (_typed(rows.select(*[f"`{c}`" for c in rows.columns if c != batch_col], number), types)
+         .withColumn(STREAM_COL, F.lit(str(stream_id)))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*LAYOUT_COLS, *partition_cols(schema)).parquet(path))
 
@@ -381,10 +424,7 @@ def _merge_insert(batch: DataFrame, path: str, keys: list[str], *, stream_id: st
         if extra and not evolve:
             raise ValueError(f"batch columns {extra} are not in the table; pass evolve=True to add them")
         if evolve:
-            wider = widen(tschema, batch.schema)
-            if wider != tschema:
-                save_schema(spark, path, wider, partition_cols(tschema))
-            tschema = wider
+            tschema = _widened(spark, path, tschema, batch.drop(*LAYOUT_COLS).schema)
         pcols = partition_cols(tschema)
         carried = all(c in batch.columns for c in pcols)   # before NULL-filling
         batch = align(batch, tschema)
@@ -402,9 +442,16 @@ def _predicate(pred: str | Column) -> Column:
     return F.expr(pred) if isinstance(pred, str) else pred
 
 
+def _stream_folders(spark: SparkSession, path: str) -> dict[str, str]:
+    """Writer -> its folder (one entry per writer); Spark escapes names on disk."""
+    names = [name.rsplit("/", 1)[-1] for name, is_dir, _, _ in FS(spark, path).list(path) if is_dir]
+    return {unquote(n.split("=", 1)[1]): f"{path.rstrip('/')}/{n}" for n in names if n.startswith(f"{STREAM_COL}=")}
+
+
 def read_batches(spark: SparkSession, path: str, batches: Iterable[tuple[str, int]]) -> DataFrame:
     """Only the named batch folders: pruning by path, no join with a batch list."""
-    paths = [f"{path.rstrip('/')}/{STREAM_COL}={s}/{BATCH_COL}={int(b)}" for s, b in batches]
+    streams = _stream_folders(spark, path)
+    paths = [f"{streams[str(s)]}/{BATCH_COL}={int(b)}" for s, b in batches]
     stored = stored_schema(spark, path)
     reader = spark.read.option("basePath", path)
     if stored is not None:
@@ -460,9 +507,8 @@ def compact(spark: SparkSession, path: str, *, rows_per_file: int = 1_000_000,
     of the whole row, and the data is range-partitioned on (batch, salt), so
     one task writes about one file and a very large batch is spread over
     many tasks.  The per-batch file counts (one row per partition folder)
-    are broadcast when their number is within ``MAX_BROADCAST_BATCHES``;
-    past it every batch uses the largest batch's salt count, which needs no
-    join.  Returns the number of range partitions.
+    are broadcast when their number is within ``MAX_BROADCAST_BATCHES`` and
+    joined by shuffle past it; the files are the same.  Returns the number of range partitions.
     """
     t = read_batches(spark, path, batches) if batches is not None else read(spark, path)
     parts_cols = _parts(spark, path)
@@ -473,20 +519,16 @@ def compact(spark: SparkSession, path: str, *, rows_per_file: int = 1_000_000,
     counts = (t.groupBy(*parts_cols).agg(F.count(F.lit(1)).alias("_rows"))
                .withColumn("_files", F.greatest(F.lit(1), F.ceil(F.col("_rows") / rows_per_file)).cast("bigint"))
                .checkpoint(eager=True))
-    totals = counts.agg(F.sum("_files").alias("files"), F.max("_files").alias("widest"),
-                        F.count(F.lit(1)).alias("batches")).first()
+    totals = counts.agg(F.sum("_files").alias("files"), F.count(F.lit(1)).alias("batches")).first()
     if not totals["files"]:
         return 0
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in data_cols])
-    if totals["batches"] <= MAX_BROADCAST_BATCHES:
-        parts = int(totals["files"])
-        salted = (t.alias("t").join(F.broadcast(counts.select(*parts_cols, "_files")).alias("c"),
-                                    _key_condition("t", "c", parts_cols, True))
-                   .select("t.*", "c._files")
-                   .withColumn("_salt", F.pmod(row_hash, F.col("_files"))).drop("_files"))
-    else:
-        parts = int(totals["batches"]) * int(totals["widest"])
-        salted = t.withColumn("_salt", F.pmod(row_hash, F.lit(int(totals["widest"]))))
+    parts = int(totals["files"])
+    sizes = counts.select(*parts_cols, "_files")
+    sizes = F.broadcast(sizes) if totals["batches"] <= MAX_BROADCAST_BATCHES else sizes
+    salted = (t.alias("t").join(sizes.alias("c"), _key_condition("t", "c", parts_cols, True))
+               .select("t.*", "c._files")
+               .withColumn("_salt", F.pmod(row_hash, F.col("_files"))).drop("_files"))
     out = salted.repartitionByRange(parts, *parts_cols, "_salt").drop("_salt")
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)

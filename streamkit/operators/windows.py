@@ -87,8 +87,8 @@ def sessions(df: DataFrame, time_col: str, gap_seconds: int, *, keys: list[str],
     A key with at most ``rows_per_chunk`` rows is one group.  A hotter key is
     cut into time chunks that hold about ``rows_per_chunk`` rows on average
     (never shorter than the gap).  The table of hot keys has at most
-    rows / rows_per_chunk entries, so it is broadcast after a size check
-    instead of shuffling the rows by key.  Gaps are found with a window over
+    rows / rows_per_chunk entries and is broadcast after a size check
+    (``max_hot_keys``) instead of shuffling the rows by key.  Gaps are found with a window over
     (key, chunk); the two facts that cross chunk borders -- the last event
     time and the last session start before a chunk -- come from a
     per-(key, chunk) summary.  Same result as ``session_window(ts, gap)``: a
@@ -119,14 +119,12 @@ def sessions(df: DataFrame, time_col: str, gap_seconds: int, *, keys: list[str],
     cand = (density.where(F.col("_n") > rows_per_chunk)
                    .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], "_n", "_lo", "_hi")
                    .checkpoint(eager=True))
-    # raise the threshold until the hot-key table fits the broadcast bound
-    threshold = rows_per_chunk
-    while not fits(cand.where(F.col("_n") > threshold), max_hot_keys):
-        threshold *= 4
-    hot = F.broadcast(cand.where(F.col("_n") > threshold).select(
+    hot = cand.select(
         *[f"_hk{i}" for i in range(len(keys))],
-        F.greatest(F.lit(gap_us), F.ceil((F.col("_hi") - F.col("_lo") + 1) * threshold / F.col("_n")))
-        .cast("bigint").alias("_span")))
+        F.greatest(F.lit(gap_us), F.ceil((F.col("_hi") - F.col("_lo") + 1) * rows_per_chunk / F.col("_n")))
+        .cast("bigint").alias("_span"))
+    # every hot key is cut, whatever their number: past the bound Spark plans the join
+    hot = F.broadcast(hot) if fits(hot, max_hot_keys) else hot
     same_key = F.lit(True)
     for i, k in enumerate(keys):
         same_key = same_key & F.col(k).eqNullSafe(F.col(f"_hk{i}"))

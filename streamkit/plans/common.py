@@ -52,10 +52,10 @@ STATE_BYTES = 64 * 1024 * 1024
 
 def state_partitions(spark: SparkSession, sf_dir: str, table_name: str = "events") -> int:
     """State partitions for a new stateful query over ``table_name``: one per
-    ``STATE_BYTES`` of input, at most two per core of the cluster (the count
-    is frozen into the checkpoint at the first start)."""
+    ``STATE_BYTES`` of input, whatever cores the session has at the moment (the
+    count is frozen into the checkpoint at the first start)."""
     size = input_bytes(spark, f"{sf_dir.rstrip('/')}/{table_name}.parquet")
-    return max(1, min(2 * spark.sparkContext.defaultParallelism, -(-size // STATE_BYTES)))
+    return max(1, -(-size // STATE_BYTES))
 
 
 def run_parquet(df: DataFrame, name: str, *, partitions: int | None = None) -> DataFrame:

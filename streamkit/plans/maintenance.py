@@ -12,7 +12,7 @@ from streamkit.plans.common import (CUTOFF, EVENT_COLS, EVENTS_SQL, TRIP_OVERRID
     cutoff, events_stream, many_sql, run_parquet, trip_sql, typed_batches)
 from streamkit.plans.registry import query
 from streamkit.plans.topics import table, write_replay
-from streamkit.session import work_path
+from streamkit.session import FS, work_path
 from streamkit.sources import generators as gen
 from streamkit.sources.topic import replay_topic
 from streamkit.streaming.run import drain
@@ -129,14 +129,18 @@ def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read(spark, path).select(*EVENT_COLS)
 
 
-@query("expire", EVENTS_SQL)
+@query("expire", f"SELECT *, 2 AS removed FROM ({EVENTS_SQL})")
 def expire(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M6: after compaction, expiry with zero retention removes only what no
-    committed batch references; the row set is unchanged."""
+    """M6: expiry with zero retention removes what no committed batch references
+    (staging left by a failed job, an empty batch folder), and only that."""
     path = appended_table(spark, sf_dir, "expire", batches=4)
     tables.compact(spark, path, rows_per_file=5000)
-    tables.expire(spark, path, retention_hours=0)
-    return tables.read(spark, path).select(*EVENT_COLS)
+    fs = FS(spark, path)
+    fs.write_text(f"{path}/_temporary/0/part-0.parquet", "left over")
+    fs.mkdirs(f"{path}/{tables.STREAM_COL}=gone/{tables.BATCH_COL}=7")
+    removed = [r for r in tables.expire(spark, path, retention_hours=0) if not r.endswith(f"{tables.STREAM_COL}=gone")]
+    gone = sum(not fs.exists(r) for r in removed)
+    return tables.read(spark, path).select(*EVENT_COLS, F.lit(gone).alias("removed"))
 
 
 # The 11 columns of the trip table at rest, and the payload

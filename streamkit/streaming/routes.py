@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamkit.functions.decode import split_bad
+from streamkit.functions.decode import split_tagged, with_corrupt
 from streamkit.operators import tables
 from streamkit.operators.windows import MICROS, late_split
 from streamkit.session import FS
@@ -77,11 +77,11 @@ def quarantine_router(good_path: str, bad_path: str, schema, *,
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         sid = qid(batch)
-        batch = batch.persist()
+        tagged = with_corrupt(batch, schema, keep=keep).persist()   # decoded once for both tables
         try:
-            good, bad = split_bad(batch, schema, keep=keep)
+            good, bad = split_tagged(tagged, schema, keep=keep)
             tables.write_batch(good, good_path, sid, epoch_id)
             tables.write_batch(bad, bad_path, sid, epoch_id)
         finally:
-            batch.unpersist()
+            tagged.unpersist()
     return run

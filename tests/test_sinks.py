@@ -85,7 +85,7 @@ def test_replay_table_as_stream(spark, tmp):
     assert tables.replay(spark, f"{tmp}/t", from_batch=0).count() == 2
 
 
-def test_rate_source_continuous_to_memory(spark):
+def test_rate_source_processing_time_to_memory(spark):
     from streamkit.sources.generators import rate_events
     st = rate_events(spark, "temperatures", 50, num_partitions=2)
     q = start(st, SinkSpec("memory", name="rate_mem", trigger=Trigger.every(0.5)))

@@ -261,3 +261,74 @@ def test_delete_removes_folders_whose_names_need_escapes(spark, tmp):
     tables.overwrite(rows, path, partition_by=["p"])
     tables.delete_where(spark, path, "p = 'x:y z%'")
     assert sorted(r.k for r in tables.read(spark, path).collect()) == [3, 4, 5]
+
+
+def _values(spark, path, *cols):
+    return sorted(tuple(r) for r in tables.read(spark, path).select(*cols).collect())
+
+
+def test_replays_replace_the_whole_batch(spark, tmp):
+    path = f"{tmp}/t"
+    tables.write_batch(spark.range(10), path, "a:b c", 0)
+    tables.write_batch(spark.range(3), path, "a:b c", 1)
+    tables.write_batch(spark.range(0), path, "a:b c", 0)         # empty replay
+    assert _values(spark, path, "id") == [(0,), (1,), (2,)]
+    split = f"{tmp}/p"
+    tables.overwrite(spark.createDataFrame([(0, "A")], "k int, d string"), split, partition_by=["d"])
+    tables.write_batch(spark.createDataFrame([(1, "A"), (2, "B")], "k int, d string"), split, "s", 0)
+    tables.write_batch(spark.createDataFrame([(1, "A")], "k int, d string"), split, "s", 0)   # no row for d=B
+    assert _values(spark, split, "k", "d") == [(0, "A"), (1, "A")]
+
+
+def test_named_batches_of_an_escaped_writer(spark, tmp):
+    path = f"{tmp}/t"
+    tables.write_batch(spark.range(10), path, "a:b c", 0)
+    assert tables.read_batches(spark, path, [("a:b c", 0)]).count() == 10
+    assert tables.delete_where(spark, path, "id < 4") == 1
+    assert tables.read(spark, path).count() == 6
+
+
+def test_appends_take_the_recorded_types_or_are_refused(spark, tmp):
+    path = f"{tmp}/t"
+    tables.write_batch(spark.createDataFrame([(1, 1)], "k bigint, v bigint"), path, "s", 0)
+    tables.write_batch(spark.createDataFrame([(2, 2)], "k int, v smallint"), path, "s", 1)
+    for ddl, row in (("k bigint, v string", (3, "x")), ("k bigint, v double", (3, 0.5))):
+        for evolve in (False, True):
+            with pytest.raises(ValueError):
+                tables.write_batch(spark.createDataFrame([row], ddl), path, "s", 2, evolve=evolve)
+        with pytest.raises(ValueError):
+            tables.merge_insert(spark.createDataFrame([row], ddl), path, ["k"], stream_id="m", batch_id=0, evolve=True)
+    assert _values(spark, path, "k", "v") == [(1, 1), (2, 2)]
+
+
+@pytest.mark.parametrize("old, new", [("tinyint", "int"), ("smallint", "bigint"), ("int", "bigint"), ("int", "double"),
+                                      ("tinyint", "double"), ("float", "double"), ("decimal(9,2)", "decimal(20,4)"),
+                                      ("array<int>", "array<bigint>"), ("struct<a:int>", "struct<a:bigint,b:string>")])
+def test_tables_stay_readable_after_each_promotion(spark, tmp, old, new):
+    path = f"{tmp}/t"
+    make = {"array": "array(1)", "struct": "named_struct('a', 1)"}.get(old.split("<")[0], "1")
+    tables.write_batch(spark.sql(f"SELECT 1 AS k, CAST({make} AS {old}) AS v"), path, "s", 0)
+    wide = "named_struct('a', 1, 'b', 'x')" if old.startswith("struct") else make
+    tables.write_batch(spark.sql(f"SELECT 2 AS k, CAST({wide} AS {new}) AS v"), path, "s", 1, evolve=True)
+    assert tables.stored_schema(spark, path)["v"].dataType.simpleString() == new
+    assert [r.k for r in tables.read(spark, path).where("v IS NOT NULL").orderBy("k").collect()] == [1, 2]
+
+
+def test_half_written_table_is_bootstrapped_again(spark, tmp):
+    path = f"{tmp}/t"
+    os.makedirs(f"{path}/stream_id=bootstrap/batch_id=0")       # a create that died
+    assert not tables.exists(spark, path)
+    assert tables.bootstrap(spark, path, spark.range(5)) is True
+    assert tables.exists(spark, path) and tables.read(spark, path).count() == 5
+
+
+def test_compact_writes_the_same_files_past_the_broadcast_bound(spark, tmp, monkeypatch):
+    sizes = []
+    for bound in (1_000_000, 0):
+        path = f"{tmp}/t{bound}"
+        for b in range(3):
+            tables.write_batch(spark.range(20).repartition(4), path, "s", b)
+        monkeypatch.setattr(tables, "MAX_BROADCAST_BATCHES", bound)
+        planned = tables.compact(spark, path, rows_per_file=100)
+        sizes.append((planned, sum(len([f for f in fs if f.endswith(".parquet")]) for _, _, fs in os.walk(path))))
+    assert sizes[0] == sizes[1] == (3, 3)
