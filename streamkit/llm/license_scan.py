@@ -1,8 +1,8 @@
 """License detection by ordered signature rules.  DataFrame functions only.
 
-A rule is (label, priority, keyword, pattern).  A document meets a rule's
-pattern only if it holds the rule's keyword, and no rule at all if it holds
-none of the few stems that every keyword contains.  Patterns run over the
+A rule is (label, priority, keywords, pattern).  Every match of a pattern holds
+one of its rule's keywords, so a document without them skips the rule, and it
+skips all rules if it holds no keyword of any.  Patterns run over the
 lower-cased words joined by one space.  Of the places found, one is dropped if
 it lies inside another of a rule with higher or equal priority (of equal
 intervals the first by priority, then rule order, stays)."""
@@ -92,18 +92,20 @@ FAMILIES = [
     ("openrail", ["openrail"], [r"(?:creativeml )?open ?rail(?: m| plus plus)?"]),
 ]
 
-# (pattern around a name or identifier, priority, score); {} stands for it.
+GRANTS = ["licensed", "released", "distributed", "available", "published", "provided"]
+# (pattern around a name or identifier, priority, score, keywords); {} stands for it.
+# Every match holds one of the keywords.
 NAME_FORMS = [
-    (r"(?:re)?(?:licensed|released|distributed|available|published|provided) under (?:the )?(?:terms of )?(?:the )?{}(?: licen[sc]e)?", 30, 0.95),
-    (r"(?:the )?{} licen[sc]e", 20, 0.8),
-    (r"licen[sc]e(?:d under)?(?: type| name)? {}", 10, 0.7),
+    (rf"(?:re)?(?:{'|'.join(GRANTS)}) under (?:the )?(?:terms of )?(?:the )?{{}}(?: licen[sc]e)?", 30, 0.95, [f"{g} under" for g in GRANTS]),
+    (r"(?:the )?{} licen[sc]e", 20, 0.8, ["licen"]),
+    (r"licen[sc]e(?:d under)?(?: type| name)? {}", 10, 0.7, ["licen"]),
 ]
-ID_FORMS = [(r"spdx licen[sc]e identifier {}", 50, 1.0), (r"licen[sc]e (?:expression|id) {}", 40, 0.9)]
+ID_FORMS = [(r"spdx licen[sc]e identifier {}", 50, 1.0, ["licen"]), (r"licen[sc]e (?:expression|id) {}", 40, 0.9, ["licen"])]
 # Rules outside the families: texts that state terms without a name
 TEXT_RULES = [
     ("mit", "permission is hereby granted", r"permission is hereby granted free of charge to any person obtaining a copy", 60, 1.0),
     ("isc", "permission to use copy", r"permission to use copy modify and or distribute this software for any purpose", 60, 1.0),
-    ("bsd", "redistribution and use", r"redistributions? and use in source and binary forms", 60, 0.9),
+    ("bsd", "and use in source", r"redistributions? and use in source and binary forms", 60, 0.9),
     ("gpl", "gnu", r"under the terms of the gnu general public license", 25, 0.9),
     ("lgpl", "gnu", r"under the terms of the gnu lesser general public license", 26, 0.9),
     ("public-domain", "public domain", r"(?:released|dedicated|placed) (?:in)?to the public domain", 30, 0.8),
@@ -112,9 +114,6 @@ TEXT_RULES = [
     ("apache", "apache licen", r"apache licen[sc]e", 3, 0.6),
     ("creative-commons", "creative commons", r"creative commons", 2, 0.4),
 ]
-# every keyword below holds one of these
-STEMS = ["licen", "permission", "redistribution", "public domain", "gnu", "rights reserved", "creative commons"]
-
 
 def rules() -> list[dict]:
     """All rules, in order; several hundred, made of the tables above."""
@@ -122,14 +121,20 @@ def rules() -> list[dict]:
     for label, ids, names in FAMILIES:
         for forms, parts in ((NAME_FORMS, names), (ID_FORMS, ids)):
             for part in parts:
-                for form, priority, score in forms:
-                    out.append({"label": label, "keyword": "licen", "gate": max(_plain(part).split(" "), key=len, default=""),
+                for form, priority, score, keywords in forms:
+                    out.append({"label": label, "keywords": keywords, "gate": max(_plain(part).split(" "), key=len, default=""),
                                 "pattern": form.replace("{}", f"(?:{part})"), "priority": priority, "score": score})
     for label, keyword, pattern, priority, score in TEXT_RULES:
-        out.append({"label": label, "keyword": keyword, "gate": keyword, "pattern": pattern, "priority": priority, "score": score})
+        out.append({"label": label, "keywords": [keyword], "gate": keyword, "pattern": pattern, "priority": priority, "score": score})
     return [r | {"rule": i} for i, r in enumerate(out)]
 
 
+def stems() -> list[str]:
+    """The keywords that hold no other keyword: a text with any keyword holds one of these."""
+    words = sorted({k for r in rules() for k in r["keywords"]})
+    return [w for w in words if not any(o != w and o in w for o in words)]
+
+
 def _plain(pattern: str) -> str:
     """The words that every match of ``pattern`` holds: its text outside groups."""
     depth, text = 0, ""
@@ -142,7 +147,7 @@ def _plain(pattern: str) -> str:
     return " ".join(w for w in text.split() if w)
 
 
-RULE_TYPE = "array<struct<label:string,keyword:string,gate:string,pattern:string,priority:int,score:double,rule:int>>"
+RULE_TYPE = "array<struct<label:string,keywords:array<string>,gate:string,pattern:string,priority:int,score:double,rule:int>>"
 _FOUND = "struct<a:int,b:int,label:string,priority:int,score:double,rule:int>"
 
 
@@ -162,7 +167,7 @@ def _places(norm: Column, rule: Column) -> Column:
 
 
 def _detected(norm: Column, listed: Column) -> Column:
-    gated = F.filter(listed, lambda r: F.contains(norm, r["keyword"]) & F.contains(norm, r["gate"]))
+    gated = F.filter(listed, lambda r: F.contains(norm, r["gate"]) & F.exists(r["keywords"], lambda k: F.contains(norm, k)))
     return F.flatten(F.transform(gated, lambda r: _places(norm, r)))
 
 
@@ -191,7 +196,7 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     rows = rows.select("doc_id", "text", F.when(F.col("text") == "", 0).otherwise(
         F.char_length("text") - F.char_length(F.translate("text", " ", "")) + 1).cast("long").alias("n_words"))
     hit = F.when(F.lit(False), F.lit(False))
-    for stem in STEMS:
+    for stem in stems():
         hit = hit.when(F.contains("text", F.lit(stem)), F.lit(True))
     none = F.from_json(F.lit("[]"), f"array<{_FOUND}>")
     norm = F.concat(F.lit(" "), F.col("text"), F.lit(" "))

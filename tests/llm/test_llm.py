@@ -3,6 +3,7 @@ table of edge cases: nulls, empty and long texts, ties, repeated rows, clashing
 column names, and no rows at all."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -179,6 +180,57 @@ def test_license_rules(spark, texts):
             assert r.score == max([x[5] for x in kept] + [0.5 * bool(base)])
 
 
+def license_places(text):
+    """Labels and best score of all rules by brute force, without keywords or gates."""
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(str.maketrans(license_scan.UPPER, license_scan.LOWER)))
+    norm = " " + " ".join(w) + " "
+    found = [(n := norm[:m.start()].count(" "), n + m.group().count(" "), x["priority"], x["rule"], x["label"], x["score"])
+             for x in license_scan.rules() for m in re.finditer(f"( (?:{x['pattern']})(?= ))", norm)]
+    kept = [x for x in found if not any(y[0] <= x[0] and x[1] <= y[1] and (y[2] > x[2] or y[2] == x[2] and (y[:2] != x[:2] or y[3] < x[3])) for y in found)]
+    base = [label for phrase, label in license_scan.BASE if f" {phrase} " in norm]
+    return ",".join(sorted({x[4] for x in kept} | set(base))), max([x[5] for x in kept] + [0.5 * bool(base)])
+
+
+def scanned(spark, said):
+    docs = spark.createDataFrame(list(enumerate(said)), "doc_id long, text string")
+    return {r.doc_id: (r.labels, r.score) for r in license_scan.scan(docs).collect()}
+
+
+def test_license_rules_without_the_word_license(spark):
+    said = ["This code is released under GPLv3.", "Published under CC BY-SA 4.0", "available under Apache 2.0", "Redistributions and use in source and binary forms are fine",
+            "distributed under the terms of the MIT No Attribution", "Redistribution and use in source and binary forms", "provided under x11", "under mit"]
+    said += [f"{g} under the terms of the {name}" for g in license_scan.GRANTS for name in ("zlib", "gnu gpl v2", "two clause BSD", "sharealike")]
+    got = scanned(spark, said)
+    for i, text in enumerate(said):
+        assert got[i] == license_places(text), text
+    assert [got[i][0] for i in range(5)] == ["gpl-3.0", "cc-by-sa-4.0", "apache-2.0", "bsd", "mit-0"]
+
+
+def test_license_keywords_are_in_every_match():
+    def some(parsed, pick):
+        """A match of a pattern; ``pick`` chooses alternatives and repeats."""
+        text = ""
+        for op, arg in parsed:
+            kind = str(op)
+            if kind == "LITERAL":
+                text += chr(arg)
+            elif kind == "IN":
+                text += chr(pick(arg)[1])
+            elif kind == "BRANCH":
+                text += some(pick(arg[1]), pick)
+            elif kind == "MAX_REPEAT":
+                text += some(arg[2], pick) * pick((arg[0], arg[1]))
+            else:
+                text += some(arg[-1], pick)
+        return text
+    picks = random.Random(1)
+    for rule in license_scan.rules():
+        for _ in range(40):
+            match = some(re._parser.parse(rule["pattern"]), picks.choice)
+            assert re.fullmatch(rule["pattern"], match), match
+            assert rule["gate"] in match and any(k in match for k in rule["keywords"]) and any(k in match for k in license_scan.stems()), match
+
+
 def test_fingerprints(spark, texts):
     docs, got = sorted(texts.items(), reverse=True), {r.doc_id: r for r in E.queries()["op8_order_minhash"](spark, SF).collect()}
     for i, (d, text) in enumerate(docs):
