@@ -153,8 +153,8 @@ _FOUND = "struct<a:int,b:int,label:string,priority:int,score:double,rule:int>"
 
 def _places(norm: Column, rule: Column) -> Column:
     """Word intervals [a, b) where ``rule`` matches in `` w1 w2 ... wn ``."""
-    # \G: each match goes on where the last one ended, so a text is passed once
-    pattern = F.concat(F.lit(r"\G(.*?)( (?:"), rule["pattern"], F.lit(")(?= ))"))
+    # \G: each match goes on where the last one ended, so a text is passed once; (?s): also across U+0085, U+2028 and U+2029, which are in words here
+    pattern = F.concat(F.lit(r"(?s)\G(.*?)( (?:"), rule["pattern"], F.lit(")(?= ))"))
     words = lambda s: F.size(F.split(s, " ")) - 1  # noqa: E731  spaces in s
 
     def located(gaps: Column) -> Column:

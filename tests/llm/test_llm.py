@@ -206,6 +206,15 @@ def test_license_rules_without_the_word_license(spark):
     assert [got[i][0] for i in range(5)] == ["gpl-3.0", "cc-by-sa-4.0", "apache-2.0", "bsd", "mit-0"]
 
 
+def test_license_rules_after_line_separators(spark):
+    said = [t.replace("|", c) for c in "\x85\u2028\u2029" for t in
+            ("x|y the mit license c", "a the isc license b|b the zlib license c", "| released under gplv3 || apache license 2.0|", "licensed under|the mit")]
+    got = scanned(spark, said)
+    for i, text in enumerate(said):
+        assert got[i] == license_places(text), ascii(text)
+    assert [got[i][0] for i in range(2)] == ["mit", "isc,zlib"]
+
+
 def test_license_keywords_are_in_every_match():
     def some(parsed, pick):
         """A match of a pattern; ``pick`` chooses alternatives and repeats."""
