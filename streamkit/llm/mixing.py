@@ -1,11 +1,17 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
 The mix is a row of slots of equally many words.  Slot i has the point
-frac(i * golden ratio) (as 32-bit integers); the source whose share of the
+frac(i * golden ratio) (as integers); the source whose share of the
 cumulative targets holds the point fills the slot.  Every run of slots is
 therefore close to the targets.  A source's documents stand in a fixed
-shuffled order (by hash) as one stream of words, cut into blocks of a slot's
-length; its r-th slot takes block r modulo the number of blocks.
+shuffled order (by hash) as one stream of words, and each of its slots takes
+the next words of the stream, which starts again after its end.  A slot has
+``SLOT`` words whatever the corpus size, so a small source gets as close to its
+target as a large one, to a few slots.
+
+op9's SQL has another schedule (``slots``): about so many slots, longer in a
+larger corpus; the streams are cut into blocks of a slot's length, and a
+source's r-th slot takes block r modulo the number of blocks, also a short one.
 
 Nothing is numbered by a window over a whole source or all slots: positions
 are counts within a bounded bucket plus the sums of the buckets before it."""
@@ -19,7 +25,9 @@ from streamkit.llm.registry import query, saved, table
 GOLDEN = 2654435769  # 2**32 / golden ratio, odd
 WEIGHTS = (5, 2, 1)
 MOST = 3  # times that a source's words may be taken
-SLOTS = 1 << 18  # about as many slots, but of 16 words at least
+SLOT = 16  # words of a slot
+SLOTS = 1 << 18  # of op9's SQL: about as many slots, but of 16 words at least
+BITS, STEP = 48, 0x9E3779B97F4B  # points of slots of fixed length: fine enough for a source of a few words among 10**14; 2**48 / golden ratio, odd
 CELL = 20  # bits of a point below its cell; points and sources meet by cell
 CHUNK = 1 << 12  # slots that are ranked together
 
@@ -54,33 +62,82 @@ def _same(a: str, b: str):
     return F.col(a).eqNullSafe(F.col(b))
 
 
-def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, slots: int = SLOTS, id_col: str = "doc_id",
+def _bounds(per: DataFrame, bits: int) -> DataFrame:
+    """Each source's share [low, high) of the points."""
+    order = W.orderBy(F.col("source").asc_nulls_last())
+    return per.withColumn("high", F.floor(F.sum("target").over(order.rowsBetween(W.unboundedPreceding, 0)) / F.greatest("total", F.lit(1)) * (1 << bits))) \
+        .withColumn("low", F.coalesce(F.lag("high").over(order), F.lit(0)))
+
+
+def _met(points: DataFrame, per: DataFrame, cell: int) -> DataFrame:
+    """The source of each point, with the source's other columns."""
+    cells = per.where("low < high").withColumn("cell", F.explode(F.sequence(F.shiftright("low", cell), F.shiftright(F.col("high") - 1, cell))))
+    return points.withColumn("cell", F.shiftright("point", cell)).join(cells, "cell") \
+        .where((F.col("point") >= F.col("low")) & (F.col("point") < F.col("high")))
+
+
+def _stream(sizes: DataFrame) -> DataFrame:
+    """Where each document stands in its source's stream."""
+    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    place = sizes.withColumn("key", key).withColumn("bucket", F.substring("key", 1, 3))
+    sums = place.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
+    sums = sums.withColumn("base", F.sum("n").over(W.partitionBy("source").orderBy("bucket")) - F.col("n")) \
+        .select(F.col("source").alias("s_"), F.col("bucket").alias("c_"), "base")
+    run = W.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
+    return place.withColumn("upto", F.sum("size").over(run)).join(sums, _same("source", "s_") & (F.col("bucket") == F.col("c_"))) \
+        .withColumn("begin", F.col("base") + F.col("upto") - F.col("size")).drop("s_", "c_", "bucket", "key", "base", "upto")
+
+
+def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, slots: int | None = None, slot: int = SLOT, id_col: str = "doc_id",
         text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Per row: (doc_id, size, source_size, target, taken, passes).
 
     ``size`` is the number of words; ``taken`` the words that the mix takes,
-    repeats counted; ``passes`` how often it takes the block in which the
-    document starts (for whole-document mixes).
+    repeats counted; ``passes`` how often it takes the document's first word, or
+    with ``slots`` the block in which that is (for whole-document mixes).
+
+    Slots have ``slot`` words.  With ``slots`` the schedule of op9's SQL is made
+    instead, in which a source far under total / slots words gets too little.
 
     Sources in order of code points, null last, weigh ``weights``, repeating.
     A null or empty text has size 0 and nothing is taken.  Null ids and rows that
     repeat an id are documents of their own, in a fixed order by id; other
     columns are ignored; an empty table gives an empty one."""
     sizes = saved(sized(docs, id_col, text_col, source_col), "mix-sizes")
-    per = saved(targets(sizes, weights, most)
-                .withColumn("block", F.greatest(F.lit(16), F.ceil(F.col("total") / slots)).cast("long"))
-                .withColumn("high", F.floor(F.sum("target").over(W.orderBy(F.col("source").asc_nulls_last()).rowsBetween(W.unboundedPreceding, 0)) / F.greatest("total", F.lit(1)) * (1 << 32)))
-                .withColumn("low", F.coalesce(F.lag("high").over(W.orderBy(F.col("source").asc_nulls_last())), F.lit(0))), "mix-targets")
+    per = targets(sizes, weights, most)
+    return _by_block(sizes, per, most, slots) if slots else _by_word(sizes, per, most, slot)
+
+
+def _by_word(sizes: DataFrame, per: DataFrame, most: int, slot: int) -> DataFrame:
+    per = saved(_bounds(per, BITS), "mix-targets")
+    n = -(-int(per.agg(F.max("total")).first()[0] or 0) // slot)
+    # id * STEP modulo 2**BITS from 15 bits of the id at a time, which does not overflow
+    point = F.lit(0).cast("long")
+    for low in (0, 15, 30):
+        digit = F.shiftright("id", low).bitwiseAND(F.lit((1 << 15) - 1))
+        point = point + F.pmod(digit * F.lit((STEP << low) % (1 << BITS)), F.lit(1 << BITS))
+    points = sizes.sparkSession.range(n).select(F.pmod(point, F.lit(1 << BITS)).alias("point"))
+    filled = _met(points, per.select("source", "low", "high"), BITS - 12).groupBy(F.col("source").alias("f_")).agg(F.count("*").alias("filled"))
+    of = per.join(filled, _same("source", "f_"), "left") \
+        .select(F.col("source").alias("s_"), "source_size", "target",
+                F.least(F.coalesce("filled", F.lit(0)) * slot, F.col("source_size") * most).alias("words"))
+    rows = _stream(sizes).join(of, _same("source", "s_")).drop("s_")
+    # every word of the stream is taken ``whole`` times, the first ``rest`` once more
+    whole = F.when(F.col("size") > 0, F.floor(F.col("words") / F.greatest("source_size", F.lit(1)))).otherwise(0)
+    rows = rows.withColumn("whole", whole).withColumn("rest", F.col("words") - F.col("whole") * F.col("source_size"))
+    more = F.greatest(F.least(F.col("begin") + F.col("size"), F.col("rest")) - F.col("begin"), F.lit(0))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("whole") * F.col("size") + more).cast("long").alias("taken"),
+                       (F.col("whole") + (more > 0).cast("long")).cast("long").alias("passes"))
+
+
+def _by_block(sizes: DataFrame, per: DataFrame, most: int, slots: int) -> DataFrame:
+    per = saved(_bounds(per.withColumn("block", F.greatest(F.lit(16), F.ceil(F.col("total") / slots)).cast("long")), 32), "mix-targets")
 
     # how often each block of a source is taken
     head = per.agg(F.max("total").alias("total"), F.max("block").alias("block")).first()  # two numbers
     n = -(-int(head["total"] or 0) // int(head["block"] or 1))
-    points = docs.sparkSession.range(n).select("id", F.pmod(F.col("id") * GOLDEN, F.lit(1 << 32)).alias("point"))
-    cells = per.where("low < high").select("source", "low", "high", "block", "source_size", F.explode(
-        F.sequence(F.shiftright("low", CELL), F.shiftright(F.col("high") - 1, CELL))).alias("cell"))
-    slot = points.withColumn("cell", F.shiftright("point", CELL)).join(cells, "cell") \
-        .where((F.col("point") >= F.col("low")) & (F.col("point") < F.col("high"))) \
-        .withColumn("chunk", F.floor(F.col("id") / CHUNK))
+    points = sizes.sparkSession.range(n).select("id", F.pmod(F.col("id") * GOLDEN, F.lit(1 << 32)).alias("point"))
+    slot = _met(points, per.select("source", "low", "high", "block", "source_size"), CELL).withColumn("chunk", F.floor(F.col("id") / CHUNK))
     in_chunk = F.row_number().over(W.partitionBy("chunk", "source").orderBy("id")) - 1
     chunks = slot.groupBy("source", "chunk").agg(F.count("*").alias("n"))
     chunks = chunks.withColumn("base", F.sum("n").over(W.partitionBy("source").orderBy("chunk")) - F.col("n")) \
@@ -90,17 +147,8 @@ def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
     taken = ranked.withColumn("rank", F.col("base") + F.col("k")).where(F.col("rank") < most * blocks) \
         .groupBy(F.col("source").alias("s_"), (F.col("rank") % blocks).alias("b_")).agg(F.count("*").alias("times"))
 
-    # where each document stands in its source's stream
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    place = sizes.withColumn("key", key).withColumn("bucket", F.substring("key", 1, 3))
-    sums = place.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
-    sums = sums.withColumn("base", F.sum("n").over(W.partitionBy("source").orderBy("bucket")) - F.col("n")) \
-        .select(F.col("source").alias("s_"), F.col("bucket").alias("c_"), "base")
-    run = W.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
-    place = place.withColumn("upto", F.sum("size").over(run)).join(sums, _same("source", "s_") & (F.col("bucket") == F.col("c_"))) \
-        .withColumn("begin", F.col("base") + F.col("upto") - F.col("size")).drop("s_", "c_", "bucket", "key", "base", "upto")
     of = per.select(F.col("source").alias("s_"), "source_size", "target", "block")
-    place = saved(place.join(of, _same("source", "s_")).drop("s_").withColumn("row", F.monotonically_increasing_id()), "mix-places")
+    place = saved(_stream(sizes).join(of, _same("source", "s_")).drop("s_").withColumn("row", F.monotonically_increasing_id()), "mix-places")
     parts = place.where("size > 0").select("row", "source", "begin", "size", "block",
                                            F.explode(F.sequence(F.floor(F.col("begin") / F.col("block")),
                                                                 F.floor((F.col("begin") + F.col("size") - 1) / F.col("block")))).alias("b"))
@@ -139,12 +187,12 @@ FROM z LEFT JOIN y ON y.doc_id = z.doc_id
 
 @query("op9_mix_sources", SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents"))
+    return mix(table(spark, sf_dir, "documents"), slots=SLOTS)
 
 
 def mixed_rows(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` as the mix takes them: each row as often as the block in which
-    it starts is taken (no text is cut; an empty text stays once)."""
+    """``docs`` as the mix takes them: each row as often as its first word
+    is taken (no text is cut; an empty text stays once)."""
     taken = mix(docs, id_col=id_col, **options).groupBy("doc_id").agg(F.max(F.when(F.col("size") > 0, F.col("passes")).otherwise(1)).alias("passes_"))
     out = docs.join(taken.withColumnRenamed("doc_id", "id_"), F.col(id_col).cast("long").eqNullSafe(F.col("id_")))
     return out.where("passes_ > 0").withColumn("pass_", F.explode(F.sequence(F.lit(1), F.col("passes_").cast("int")))).select(docs.columns)

@@ -12,6 +12,7 @@ import duckdb
 import numpy as np
 import pytest
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as E
@@ -279,6 +280,35 @@ def test_mix_targets_and_limits(spark):
     assert all(abs(took[s] - target[s]) <= 0.02 * target[s] for s in size)
 
 
+def test_mix_gives_small_sources_their_target(spark):
+    # total / 2**18 is 77 words; the sources small* have 50 to 3,000 words
+    small = {f"small{k}": k for k in (50, 150, 500, 1_000, 3_000)}
+    docs = spark.range(4_000).select("id", F.lit("big").alias("source"), F.lit(5_000).alias("n"))
+    for i, (s, n) in enumerate(small.items()):
+        docs = docs.unionAll(spark.createDataFrame([(10_000 + 100 * i + k, s, n // 10) for k in range(10)], "id long, source string, n int"))
+    docs = docs.select(F.col("id").alias("doc_id"), "source", F.expr("repeat('w ', n)").alias("text")).cache()
+    per = {r.s: r for r in mixing.mix(docs).join(docs.select("doc_id", F.col("source").alias("s")), "doc_id")
+           .groupBy("s").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max("source_size").alias("size"), F.min("passes").alias("passes")).collect()}
+    assert per["big"].size == 20_000_000
+    for s, r in per.items():
+        assert r.taken <= 3 * r.size and abs(r.taken - r.target) <= 0.001 * r.target + 2 * mixing.SLOT, r
+        assert s == "big" or r.passes >= 1, r
+    kept = {r.source for r in mixing.mixed_rows(docs).select("source").distinct().collect()}
+    assert kept == set(per)
+
+
+def test_mix_takes_short_streams_evenly(spark):
+    # every stream is shorter than a slot or ends inside one
+    rows = [(i, f"s{i % 40}", "w " * (1 + i % 23)) for i in range(800)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+    assert len(got) == 800 and all(0 <= r.taken <= 3 * r.size and r.taken <= r.passes * r.size for r in got)
+    took, target = Counter(), {}
+    for r in got:
+        took[r.doc_id % 40] += r.taken
+        target[r.doc_id % 40] = r.target
+    assert all(abs(took[s] - target[s]) <= 4 * mixing.SLOT for s in target)
+
+
 def test_reshard(spark, texts):
     got = E.queries()["op6_min_cost_reshard"](spark, SF).collect()
     shards: dict[int, list] = {}
