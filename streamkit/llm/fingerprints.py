@@ -1,7 +1,10 @@
 """Order MinHash fingerprints and how they see a text after an edit.
 
-A text's units are its words, or its characters if it has few words.  Its
-k-mers of units are numbered by occurrence, so that repeats count.  For each of
+Every text is sketched in words, with very long words opened into characters; a
+text of few words is sketched in characters too.  Two texts of few words are
+compared in characters, all others in words, which both have.
+
+A text's k-mers of units are numbered by occurrence, so that repeats count.  For each of
 ``SKETCHES`` hash functions the ``TUPLE`` numbered k-mers of least hash are
 taken, put back into the order in which they stand in the text, and hashed
 together.  Two fingerprints agree in a share of sketches that falls with the
@@ -16,6 +19,7 @@ neighbour is always at hand and one text at a time is held."""
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,18 +30,26 @@ from streamkit.llm import hashing
 from streamkit.llm.registry import query, table
 
 SKETCHES, TUPLE, WORDS, CHARS = 64, 2, 2, 4
-FEW = 24  # with fewer words the units are characters
+FEW = 24  # with fewer words there is a sketch of the characters too
+LONG = 64  # bytes; the characters of a longer word are units of their own
 U = np.uint64
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SEEDS = hashing.mix(np.arange(SKETCHES, dtype=U), 77)[:, None] | U(1)
 
 
-def _units(text: str) -> np.ndarray:
+def _chars(text: str) -> np.ndarray:
+    return hashing.mix(np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(U), 33)
+
+
+def _words(text: str) -> tuple[np.ndarray, int]:
+    """The word units of a text, and its number of words."""
+    words = list(hashing.word_hashes(pa.array([text])))[0]
     data = np.frombuffer(text.encode(), dtype=np.uint8)
-    words = list(hashing.word_hashes(pa.array([text])))[0] if len(data) else np.zeros(0, U)
-    if len(words) >= FEW:
-        return hashing.shingles(words, WORDS, seed=31)
-    chars = hashing.mix(np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(U), 33)
-    return hashing.shingles(chars, min(CHARS, len(chars)), seed=35) if len(chars) else chars
+    ends = np.flatnonzero(hashing.SPACE[data])
+    if np.diff(ends, prepend=-1, append=len(data)).max() - 1 <= LONG:
+        return words, len(words)
+    apart = [_chars(w) if len(w.encode()) > LONG else words[i:i + 1] for i, w in enumerate(_WORD.findall(text))]
+    return np.concatenate(apart), len(words)
 
 
 def numbered(kmers: np.ndarray) -> np.ndarray:
@@ -52,11 +64,20 @@ def numbered(kmers: np.ndarray) -> np.ndarray:
 
 
 def fingerprint(text: str) -> np.ndarray:
-    """SKETCHES 32-bit values; none for an empty text."""
-    items = numbered(_units(text)) if text else np.zeros(0, U)
-    n = len(items)
-    if not n:
+    """SKETCHES 32-bit values in words, then as many in characters if the text has few words; none for an empty text."""
+    if not text:
         return np.zeros(0, dtype=np.uint32)
+    words, count = _words(text)
+    kmers = hashing.shingles(words, min(WORDS, len(words)), seed=31) if len(words) else np.full(1, 31, dtype=U)  # only white space
+    if count >= FEW:
+        return _sketch(kmers)
+    chars = _chars(text)
+    return np.concatenate([_sketch(kmers), _sketch(hashing.shingles(chars, min(CHARS, len(chars)), seed=35))])
+
+
+def _sketch(kmers: np.ndarray) -> np.ndarray:
+    items = numbered(kmers)
+    n = len(items)
     size = min(TUPLE, n)
     best = best_at = None
     for lo in range(0, n, 2048):  # bounded memory for long texts
@@ -78,10 +99,11 @@ def fingerprint(text: str) -> np.ndarray:
 
 
 def near(a: np.ndarray, b: np.ndarray) -> float:
-    """Share of sketches that agree; two empty texts are alike, one is not."""
+    """Share of sketches that agree, in characters if both have them, else in words; two empty texts are alike, one is not."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    return float((a == b).mean())
+    both = slice(SKETCHES, None) if len(a) == len(b) > SKETCHES else slice(SKETCHES)
+    return float((a[both] == b[both]).mean())
 
 
 def edited(text: str, following: str) -> str:

@@ -254,6 +254,21 @@ def test_fingerprints(spark, texts):
     assert fingerprints.near(fingerprints.fingerprint(" ".join(words)), fingerprints.fingerprint(shuffled)) < 0.9
 
 
+def test_fingerprints_of_texts_on_both_sides_of_few_words():
+    words = [f"word{i}" for i in range(40)]
+    sketch = {n: fingerprints.fingerprint(" ".join(words[:n])) for n in range(18, 33)}
+    for n in range(20, 31):  # one word more or less
+        assert fingerprints.near(sketch[n], sketch[n + 1]) >= 0.7 and fingerprints.near(sketch[n], sketch[n - 1]) >= 0.7, n
+        assert fingerprints.near(sketch[n], sketch[n]) == 1
+    assert fingerprints.near(sketch[18], sketch[32]) < fingerprints.near(sketch[22], sketch[25])
+    other = fingerprints.fingerprint(" ".join(f"else{i}" for i in range(30)))
+    assert fingerprints.near(other, sketch[20]) == 0 and fingerprints.near(other, fingerprints.fingerprint(" \n")) == 0
+    # a text without spaces, its last third overwritten by words
+    run = "".join(chr(0x4e00 + i * 37 % 5000) for i in range(3000))
+    assert fingerprints.near(fingerprints.fingerprint(run), fingerprints.fingerprint(fingerprints.edited(run, " ".join(words * 9)))) > 0.3
+    assert fingerprints.near(fingerprints.fingerprint("one"), fingerprints.fingerprint("one")) == 1
+
+
 def test_mix_targets_and_limits(spark):
     sf = "/root/testdata/sf0.01"
     source = dict(duckdb.sql(f"SELECT doc_id, source FROM '{sf}/documents.parquet'").fetchall())
