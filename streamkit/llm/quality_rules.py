@@ -90,12 +90,13 @@ def model(rows: DataFrame, trusted: DataFrame) -> DataFrame:
     return sums.select(F.transform("all", lambda x: F.log(x["target"] / F.col("all_target")) - F.log(x["raw"] / F.col("all_raw"))).alias("w"))
 
 
-def quality(docs: DataFrame, labels: DataFrame, *, width: float = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, *, width: float = WIDTH, fitted: int = TRUSTED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept and score.
 
     ``labels`` (doc_id, quality, toxic) names the trusted texts: quality 1 and
-    not toxic, TRUSTED of them at most.  base_failed: under 20 words, or over 30% of the words in 8-word
+    not toxic.  The target multinomial is fitted on ``fitted`` of them at most,
+    the threshold's mean and deviation are those of all.  base_failed: under 20 words, or over 30% of the words in 8-word
     windows that occur twice in the text.  kept: not base_failed, and the score
     is not under the threshold.  Without trusted texts only the base rules count.
 
@@ -103,13 +104,13 @@ def quality(docs: DataFrame, labels: DataFrame, *, width: float = WIDTH, id_col:
     like others (they are never trusted); rows that repeat an id are judged each
     by itself; other columns are ignored; an empty table gives an empty one."""
     rows = texts(docs, id_col, text_col)
-    good = labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    trusted = saved(good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED), "quality-trusted")
+    good = saved(labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0) & F.col("doc_id").isNotNull()).select("doc_id").distinct(), "quality-good")
+    trusted = saved(good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fitted), "quality-trusted")
     weights = saved(model(rows, trusted), "quality-model")
     scored = saved(base_rules(rows).withColumn("w", weights.select("w").scalar()).withColumn("n", F.size("grams"))
                    .withColumn("score", F.when(F.col("n") > 0, F.aggregate("grams", F.lit(0.0), lambda a, g: a + F.get(F.col("w"), g)) / F.col("n")))
                    .drop("w", "grams"), "quality-scored")
-    of = scored.join(F.broadcast(trusted), "doc_id", "left_semi").where("n_words >= 20") \
+    of = scored.where("n_words >= 20").select("doc_id", "score").join(good.hint("merge"), "doc_id", "left_semi") \
         .agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("deviation"))
     limit = saved(of, "quality-limit")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))

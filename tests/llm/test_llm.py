@@ -181,6 +181,17 @@ def test_license_rules(spark, texts):
             assert r.score == max([x[5] for x in kept] + [0.5 * bool(base)])
 
 
+def test_quality_threshold_is_of_all_trusted_texts(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    good = {r.doc_id for r in labels.where("quality = 1 AND coalesce(toxic, 0) = 0").collect()}
+    rows = quality_rules.quality(docs, labels, fitted=5).collect()
+    scores = [r.score for r in rows if r.doc_id in good and r.n_words >= 20]
+    assert len(scores) > 5
+    for r in rows:
+        n = max(1, 2 * r.n_words - 1)
+        assert r.threshold == pytest.approx(np.mean(scores) - quality_rules.WIDTH * np.std(scores) * (1 + quality_rules.LENGTH0 / n) ** 0.5)
+
+
 def license_places(text):
     """Labels and best score of all rules by brute force, without keywords or gates."""
     w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(str.maketrans(license_scan.UPPER, license_scan.LOWER)))
