@@ -6,4 +6,4 @@ Nothing else in the library imports this subpackage.  ``QUERIES`` and
 
 from streamkit.llm.registry import ORACLE, QUERIES  # noqa: F401
 from streamkit.llm import (archives, fingerprints, license_scan, mixing, near_dedup, packing,  # noqa: F401
-                           quality_rules, sharding, substring_dedup, token_alignment, token_counts, token_files)
+                           quality_rules, sharding, substring_dedup, token_alignment, token_counts, token_files, whitening)
