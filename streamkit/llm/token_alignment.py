@@ -26,6 +26,8 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
+import json
+import os
 from collections import namedtuple
 from collections.abc import Iterable, Iterator
 
@@ -37,36 +39,29 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streamkit.llm.registry import query, saved, table
-from streamkit.llm.tokens import ODD, PIECE, WHITE
+from streamkit.llm.tokens import ODD, PIECE, WHITE, byte_letters
 
 RADIX = 32  # classes of B ids
 SLICE = 4_000_000  # records merged in one task
 FAN = 64  # count runs merged in one task
 BLOCK = 8192  # records of a zstd block
 DOCS, CHARS = 4096, 1 << 21  # of a batch
-KEEP, PASSING = 400_000, 150_000  # chunks kept for good (the first seen: the frequent ones), and others that come and go
+KEEP, PASSING = 300_000, 150_000  # chunks kept for good (the first seen: the frequent ones), and others that come and go
 ID_BITS, DOC_BITS = 20, 17
 
 SPACE_PIECE = "▁"
 Alignment = namedtuple("Alignment", "documents pairs")
 
 
-def byte_letters() -> dict[str, int]:
-    """Byte-level BPE's letter of each byte: printable Latin-1 stands for itself, the others for 256 and up."""
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in own]
-    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class Aligner:
     """Tokens, groups and links of texts.  A text is cut before each run of
     white space that follows other text; such chunks have the ids they have in
     context (tokens.py says why for A; for B no piece holds white space behind
     another character, but for those in ``unsafe``).  Chunks repeat, so what is
-    known of them is kept in a table of bounded size."""
+    known of them is kept in a table of bounded size; new ones are aligned many
+    at a time."""
 
     def __init__(self, a: str, b: str):
-        import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
@@ -81,90 +76,130 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else b"" if self.b.is_control(i) or self.b.is_unknown(i)
                         else p.replace(SPACE_PIECE, " ").encode() for i, p in enumerate(pieces)]
         assert max(len(self.a_bytes), len(pieces)) <= 1 << ID_BITS
+        self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+        self.ranked = self._ranked(place(a))
+        # each id as text, followed by what can stand behind it
+        self.written = [f"{i}{mark}" for i in range(max(len(self.a_bytes), len(pieces))) for mark in (",", "|", ";", "")]
         held = "".join(p[1:].lstrip(SPACE_PIECE) if p[0] == SPACE_PIECE else p[1:] for p in pieces)
         self.unsafe = [c for c in WHITE if c != " " and c in held] + [SPACE_PIECE] * (SPACE_PIECE in held)
         self.blank = self.b.piece_to_id(SPACE_PIECE)
         self.index: dict[str, int] = {}
-        self.recent: dict[str, int] = {}
         self.groups: list[str] = []
         self.stats = np.zeros((1 << 12, 4), np.int64)  # tokens of A, of B, groups, links
         self.bad: set[int] = set()  # entries whose tokens' bytes are not the chunk's
         self.off = np.zeros((1 << 12) + 1, np.int64)
         self.pairs = np.zeros(1 << 14, np.int64)
 
-    def _add(self, a: list[int], b: list[int], raw: bytes) -> int:
-        """The number of a new entry for a chunk's (or text's) tokens."""
-        i, at = len(self.groups), int(self.off[len(self.groups)])
-        if i + 1 >= len(self.stats):
+    def _ranked(self, path: str):
+        """A faster encoder of the same vocabulary, if its ids are in order of its
+        merges (then the lowest id is the first merge) and it splits by the usual pattern."""
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        vocabulary, merges = spec["model"]["vocab"], [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+        made = [vocabulary.get(x + y) for x, y in merges]
+        plain = spec["normalizer"] is None and spec["pre_tokenizer"]["type"] == "ByteLevel" and spec["pre_tokenizer"]["use_regex"] and not spec["pre_tokenizer"]["add_prefix_space"]
+        special = {t["content"] for t in spec["added_tokens"]}
+        if not plain or None in made or made != sorted(made) or len(vocabulary.keys() - special) != 256 + len(made) or made[0] < 256:
+            return None
+        import tiktoken
+        return tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                                 mergeable_ranks={self.a_bytes[i]: i for t, i in vocabulary.items() if t not in special})
+
+    def _room(self, entries: int, links: int) -> None:
+        while len(self.groups) + entries >= len(self.stats):
             self.stats = np.concatenate([self.stats, np.zeros_like(self.stats)])
             self.off = np.concatenate([self.off, np.zeros(len(self.stats) + 1 - len(self.off), np.int64)])
-        links, groups = [], []
-        at_a, at_b = [self.a_bytes[x] for x in a], [self.b_bytes[x] for x in b]
-        if raw and b"".join(at_a) == raw and b"".join(at_b) == raw:
-            j = k = cut_j = cut_k = 0
-            end_a, end_b = len(at_a[0]), len(at_b[0])
-            while True:
-                links.append(b[k] << ID_BITS | a[j])
-                if end_a == end_b:
-                    groups.append(",".join(map(str, a[cut_j:j + 1])) + "|" + ",".join(map(str, b[cut_k:k + 1])))
-                    j, k = j + 1, k + 1
-                    cut_j, cut_k = j, k
-                    if j == len(a):
-                        break
-                    end_a, end_b = end_a + len(at_a[j]), end_b + len(at_b[k])
-                elif end_a < end_b:
-                    j += 1
-                    end_a += len(at_a[j])
-                else:
-                    k += 1
-                    end_b += len(at_b[k])
-            self.stats[i] = len(a), len(b), len(groups), len(links)
-        else:
-            self.stats[i] = 0
-            self.bad.add(i)
-        while at + len(links) > len(self.pairs):
+        while int(self.off[len(self.groups)]) + links > len(self.pairs):
             self.pairs = np.concatenate([self.pairs, np.zeros_like(self.pairs)])
-        self.pairs[at:at + len(links)] = links
-        self.off[i + 1] = at + len(links)
-        self.groups.append(";".join(groups))
-        return i
+
+    def _add(self, a: np.ndarray, b: np.ndarray, sizes: np.ndarray) -> range:
+        """New entries for chunks of ``sizes`` bytes whose tokens, one chunk after
+        the other, are ``a`` and ``b`` and have the chunks' bytes."""
+        first, n = len(self.groups), len(sizes)
+        end_a, end_b, end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]), np.cumsum(sizes)
+        # between two ends of any kind lies the overlap of one token of each: a link
+        cuts = np.union1d(end_a, end_b)
+        link = b[np.searchsorted(end_b, cuts)] << ID_BITS | a[np.searchsorted(end_a, cuts)]
+        common = np.intersect1d(end_a, end_b, assume_unique=True)
+        per = np.stack([np.diff(np.searchsorted(x, end, "right"), prepend=0) for x in (end_a, end_b, common, cuts)], axis=1)
+        # tokens in the order in which they are written: by group, A before B
+        group = np.concatenate([np.searchsorted(common, end_a), np.searchsorted(common, end_b)])
+        side = np.repeat([0, 1], [len(a), len(b)])
+        order = np.argsort(group * 2 + side, kind="stable")
+        at = (group * 2 + side)[order]
+        last = np.append(at[1:] != at[:-1], True)
+        chunk_end = np.cumsum(per[:, 0] + per[:, 1]) - 1
+        mark = np.where(last, np.where(at % 2 == 0, 1, 2), 0)
+        mark[chunk_end] = 3
+        text = list(map(self.written.__getitem__, (np.concatenate([a, b])[order] * 4 + mark).tolist()))
+        self._room(n, len(link))
+        base = int(self.off[first])
+        self.pairs[base:base + len(link)] = link
+        self.stats[first:first + n] = per
+        self.off[first + 1:first + n + 1] = base + np.cumsum(per[:, 3])
+        lo = 0
+        for hi in (chunk_end + 1).tolist():
+            self.groups.append("".join(text[lo:hi]))
+            lo = hi
+        return range(first, first + n)
+
+    def _new(self, a: list[list[int]], b: list[list[int]], raw: list[bytes]) -> list[int]:
+        """Entries of texts with these tokens; bad ones where the bytes differ."""
+        ok = [bool(r) and b"".join([self.a_bytes[i] for i in x]) == r == b"".join([self.b_bytes[i] for i in y]) for x, y, r in zip(a, b, raw)]
+        good = [k for k, v in enumerate(ok) if v]
+        out = [-1] * len(raw)
+        if good:
+            flat = lambda lists: np.array([i for k in good for i in lists[k]], np.int64)
+            for k, v in zip(good, self._add(flat(a), flat(b), np.array([len(raw[k]) for k in good], np.int64))):
+                out[k] = v
+        for k, v in enumerate(ok):
+            if not v:
+                self._room(1, 0)
+                out[k] = i = len(self.groups)
+                self.stats[i], self.off[i + 1] = 0, self.off[i]
+                self.groups.append("")
+                self.bad.add(i)
+        return out
 
     def _chunks(self, chunks: list[str]) -> list[int]:
-        ids_a = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
         ids_b = self.b.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
-        return [self._add(a, [self.blank] if c == " " else b if c[0] == " " else b[1:], c.encode())
-                for c, a, b in zip(chunks, ids_a, ids_b)]
+        ids_b = [[self.blank] if c == " " else b if c[0] == " " else b[1:] for c, b in zip(chunks, ids_b)]
+        if self.ranked is not None and not any(c.isspace() for c in chunks):
+            # one text of all chunks: each is cut off by the white space before it
+            a, b = np.array(self.ranked.encode_ordinary("".join(chunks)), np.int64), np.array([i for x in ids_b for i in x], np.int64)
+            sizes = np.array([len(c) if c.isascii() else len(c.encode()) for c in chunks], np.int64)
+            raw, end = "".join(chunks).encode(), np.cumsum(sizes)
+            if b"".join(map(self.a_bytes.__getitem__, a.tolist())) == raw == b"".join(map(self.b_bytes.__getitem__, b.tolist())) \
+                    and np.isin(end, np.cumsum(self.a_size[a])).all() and np.isin(end, np.cumsum(self.b_size[b])).all():
+                return list(self._add(a, b, sizes))
+        return self._new([e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)], ids_b, [c.encode() for c in chunks])
 
     def _whole(self, text: str) -> int:
-        return self._add(self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text), (" " + text).encode())
+        return self._new([self.a.encode(" " + text, add_special_tokens=False).ids], [self.b.encode(text)], [(" " + text).encode()])[0]
 
     def shrink(self) -> None:
         """Forget what came and went; entries of an earlier batch are then void."""
         if len(self.groups) > KEEP + PASSING:
             del self.groups[KEEP:]
-            self.recent, self.bad = {}, {v for v in self.bad if v < KEEP}
+            self.bad = {v for v in self.bad if v < KEEP}
             self.index = {k: v for k, v in self.index.items() if v < KEEP}
 
-    def entries(self, text: str | None) -> list[int]:
-        """The entries that make up the text's alignment; none if it has no tokens."""
-        if not text:
-            return []
-        if ODD.search(text) or any(c in text for c in self.unsafe):
-            out = [self._whole(text)]
-        else:
-            chunks = PIECE.findall(" " + text)
-            out = list(map(self.index.get, chunks))
-            if None in out:
-                rest = [i for i, v in enumerate(out) if v is None]
-                new = list({chunks[i] for i in rest} - self.recent.keys())
-                if new:
-                    (self.index if len(self.groups) < KEEP else self.recent).update(zip(new, self._chunks(new)))
-                for i in rest:
-                    v = self.recent.get(chunks[i])
-                    out[i] = self.index[chunks[i]] if v is None else v
-            if not self.bad.isdisjoint(out):
-                out = [self._whole(text)]
-        return [] if out[0] in self.bad else out
+    def entries(self, texts: list[str | None]) -> list[list[int]]:
+        """The entries that make up each text's alignment; none if it has no tokens."""
+        cut = [PIECE.findall(" " + t) if t and not ODD.search(t) and not any(c in t for c in self.unsafe) else None for t in texts]
+        new = set().union(*(chunks for chunks in cut if chunks)).difference(self.index)
+        blank = [c for c in new if c.isspace()]
+        for some in (blank, [c for c in new if not c.isspace()]):
+            for lo in range(0, len(some), 20_000):
+                part = some[lo:lo + 20_000]
+                self.index.update(zip(part, self._chunks(part)))
+        out = []
+        for text, chunks in zip(texts, cut):
+            at = [] if not text else [self._whole(text)] if chunks is None else list(map(self.index.__getitem__, chunks))
+            if at and self.bad and not self.bad.isdisjoint(at):
+                at = [self._whole(text)]
+            out.append([] if at and at[0] in self.bad else at)
+        return out
 
     def text_groups(self, entries: list[int]) -> str:
         return ";".join(map(self.groups.__getitem__, entries))
@@ -284,7 +319,7 @@ def _batches(a: str, b: str, keep_groups: bool):
             for lo, hi in cut(batch.column(2)):
                 tool.shrink()
                 uids, ids, texts = (batch.column(k).slice(lo, hi - lo).to_pylist() for k in range(3))
-                docs, rows = [tool.entries(t) for t in texts], []
+                docs, rows = tool.entries(texts), []
                 for i, d in enumerate(docs):
                     groups = tool.text_groups(d)
                     sums = tool.stats[d].sum(axis=0).tolist() if d else [0, 0, 0, 0]

@@ -13,6 +13,8 @@ per file: its documents and tokens, and the tokens in all files before."""
 from __future__ import annotations
 
 import functools
+import itertools
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streamkit.llm.registry import fresh_dir, query, table
-from streamkit.llm.tokens import ODD, Pieces
+from streamkit.llm.tokens import Pieces, byte_letters
 
 ROW_GROUP, PAGE, PAGE_ROWS = 16 << 20, 256 << 10, 4096  # bytes, bytes, rows
 FILE = 64 << 20  # text bytes of a file
@@ -30,27 +32,76 @@ _STORED = "part int, doc_id long, start long, n_tokens long, ids array<int>"
 
 
 class Words(Pieces):
-    """Ids of a tokenizer that drops white space and never looks across it: a
-    text's ids are those of its words, which repeat and are kept.  Texts with a
-    special token's string, or characters on whose class engines disagree, go
-    through the library whole."""
+    """Ids of a lower-casing tokenizer that drops white space and never looks
+    across it: a text's ids are those of its words, which repeat and are kept in
+    a table of bounded size.
+
+    New words of plain letters, digits and punctuation are cut by the tokenizer's
+    own pattern and go, many at a time, through a faster encoder of the same
+    vocabulary: a mark behind each part stands for the vocabulary's word end, and
+    first merges with the last byte before it.  Other words, and texts with a
+    special token's string or characters on whose class engines disagree, go
+    through the library."""
+
+    WORDS, PASSING = 400_000, 100_000  # words kept for good: the first seen, so the frequent ones; and others that come and go
+    MARK = "\x01"
+    ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+    LATIN = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")  # letters, then punctuation but the apostrophe
+
+    def __init__(self, path: str, spec: dict):
+        super().__init__(path)
+        self.ranked, self.final = self._ranked(spec)
+
+    def _ranked(self, spec: dict):
+        """The faster encoder and which ids end a word; none if the vocabulary's ids
+        are not in order of its merges."""
+        vocabulary, merges = spec["model"]["vocab"], [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+        made = [vocabulary.get(x + y) for x, y in merges]
+        if spec["model"].get("end_of_word_suffix") != "</w>" or None in made or made != sorted(made) or made[0] < 512:
+            return None, None
+        letters = byte_letters()
+        raw = lambda t: (bytes(letters[c] for c in t[:-4]) + b"\x01") if t.endswith("</w>") else bytes(letters[c] for c in t)
+        special = {t["content"] for t in spec["added_tokens"]}
+        ranks = {raw(t): i for t, i in vocabulary.items() if t not in special}
+        import tiktoken
+        final = np.zeros(max(vocabulary.values()) + 1, bool)
+        final[[i for b, i in ranks.items() if b[-1:] == b"\x01" and len(b) > 1]] = True
+        return tiktoken.Encoding("words", pat_str=r"[^\x01]*\x01", special_tokens={}, mergeable_ranks=ranks), final
+
+    def _parts(self, word: str) -> list[str] | None:
+        """The tokenizer's own cut of a word, in lower case; none if that is not certain here."""
+        if word.isascii():
+            return None if self.MARK in word else self.ASCII.findall(word.lower())
+        found = self.LATIN.fullmatch(word)
+        if found and max(found[1]) < "\u0250" and "\u0130" not in word:
+            return [found[1].lower(), found[2]] if found[2] else [found[1].lower()]
+        return None
+
+    def _new(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words that are not kept."""
+        cut = [self._parts(w) if self.ranked is not None else None for w in words]
+        rest = [w for w, parts in zip(words, cut) if parts is None]
+        out = dict(zip(rest, self.whole(rest))) if rest else {}
+        plain = [(w, parts) for w, parts in zip(words, cut) if parts is not None]
+        if plain:
+            ids = np.array(self.ranked.encode_ordinary(self.MARK.join([p for _, parts in plain for p in parts]) + self.MARK), "<u4")
+            ends = np.flatnonzero(self.final[ids])[np.cumsum([len(parts) for _, parts in plain]) - 1] + 1
+            blob, lo = ids.tobytes(), 0
+            for (w, _), hi in zip(plain, (4 * ends).tolist()):
+                out[w] = blob[lo:hi]
+                lo = hi
+        return out
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for text in texts:
-            if not self.plain(text):
-                out += self.whole([text])
-                continue
-            words = text.split()
-            found = list(map(self.kept.get, words))
-            if None in found:
-                rest = {w for w, v in zip(words, found) if v is None}
-                known = {w: v for w in rest if (v := self.recent.get(w)) is not None}
-                if len(known) < len(rest):
-                    known |= self._learn(list(rest - known.keys()))
-                found = [known[w] if v is None else v for w, v in zip(words, found)]
-            out.append(b"".join(found))
-        return out
+        if len(self.kept) > self.WORDS + self.PASSING:
+            for w in list(itertools.islice(self.kept, self.WORDS, None)):
+                del self.kept[w]
+        split = [t.split() if self.plain(t) else None for t in texts]
+        new = set().union(*(words for words in split if words)).difference(self.kept)
+        if new:
+            self.kept.update(self._new(list(new)))
+        known = self.kept.__getitem__
+        return [self.whole([text])[0] if words is None else b"".join(map(known, words)) for text, words in zip(texts, split)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -67,7 +118,7 @@ def encoder(name: str) -> Pieces:
     kinds = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [spec["normalizer"]] if spec.get("normalizer") else [])]
     if steps[0].get("type") == "Split" and steps[0]["behavior"] == "Removed" and steps[0]["invert"] and r"[^\s" in steps[0]["pattern"].get("Regex", "") \
             and set(kinds) <= {"NFC", "Replace", "Lowercase"}:
-        return Words(path)
+        return Words(path, spec)
     out = Pieces(path)
     if steps[0].get("type") != "ByteLevel" or kinds:
         out.ids = out.whole
@@ -80,14 +131,14 @@ def _encode(vocabulary: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, start = encoder(vocabulary), 0
         for batch in batches:
-            texts = batch.column(2).to_pylist()
+            sizes = pa.compute.fill_null(pa.compute.utf8_length(batch.column(2)), 0).to_pylist()
             at = 0
-            while at < len(texts):
+            while at < batch.num_rows:
                 lo, total = at, 0
-                while at < len(texts) and (at == lo or total < SLAB):
-                    total += len(texts[at] or "")
+                while at < batch.num_rows and (at == lo or total + sizes[at] <= SLAB):
+                    total += sizes[at]
                     at += 1
-                ids = [x + end for x in tool.ids([t or "" for t in texts[lo:at]])]
+                ids = [x + end for x in tool.ids([t or "" for t in batch.column(2).slice(lo, at - lo).to_pylist()])]
                 n = np.array([len(x) // 4 for x in ids], np.int64)
                 ends = np.cumsum(n)
                 lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], ends])), pa.array(np.frombuffer(b"".join(ids), "<i4")))
