@@ -105,6 +105,12 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """Bytes of the frame as the optimizer has them: the files of its scans, an
+    upper bound for filters and aggregates of them.  No job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def bucket_dimension(dim: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:
     """Save a large dimension as a catalog table bucketed (and sorted) on the
     join keys and return it.  Joined on those keys, it is read already
@@ -114,6 +120,23 @@ def bucket_dimension(dim: DataFrame, name: str, keys: list[str], buckets: int) -
     return dim.sparkSession.table(name)
 
 
+# broadcast a dimension that is read anew in each micro-batch up to so many bytes of files
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def enrich_bounded(rows: DataFrame, dim: DataFrame, keys: dict[str, str], *, how: str = "left",
+                   max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``rows`` with the dimension's columns ({row column: dimension column}).
+    The dimension is broadcast if its files have at most ``max_bytes``; past
+    that it is joined by shuffle, and as a ``bucket_dimension`` table read in
+    its buckets, so that only ``rows`` are shuffled.  NULL keys match nothing."""
+    right = F.broadcast(dim) if plan_bytes(dim) <= max_bytes else dim.hint("merge")
+    cond = F.lit(True)
+    for a, b in keys.items():
+        cond = cond & (rows[a] == right[b])
+    return rows.join(right, cond, how)
+
+
 def enrich(stream: DataFrame, dim: DataFrame, keys: list[str] | dict[str, str], *,
            how: str = "left", broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Stream-batch (or batch-batch) enrichment join.

@@ -84,16 +84,18 @@ def sessions(df: DataFrame, time_col: str, gap_seconds: int, *, keys: list[str],
              max_hot_keys: int = 200_000) -> DataFrame:
     """Batch session windows that stay parallel when one key holds most rows.
 
-    A key with at most ``rows_per_chunk`` rows is one group.  A hotter key is
-    cut into time chunks that hold about ``rows_per_chunk`` rows on average
-    (never shorter than the gap).  The table of hot keys has at most
-    rows / rows_per_chunk entries and is broadcast after a size check
-    (``max_hot_keys``) instead of shuffling the rows by key.  Gaps are found with a window over
-    (key, chunk); the two facts that cross chunk borders -- the last event
-    time and the last session start before a chunk -- come from a
-    per-(key, chunk) summary.  Same result as ``session_window(ts, gap)``: a
-    session ends ``gap`` after its last event, and only an event strictly
-    after that end starts a new session (one exactly at the end joins it).
+    Keys with at most ``rows_per_chunk`` rows go through Spark's
+    ``session_window``: one scan, one shuffle.  A hotter key is cut into time
+    chunks that hold about ``rows_per_chunk`` rows on average (never shorter than
+    the gap); gaps are found with a window over (key, chunk), and the two facts
+    that cross chunk borders -- the last event time and the last session start
+    before a chunk -- come from a per-(key, chunk) summary.  One aggregate first
+    finds the hot keys, at most rows / rows_per_chunk of them, written as a table
+    and broadcast after a size check (``max_hot_keys``; joined by shuffle past it).
+
+    Same result for both: a session ends ``gap`` after its last event, and only an
+    event strictly after that end starts a new session (one exactly at the end
+    joins it).  Rows without an event time are left out; NULL keys are one key.
 
     Output: ``*keys, window_start, window_end, *aggs`` (default ``events``).
     """
@@ -101,38 +103,36 @@ def sessions(df: DataFrame, time_col: str, gap_seconds: int, *, keys: list[str],
 
     ntz = is_ntz(df, time_col)
     gap_us = int(gap_seconds) * MICROS
-    x = df.withColumn("_t", _micros(df, time_col)).where(F.col("_t").isNotNull())
-    if not keys:
-        # global sessions: the one "key" is hot when it has more than
-        # rows_per_chunk rows; its chunk span is a scalar, no join needed
-        keys = ["_all"]
-        n, lo, hi = x.agg(F.count("_t"), F.min("_t"), F.max("_t")).first()
-        span = max(gap_us, -(-(hi - lo + 1) * rows_per_chunk // n)) if n and n > rows_per_chunk else None
-        x = x.withColumn("_all", F.lit(0)).withColumn(
-            "_chunk", F.floor(F.col("_t") / F.lit(span)) if span else F.lit(0))
-        return _sessions_by_chunk(x, keys, gap_us, aggs, ntz).drop("_all")
-    density = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"),
-                                   F.max("_t").alias("_hi"))
-    # candidates: keys with more than rows_per_chunk rows -- at most
-    # rows / rows_per_chunk of them -- materialized once (reliable checkpoint)
+    aggs = aggs or [F.count(F.lit(1)).alias("events")]
+    x = df.where(F.col(time_col).isNotNull())
+    density = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(_micros(df, time_col)).alias("_lo"),
+                                   F.max(_micros(df, time_col)).alias("_hi"))
     shared_dir(df.sparkSession)
-    cand = (density.where(F.col("_n") > rows_per_chunk)
-                   .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)], "_n", "_lo", "_hi")
-                   .checkpoint(eager=True))
-    hot = cand.select(
-        *[f"_hk{i}" for i in range(len(keys))],
-        F.greatest(F.lit(gap_us), F.ceil((F.col("_hi") - F.col("_lo") + 1) * rows_per_chunk / F.col("_n")))
-        .cast("bigint").alias("_span"))
+    hot = (density.where(F.col("_n") > rows_per_chunk)
+                  .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],
+                          F.greatest(F.lit(gap_us), F.ceil((F.col("_hi") - F.col("_lo") + 1) * rows_per_chunk / F.col("_n"))).cast("bigint").alias("_span"))
+                  .checkpoint(eager=True))
+    if hot.isEmpty():
+        return _native_sessions(x, time_col, gap_seconds, keys, aggs)
+    if not keys:   # all rows are one key: its span is a number, no join
+        span = hot.first()["_span"]
+        cut = x.withColumn("_t", _micros(df, time_col)).withColumn("_all", F.lit(0)).withColumn("_chunk", F.floor(F.col("_t") / F.lit(span)))
+        return _sessions_by_chunk(cut, ["_all"], gap_us, aggs, ntz).drop("_all")
     # every hot key is cut, whatever their number: past the bound Spark plans the join
     hot = F.broadcast(hot) if fits(hot, max_hot_keys) else hot
     same_key = F.lit(True)
     for i, k in enumerate(keys):
         same_key = same_key & F.col(k).eqNullSafe(F.col(f"_hk{i}"))
-    x = (x.join(hot, same_key, "left")
-          .withColumn("_chunk", F.when(F.col("_span").isNull(), F.lit(0))
-                                 .otherwise(F.floor(F.col("_t") / F.col("_span"))))
-          .drop("_span", *[f"_hk{i}" for i in range(len(keys))]))
-    return _sessions_by_chunk(x, keys, gap_us, aggs, ntz)
+    cold = _native_sessions(x.join(hot, same_key, "left_anti"), time_col, gap_seconds, keys, aggs)
+    cut = (x.withColumn("_t", _micros(df, time_col)).join(hot, same_key)
+            .withColumn("_chunk", F.floor(F.col("_t") / F.col("_span")))
+            .drop("_span", *[f"_hk{i}" for i in range(len(keys))]))
+    return cold.unionByName(_sessions_by_chunk(cut, keys, gap_us, aggs, ntz))
+
+
+def _native_sessions(x: DataFrame, time_col: str, gap_seconds: int, keys: list[str], aggs: list[Column]) -> DataFrame:
+    out = session_agg(x, time_col, f"{int(gap_seconds)} seconds", aggs, keys=keys)
+    return out.select(*keys, "window_start", "window_end", *[c for c in out.columns if c not in (*keys, "window_start", "window_end")])
 
 
 def _join_by(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
@@ -184,21 +184,43 @@ def late_split(batch: DataFrame, time_col: str, delay_seconds: int, watermark_us
     return batch.withColumn("_late", F.coalesce(_micros(batch, time_col) < F.lit(watermark_us), F.lit(False)))
 
 
+def running_max(df: DataFrame, seq_col: str, value_col: str) -> DataFrame:
+    """(seq_col, before): for each number the greatest value of smaller numbers,
+    NULL if there is none.  ``df`` has one row per number (long, not NULL).
+
+    Numbers are counted from the smallest; those before n are cut into blocks of
+    a power of two by n's bits, and the blocks' maxima are looked up: aggregates
+    and a join by block, no window over all numbers."""
+    low, high = df.agg(F.min(seq_col), F.max(seq_col)).first()
+    if low is None:
+        return df.select(seq_col, F.col(value_col).alias("before"))
+    bits = max(1, int(high - low).bit_length())
+    at = F.col(seq_col) - F.lit(low)
+    level = F.sequence(F.lit(0), F.lit(bits - 1))
+    odd = lambda j: F.expr("shiftright(_at, j)").bitwiseAND(F.lit(1)) == 1
+    rows = df.select(seq_col, value_col, at.alias("_at")).withColumn("j", F.explode(level))
+    blocks = rows.where(~odd("j")).groupBy("j", F.expr("shiftright(_at, j)").alias("_block")).agg(F.max(value_col).alias("_top"))
+    asked = rows.where(odd("j")).select(seq_col, "j", (F.expr("shiftright(_at, j)") - 1).alias("_block"))
+    found = asked.join(blocks, ["j", "_block"]).groupBy(seq_col).agg(F.max("_top").alias("before"))
+    return df.select(seq_col).join(found, seq_col, "left")
+
+
 def late_by_sequence(df: DataFrame, time_col: str, seq_col: str, delay_seconds: int, *,
                      max_batches: int = 1_000_000) -> DataFrame:
     """Batch twin of ``streaming.routes.late_router``: ``seq_col`` numbers the
     micro-batch each row arrived in; a row is late (``_late``) when its event
     time is older than the max event time of all earlier micro-batches minus
     the delay.  The running max is taken over a one-row-per-micro-batch
-    summary, then joined back on the micro-batch number.
+    summary, then joined back on the micro-batch number.  Rows without a
+    micro-batch number are left out.
     """
     from streamkit.operators.joins import fits
 
     t = _micros(df, time_col)
-    per_batch = df.groupBy(seq_col).agg(F.max(t).alias("_bmax"))
-    # one row per micro-batch: a single ordered window over it is cheap
-    earlier = Window.orderBy(seq_col).rowsBetween(Window.unboundedPreceding, -1)
-    marks = per_batch.select(seq_col, (F.max("_bmax").over(earlier) - delay_seconds * MICROS).alias("_wm"))
+    per_batch = df.where(F.col(seq_col).isNotNull()).groupBy(F.col(seq_col).cast("bigint").alias(seq_col)).agg(F.max(t).alias("_bmax"))
+    shared_dir(df.sparkSession)
+    marks = running_max(per_batch.checkpoint(eager=True), seq_col, "_bmax") \
+        .select(seq_col, (F.col("before") - delay_seconds * MICROS).alias("_wm"))
     # broadcast (checked): joining by shuffle would put a busy micro-batch in one task
     marks = F.broadcast(marks) if fits(marks, max_batches) else marks
     return (df.join(marks, seq_col)

@@ -8,8 +8,10 @@
   the first time and the state never grows.
 * ``quarantine_router`` -- decoded rows to one table, undecodable messages
   to another.
+* ``enrich_router`` -- rows with a dimension's columns, read anew for each
+  micro-batch.
 
-Both persist the micro-batch once and write with ``tables.write_batch``,
+The first two persist the micro-batch once and write with ``tables.write_batch``,
 so replays replace their own output.
 """
 
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 
 from streamkit.functions.decode import split_tagged, with_corrupt
 from streamkit.operators import tables
+from streamkit.operators.joins import DEFAULT_BROADCAST_BYTES, enrich_bounded
 from streamkit.operators.windows import MICROS, late_split
 from streamkit.session import FS
 from streamkit.streaming.sinks import stream_id
@@ -85,3 +88,17 @@ def quarantine_router(good_path: str, bad_path: str, schema, *,
         finally:
             tagged.unpersist()
     return run
+
+
+def enrich_router(dimension: Callable[[], DataFrame], keys: dict[str, str], out_path: str, *, how: str = "left",
+                  max_bytes: int = DEFAULT_BROADCAST_BYTES) -> Callable[[DataFrame, int], None]:
+    """Each micro-batch joined with the dimension as it is by then, appended to a
+    table.  ``dimension`` gives the frame to read, for each micro-batch anew, so
+    its files are listed again and its bytes are checked again: it is broadcast
+    up to ``max_bytes``, else joined by shuffle (``joins.enrich_bounded``)."""
+    qid = stream_id()
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        rows = enrich_bounded(batch, dimension(), keys, how=how, max_bytes=max_bytes)
+        tables.write_batch(rows.drop(*keys.values()), out_path, qid(batch), epoch_id)
+    return run

@@ -20,14 +20,13 @@ folder, never inside the output table.
 from __future__ import annotations
 
 from collections.abc import Callable
-from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from streamkit.operators import tables
-from streamkit.session import work_path
+from streamkit.session import conf as session_conf, work_path
 
 KINDS = ("memory", "console", "parquet", "table_append", "table_merge", "kafka", "foreach_batch")
 MODES = ("append", "update", "complete")
@@ -99,6 +98,11 @@ class SinkSpec:
     state_partitions: int | None = None
     # table sinks: cap rows per output file (maxRecordsPerFile)
     rows_per_file: int | None = None
+    # table_append: a column that stores when the micro-batch was written, which
+    # orders versions of a key also across writers (tables.latest_by_key)
+    commit_col: str | None = None
+    # session windows: rows of a task are merged into sessions before the shuffle
+    merge_sessions: bool = False
     partition_follows_key: bool = False     # table_merge: a key's partition values never change
 
     def validate(self, df: DataFrame) -> None:
@@ -120,6 +124,16 @@ class SinkSpec:
                 raise ValueError(f"merge keys {missing} not in stream columns {df.columns}")
         if self.state_store not in (None, "rocksdb", "hdfs"):
             raise ValueError(f"unknown state store {self.state_store!r}")
+        if self.kind == "kafka":
+            missing = [k for k in ("kafka.bootstrap.servers", "topic") if not self.options.get(k)]
+            if "topic" in missing and "topic" in df.columns:
+                missing.remove("topic")   # each row names its topic
+            if missing:
+                raise ValueError(f"the kafka sink needs options {missing}")
+            if "value" not in df.columns:
+                raise ValueError("the kafka sink needs a value column (functions.encode.messages makes it)")
+        if self.commit_col and self.kind != "table_append":
+            raise ValueError("commit_col is for table_append")
         if self.kind == "foreach_batch" and self.fn is None:
             raise ValueError("foreach_batch needs fn")
         if self.kind == "memory" and not self.name:
@@ -143,6 +157,8 @@ def _append_fn(spec: SinkSpec) -> Callable[[DataFrame, int], None]:
     qid = stream_id()
 
     def run(batch: DataFrame, epoch_id: int) -> None:
+        if spec.commit_col:
+            batch = batch.withColumn(spec.commit_col, F.current_timestamp())
         tables.write_batch(batch, spec.path, qid(batch), epoch_id, evolve=spec.evolve,
                            rows_per_file=spec.rows_per_file)
     return run
@@ -150,13 +166,17 @@ def _append_fn(spec: SinkSpec) -> Callable[[DataFrame, int], None]:
 
 def _merge_fn(spec: SinkSpec) -> Callable[[DataFrame, int], None]:
     qid = stream_id()
+    index: list[tables.KeyIndex] = []   # key ranges of the table's batches, read at the first epoch
 
     def run(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        if not index and not spec.null_safe and tables.exists(spark, spec.path):
+            index.append(tables.KeyIndex(spark, spec.path, spec.keys))
         # merge_insert persists the micro-batch: stats, keys and write reuse it
         tables.merge_insert(batch, spec.path, spec.keys, stream_id=qid(batch), batch_id=epoch_id,
                             dedupe_source=spec.dedupe_source, null_safe=spec.null_safe,
                             evolve=spec.evolve, rows_per_file=spec.rows_per_file,
-                            partition_follows_key=spec.partition_follows_key)
+                            partition_follows_key=spec.partition_follows_key, index=index[0] if index else None)
     return run
 
 
@@ -166,22 +186,6 @@ STATE_PROVIDERS = {
 }
 
 
-@contextmanager
-def _query_conf(spark, values: dict):
-    """Session settings read when a query starts (the query keeps its own copy)."""
-    before = {k: spark.conf.get(k, None) for k in values}
-    for k, v in values.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
 def start(df: DataFrame, spec: SinkSpec) -> StreamingQuery:
     """Validate ``spec`` and start the streaming query."""
     spec.validate(df)
@@ -190,9 +194,11 @@ def start(df: DataFrame, spec: SinkSpec) -> StreamingQuery:
         conf["spark.sql.streaming.stateStore.providerClass"] = STATE_PROVIDERS[spec.state_store]
         if spec.state_store == "rocksdb":
             conf["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
+    if spec.merge_sessions:
+        conf["spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"] = "true"
     if spec.state_partitions:
         conf["spark.sql.shuffle.partitions"] = str(spec.state_partitions)
-    with _query_conf(df.sparkSession, conf):
+    with session_conf(df.sparkSession, conf):
         return _start(df, spec)
 
 
