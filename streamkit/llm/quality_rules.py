@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from streamkit.llm.registry import query, saved, table
+from streamkit.llm.registry import boxed, query, saved, table
 
 BUCKETS = 1 << 14
 WIDTH, LENGTH0 = 6.0, 60.0
@@ -127,6 +127,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that the rules reject (an id goes if any of its
-    rows is rejected); rows with a null id stay."""
-    bad = quality(docs, labels, id_col=id_col, text_col=text_col).where("NOT kept").select(F.col("doc_id").alias("id_")).distinct()
-    return docs.join(bad, F.col(id_col).cast("long") == F.col("id_"), "left_anti")
+    rows is rejected); rows with a null id stay.  Columns of any name are kept; a
+    null or empty text is rejected; an empty table gives an empty one."""
+    bad = quality(docs, labels, id_col=id_col, text_col=text_col).where("NOT kept").select("doc_id").distinct()
+    rows = boxed(docs, key=F.col(f"`{id_col}`").cast("long"))
+    return rows.join(bad, rows["key"] == bad["doc_id"], "left_anti").select("row.*")

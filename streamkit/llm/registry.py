@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from streamkit.session import shared_dir
 
@@ -29,6 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def boxed(docs: DataFrame, **columns: Column) -> DataFrame:
+    """``columns`` beside each whole row of ``docs`` in a struct ``row``: names of
+    the caller's columns then clash with nothing, and ``row.*`` gives them back."""
+    return docs.select(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns]).alias("row"), *[v.alias(k) for k, v in columns.items()])
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared folder."""
     return f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
