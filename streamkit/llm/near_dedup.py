@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streamkit.llm import hashing
 from streamkit.llm.components import components
-from streamkit.llm.registry import query, saved, table
+from streamkit.llm.registry import boxed, query, saved, table
 
 ROWS, BANDS, BITS = 5, 25, 2
 K = 128  # minima: ROWS * BANDS for the bands, all of them for the estimate
@@ -181,7 +181,8 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col: s
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = saved(base.mapInArrow(_sign(k), "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sig array<long>"), "near-signed")
     named = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = named.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"))
+    # a table of its own: the join below is then one of two scans, in which Spark splits a large class
+    classes = saved(named.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep")), "near-classes")
     members = saved(signed.join(classes, ["set_a", "set_b", "n_shingles"], "left")
                     .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")), "near-members")
     reps = signed.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
@@ -247,6 +248,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_one(docs: DataFrame, *, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the near duplicates: of each group the rows of the
-    smallest id stay, with all their columns, rows without an id always."""
+    smallest id stay, with all their columns, whatever their names; rows without
+    an id, and with a null or empty text, always stay.  Rows that repeat an id
+    stay or go together; an empty table gives an empty one."""
     gone = near_duplicates(docs, k=k, percent=percent, id_col=id_col, text_col=text_col).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, docs[id_col].cast("long") == gone["doc_id"], "left_anti")
+    rows = boxed(docs, key=F.col(f"`{id_col}`").cast("long"))
+    return rows.join(gone, rows["key"] == gone["doc_id"], "left_anti").select("row.*")
