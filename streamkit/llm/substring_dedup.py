@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streamkit.llm import hashing
-from streamkit.llm.registry import query, saved, table
+from streamkit.llm.registry import boxed, query, saved, table
 
 SHIFT = 1 << 16  # a path's start and number of windows share one long
 
@@ -85,12 +85,24 @@ def _apply(words: list[bytes], spans: list[tuple[int, int]]) -> tuple[int, bytes
     return int(gone.sum()), b" ".join([w for w, g in zip(words, gone.tolist()) if not g])
 
 
-_FIRST = "doc_id long, n_words long, sha string, text string, marks array<struct<m:long,meta:long,opened:boolean>>"
+def _held(words: np.ndarray, marks: list[dict], window: int) -> list[tuple[dict, int, int]]:
+    """(mark, first window, windows) of the marks whose words stand in this text:
+    rows that repeat an id share their marks, whatever their texts."""
+    at = [divmod(x["meta"], SHIFT) for x in marks]
+    fits = [i for i, (start, count) in enumerate(at) if start + count + window - 1 <= len(words)]
+    if not fits:
+        return []
+    start, count = (np.array([at[i][k] for i in fits], np.int64) for k in (0, 1))
+    same = hashing.spans(words, start, start + count + window - 1, seed=23).view(np.int64) == np.array([marks[i]["s"] for i in fits], np.int64)
+    return [(marks[i], *at[i]) for i, ok in zip(fits, same.tolist()) if ok]
+
+
+_FIRST = "doc_id long, n_words long, sha string, text string, marks array<struct<m:long,s:long,meta:long,opened:boolean>>"
 
 
 def _first_look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without a repeated path are done here; the others keep their text."""
-    mark = pa.list_(pa.struct([("m", pa.int64()), ("meta", pa.int64()), ("opened", pa.bool_())]))
+    mark = pa.list_(pa.struct([("m", pa.int64()), ("s", pa.int64()), ("meta", pa.int64()), ("opened", pa.bool_())]))
     for batch in batches:
         for lo in range(0, batch.num_rows, 500):
             part = batch.slice(lo, 500)
@@ -114,12 +126,10 @@ def _edges(window: int):
                 cols: list[list[np.ndarray]] = [[], [], [], []]
                 for i, words in enumerate(hashing.word_hashes(part.column(1))):
                     hashes = hashing.rolling(words, window, seed=25).view(np.int64)
-                    for x in part.column(2)[i].as_py():
-                        if x["opened"]:
-                            start, count = divmod(x["meta"], SHIFT)
-                            at = np.arange(start, min(start + count, len(hashes)))
-                            for c, v in zip(cols, (np.full(len(at), x["m"]), hashes[at], np.full(len(at), part.column(0)[i].as_py()), at)):
-                                c.append(v)
+                    for x, start, count in _held(words, [x for x in part.column(2)[i].as_py() if x["opened"]], window):
+                        at = np.arange(start, start + count)
+                        for c, v in zip(cols, (np.full(count, x["m"]), hashes[at], np.full(count, part.column(0)[i].as_py()), at)):
+                            c.append(v)
                 if cols[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in cols], names=["m", "h", "doc_id", "at"])
     return run
@@ -131,31 +141,35 @@ def _finish(window: int):
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
                 out: list[list] = [[], [], []]
-                for text, marks, single in zip(part.column(1), part.column(2), part.column(3)):
+                for hashes, text, marks, single in zip(hashing.word_hashes(part.column(1)), part.column(1), part.column(2), part.column(3)):
                     words = (text.as_py() or "").encode().split()
-                    spans = [(a, a + c + window - 1) for x in marks.as_py() if not x["opened"] for a, c in [divmod(x["meta"], SHIFT)]]
-                    spans += [(p, p + window) for p in single.as_py() or ()]
+                    spans = [(a, a + c + window - 1) for _, a, c in _held(hashes, [x for x in marks.as_py() if not x["opened"]], window)]
+                    if single.is_valid:
+                        own = hashing.rolling(hashes, window, seed=25).view(np.int64)
+                        spans += [(x["at"], x["at"] + window) for x in single.as_py() if x["at"] < len(own) and own[x["at"]] == x["h"]]
                     removed, kept = _apply(words, spans)
                     for c, v in zip(out, (removed, hashlib.sha256(kept).hexdigest(), kept.decode() if removed else None)):
                         c.append(v)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(4), pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())],
-                                                 names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(4), pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string()), part.column(5)],
+                                                 names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "text_key"])
     return run
 
 
 def substring_dedup(docs: DataFrame, *, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: (doc_id, n_words, n_removed, kept_sha256, kept_text).
+    """Per row: (doc_id, n_words, n_removed, kept_sha256, kept_text, text_key).
 
     Removed is each word covered by a window of ``window`` consecutive words
     whose word sequence also starts earlier (smaller id, or the same id at an
     earlier place); windows are judged on the input.  ``kept_text`` is the rest
-    joined by one space, null if nothing was removed.
+    joined by one space and ``text_key`` the text's xxhash64, null if nothing was
+    removed.
 
     A null text has no words; a text shorter than the window keeps them all.
     A row with a null id loses nothing and takes nothing from others.  Rows
     that repeat an id are one document: equal places are the same place, so
-    equal rows keep the same words.  Other columns are ignored; an empty table
-    gives an empty one."""
+    equal rows keep the same words; a row of another text loses only words that
+    are repeated in its own.  Other columns are ignored; an empty table gives an
+    empty one."""
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = base.where("doc_id IS NOT NULL").mapInArrow(_all_paths(window), "m long, s long, doc_id long, meta long")
     # each aggregate is a table of its own: a join with it is a plain join of two
@@ -168,7 +182,7 @@ def substring_dedup(docs: DataFrame, *, window: int = 50, id_col: str = "doc_id"
     settled = saved(first.join(branching, "m", "left"), "substring-settled")
     at = F.struct("doc_id", "meta")
     marks = repeats.join(settled, ["m", "s"]).withColumn("again", at > F.col("first")).where("again OR branches") \
-        .select("doc_id", F.struct("m", "meta", (~F.col("again")).alias("opened")).alias("mark")) \
+        .select("doc_id", F.struct("m", "s", "meta", (~F.col("again")).alias("opened")).alias("mark")) \
         .groupBy("doc_id").agg(F.collect_set("mark").alias("marks"))
     looked = saved(base.join(marks, "doc_id", "left").mapInArrow(_first_look, _FIRST), "substring-looked")
 
@@ -178,11 +192,11 @@ def substring_dedup(docs: DataFrame, *, window: int = 50, id_col: str = "doc_id"
     origin = saved(edges.groupBy("m", "h").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"),
                    "substring-origin")
     single = edges.join(origin, ["m", "h"]).where(F.struct("doc_id", "at") > F.col("first")) \
-        .groupBy("doc_id").agg(F.collect_set("at").alias("single"))
-    done = marked.join(single, "doc_id", "left").select("doc_id", "text", "marks", "single", "n_words").mapInArrow(
-        _finish(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+        .groupBy("doc_id").agg(F.collect_set(F.struct("at", "h")).alias("single"))
+    done = marked.join(single, "doc_id", "left").select("doc_id", "text", "marks", "single", "n_words", F.xxhash64("text").alias("text_key")).mapInArrow(
+        _finish(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, text_key long")
     clean = looked.where("marks IS NULL").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("kept_sha256"),
-                                                 F.lit(None).cast("string").alias("kept_text"))
+                                                 F.lit(None).cast("string").alias("kept_text"), F.lit(None).cast("long").alias("text_key"))
     return done.unionByName(clean)
 
 
@@ -205,9 +219,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def strip_repeats(docs: DataFrame, *, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with repeated passages taken out of the text; other columns, and
-    texts that lose nothing, stay as they are."""
-    changed = substring_dedup(docs, window=window, id_col=id_col, text_col=text_col).where("n_removed > 0") \
-        .groupBy("doc_id").agg(F.min("kept_text").alias("kept_text_"))
-    out = docs.join(changed.withColumnRenamed("doc_id", "id_"), F.col(id_col).cast("long") == F.col("id_"), "left")
-    return out.withColumn(text_col, F.coalesce("kept_text_", text_col)).select(docs.columns)
+    """``docs`` with repeated passages taken out of the text; other columns, of
+    whatever names, and texts that lose nothing, stay as they are.  Null ids
+    lose nothing; rows that repeat an id lose what is repeated in their own text;
+    an empty table gives an empty one."""
+    changed = substring_dedup(docs, window=window, id_col=id_col, text_col=text_col).where("n_removed > 0").select("doc_id", "text_key", "kept_text").distinct()
+    rows = boxed(docs, key=F.col(f"`{id_col}`").cast("long"), hash=F.xxhash64(F.col(f"`{text_col}`").cast("string")))
+    out = rows.join(changed, (rows["key"] == changed["doc_id"]) & (rows["hash"] == changed["text_key"]), "left")
+    text = F.coalesce("kept_text", F.col("row").getField(text_col).cast("string"))
+    return out.select(*[text.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])
