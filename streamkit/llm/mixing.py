@@ -9,35 +9,34 @@ the next words of the stream, which starts again after its end.  A slot has
 ``SLOT`` words whatever the corpus size, so a small source gets as close to its
 target as a large one, to a few slots.
 
-op9's SQL has another schedule (``slots``): about so many slots, longer in a
-larger corpus; the streams are cut into blocks of a slot's length, and a
-source's r-th slot takes block r modulo the number of blocks, also a short one.
-
 Nothing is numbered by a window over a whole source or all slots: positions
 are counts within a bounded bucket plus the sums of the buckets before it."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from streamkit.llm.registry import query, saved, table
+from streamkit.llm.registry import boxed, query, saved, table
 
-GOLDEN = 2654435769  # 2**32 / golden ratio, odd
 WEIGHTS = (5, 2, 1)
 MOST = 3  # times that a source's words may be taken
 SLOT = 16  # words of a slot
-SLOTS = 1 << 18  # of op9's SQL: about as many slots, but of 16 words at least
 BITS, STEP = 48, 0x9E3779B97F4B  # points of slots of fixed length: fine enough for a source of a few words among 10**14; 2**48 / golden ratio, odd
-CELL = 20  # bits of a point below its cell; points and sources meet by cell
-CHUNK = 1 << 12  # slots that are ranked together
+CELL = BITS - 12  # bits of a point below its cell; points and sources meet by cell
 
 _WORDS = r"[\x20\x09-\x0D]+"
 
 
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    text = F.btrim(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                       F.when(text == "", 0).otherwise(F.size(F.split(text, _WORDS))).cast("long").alias("size"))
+    """(doc_id, source, size, key); a stream is in order of ``key``, which spreads
+    documents that share an id, or have none, by their texts."""
+    text = F.btrim(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"),
+                       F.when(text == "", 0).otherwise(F.size(F.split(text, _WORDS))).cast("long").alias("size"), _key(id_col, text_col).alias("key"))
+
+
+def _key(id_col: str, text_col: str) -> Column:
+    return F.md5(F.concat_ws(" ", F.col(f"`{id_col}`").cast("long").cast("string"), F.md5(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
@@ -76,40 +75,25 @@ def _met(points: DataFrame, per: DataFrame, cell: int) -> DataFrame:
         .where((F.col("point") >= F.col("low")) & (F.col("point") < F.col("high")))
 
 
-def _stream(sizes: DataFrame) -> DataFrame:
-    """Where each document stands in its source's stream."""
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    place = sizes.withColumn("key", key).withColumn("bucket", F.substring("key", 1, 3))
-    sums = place.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
-    sums = sums.withColumn("base", F.sum("n").over(W.partitionBy("source").orderBy("bucket")) - F.col("n")) \
-        .select(F.col("source").alias("s_"), F.col("bucket").alias("c_"), "base")
-    run = W.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
-    return place.withColumn("upto", F.sum("size").over(run)).join(sums, _same("source", "s_") & (F.col("bucket") == F.col("c_"))) \
-        .withColumn("begin", F.col("base") + F.col("upto") - F.col("size")).drop("s_", "c_", "bucket", "key", "base", "upto")
-
-
-def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, slots: int | None = None, slot: int = SLOT, id_col: str = "doc_id",
+def mix(docs: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, slot: int = SLOT, id_col: str = "doc_id",
         text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Per row: (doc_id, size, source_size, target, taken, passes).
 
     ``size`` is the number of words; ``taken`` the words that the mix takes,
-    repeats counted; ``passes`` how often it takes the document's first word, or
-    with ``slots`` the block in which that is (for whole-document mixes).
-
-    Slots have ``slot`` words.  With ``slots`` the schedule of op9's SQL is made
-    instead, in which a source far under total / slots words gets too little.
+    repeats counted; ``passes`` how often it takes the document's first word.
 
     Sources in order of code points, null last, weigh ``weights``, repeating.
     A null or empty text has size 0 and nothing is taken.  Null ids and rows that
-    repeat an id are documents of their own, in a fixed order by id; other
-    columns are ignored; an empty table gives an empty one."""
-    sizes = saved(sized(docs, id_col, text_col, source_col), "mix-sizes")
-    per = targets(sizes, weights, most)
-    return _by_block(sizes, per, most, slots) if slots else _by_word(sizes, per, most, slot)
+    repeat an id are documents of their own, in a fixed order by id and text;
+    other columns are ignored; an empty table gives an empty one."""
+    return _scheduled(saved(sized(docs, id_col, text_col, source_col), "mix-sizes"), weights, most, slot) \
+        .select("doc_id", "size", "source_size", "target", "taken", "passes")
 
 
-def _by_word(sizes: DataFrame, per: DataFrame, most: int, slot: int) -> DataFrame:
-    per = saved(_bounds(per, BITS), "mix-targets")
+def _scheduled(sizes: DataFrame, weights: tuple[int, ...], most: int, slot: int) -> DataFrame:
+    """``sizes`` with what the mix takes of each row.  A source's rows meet its
+    totals by (source, bucket): those of a large source are spread over 4,096."""
+    per = saved(_bounds(targets(sizes, weights, most), BITS), "mix-targets")
     n = -(-int(per.agg(F.max("total")).first()[0] or 0) // slot)
     # id * STEP modulo 2**BITS from 15 bits of the id at a time, which does not overflow
     point = F.lit(0).cast("long")
@@ -117,82 +101,63 @@ def _by_word(sizes: DataFrame, per: DataFrame, most: int, slot: int) -> DataFram
         digit = F.shiftright("id", low).bitwiseAND(F.lit((1 << 15) - 1))
         point = point + F.pmod(digit * F.lit((STEP << low) % (1 << BITS)), F.lit(1 << BITS))
     points = sizes.sparkSession.range(n).select(F.pmod(point, F.lit(1 << BITS)).alias("point"))
-    filled = _met(points, per.select("source", "low", "high"), BITS - 12).groupBy(F.col("source").alias("f_")).agg(F.count("*").alias("filled"))
+    filled = _met(points, per.select("source", "low", "high"), CELL).groupBy(F.col("source").alias("f_")).agg(F.count("*").alias("filled"))
     of = per.join(filled, _same("source", "f_"), "left") \
-        .select(F.col("source").alias("s_"), "source_size", "target",
+        .select(F.col("source").alias("o_"), "source_size", "target",
                 F.least(F.coalesce("filled", F.lit(0)) * slot, F.col("source_size") * most).alias("words"))
-    rows = _stream(sizes).join(of, _same("source", "s_")).drop("s_")
+    place = sizes.withColumn("bucket", F.substring("key", 1, 3))
+    sums = place.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
+    sums = sums.withColumn("base", F.sum("n").over(W.partitionBy("source").orderBy("bucket")) - F.col("n")).join(of, _same("source", "o_")) \
+        .select(F.col("source").alias("s_"), F.col("bucket").alias("c_"), "base", "source_size", "target", "words")
+    sums = saved(sums, "mix-buckets")
+    run = W.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
+    rows = place.withColumn("upto", F.sum("size").over(run)).join(sums, _same("source", "s_") & (F.col("bucket") == F.col("c_"))) \
+        .withColumn("begin", F.col("base") + F.col("upto") - F.col("size"))
     # every word of the stream is taken ``whole`` times, the first ``rest`` once more
     whole = F.when(F.col("size") > 0, F.floor(F.col("words") / F.greatest("source_size", F.lit(1)))).otherwise(0)
     rows = rows.withColumn("whole", whole).withColumn("rest", F.col("words") - F.col("whole") * F.col("source_size"))
     more = F.greatest(F.least(F.col("begin") + F.col("size"), F.col("rest")) - F.col("begin"), F.lit(0))
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("whole") * F.col("size") + more).cast("long").alias("taken"),
+    return rows.select("doc_id", "size", "key", "source", "source_size", "target", (F.col("whole") * F.col("size") + more).cast("long").alias("taken"),
                        (F.col("whole") + (more > 0).cast("long")).cast("long").alias("passes"))
 
 
-def _by_block(sizes: DataFrame, per: DataFrame, most: int, slots: int) -> DataFrame:
-    per = saved(_bounds(per.withColumn("block", F.greatest(F.lit(16), F.ceil(F.col("total") / slots)).cast("long")), 32), "mix-targets")
-
-    # how often each block of a source is taken
-    head = per.agg(F.max("total").alias("total"), F.max("block").alias("block")).first()  # two numbers
-    n = -(-int(head["total"] or 0) // int(head["block"] or 1))
-    points = sizes.sparkSession.range(n).select("id", F.pmod(F.col("id") * GOLDEN, F.lit(1 << 32)).alias("point"))
-    slot = _met(points, per.select("source", "low", "high", "block", "source_size"), CELL).withColumn("chunk", F.floor(F.col("id") / CHUNK))
-    in_chunk = F.row_number().over(W.partitionBy("chunk", "source").orderBy("id")) - 1
-    chunks = slot.groupBy("source", "chunk").agg(F.count("*").alias("n"))
-    chunks = chunks.withColumn("base", F.sum("n").over(W.partitionBy("source").orderBy("chunk")) - F.col("n")) \
-        .select(F.col("source").alias("s_"), F.col("chunk").alias("c_"), "base")
-    ranked = slot.withColumn("k", in_chunk).join(chunks, _same("source", "s_") & (F.col("chunk") == F.col("c_")))
-    blocks = F.ceil(F.col("source_size") / F.col("block"))
-    taken = ranked.withColumn("rank", F.col("base") + F.col("k")).where(F.col("rank") < most * blocks) \
-        .groupBy(F.col("source").alias("s_"), (F.col("rank") % blocks).alias("b_")).agg(F.count("*").alias("times"))
-
-    of = per.select(F.col("source").alias("s_"), "source_size", "target", "block")
-    place = saved(_stream(sizes).join(of, _same("source", "s_")).drop("s_").withColumn("row", F.monotonically_increasing_id()), "mix-places")
-    parts = place.where("size > 0").select("row", "source", "begin", "size", "block",
-                                           F.explode(F.sequence(F.floor(F.col("begin") / F.col("block")),
-                                                                F.floor((F.col("begin") + F.col("size") - 1) / F.col("block")))).alias("b"))
-    words = F.least(F.col("begin") + F.col("size"), (F.col("b") + 1) * F.col("block")) - F.greatest("begin", F.col("b") * F.col("block"))
-    got = parts.join(taken, _same("source", "s_") & (F.col("b") == F.col("b_"))).groupBy("row").agg(
-        F.sum(words * F.col("times")).alias("taken"),
-        F.sum(F.when(F.col("b") == F.floor(F.col("begin") / F.col("block")), F.col("times"))).alias("passes"))
-    return place.join(got, "row", "left").select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
-                                                 F.coalesce("passes", F.lit(0)).cast("long").alias("passes"))
-
-
 SQL = rf"""
-WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+           md5(concat_ws(' ', doc_id::VARCHAR, md5(coalesce(text, '')))) AS key FROM documents),
 a AS (SELECT source, sum(size)::BIGINT AS s, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INTEGER] AS w FROM d GROUP BY source),
 b AS (SELECT *, sum(s) OVER ()::BIGINT AS total, sum(w) OVER ()::BIGINT AS tw,
              coalesce(sum(s) OVER f, 0)::BIGINT * 3 AS full_, coalesce(sum(w) OVER f, 0)::BIGINT AS used FROM a
       WINDOW f AS (ORDER BY s / w::DOUBLE, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 l AS (SELECT *, (total - full_)::DOUBLE / (tw - used) AS lv FROM b),
 t AS (SELECT source, s, total, least(coalesce(max(CASE WHEN lv * w <= s * 3 THEN lv END) OVER (), 0.0) * w, (s * 3)::DOUBLE) AS target FROM l),
-p AS (SELECT *, greatest(16, ceil(total / {SLOTS}::DOUBLE))::BIGINT AS block,
-             floor(sum(target) OVER (ORDER BY source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / greatest(total, 1) * 4294967296)::BIGINT AS high FROM t),
-q AS (SELECT *, coalesce(lag(high) OVER (ORDER BY source NULLS LAST), 0) AS low, ceil(s / block::DOUBLE)::BIGINT AS nb FROM p),
-i AS (SELECT unnest(range(0, (SELECT ceil(max(total) / max(block)::DOUBLE)::BIGINT FROM q))) AS id),
-k AS (SELECT q.source, nb, row_number() OVER (PARTITION BY q.source ORDER BY id) - 1 AS r FROM i JOIN q ON (id * {GOLDEN}) % 4294967296 >= low AND (id * {GOLDEN}) % 4294967296 < high),
-n AS (SELECT source, r % nb AS b, count(*) AS times FROM k WHERE r < 3 * nb GROUP BY 1, 2),
-o AS (SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5(doc_id::VARCHAR), doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos FROM d),
-z AS (SELECT o.*, q.s, q.target, q.block FROM o JOIN q ON q.source IS NOT DISTINCT FROM o.source),
-x AS (SELECT doc_id, source, size, pos, block, unnest(range(pos // block, (pos + size - 1) // block + 1)) AS b FROM z WHERE size > 0),
-y AS (SELECT x.doc_id, sum((least(pos + size, (x.b + 1) * block) - greatest(pos, x.b * block)) * times)::BIGINT AS taken,
-             sum(CASE WHEN x.b = pos // block THEN times END)::BIGINT AS passes
-      FROM x JOIN n ON n.source IS NOT DISTINCT FROM x.source AND n.b = x.b GROUP BY 1)
-SELECT z.doc_id, z.size, z.s AS source_size, z.target, coalesce(y.taken, 0)::BIGINT AS taken, coalesce(y.passes, 0)::BIGINT AS passes
-FROM z LEFT JOIN y ON y.doc_id = z.doc_id
+p AS (SELECT *, floor(sum(target) OVER (ORDER BY source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / greatest(total, 1) * {1 << BITS})::BIGINT AS high FROM t),
+q AS (SELECT *, coalesce(lag(high) OVER (ORDER BY source NULLS LAST), 0) AS low FROM p),
+i AS (SELECT ((id::HUGEINT * {STEP}) % {1 << BITS})::BIGINT AS point FROM range(0, (SELECT coalesce(ceil(max(total) / {SLOT}.0), 0)::BIGINT FROM q)) r(id)),
+k AS (SELECT q.source, count(*) AS filled FROM i JOIN q ON point >= low AND point < high GROUP BY 1),
+m AS (SELECT q.source, s, target, least(coalesce(filled, 0) * {SLOT}, s * {MOST}) AS words FROM q LEFT JOIN k ON k.source IS NOT DISTINCT FROM q.source),
+o AS (SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos FROM d),
+z AS (SELECT o.*, m.s, m.target, CASE WHEN size > 0 THEN words // greatest(s, 1) ELSE 0 END AS whole, words FROM o JOIN m ON m.source IS NOT DISTINCT FROM o.source),
+x AS (SELECT *, greatest(least(pos + size, words - whole * s) - pos, 0) AS more FROM z)
+SELECT doc_id, size, s AS source_size, target, (whole * size + more)::BIGINT AS taken, (whole + (more > 0)::BIGINT)::BIGINT AS passes FROM x
 """
 
 
 @query("op9_mix_sources", SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents"), slots=SLOTS)
+    return mix(table(spark, sf_dir, "documents"))
+
 
+def mixed_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS,
+               most: int = MOST, slot: int = SLOT) -> DataFrame:
+    """``docs`` as the mix takes them: each row as often as its first word is
+    taken (no text is cut; a null or empty text stays once).
 
-def mixed_rows(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` as the mix takes them: each row as often as its first word
-    is taken (no text is cut; an empty text stays once)."""
-    taken = mix(docs, id_col=id_col, **options).groupBy("doc_id").agg(F.max(F.when(F.col("size") > 0, F.col("passes")).otherwise(1)).alias("passes_"))
-    out = docs.join(taken.withColumnRenamed("doc_id", "id_"), F.col(id_col).cast("long").eqNullSafe(F.col("id_")))
-    return out.where("passes_ > 0").withColumn("pass_", F.explode(F.sequence(F.lit(1), F.col("passes_").cast("int")))).select(docs.columns)
+    Columns of any name are kept.  Rows that are equal in id, text and source are
+    taken as often as the one of them that is taken most; null ids and sources
+    are values like others; an empty table gives an empty one."""
+    sizes = saved(sized(docs, id_col, text_col, source_col), "mix-sizes")
+    taken = _scheduled(sizes, weights, most, slot).groupBy("key", "source").agg(F.max(F.when(F.col("size") > 0, F.col("passes")).otherwise(1)).alias("passes"))
+    rows = boxed(docs, key=_key(id_col, text_col), source=F.col(f"`{source_col}`").cast("string"))
+    taken = taken.where("passes > 0").select(F.col("key").alias("k_"), F.col("source").alias("s_"), "passes")
+    return rows.join(taken, (F.col("key") == F.col("k_")) & _same("source", "s_")) \
+        .select("row", F.explode(F.sequence(F.lit(1), F.col("passes").cast("int"))).alias("pass")).select("row.*")
