@@ -24,7 +24,6 @@ from streamkit.llm.tokens import byte_level
 
 SIZE = 1024
 GROUP = 40_000  # pieces packed together
-STEPS = 2000  # of the local search in a group
 POOLED = 64  # emptiest bins of each group that are packed again with those of other groups
 
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
@@ -79,58 +78,138 @@ def least_bins(lengths: np.ndarray, size: int) -> int:
     return max(-(-int(lengths.sum()) // size), int((2 * lengths > size).sum()))
 
 
-def local_search(bins: list[list[int]], lengths: np.ndarray, size: int, steps: int = STEPS) -> list[list[int]]:
-    """Empties bins by moves and exchanges out of the emptiest one (the next
-    emptiest if none is left there), each of which lets the sum of squared fills
-    grow.  Ends when the fewest possible bins are reached, no step helps, or
-    ``steps`` steps were tried."""
-    least = least_bins(lengths, size)
-    fill = np.array([lengths[b].sum() for b in bins], dtype=np.int64)
-    owner = np.empty(len(lengths), dtype=np.int64)
-    for b, items in enumerate(bins):
-        owner[items] = b
+class _Open:
+    """Bins with room, by room; of each room the lengths of single pieces and the
+    sums of two pieces of a bin, as a bit set and with the bins that hold them."""
+
+    def __init__(self, size: int):
+        self.rooms = 0
+        self.bins: list[set[int]] = [set() for _ in range(size + 1)]
+        self.bits: list[list[int]] = [[0] * (size + 1) for _ in range(2)]
+        self.held: list[dict[tuple[int, int], set[int]]] = [{}, {}]
+
+    def add(self, b: int, room: int, lengths: list[int]) -> None:
+        self.rooms |= 1 << room
+        self.bins[room].add(b)
+        for held, bits, sums in zip(self.held, self.bits, _sums_of(lengths)):
+            for n in sums:
+                held.setdefault((room, n), set()).add(b)
+                bits[room] |= 1 << n
+
+    def remove(self, b: int, room: int, lengths: list[int]) -> None:
+        self.bins[room].discard(b)
+        if not self.bins[room]:
+            self.rooms &= ~(1 << room)
+        for held, bits, sums in zip(self.held, self.bits, _sums_of(lengths)):
+            for n in sums:
+                held[room, n].discard(b)
+                if not held[room, n]:
+                    del held[room, n]
+                    bits[room] &= ~(1 << n)
+
+    def exchange(self, n: int, least: int, pieces: int) -> tuple[int, int, int]:
+        """(gain, bin, length): the piece (or the two) shorter than ``n`` by most, by
+        no more than its bin's room, in bins with at most ``least`` room."""
+        best, left = (0, -1, 0), self.rooms & ((2 << least) - 1)
+        while left:
+            room = left.bit_length() - 1
+            if room <= best[0]:
+                break
+            left &= ~(1 << room)
+            low = max(1, n - room)
+            fit = self.bits[pieces - 1][room] >> low
+            if fit:
+                length = low + (fit & -fit).bit_length() - 1
+                if n - length > best[0]:
+                    best = n - length, next(iter(self.held[pieces - 1][room, length])), length
+        return best
+
+
+def _sums_of(lengths: list[int]) -> tuple[set[int], set[int]]:
+    """The distinct lengths, and the distinct sums of two pieces."""
+    if len(lengths) == 2:
+        return set(lengths), {lengths[0] + lengths[1]}
+    seen, sums = 0, 0
+    for n in lengths:
+        sums |= seen << n
+        seen |= 1 << n
+    return set(lengths), {i for i, c in enumerate(bin(sums)[:1:-1]) if c == "1"}
+
+
+def _take(items: list[int], lengths: list[int], total: int, pieces: int) -> list[int]:
+    """Items of a bin (one, or two) of that length together."""
+    if pieces == 1:
+        return [next(i for i in items if lengths[i] == total)]
+    at: dict[int, int] = {}
+    for i in items:
+        if total - lengths[i] in at:
+            return [at[total - lengths[i]], i]
+        at[lengths[i]] = i
+    raise ValueError("no such pair")
+
+
+def local_search(bins: list[list[int]], lengths: np.ndarray, size: int) -> list[list[int]]:
+    """Empties bins by moves and exchanges (one for one, two for one) out of one
+    bin into bins as full or fuller, each of which lets the sum of squared fills
+    grow.  Passes over the bins, emptiest first, go on until the fewest possible
+    bins are reached or no step of any bin helps; the sum is bounded, so they end."""
+    least, lengths = least_bins(lengths, size), lengths.tolist()
+    bins = [list(b) for b in bins]
+    room = [size - sum(lengths[i] for i in b) for b in bins]
     count = len(bins)
-    stuck = np.zeros(count, dtype=bool)
-    while count > least and steps:
-        steps -= 1
-        low = int(np.argmin(np.where((fill > 0) & ~stuck, fill, size)))
-        if stuck[low] or fill[low] in (0, size):
-            break
-        inside = np.flatnonzero(owner == low)
-        room = np.where(fill >= fill[low], size - fill, -1)
-        room[low] = -1
-        open_items = np.flatnonzero(room[owner] > 0)
-        length, space = lengths[open_items], room[owner[open_items]]
-        done = False
-        for x in inside[np.argsort(-lengths[inside], kind="stable")].tolist():
-            n = int(lengths[x])
-            fits = np.flatnonzero(room >= n)
-            gain = np.where((length < n) & (n - length <= space), n - length, 0) if len(length) else np.zeros(1, dtype=np.int64)
-            if len(fits):  # move x into the fullest bin that takes it
-                b, back = int(fits[np.argmin(room[fits])]), []
-            elif gain.max() > 0:  # exchange x for a shorter piece of a bin that then is fuller
-                back = [int(open_items[np.argmax(gain)])]
-                b = int(owner[back[0]])
-            else:  # or for two pieces of one bin
-                by = open_items[np.argsort(owner[open_items], kind="stable")]
-                two = n - lengths[by[1:]] - lengths[by[:-1]]
-                two = np.where((owner[by[1:]] == owner[by[:-1]]) & (two > 0) & (two <= room[owner[by[1:]]]), two, 0)
-                if not two.max(initial=0):
-                    continue
-                back = by[np.argmax(two):][:2].tolist()
-                b = int(owner[back[0]])
-            delta = n - int(lengths[back].sum()) if back else n
-            owner[x], owner[back] = b, low
-            fill[b] += delta
-            fill[low] -= delta
-            done = True
-            break
-        stuck[low] = True
-        if done:
-            stuck[:] = False
-        count -= int(fill[low] == 0)
-    order = np.argsort(owner, kind="stable")
-    return [c.tolist() for c in np.split(order, np.flatnonzero(np.diff(owner[order])) + 1)] if len(order) else []
+    if count <= least:
+        return bins
+    state = _Open(size)
+    of = lambda b: [lengths[i] for i in bins[b]]
+    for b in range(count):
+        if room[b]:
+            state.add(b, room[b], of(b))
+
+    def step(low: int) -> bool:
+        """One move or exchange out of the bin, if any helps."""
+        items = sorted(bins[low], key=lambda i: (-lengths[i], i))
+        state.remove(low, room[low], of(low))
+        found = None
+        for x in items:
+            n = lengths[x]
+            fits = (state.rooms & ((2 << room[low]) - 1)) >> n
+            if fits:  # into the fullest bin that takes it
+                found = x, next(iter(state.bins[n + (fits & -fits).bit_length() - 1])), []
+                break
+            for pieces in (1, 2):  # for a shorter piece, or two, of a bin that then is fuller
+                gain, b, length = state.exchange(n, room[low], pieces)
+                if gain:
+                    found = x, b, _take(bins[b], lengths, length, pieces)
+                    break
+            if found:
+                break
+        if found:
+            x, b, back = found
+            state.remove(b, room[b], of(b))
+            bins[low].remove(x)
+            bins[b].append(x)
+            for i in back:
+                bins[b].remove(i)
+                bins[low].append(i)
+            gain = lengths[x] - sum(lengths[i] for i in back)
+            room[b] -= gain
+            room[low] += gain
+            if room[b]:
+                state.add(b, room[b], of(b))
+        if bins[low]:
+            state.add(low, room[low], of(low))
+        return found is not None
+
+    helped = True
+    while helped and count > least:
+        helped = False
+        for low in sorted((b for b in range(len(bins)) if bins[b] and room[b]), key=lambda b: (-room[b], b)):
+            while bins[low] and room[low] and step(low):
+                helped = True
+            count -= not bins[low]
+            if count <= least:
+                break
+    return [b for b in bins if b]
 
 
 def _pack(size: int, pooled: int):
