@@ -1,8 +1,11 @@
 """Order MinHash fingerprints and how they see a text after an edit.
 
-Every text is sketched in words, with very long words opened into characters; a
-text of few words is sketched in characters too.  Two texts of few words are
-compared in characters, all others in words, which both have.
+All texts are sketched in one kind of unit, whatever their length: runs of bytes
+between white space, in which a character from U+3000 on is a unit by itself
+and a place where a hash of the eight bytes before it says so is a border.
+Ordinary words are shorter than that or nearly so and stay whole; texts without
+spaces and very long words have many units, with borders that depend on what
+stands there alone.
 
 A text's k-mers of units are numbered by occurrence, so that repeats count.  For each of
 ``SKETCHES`` hash functions the ``TUPLE`` numbered k-mers of least hash are
@@ -12,14 +15,13 @@ edit distance: it needs the same k-mers in the same order.
 
 Each document is also compared with the next one in descending id order, and
 with its own text after its last third was overwritten from that next text.
-One shuffle puts the texts into ranges of ids (cut points are quantiles); of
-each range its first text is also sent to the range before it, so that a
-neighbour is always at hand and one text at a time is held."""
+One shuffle by range puts the texts in order; a task holds one text at a time.
+Where a task ends, its last text meets the first of the next task in a small
+second step, a pair of texts for each task."""
 
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,29 +29,45 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streamkit.llm import hashing
-from streamkit.llm.registry import query, table
+from streamkit.llm.registry import query, saved, table
 
-SKETCHES, TUPLE, WORDS, CHARS = 64, 2, 2, 4
-FEW = 24  # with fewer words there is a sketch of the characters too
-LONG = 64  # bytes; the characters of a longer word are units of their own
+SKETCHES, TUPLE, WORDS = 64, 2, 2
+LOOK, ONE_IN = 8, 8  # bytes before a border inside a run, and how rare it is
+RANGE = 16 << 20  # text bytes of a task
 U = np.uint64
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SEEDS = hashing.mix(np.arange(SKETCHES, dtype=U), 77)[:, None] | U(1)
 
 
-def _chars(text: str) -> np.ndarray:
-    return hashing.mix(np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(U), 33)
-
-
-def _words(text: str) -> tuple[np.ndarray, int]:
-    """The word units of a text, and its number of words."""
-    words = list(hashing.word_hashes(pa.array([text])))[0]
+def units(text: str) -> np.ndarray:
+    """Hashes of the text's units, in order."""
     data = np.frombuffer(text.encode(), dtype=np.uint8)
-    ends = np.flatnonzero(hashing.SPACE[data])
-    if np.diff(ends, prepend=-1, append=len(data)).max() - 1 <= LONG:
-        return words, len(words)
-    apart = [_chars(w) if len(w.encode()) > LONG else words[i:i + 1] for i, w in enumerate(_WORD.findall(text))]
-    return np.concatenate(apart), len(words)
+    return np.concatenate([np.zeros(0, U), *(_units(piece) for piece in hashing._pieces(data))])
+
+
+def _units(data: np.ndarray) -> np.ndarray:
+    n = len(data)
+    inside = ~hashing.SPACE[data]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    wide = np.flatnonzero(data >= 0xE3)  # first byte of a character from U+3000 on: a unit by itself
+    behind = wide + np.where(data[wide] >= 0xF0, 4, 3)
+    first[wide] = True
+    behind = behind[behind < n]
+    first[behind] |= inside[behind]
+    up, down = hashing._power(n)
+    total = np.zeros(n + 1, dtype=U)
+    np.cumsum((data.astype(U) + U(1)) * up[:n], out=total[1:])
+    run = np.arange(n) - np.maximum.accumulate(np.where(first, np.arange(n), 0))  # place in the run
+    at = np.flatnonzero(inside & ~first & (run >= LOOK))
+    at = at[hashing.mix((total[at] - total[at - LOOK]) * down[at - LOOK], 29) % U(ONE_IN) == 0]
+    first[at] = True
+    starts = np.flatnonzero(first)
+    ends = np.append(starts[1:], n)
+    gaps = np.flatnonzero(hashing.SPACE[data])  # a unit ends at white space at the latest
+    if len(gaps) and len(starts):
+        k = np.searchsorted(gaps, starts)
+        ends = np.minimum(ends, np.append(gaps, n)[k])
+    return hashing.mix((total[ends] - total[starts]) * down[starts] ^ (ends - starts).astype(U), 33)
 
 
 def numbered(kmers: np.ndarray) -> np.ndarray:
@@ -64,15 +82,11 @@ def numbered(kmers: np.ndarray) -> np.ndarray:
 
 
 def fingerprint(text: str) -> np.ndarray:
-    """SKETCHES 32-bit values in words, then as many in characters if the text has few words; none for an empty text."""
+    """SKETCHES 32-bit values; none for an empty text."""
     if not text:
         return np.zeros(0, dtype=np.uint32)
-    words, count = _words(text)
-    kmers = hashing.shingles(words, min(WORDS, len(words)), seed=31) if len(words) else np.full(1, 31, dtype=U)  # only white space
-    if count >= FEW:
-        return _sketch(kmers)
-    chars = _chars(text)
-    return np.concatenate([_sketch(kmers), _sketch(hashing.shingles(chars, min(CHARS, len(chars)), seed=35))])
+    words = units(text)
+    return _sketch(hashing.shingles(words, min(WORDS, len(words)), seed=31) if len(words) else np.full(1, 31, dtype=U))  # only white space
 
 
 def _sketch(kmers: np.ndarray) -> np.ndarray:
@@ -99,11 +113,10 @@ def _sketch(kmers: np.ndarray) -> np.ndarray:
 
 
 def near(a: np.ndarray, b: np.ndarray) -> float:
-    """Share of sketches that agree, in characters if both have them, else in words; two empty texts are alike, one is not."""
+    """Share of sketches that agree; two empty texts are alike, one is not."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    both = slice(SKETCHES, None) if len(a) == len(b) > SKETCHES else slice(SKETCHES)
-    return float((a[both] == b[both]).mean())
+    return float((a == b).mean())
 
 
 def edited(text: str, following: str) -> str:
@@ -113,62 +126,76 @@ def edited(text: str, following: str) -> str:
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
                   ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
+_ENDS = pa.schema([*_OUT, ("part", pa.int32()), ("first", pa.string()), ("last", pa.string())])
 _TYPES = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come by range, in order; the last of a range is a copy of the next range's first."""
+def _compared(doc: int | None, own: str, sketch: np.ndarray, following: str, next_sketch: np.ndarray) -> tuple:
+    changed = edited(own, following)
+    other = fingerprint(changed) if changed != own else sketch
+    return (doc, len(own), hashlib.sha256(changed.encode()).hexdigest(), sketch.astype(">u4").tobytes().hex(),
+            other.astype(">u4").tobytes().hex(), near(sketch, other), near(sketch, next_sketch))
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), schema)], schema=schema)
+
+
+def _in_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a range, in order; at its end its first text, and its last document for the next range's first text."""
     rows: list[tuple] = []
-    held = None  # range, id, text, fingerprint of the row before
+    first = held = None
+    part, none = 0, (None, None, None)
     for batch in batches:
         for at in range(batch.num_rows):
             part, doc, text = (batch.column(c)[at].as_py() for c in range(3))
-            extra = batch.column(3)[at].as_py()
             mine = fingerprint(text)
-            if held is not None and held[0] == part:
-                _, before, own, sketch = held
-                changed = edited(own, text)
-                other = fingerprint(changed) if changed != own else sketch
-                rows.append((before, len(own), hashlib.sha256(changed.encode()).hexdigest(), sketch.astype(">u4").tobytes().hex(),
-                             other.astype(">u4").tobytes().hex(), near(sketch, other), near(sketch, mine)))
-            held = None if extra else (part, doc, text, mine)
+            if held is None:
+                first = text
+            else:
+                rows.append((*_compared(*held, text, mine), *none))
+            held = doc, text, mine
             if len(rows) >= 1000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), _OUT)], schema=_OUT)
+                yield _batch(rows, _ENDS)
                 rows = []
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), _OUT)], schema=_OUT)
+    if held is not None:
+        rows.append((held[0], *[None] * 6, part, first, held[1]))
+        yield _batch(rows, _ENDS)
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, last, first): a range's last document and the next range's first text."""
+    for batch in batches:
+        for doc, last, first in zip(*(c.to_pylist() for c in batch.columns)):
+            yield _batch([_compared(doc, last, fingerprint(last), first, fingerprint(first))], _OUT)
 
 
 def fingerprints(docs: DataFrame, *, ranges: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: (doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next).
 
-    Rows are in descending order of id (rows of one id in a fixed order, null ids last);
+    Rows are in descending order of id (rows of one id in a fixed order by their
+    text, null ids last), in ``ranges`` (RANGE bytes of text each, if not given);
     next is the row after, and after the last the first.  The edited text has the
     last floor(n_chars / 3) characters replaced by the next text's first as many,
     or all it has.  A null text is empty; an empty text has the fingerprint "",
     like only other empty ones; a single row is its own next.  Other columns are
     ignored; an empty table gives an empty one."""
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    count = ranges or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    cuts = rows.agg(F.percentile_approx("key", [i / count for i in range(1, count)], 10 * count).alias("c")).first()["c"] or []
-    cuts = sorted(set(cuts), reverse=True)
-    # range 0 holds the largest ids; a document is in the range of the first cut at or under its key
-    place = F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]), lambda c: c > F.col("key"))) if cuts else F.lit(0)
-    rows = rows.withColumn("part", place)
-    heads = {r["part"]: r["first"] for r in rows.groupBy("part").agg(F.max(F.struct("key", F.xxhash64("text").alias("h"))).alias("first")).collect()}  # a row for each range
-    if not heads:
-        return spark.createDataFrame([], _TYPES)
-    order = sorted(heads)
-    before = {p: order[i - 1] for i, p in enumerate(order)}  # the first range's head goes after the last range
-    small = spark.createDataFrame([(p, int(heads[p]["key"]), int(heads[p]["h"]), before[p]) for p in order], "part int, key long, h long, to int")
-    extra = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(small), ["part", "key", "h"]).dropDuplicates(["part", "key", "h"]) \
-        .select(F.col("to").alias("part"), "doc_id", "text", F.lit(True).alias("extra"), "key", "h")
-    both = rows.select("part", "doc_id", "text", F.lit(False).alias("extra"), "key", F.xxhash64("text").alias("h")).unionByName(extra)
-    return both.repartitionByRange(len(order), "part").sortWithinPartitions("part", "extra", F.desc("key"), F.desc("h")).select("part", "doc_id", "text", "extra") \
-        .mapInArrow(_compare, _TYPES)
+    count = ranges or -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // RANGE)
+    order = [F.col("doc_id").desc_nulls_last(), F.desc("hash"), F.desc("row")]  # a repeated id is spread too
+    placed = rows.withColumn("hash", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id()) \
+        .repartitionByRange(max(1, int(count)), *order).sortWithinPartitions(*order)
+    found = saved(placed.select(F.spark_partition_id().alias("part"), "doc_id", "text")
+                  .mapInArrow(_in_range, _TYPES + ", part int, first string, last string"), "fingerprints")
+    ends = found.where("part IS NOT NULL").select("part", "doc_id", "first", "last")
+    parts = sorted(r.part for r in ends.select("part").collect())  # a number for each range
+    if not parts:
+        return found.select(*_OUT.names)
+    following = docs.sparkSession.createDataFrame(list(zip(parts, parts[1:] + parts[:1])), "part int, next int")
+    heads = ends.select(F.col("part").alias("next"), F.col("first").alias("text"))
+    across = ends.join(following, "part").join(heads, "next").select("doc_id", "last", "text").mapInArrow(_across, _TYPES)
+    return found.where("part IS NULL").select(*_OUT.names).unionByName(across)
 
 
 @query("op8_order_minhash")
