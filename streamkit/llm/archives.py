@@ -6,12 +6,20 @@ repeated attempts are never read.  The reader cuts the files into byte ranges.
 A task looks for the gzip magic in its range, takes a candidate for a member
 only if it decodes to a WARC header and its checksum holds, and owns the
 records that start inside its range (it reads past the range's end to finish
-the last).  One record is held at a time.
+the last).  One member is held at a time; it may hold several records.
+
+Archives of other writers are read as they are: header names in any case, with
+or without a space after the colon, on folded lines, in bytes that are not
+UTF-8 (replaced).  Digests are compared if their algorithm is known (SHA-1,
+SHA-256, SHA-512 and MD5, in hex or base 32).  A record that is cut short or damaged, or
+whose header or digest does not hold, is a row that says so in ``problem``.
 
 Files are opened through pyarrow's file systems, by URI, in the tasks."""
 
 from __future__ import annotations
 
+import base64
+import binascii
 import hashlib
 import uuid
 import zlib
@@ -25,6 +33,7 @@ from streamkit.llm.registry import fresh_dir, query, saved, table
 
 MAGIC = b"\x1f\x8b\x08"
 SPLIT = 32 << 20  # bytes of an archive read by one task
+FILE = 256 << 20  # bytes after which a task begins another archive
 LEAST_REVISIT = 100  # payload bytes from which equal payloads become revisits
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -54,30 +63,36 @@ def record(page: int | None, url: str, payload: bytes, digest: str, refers_to: i
     return pack.compress("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n") + pack.flush()
 
 
-def _write(folder: str):
+def _write(folder: str, file_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, path, n, size = None, f"{folder}/part-{uuid.uuid4().hex}.warc.gz", 0, 0
+        out, path, n, size = None, "", 0, 0
+        listed = lambda: pa.RecordBatch.from_pydict({"path": [path], "records": [n], "bytes": [size]})
         try:
             for batch in batches:
                 for page, url, html, digest, refers in zip(*batch.columns):
                     if out is None:
+                        path, n, size = f"{folder}/part-{uuid.uuid4().hex}.warc.gz", 0, 0
                         system, local = _open(path)
                         system.create_dir(local.rsplit("/", 1)[0], recursive=True)
                         out = system.open_output_stream(local, compression=None)
                     data = record(page.as_py(), url.as_py() or "", (html.as_py() or "").encode(), digest.as_py(), refers.as_py())
                     out.write(data)
                     n, size = n + 1, size + len(data)
+                    if size >= file_bytes:
+                        out.close()
+                        out = None
+                        yield listed()
         finally:
             if out is not None:
                 out.close()
-        if n:
-            yield pa.RecordBatch.from_pydict({"path": [path], "records": [n], "bytes": [size]})
+        if out is not None:
+            yield listed()
     return run
 
 
-def write_archives(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
+def write_archives(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", file_bytes: int = FILE) -> DataFrame:
     """Writes a record per row below the shared folder; returns the table of
-    files (path, records, bytes).
+    files (path, records, bytes), of about ``file_bytes`` at most.
 
     Of rows with equal payloads of ``LEAST_REVISIT`` bytes or more, that of the
     smallest id is a response, others revisit it (rows that repeat that id are
@@ -90,10 +105,12 @@ def write_archives(pages: DataFrame, *, id_col: str = "page_id", url_col: str =
                         F.sha2(payload.cast("binary"), 256).alias("digest"))
     rows = rows.withColumn("key", F.when(F.octet_length("html") >= LEAST_REVISIT, F.col("digest")).otherwise(
         F.concat(F.lit("small-"), F.coalesce(F.col("page_id").cast("string"), F.lit("")))))
-    first = rows.where(F.octet_length("html") >= LEAST_REVISIT).groupBy("key").agg(F.min("page_id").alias("first"))
+    # only payloads that repeat; written, so that the join can split the rows of one payload
+    first = saved(rows.where(F.octet_length("html") >= LEAST_REVISIT).groupBy("key").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
+                  .where("n > 1").drop("n"), "warc-first")
     refers = F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     ready = rows.join(first, "key", "left").select("page_id", "url", "html", "digest", refers.alias("refers_to"))
-    return saved(ready.mapInArrow(_write(fresh_dir(spark, "warc")), "path string, records long, bytes long"), "warc-files")
+    return saved(ready.mapInArrow(_write(fresh_dir(spark, "warc"), file_bytes), "path string, records long, bytes long"), "warc-files")
 
 
 class _Window:
@@ -113,29 +130,45 @@ class _Window:
         self.data, self.base = self.data[upto - self.base:], upto
 
 
-def _member(window: _Window, at: int) -> tuple[bytes, int] | None:
-    """The decoded gzip member at ``at`` and its end, if it is one that holds a WARC record."""
-    unpack, parts, size, pos = zlib.decompressobj(31), [], 0, at
+def _member(window: _Window, at: int) -> tuple[bytes, int, str | None] | None:
+    """The decoded gzip member at ``at``, its end and what is wrong with it, if it begins with a WARC header."""
+    unpack, parts, size, pos, problem = zlib.decompressobj(31), [], 0, at, None
     while not unpack.eof:
         if pos - window.base >= len(window.data) and not window.more():
-            return None  # cut short
+            problem = "cut"
+            break
         chunk = window.data[pos - window.base:pos - window.base + (1 << 16)]
         try:
             data = unpack.decompress(chunk)
         except zlib.error:
-            return None
+            problem, data = "damaged", _until_error(window, at, pos)
+            parts = []
         pos += len(chunk) - len(unpack.unused_data)
         parts.append(data)
+        if problem:
+            break
         if size < 5:
             size += len(data)
             if size >= 5 and b"".join(parts)[:5] != b"WARC/":
                 return None
     body = b"".join(parts)
-    return (body, pos) if body[:5] == b"WARC/" else None
+    return (body, pos, problem) if body[:5] == b"WARC/" else None
+
+
+def _until_error(window: _Window, at: int, upto: int) -> bytes:
+    """What a damaged member decodes to before the fault, found byte by byte from ``upto`` on."""
+    unpack, out = zlib.decompressobj(31), []
+    try:
+        out.append(unpack.decompress(window.data[at - window.base:upto - window.base]))
+        for i in range(upto - window.base, len(window.data)):
+            out.append(unpack.decompress(window.data[i:i + 1]))
+    except zlib.error:
+        pass
+    return b"".join(out)
 
 
-def records_in(file, start: int, end: int) -> Iterator[tuple[int, bytes]]:
-    """(position, record) of the members that start in [start, end)."""
+def records_in(file, start: int, end: int) -> Iterator[tuple[int, bytes, str | None]]:
+    """(position, content, problem) of the members that start in [start, end)."""
     window, at = _Window(file, start), start
     while at < end:
         found = window.data.find(MAGIC, at - window.base)
@@ -153,27 +186,82 @@ def records_in(file, start: int, end: int) -> Iterator[tuple[int, bytes]]:
         if member is None:
             at += 1
             continue
-        yield at, member[0]
-        at = member[1]
+        body, upto, problem = member
+        yield at, body, problem
+        at = at + 1 if problem else upto  # behind a fault the next member is looked for
         window.drop(at)
 
 
-_READ = pa.schema([("path", pa.string()), ("at", pa.int64()), ("record_type", pa.string()), ("record_id", pa.string()), ("url", pa.string()),
-                   ("refers_to", pa.string()), ("payload_digest", pa.string()), ("payload_length", pa.int64()), ("payload", pa.binary())])
-_READ_SQL = "path string, at long, record_type string, record_id string, url string, refers_to string, payload_digest string, payload_length long, payload binary"
-
-
-def parse(body: bytes) -> tuple:
-    """The columns of a record after path and position; its payload's digest is checked."""
-    head, _, rest = body.partition(b"\r\n\r\n")
-    fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:] if ": " in x)
-    block = rest[:int(fields["Content-Length"])]
-    digest = fields.get("WARC-Payload-Digest", "").removeprefix("sha256:")
-    payload = block.partition(b"\r\n\r\n")[2] if fields["WARC-Type"] == "response" else None
-    if payload is not None and digest and hashlib.sha256(payload).hexdigest() != digest:
-        raise ValueError(f"payload digest of {fields.get('WARC-Record-ID')} does not hold")
-    length = len(payload) if payload is not None else int(fields.get("X-Payload-Length", 0))
-    return (fields["WARC-Type"], fields.get("WARC-Record-ID"), fields.get("WARC-Target-URI", ""), fields.get("WARC-Refers-To"), digest, length, payload)
+_READ = pa.schema([("path", pa.string()), ("at", pa.int64()), ("number", pa.int32()), ("record_type", pa.string()), ("record_id", pa.string()), ("url", pa.string()),
+                   ("refers_to", pa.string()), ("payload_digest", pa.string()), ("payload_length", pa.int64()), ("payload", pa.binary()), ("problem", pa.string())])
+_READ_SQL = "path string, at long, number int, record_type string, record_id string, url string, refers_to string, payload_digest string, payload_length long, payload binary, problem string"
+
+
+def header(head: bytes) -> dict[str, str]:
+    """Header fields by lower-case name; of repeated names the first counts."""
+    fields: dict[str, str] = {}
+    name = None
+    for line in head.decode("utf-8", "replace").replace("\r\n", "\n").split("\n")[1:]:
+        if line[:1] in (" ", "\t") and name is not None:
+            fields[name] = f"{fields[name]} {line.strip()}"
+        elif ":" in line:
+            key, _, value = line.partition(":")
+            name = key.strip().lower() if key.strip().lower() not in fields else None
+            if name is not None:
+                fields[name] = value.strip()
+    return fields
+
+
+def _number(text: str | None) -> int | None:
+    return int(text) if text is not None and text.isascii() and text.isdigit() and len(text) < 19 else None
+
+
+def digest_holds(stated: str, data: bytes) -> bool:
+    """False if ``algorithm:value`` is of a known algorithm and not that of ``data``."""
+    algorithm, _, value = stated.partition(":")
+    algorithm = algorithm.strip().lower().replace("-", "")
+    if algorithm not in ("md5", "sha1", "sha256", "sha512"):
+        return True
+    real, value = hashlib.new(algorithm, data).digest(), value.strip()
+    if len(value) == 2 * len(real):
+        return value.lower() == real.hex()
+    try:
+        return base64.b32decode(value.upper() + "=" * (-len(value) % 8)) == real
+    except binascii.Error:
+        return False
+
+
+def _split_head(data: bytes) -> tuple[bytes, bytes, int]:
+    """(header, rest, header's length with the empty line); no empty line: all is header."""
+    ends = [(data.find(mark), len(mark)) for mark in (b"\r\n\r\n", b"\n\n") if mark in data]
+    at, width = min(ends, default=(len(data), 0))
+    return data[:at], data[at + width:], at + width
+
+
+def parse(body: bytes, problem: str | None = None) -> Iterator[tuple]:
+    """The columns, after path, position and number, of the records in a member's content.
+
+    Payload: of HTTP messages what follows their header, of revisits none, else
+    the block.  problem: the member's, of its last record; ``header`` if type or
+    length is missing or no number, ``cut`` if the block is shorter than stated,
+    ``digest`` if a stated digest of block or payload does not hold, else null."""
+    while body.strip(b"\r\n"):
+        body = body.lstrip(b"\r\n")
+        head, rest, used = _split_head(body)
+        fields = header(head)
+        kind, length = fields.get("warc-type"), _number(fields.get("content-length"))
+        block = rest if length is None else rest[:length]
+        body = b"" if length is None or not rest[length:].lstrip(b"\r\n").startswith(b"WARC/") else rest[length:]
+        wrong = "header" if kind is None or length is None or not head.startswith(b"WARC/") else "cut" if len(block) < length else None
+        http = fields.get("content-type", "").lower().startswith("application/http")
+        payload = None if kind == "revisit" else _split_head(block)[1] if http else block
+        if wrong is None and not (digest_holds(fields.get("warc-block-digest", ""), block)
+                                  and (payload is None or digest_holds(fields.get("warc-payload-digest", ""), payload))):
+            wrong = "digest"
+        digest = fields.get("warc-payload-digest", "")
+        size = len(payload) if payload is not None else _number(fields.get("x-payload-length"))
+        yield (kind, fields.get("warc-record-id"), fields.get("warc-target-uri", ""), fields.get("warc-refers-to"),
+               digest.partition(":")[2] if ":" in digest else digest, size, payload, (problem if not body and problem else None) or wrong)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,8 +270,8 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             system, local = _open(path)
             rows, size = [], 0
             with system.open_input_file(local) as file:
-                for at, body in records_in(file, start, end):
-                    rows.append((path, at, *parse(body)))
+                for at, body, problem in records_in(file, start, end):
+                    rows += [(path, at, k, *columns) for k, columns in enumerate(parse(body, problem))]
                     size += len(body)
                     if size > 1 << 22:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), _READ)], schema=_READ)
@@ -193,7 +281,15 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_archives(files: DataFrame, *, split: int = SPLIT) -> DataFrame:
-    """The records of the archives in ``files`` (path, bytes), by ranges of ``split`` bytes."""
+    """The records of the archives in ``files`` (path, bytes), by ranges of
+    ``split`` bytes: (path, at, number, record_type, record_id, url, refers_to,
+    payload_digest, payload_length, payload, problem).
+
+    ``at`` is the member's position, ``number`` the record's in it.  Missing fields
+    are null (url: empty); ``payload_digest`` is as stated, without the algorithm.
+    Nothing that begins with a WARC header is skipped: see ``parse`` for
+    ``problem``.  After damage reading goes on at the next member.  Files without
+    members, and no files, give no rows."""
     ranges = files.where("bytes > 0").select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split).cast("long"))).alias("start")) \
         .select("path", "start", F.least(F.col("start") + split, "bytes").alias("end"))
     count = files.agg(F.sum(F.ceil(F.col("bytes") / split))).first()[0] or 1
