@@ -8,8 +8,8 @@ whole blocks, file after file, so that few files are touched; then single
 blocks are exchanged until the sizes are near equal.  Only files that hold a
 moved block are rewritten, the others stay in place.
 
-The driver sees one row per block: old shards x BLOCKS of them, whatever the
-table's size."""
+Files and blocks follow the table's bytes.  The driver sees one row per block,
+of ``FILE`` / ``SPLIT`` bytes or less each on average."""
 
 from __future__ import annotations
 
@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from streamkit.llm.registry import fresh_dir, query, saved, table
 
 OLD, NEW = 32, 40
-FILES, BLOCKS = 8, 512  # of a shard
+FILES, FILE = 8, 32 << 20  # files of a shard at least, and text bytes of a file
+BLOCKS, SPLIT = 512, 8  # blocks of a shard at least, and of a file
 
 
 def min_cost_flow(supply: list[int], demand: list[int], cost: list[list[int]]) -> list[list[int]]:
@@ -58,9 +59,10 @@ def min_cost_flow(supply: list[int], demand: list[int], cost: list[list[int]]) -
     return flow
 
 
-def plan(blocks: list[tuple[int, int, int]], old: int, new: int, cost: list[list[int]] | None = None) -> dict[tuple[int, int], int]:
+def plan(blocks: list[tuple[int, int, int]], old: int, new: int, cost: list[list[int]] | None = None, per_file: int = BLOCKS // FILES) -> dict[tuple[int, int], int]:
     """(old shard, block) -> new shard, from (old shard, block, bytes); the sizes
-    of the new shards come out near equal and few bytes move."""
+    of the new shards come out near equal and few bytes move.  ``per_file``
+    neighbouring blocks lie in a file."""
     total = sum(x[2] for x in blocks)
     goal = [total * (j + 1) // new - total * j // new for j in range(new)]
     have = [0] * old
@@ -71,9 +73,12 @@ def plan(blocks: list[tuple[int, int, int]], old: int, new: int, cost: list[list
     to: dict[tuple[int, int], int] = {}
     sizes = {(s, b): n for s, b, n in blocks}
     fill = [0] * new
+    of: list[list[tuple[int, int]]] = [[] for _ in range(old)]
+    for s, b, n in blocks:
+        of[s].append((b, n))
     for s in range(old):
         need = {j: x for j, x in enumerate(flow[s]) if x and j != s}
-        mine = sorted(((b * FILES // BLOCKS, n, b) for t, b, n in blocks if t == s), reverse=True)
+        mine = sorted(((b // per_file, n, b) for b, n in of[s]), reverse=True)
         for _, n, b in mine:
             j = max(need, key=need.get, default=None)
             home = s < new and flow[s][s] > 0
@@ -86,14 +91,18 @@ def plan(blocks: list[tuple[int, int, int]], old: int, new: int, cost: list[list
     held: list[list[tuple[int, tuple[int, int]]]] = [[] for _ in range(new)]
     for key, j in to.items():
         bisect.insort(held[j], (sizes[key], key))
-    for _ in range(20 * new):  # each step lets the sum of squared sizes fall
-        high, low = max(range(new), key=fill.__getitem__), min(range(new), key=fill.__getitem__)
-        gap = fill[high] - fill[low]
-        best = min(((abs(gap - 2 * (x[0] - y[0])), x, y) for x in held[high] for y in _around(held[low], x[0] - gap // 2) if 0 < x[0] - y[0] < gap),
-                   default=None)
-        if best is None or best[0] >= gap or gap <= 1:
+    while True:  # each step lets the sum of squared sizes fall, so they end
+        step = None
+        for high, low in ((i, j) for i in sorted(range(new), key=fill.__getitem__, reverse=True) for j in sorted(range(new), key=fill.__getitem__)):
+            gap = fill[high] - fill[low]
+            if gap > 1:
+                step = min(((abs(gap - 2 * (x[0] - y[0])), x, y) for x in held[high] for y in _around(held[low], x[0] - gap // 2) if 0 < x[0] - y[0] < gap),
+                           default=None, key=lambda t: t[0])
+            if step is not None:
+                break
+        if step is None:
             break
-        for x, a, b in ((best[1], high, low), (best[2], low, high)):
+        for x, a, b in ((step[1], high, low), (step[2], low, high)):
             if x[1] is not None:
                 held[a].remove(x)
                 bisect.insort(held[b], x)
@@ -125,24 +134,27 @@ def reshard(docs: DataFrame, *, old: int = OLD, new: int = NEW, id_col: str = "d
     key = F.when(F.col(id_col).isNull(), F.xxhash64(text)).otherwise(key)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + 16).cast("long").alias("size"),
                        F.crc32(text.cast("binary")).alias("text_crc32"), key.alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    block = F.pmod(F.shiftright("key", 20), F.lit(BLOCKS))
+    total = rows.agg(F.sum("size")).first()[0] or 0
+    files = max(FILES, -(-total // (old * FILE)))
+    per_file = max(SPLIT, -(-BLOCKS // files))
+    block = F.pmod(F.shiftright("key", 20), F.lit(files * per_file))
     rows = rows.withColumn("home", F.pmod("key", F.lit(old)).cast("int")).withColumn("block", block.cast("int")).drop("key") \
-        .withColumn("file", (F.col("home") * FILES + F.floor(F.col("block") * FILES / BLOCKS)).cast("int"))
+        .withColumn("file", (F.col("home") * files + F.floor(F.col("block") / per_file)).cast("int"))
     path = fresh_dir(spark, "shards-old")
-    rows.repartition("file").write.partitionBy("file").parquet(path)
+    rows.repartition(old * files, "file").write.partitionBy("file").parquet(path)
     layout = spark.read.schema(rows.select(*[c for c in rows.columns if c != "file"], "file").schema).parquet(path)
 
-    sums = layout.groupBy("home", "block").agg(F.sum("size").alias("n"), F.count("*").alias("rows")).collect()  # old * BLOCKS rows at most
-    to = plan([(r["home"], r["block"], r["n"]) for r in sums], old, new)
+    sums = layout.groupBy("home", "block").agg(F.sum("size").alias("n"), F.count("*").alias("rows")).collect()  # a row per block
+    to = plan([(r["home"], r["block"], r["n"]) for r in sums], old, new, per_file=per_file)
     base, at = {}, [0] * new
     for r in sorted(sums, key=lambda r: (r["home"], r["block"])):
         j = to[r["home"], r["block"]]
         base[r["home"], r["block"]], at[j] = at[j], at[j] + r["rows"]
     moves = spark.createDataFrame([(s, b, j, base[s, b]) for (s, b), j in to.items()], "home int, block int, shard int, base long")
-    touched = sorted({s * FILES + b * FILES // BLOCKS for (s, b), j in to.items() if j != s})
+    touched = sorted({s * files + b // per_file for (s, b), j in to.items() if j != s})
     changed = F.col("file").isin(touched) if touched else F.lit(False)
     fresh = fresh_dir(spark, "shards-new")
-    layout.where(changed).join(F.broadcast(moves.drop("base")), ["home", "block"]).repartition("shard", "file") \
+    layout.where(changed).join(F.broadcast(moves.drop("base")), ["home", "block"]).repartition(max(1, 2 * len(touched)), "shard", "file") \
         .write.partitionBy("shard").parquet(fresh)
     again = spark.read.schema(layout.withColumn("shard", F.lit(0)).schema).parquet(fresh).drop("shard") if touched else layout.where(F.lit(False))
     now = layout.where(~changed).unionByName(again).join(F.broadcast(moves), ["home", "block"])
