@@ -5,11 +5,17 @@ one of its rule's keywords, so a document without them skips the rule, and it
 skips all rules if it holds no keyword of any.  Patterns run over the
 lower-cased words joined by one space.  Of the places found, one is dropped if
 it lies inside another of a rule with higher or equal priority (of equal
-intervals the first by priority, then rule order, stays)."""
+intervals the first by priority, then rule order, stays).
+
+A text with keywords is scanned in chunks of words that overlap by more than
+any match is long; a place belongs to the chunk in which it starts.  So the cost
+of a text grows with its length, not with the square of its matches.  No match
+of a rule crosses another of it, so it does not matter where a chunk begins."""
 
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -17,6 +23,7 @@ from streamkit.llm.quality_rules import let
 from streamkit.llm.registry import query, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+CHUNK = 512  # words whose matches are looked for together
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Phrases whose places are the base detections, and their labels
@@ -135,6 +142,26 @@ def stems() -> list[str]:
     return [w for w in words if not any(o != w and o in w for o in words)]
 
 
+def longest() -> int:
+    """The most words that a match of any rule has."""
+    def words(parsed) -> int:  # spaces in the longest match
+        n = 0
+        for op, arg in parsed:
+            kind = str(op)
+            if kind == "LITERAL":
+                n += arg == 32
+            elif kind == "BRANCH":
+                n += max(words(x) for x in arg[1])
+            elif kind == "MAX_REPEAT":
+                n += arg[1] * words(arg[2])
+            elif kind == "SUBPATTERN":
+                n += words(arg[-1])
+            elif kind != "IN":
+                raise ValueError(f"rules have no {kind}")
+        return n
+    return 1 + max(words(re._parser.parse(r["pattern"])) for r in rules())
+
+
 def _plain(pattern: str) -> str:
     """The words that every match of ``pattern`` holds: its text outside groups."""
     depth, text = 0, ""
@@ -190,6 +217,7 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
 
     A null text is empty.  Null and repeated ids are passed through, other
     columns ignored; an empty table gives an empty one.  There is no shuffle."""
+    margin = longest()
     listed = F.from_json(F.lit(json.dumps(rules())), RULE_TYPE)
     low = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, LOWER)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.btrim(F.regexp_replace(low, GAP, " "), F.lit(" ")).alias("text"))
@@ -199,7 +227,18 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     for stem in stems():
         hit = hit.when(F.contains("text", F.lit(stem)), F.lit(True))
     none = F.from_json(F.lit("[]"), f"array<{_FOUND}>")
-    norm = F.concat(F.lit(" "), F.col("text"), F.lit(" "))
+
+    def in_chunk(words: Column, c: Column) -> Column:
+        """What is kept of the places that start in the c-th chunk."""
+        begin = F.greatest(c * CHUNK - margin, F.lit(0))
+
+        def kept(norm: Column) -> Column:
+            core = F.filter(let(_detected(norm, listed), _kept), lambda x: (x["a"] + begin >= c * CHUNK) & (x["a"] + begin < (c + 1) * CHUNK))
+            return F.transform(core, lambda x: x.withField("a", x["a"] + begin).withField("b", x["b"] + begin))
+        return let(F.concat(F.lit(" "), F.array_join(F.slice(words, begin + 1, (c + 1) * CHUNK + margin - begin), " "), F.lit(" ")), kept)
+
+    def in_chunks(words: Column) -> Column:
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.floor((F.size(words) - 1) / CHUNK).cast("int")), lambda c: in_chunk(words, c)))
 
     def base_places(words: Column) -> Column:
         def at(phrase: str, label: str) -> Column:
@@ -211,7 +250,7 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
 
     places = F.when(F.contains("text", F.lit("license")), let(F.split("text", " "), base_places)) \
         .otherwise(F.from_json(F.lit("[]"), "array<struct<at:int,label:string>>"))
-    found = F.when(hit.otherwise(F.lit(False)), let(norm, lambda t: let(_detected(t, listed), _kept))).otherwise(none)
+    found = F.when(hit.otherwise(F.lit(False)), let(F.split("text", " "), in_chunks)).otherwise(none)
     rows = rows.select("doc_id", "n_words", places.alias("base"), found.alias("detections"))
     base_labels = F.array_sort(F.array_distinct(F.transform("base", lambda x: x["label"])))
     labels = F.array_sort(F.array_distinct(F.concat(F.transform("base", lambda x: x["label"]), F.transform("detections", lambda x: x["label"]))))
