@@ -26,7 +26,7 @@ from streamkit.llm.registry import fresh_dir, query, table
 from streamkit.llm.tokens import Pieces, byte_letters
 
 ROW_GROUP, PAGE, PAGE_ROWS = 16 << 20, 256 << 10, 4096  # bytes, bytes, rows
-FILE = 64 << 20  # text bytes of a file
+FILE = 32 << 20  # text bytes of a file
 SLAB = 1 << 20  # characters tokenized together
 _STORED = "part int, doc_id long, start long, n_tokens long, ids array<int>"
 
@@ -43,7 +43,7 @@ class Words(Pieces):
     special token's string or characters on whose class engines disagree, go
     through the library."""
 
-    WORDS, PASSING = 400_000, 100_000  # words kept for good: the first seen, so the frequent ones; and others that come and go
+    WORDS, PASSING = 300_000, 60_000  # words kept for good: the first seen, so the frequent ones; and others that come and go
     MARK = "\x01"
     ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
     LATIN = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")  # letters, then punctuation but the apostrophe
