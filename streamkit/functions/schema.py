@@ -189,6 +189,31 @@ def evolve_json(df: DataFrame, text_col: str, known: T.StructType | str, *,
         .select(*[F.col(f"`{c}`") for c in df.columns], "_parsed.*", rest_col)
 
 
+def evolve_variant(df: DataFrame, text_col: str, known: T.StructType | str, *,
+                   rest_col: str = "_rest") -> DataFrame:
+    """Parse JSON text once, to a variant: the known fields come out typed, all
+    other top-level fields stay in the variant ``rest_col``, nested ones whole.
+
+    Text that is no JSON object, and NULL, gives NULLs and a NULL rest; a known
+    field of another type is NULL; a document of known fields alone has the rest
+    ``{}``.  Widen the schema by what ``variant_drift`` shows and read again."""
+    schema = resolve_schema(known)
+    names = F.array(*[F.lit(f.name) for f in schema.fields])
+    parsed = df.select("*", F.try_parse_json(F.col(f"`{text_col}`")).alias("_variant"))
+    fields = F.try_variant_get(F.col("_variant"), "$", "map<string, variant>")
+    rest = F.to_variant_object(F.map_filter(fields, lambda k, v: ~F.array_contains(names, k)))
+    quoted = lambda name: "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
+    return parsed.select(*[F.col(f"`{c}`") for c in df.columns],
+                         *[F.try_variant_get(F.col("_variant"), quoted(f.name), f.dataType.simpleString()).alias(f.name) for f in schema.fields],
+                         rest.alias(rest_col))
+
+
+def variant_drift(df: DataFrame, rest_col: str = "_rest") -> str | None:
+    """The schema that holds every rest seen, as SQL text (one aggregate with
+    map-side steps; the driver gets the text).  None if there is none."""
+    return df.agg(F.schema_of_variant_agg(rest_col).alias("s")).first()["s"]
+
+
 def unknown_fields(df: DataFrame, rest_col: str = "_rest") -> DataFrame:
     """Distinct unknown field names seen in ``rest_col`` with their row counts."""
     return (df.select(F.explode(F.map_keys(rest_col)).alias("field"))

@@ -5,4 +5,4 @@ ANSI SQL that computes the same result on DuckDB (when one exists).
 """
 
 from streamkit.plans.registry import ORACLE, QUERIES  # noqa: F401
-from streamkit.plans import event_time, generated, ingest, joins, maintenance  # noqa: F401,E402
+from streamkit.plans import checks, event_time, generated, ingest, joins, maintenance  # noqa: F401,E402

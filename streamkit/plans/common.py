@@ -31,7 +31,7 @@ def events_stream(spark: SparkSession, sf_dir: str, *, batches: int | None = Non
                   flush_types: list[str] | None = None) -> DataFrame:
     """``events`` replayed as a topic folder and read back as a decoded
     stream: one micro-batch, or ``batches`` micro-batches of equal file
-    counts.  Files are sized from the table's bytes, not fixed in number."""
+    counts, in order of event time.  Files are sized from the table's bytes, not fixed in number."""
     env = events_messages(spark, sf_dir)
     base = env
     for _ in range(copies - 1):
@@ -58,13 +58,23 @@ def state_partitions(spark: SparkSession, sf_dir: str, table_name: str = "events
     return max(1, -(-size // STATE_BYTES))
 
 
-def run_parquet(df: DataFrame, name: str, *, partitions: int | None = None) -> DataFrame:
+# micro-batches that a stateful query's input is replayed in
+STATEFUL_BATCHES = 4
+
+
+def run_parquet(df: DataFrame, name: str, *, partitions: int | None = None, merge_sessions: bool = False) -> DataFrame:
     """Run a stream to completion into a parquet folder and read it back;
-    ``partitions`` sets the state partitions of a stateful query."""
+    ``partitions`` sets the state partitions of a stateful query, whose state
+    is then kept in RocksDB."""
     spark = df.sparkSession
     out = work_path(spark, name)
-    drain(start(df, SinkSpec("parquet", path=out, trigger=Trigger.available_now(),
-                             state_partitions=partitions)))
+    query = drain(start(df, SinkSpec("parquet", path=out, trigger=Trigger.available_now(),
+                                     state_partitions=partitions, state_store="rocksdb" if partitions else None,
+                                     merge_sessions=merge_sessions)))
+    if partitions:
+        ran = sum(int(p["numInputRows"]) > 0 for p in query.recentProgress)
+        if ran < min(STATEFUL_BATCHES, sum(int(p["numInputRows"]) for p in query.recentProgress)):
+            raise RuntimeError(f"{name} ran in {ran} micro-batches of data")
     return spark.read.parquet(out)
 
 
@@ -160,11 +170,8 @@ def typed_batches(spark: SparkSession, sf_dir: str, name: str) -> str:
     """``events`` written as one table batch per event type (types in sorted order)."""
     path = work_path(spark, name)
     ev = table(spark, sf_dir, "events")
-    order = F.array(*[F.lit(t) for t in EVENT_TYPES_SORTED])
+    types = [r[0] for r in ev.select("event_type").distinct().collect()]   # a handful of types
+    order = F.array(*[F.lit(t) for t in sorted(t for t in types if t is not None)])
     tables.write_batches(ev.withColumn("_batch", F.array_position(order, F.col("event_type")) - 1),
                          path, "loader", "_batch")
     return path
-
-
-# The event types of the driver's ``events`` table, sorted.
-EVENT_TYPES_SORTED = ["click", "error", "purchase", "signup", "view"]

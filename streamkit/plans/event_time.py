@@ -3,22 +3,20 @@ watermarks, late rows, de-duplication, streaming aggregation."""
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from streamkit.operators import tables
 from streamkit.operators.dedupe import dedupe
 from streamkit.operators.windows import late_by_sequence, session_agg, sessions, window_agg
 from streamkit.plans.common import (EVENT_COLS, EVENTS_SQL, TUMBLING_SQL, decoded_events, events_stream,
-    run_parquet, state_partitions)
+    run_parquet, state_partitions, STATEFUL_BATCHES)
 from streamkit.plans.registry import query
-from streamkit.plans.topics import FLUSH_TS, FLUSH_USER, events_messages, table
-from streamkit.session import FS, work_path
+from streamkit.plans.topics import FLUSH_TS, FLUSH_USER, events_messages, flush_messages, table, write_arrivals
+from streamkit.session import work_path
 from streamkit.sources.topic import ENVELOPE_SCHEMA
 from streamkit.streaming.routes import late_router
-from streamkit.streaming.run import drain
-from streamkit.streaming.sinks import SinkSpec, Trigger, start
+from streamkit.streaming.run import drain, progress
+from streamkit.streaming.sinks import SinkSpec, start
 
 
 @query("tumbling_15m", TUMBLING_SQL)
@@ -32,7 +30,7 @@ def tumbling_15m(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("tumbling_15m_stream", TUMBLING_SQL)
 def tumbling_15m_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """15-minute windows, 2-minute watermark, append mode to parquet."""
-    st = events_stream(spark, sf_dir, flush_types=[None])
+    st = events_stream(spark, sf_dir, batches=STATEFUL_BATCHES, flush_types=[None])
     agg = window_agg(st, "ts", "15 minutes", [F.max("value").alias("max_value"),
                                               F.count(F.lit(1)).alias("events")], delay="2 minutes")
     out = run_parquet(agg, "tumbling", partitions=state_partitions(spark, sf_dir))
@@ -60,7 +58,7 @@ def sliding_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sliding_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W5 streaming: 15-minute windows sliding every 5 minutes, 2-minute
     watermark, append mode (an end-of-input marker closes the last windows)."""
-    st = events_stream(spark, sf_dir, flush_types=[None])
+    st = events_stream(spark, sf_dir, batches=STATEFUL_BATCHES, flush_types=[None])
     agg = window_agg(st, "ts", "15 minutes", [F.max("value").alias("max_value"),
                                               F.count(F.lit(1)).alias("events")],
                      slide="5 minutes", delay="2 minutes")
@@ -107,11 +105,11 @@ def session_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("session_window_stream", SESSION_SQL)
 def session_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W5 streaming: ``session_window`` per user with a 2-minute watermark."""
-    st = events_stream(spark, sf_dir, flush_types=[None])
+    st = events_stream(spark, sf_dir, batches=STATEFUL_BATCHES, flush_types=[None])
     agg = session_agg(st, "ts", "30 minutes", [F.count(F.lit(1)).alias("events"),
                                                F.max("value").alias("max_value")],
                       keys=["user_id"], delay="2 minutes")
-    out = run_parquet(agg, "sessions", partitions=state_partitions(spark, sf_dir))
+    out = run_parquet(agg, "sessions", partitions=state_partitions(spark, sf_dir), merge_sessions=True)
     return out.where(F.col("user_id") != FLUSH_USER).select("user_id", "window_start", "window_end",
                                                           "events", "max_value")
 
@@ -119,7 +117,7 @@ def session_window_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("dedupe_events", EVENTS_SQL)
 def dedupe_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event delivered twice; streaming de-duplication within a 10-minute watermark."""
-    st = events_stream(spark, sf_dir, copies=2)
+    st = events_stream(spark, sf_dir, batches=STATEFUL_BATCHES, copies=2)
     return run_parquet(dedupe(st, ["event_id"], time_col="ts", delay="10 minutes"), "dedupe",
                        partitions=state_partitions(spark, sf_dir)) \
         .select(*EVENT_COLS)
@@ -152,9 +150,9 @@ def stream_group_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = events_stream(spark, sf_dir, batches=4)
     agg = st.groupBy("event_type").agg(*_group_aggs())
     path = work_path(spark, "group-agg")
-    drain(start(agg, SinkSpec("table_append", path=path, mode="update",
+    drain(start(agg, SinkSpec("table_append", path=path, mode="update", state_store="rocksdb", commit_col="committed_at",
                               state_partitions=state_partitions(spark, sf_dir))))
-    return tables.latest_by_key(tables.read(spark, path), ["event_type"]) \
+    return tables.latest_by_key(tables.read(spark, path), ["event_type"], ["committed_at", tables.BATCH_COL]) \
         .select("event_type", "events", "total_value", "last_ts")
 
 
@@ -165,7 +163,7 @@ def stream_group_agg_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = events_stream(spark, sf_dir, batches=4)
     agg = st.groupBy("event_type").agg(*_group_aggs())
     path = work_path(spark, "group-agg-complete")
-    drain(start(agg, SinkSpec("table_append", path=path, mode="complete",
+    drain(start(agg, SinkSpec("table_append", path=path, mode="complete", state_store="rocksdb",
                               state_partitions=state_partitions(spark, sf_dir))))
     t = tables.read(spark, path)
     last = t.agg(F.max(tables.BATCH_COL)).first()[0]
@@ -217,46 +215,72 @@ def late_rows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W4 as a stream: the topic is replayed in arrival order, one micro-batch
     per 3-day arrival group, partition 3 one group behind the others.  The
     late-row router sends rows older than the watermark (2 minutes behind
-    the max event time of earlier micro-batches) to a side table.  Each
-    group's files are published to the topic folder just before its
-    trigger, as a producer would append them."""
-    env = events_messages(spark, sf_dir)
-    lag = F.when(F.col("partition") == 3, F.lit(LAGGING_PARTITION_US)).otherwise(F.lit(0))
-    arrival = F.expr(f"(unix_micros(timestamp) + _lag) div {ARRIVAL_GROUP_US}")
-    staged = env.withColumn("_lag", lag).withColumn("arrival_group", arrival).drop("_lag")
-    staging, topic = work_path(spark, "late-staging"), work_path(spark, "late-topic")
-    staged.write.partitionBy("arrival_group").parquet(staging)
-    groups = sorted(r[0] for r in staged.select("arrival_group").distinct().collect())   # one per 3 days
-    fs = FS(spark, topic)
-    fs.mkdirs(topic)
-    main, late, state, ck = (work_path(spark, n) for n in ("late-main", "late-side", "late-state", "late-ck"))
-    router = late_router(main, late, state, time_col="ts", delay_seconds=120)
-    schema = T.StructType(ENVELOPE_SCHEMA.fields + [T.StructField("arrival_group", T.LongType())])
-    done: list[int] = []
-
-    def route(batch: DataFrame, epoch_id: int) -> None:
-        router(batch, epoch_id)
-        done.append(epoch_id)
-
-    st = spark.readStream.schema(schema).parquet(topic)
-    q = start(decoded_events(st), SinkSpec("foreach_batch", fn=route, checkpoint=ck,
-                                           trigger=Trigger.every(0.2)))
-    try:
-        for i, g in enumerate(groups):   # one running query; each group is one micro-batch
-            # folder rename publishes a whole group at once (atomic on HDFS and
-            # local file systems; on object stores a topic belongs in Kafka)
-            fs.rename(f"{staging}/arrival_group={g}", f"{topic}/arrival_group={g}")
-            while len(done) <= i:        # publish the next group only after this one ran
-                q.processAllAvailable()
-                if len(done) <= i:
-                    time.sleep(0.05)
-    finally:
-        drain(q)
+    the max event time of earlier micro-batches) to a side table."""
+    main, late, state = (work_path(spark, n) for n in ("late-main", "late-side", "late-state"))
+    drain(start(decoded_events(arrivals_stream(spark, events_messages(spark, sf_dir))),
+                SinkSpec("foreach_batch", fn=late_router(main, late, state, time_col="ts", delay_seconds=120))))
     on_time = tables.read(spark, main).select("event_id", F.lit(False).alias("is_late"))
     aside = tables.read(spark, late).select("event_id", F.lit(True).alias("is_late"))
     return on_time.unionByName(aside)
 
 
+def arrivals_stream(spark: SparkSession, env: DataFrame) -> DataFrame:
+    """The topic as a stream in which partition 3 lags: each 3-day arrival group
+    is one file, and one micro-batch."""
+    lag = F.when(F.col("partition") == 3, F.lit(LAGGING_PARTITION_US)).otherwise(F.lit(0))
+    staged = env.withColumn("_lag", lag).withColumn(
+        "arrival_group", F.expr(f"(unix_micros(timestamp) + _lag) div {ARRIVAL_GROUP_US}")).drop("_lag")
+    path = write_arrivals(spark, staged, "arrivals", "arrival_group")
+    schema = T.StructType(ENVELOPE_SCHEMA.fields + [T.StructField("arrival_group", T.LongType())])
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+# A row is dropped if its window had ended at the watermark in force one micro-batch
+# before: Spark judges late rows by the watermark that the previous batch evicted by.
+DROPS_CTE = f"""
+a AS (SELECT event_id, ts, value, epoch_ms(ts) AS t, time_bucket(INTERVAL 15 MINUTE, ts) AS ws,
+             (epoch_us(ts) + CASE WHEN user_id % 4 = 3 THEN {LAGGING_PARTITION_US} ELSE 0 END) // {ARRIVAL_GROUP_US} AS g FROM events),
+b AS (SELECT g, max(t) AS m FROM a GROUP BY g),
+c AS (SELECT g, max(m) OVER (ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - 120000 AS wm FROM b),
+d AS (SELECT a.*, coalesce(epoch_ms(ws + INTERVAL 15 MINUTE) <= wm, false) AS dropped FROM a JOIN c ON c.g = a.g)
+"""
+
+
+@query("watermark_drops_stream", f"""
+WITH {DROPS_CTE}
+SELECT ws AS window_start, ws + INTERVAL 15 MINUTE AS window_end, max(value) AS max_value, count(*) AS events
+FROM d WHERE NOT dropped GROUP BY ws
+""")
+def watermark_drops_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """15-minute windows over a topic that arrives out of order; the
+    watermark (2 minutes) moves with every micro-batch, and rows of windows that
+    it has closed are dropped from the result."""
+    return _windows_with_drops(spark, sf_dir, "drops")[0]
+
+
+@query("watermark_drop_counts", f"""
+WITH {DROPS_CTE}
+SELECT count(*) AS arrived, count(*) FILTER (WHERE dropped) AS dropped FROM d
+""")
+def watermark_drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows the watermark dropped, from the stream's own result:
+    rows that arrived (its progress) less rows in the windows it gave out."""
+    windows, seen = _windows_with_drops(spark, sf_dir, "drop-counts")
+    arrived = seen.agg(F.sum("input_rows")).first()[0] - 1   # less the end-of-input marker
+    return windows.agg((F.lit(arrived) - F.coalesce(F.sum("events"), F.lit(0))).alias("dropped")) \
+        .select(F.lit(arrived).cast("bigint").alias("arrived"), F.col("dropped").cast("bigint").alias("dropped"))
+
+
+def _windows_with_drops(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """(windows, progress) of the out-of-order topic."""
+    env = events_messages(spark, sf_dir).unionByName(flush_messages(spark))
+    agg = window_agg(decoded_events(arrivals_stream(spark, env)), "ts", "15 minutes",
+                     [F.max("value").alias("max_value"), F.count(F.lit(1)).alias("events")], delay="2 minutes")
+    out = work_path(spark, name)
+    q = drain(start(agg, SinkSpec("parquet", path=out, state_store="rocksdb", state_partitions=state_partitions(spark, sf_dir))))
+    return spark.read.parquet(out).where(F.col("window_end") <= F.to_timestamp_ntz(F.lit(FLUSH_TS))), progress(spark, q)
+
+
 @query("decoded_tumbling", TUMBLING_SQL)
 def decoded_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ingest chain in one plan: rows -> JSON messages -> decode -> typed

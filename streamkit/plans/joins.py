@@ -7,12 +7,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streamkit.functions import decode
 from streamkit.operators.joins import enrich, join_interval, join_windowed
-from streamkit.plans.common import TS0_SQL, events_stream, hsql, run_parquet, state_partitions, trip_sql
+from streamkit.plans.common import TS0_SQL, events_stream, hsql, run_parquet, state_partitions, STATEFUL_BATCHES, trip_sql
 from streamkit.plans.registry import query
-from streamkit.plans.topics import FLUSH_TS, table
+from streamkit.operators import tables
+from streamkit.plans.topics import FLUSH_TS, table, write_arrivals
 from streamkit.session import work_path
 from streamkit.sources import generators as gen
 from streamkit.sources.files import stream_file
+from streamkit.streaming.routes import enrich_router
+from streamkit.streaming.run import drain
+from streamkit.streaming.sinks import SinkSpec, start
 
 
 WINDOW_JOIN_SQL = """
@@ -28,7 +32,7 @@ FROM c JOIN v ON c.window_start = v.window_start
 @query("window_join_5m", WINDOW_JOIN_SQL)
 def window_join_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two 5-minute window aggregates of one stream, joined (stream-stream)."""
-    st = events_stream(spark, sf_dir, flush_types=["click", "view"])
+    st = events_stream(spark, sf_dir, batches=STATEFUL_BATCHES, flush_types=["click", "view"])
     joined = join_windowed(st.where(F.col("event_type") == "click"), st.where(F.col("event_type") == "view"),
                            left_time="ts", right_time="ts", size="5 minutes",
                            left_aggs=[F.count(F.lit(1)).alias("clicks")],
@@ -78,7 +82,7 @@ def interval_join_left(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("interval_join_stream", INTERVAL_SQL.format(how=""))
 def interval_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J3 as a stream-stream join with 2-minute watermarks on both sides."""
-    st = events_stream(spark, sf_dir).select("event_id", "ts", "user_id", "event_type")
+    st = events_stream(spark, sf_dir, batches=STATEFUL_BATCHES).select("event_id", "ts", "user_id", "event_type")
     j = join_interval(st.where(F.col("event_type") == "signup"), st.where(F.col("event_type") == "purchase"),
                       keys=["user_id"], left_time="ts", right_time="ts",
                       lower_seconds=0, upper_seconds=12 * 3600, delay="2 minutes")
@@ -91,7 +95,7 @@ def interval_join_left_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J3 left outer as a stream: a signup without a purchase within 12 hours
     is emitted with NULLs once the watermark passes its interval (end-of-input
     markers close the last intervals)."""
-    st = events_stream(spark, sf_dir, flush_types=["signup", "purchase"]) \
+    st = events_stream(spark, sf_dir, batches=STATEFUL_BATCHES, flush_types=["signup", "purchase"]) \
         .select("event_id", "ts", "user_id", "event_type")
     j = join_interval(st.where(F.col("event_type") == "signup"), st.where(F.col("event_type") == "purchase"),
                       keys=["user_id"], left_time="ts", right_time="ts",
@@ -131,6 +135,32 @@ def enrich_orders_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
                      table(spark, sf_dir, "nation"))
 
 
+@query("enrich_changing_customer", """
+SELECT o.o_orderkey, o.o_custkey, c.c_name,
+       CASE WHEN o.o_orderkey % 4 >= 2 AND c.c_custkey % 10 = 0 THEN 'CHANGED' ELSE c.c_mktsegment END AS c_mktsegment
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+""")
+def enrich_changing_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 with a dimension that changes while the stream runs: orders arrive in
+    four micro-batches; before the third, a tenth of the customers get another
+    segment (a new version in the customer table), which orders from there on see."""
+    customers, out = work_path(spark, "customers"), work_path(spark, "orders-enriched")
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    tables.write_batch(cust, customers, "crm", 0)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.pmod("o_orderkey", F.lit(4)).alias("arrival"))
+    topic = write_arrivals(spark, orders, "orders-arrivals", "arrival")
+    st = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(topic)
+    route = enrich_router(lambda: tables.latest_by_key(tables.read(spark, customers), ["c_custkey"]), {"o_custkey": "c_custkey"}, out)
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        if epoch_id == 2:   # a customer system writes meanwhile
+            tables.write_batch(cust.where("c_custkey % 10 = 0").withColumn("c_mktsegment", F.lit("CHANGED")), customers, "crm", 1)
+        route(batch, epoch_id)
+
+    drain(start(st, SinkSpec("foreach_batch", fn=run)))
+    return tables.read(spark, out).select("o_orderkey", "o_custkey", "c_name", "c_mktsegment")
+
+
 DROPS_SQL = f"""
 WITH t AS ({trip_sql()}),
 d AS (SELECT time_bucket(INTERVAL 5 MINUTE, strptime(dropoff_datetime, '%Y-%m-%d %H:%M:%S')) AS window_start,
@@ -177,6 +207,5 @@ def drops_vs_temperature_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("record_datetime", F.to_timestamp_ntz(F.lit(FLUSH_TS))).write.parquet(f"{marks}/temps")
     trips = trips.unionByName(spark.readStream.schema(trips.schema).parquet(f"{marks}/trips"))
     temps = temps.unionByName(spark.readStream.schema(temps.schema).parquet(f"{marks}/temps"))
-    out = run_parquet(_drops_vs_temperature(trips, temps, "2 minutes"), "drops-temperature",
-                      partitions=state_partitions(spark, sf_dir))
+    out = run_parquet(_drops_vs_temperature(trips, temps, "2 minutes"), "drops-temperature")
     return out.where(F.col("window_start") < F.to_timestamp_ntz(F.lit(FLUSH_TS)))

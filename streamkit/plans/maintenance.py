@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from streamkit.functions import decode
 from streamkit.functions.encode import messages
 from streamkit.operators import tables
+from streamkit.operators.files import list_tree
 from streamkit.plans.common import (CUTOFF, EVENT_COLS, EVENTS_SQL, TRIP_OVERRIDES, appended_table,
     cutoff, events_stream, many_sql, run_parquet, trip_sql, typed_batches)
 from streamkit.plans.registry import query
@@ -121,12 +122,57 @@ def delete_where(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read(spark, path).select(*EVENT_COLS)
 
 
-@query("compact", EVENTS_SQL)
+@query("compact", f"SELECT *, true AS files_are_small FROM ({EVENTS_SQL})")
 def compact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M9: small-file compaction; the row set is unchanged."""
+    """M9: files are rewritten to at most 100 rows each (they had all rows of a
+    micro-batch); the row set is unchanged."""
     path = appended_table(spark, sf_dir, "compact", batches=8)
-    tables.compact(spark, path, rows_per_file=2000)
-    return tables.read(spark, path).select(*EVENT_COLS)
+    tables.compact(spark, path, rows_per_file=100)
+    t = tables.read(spark, path)
+    largest = t.groupBy(F.col("_metadata.file_path").alias("f")).count().agg(F.max("count")).first()[0]
+    return t.select(*EVENT_COLS, F.lit(largest <= 100).alias("files_are_small"))
+
+
+@query("fold_batches", """
+WITH e AS (SELECT *, datediff('day', TIMESTAMP '2024-01-01', ts) AS day FROM events)
+SELECT event_id, ts, user_id, event_type, value, props, CAST(CASE WHEN day <= 19 THEN -20 ELSE day END AS BIGINT) AS batch_id,
+       (SELECT count(DISTINCT day) FROM e WHERE day <= 19) AS files_before,
+       (SELECT CAST(ceil(count(*) / 200.0) AS BIGINT) FROM e WHERE day <= 19) AS files_after
+FROM e
+""")
+def fold_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9 across micro-batches: a batch a day, folded through day 19 into files of
+    200 rows.  A folded day that comes again, appended and merged, adds nothing;
+    the folded files are vacuumed."""
+    path = work_path(spark, "fold")
+    ev = table(spark, sf_dir, "events").withColumn("day", F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")))
+    tables.write_batches(ev.repartition("day"), path, "loader", "day")
+    done = tables.fold(spark, path, "loader", upto=19, rows_per_file=200)
+    again = ev.where("day = 3").drop("day")
+    tables.write_batch(again, path, "loader", 3)
+    tables.merge_insert(again.withColumn("event_id", -1 - F.col("event_id")), path, ["event_id"], stream_id="loader", batch_id=3)
+    tables.write_batches(ev.where("day = 3"), path, "loader", "day")
+    tables.vacuum(spark, path, retention_hours=0)
+    return tables.read(spark, path).select(*EVENT_COLS, tables.BATCH_COL, F.lit(done.files_before).cast("bigint").alias("files_before"),
+                                           F.lit(done.files_after).cast("bigint").alias("files_after"))
+
+
+@query("vacuum_folded", """
+SELECT count(*) FILTER (WHERE day <= 19) AS folded_rows, count(DISTINCT day) FILTER (WHERE day <= 19) AS removed_folders,
+       count(DISTINCT day) FILTER (WHERE day > 19) + 1 AS kept_folders
+FROM (SELECT datediff('day', TIMESTAMP '2024-01-01', ts) AS day FROM events)
+""")
+def vacuum_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: what a fold left behind is found by listing and anti-join and removed
+    in tasks; the batches that count stay."""
+    path = work_path(spark, "vacuum")
+    ev = table(spark, sf_dir, "events").withColumn("day", F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")))
+    tables.write_batches(ev.repartition("day"), path, "loader", "day")
+    tables.fold(spark, path, "loader", upto=19, rows_per_file=200)
+    removed = tables.vacuum(spark, path, retention_hours=0).where(F.col("path").rlike(r"/batch_id=\d+$")).count()
+    left = list_tree(spark, path).where(F.col("is_dir") & F.col("relative").rlike(r"/batch_id=-?\d+$")).count()
+    folded = tables.read(spark, path).where(F.col(tables.BATCH_COL) == tables.folded_id(19))
+    return folded.agg(F.count(F.lit(1)).alias("folded_rows"), F.lit(removed).cast("bigint").alias("removed_folders"), F.lit(left).cast("bigint").alias("kept_folders"))
 
 
 @query("expire", f"SELECT *, 2 AS removed FROM ({EVENTS_SQL})")

@@ -6,6 +6,8 @@ the session's shared folder, read back as a file stream.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streamkit.functions.encode import envelope, messages
@@ -54,14 +56,48 @@ def input_bytes(spark: SparkSession, path: str) -> int:
 
 
 def write_replay(spark: SparkSession, env: DataFrame, name: str, *, files: int | None = None) -> str:
-    """Write envelope rows as a replay folder and return its path
-    (``files`` output files when given, else one per input split)."""
+    """Write envelope rows as a replay folder and return its path.
+
+    With ``files`` the rows are in that many files by event time, and a file
+    stream takes them in that order.  Else there is one per input split."""
+    path = work_path(spark, name)
+    if not files:
+        env.write.parquet(path)
+        return path
+    env.repartitionByRange(files, "timestamp").write.parquet(path)
+    in_order(spark, path)
+    return path
+
+
+def write_arrivals(spark: SparkSession, env: DataFrame, name: str, group_col: str) -> str:
+    """Write rows as a replay folder of one file per value of ``group_col``; a
+    file stream with one file per trigger takes the groups in ascending order."""
     path = work_path(spark, name)
-    out = env.repartition(files) if files else env
-    out.write.parquet(path)
+    env.repartition(group_col).write.partitionBy(group_col).parquet(path)
+    in_order(spark, path, lambda file: int(file.rsplit(f"{group_col}=", 1)[1].split("/")[0]))
     return path
 
 
+def in_order(spark: SparkSession, path: str, rank=None) -> None:
+    """Set the files' modification times, by which a file stream orders them, a
+    second apart in order of ``rank`` (default: the part number); a few files per
+    micro-batch, as a topic's producer would have written them over time."""
+    fs = FS(spark, path)
+
+    def below(folder: str) -> list[str]:
+        out = []
+        for name, is_dir, _, _ in fs.list(folder):
+            base = name.rsplit("/", 1)[-1]
+            if not base.startswith(("_", ".")):
+                out += below(name) if is_dir else [name]
+        return out
+
+    files = sorted(below(path), key=lambda f: (rank(f) if rank else 0, f.rsplit("/", 1)[-1]))
+    now = int(time.time() * 1000)
+    for i, f in enumerate(files):
+        fs.fs.setTimes(fs.p(f), now - 1000 * (len(files) - i), -1)
+
+
 def replay_layout(size_bytes: int, batches: int | None) -> tuple[int, int | None]:
     """(files to write, files per micro-batch) so that each file is about
     ``TARGET_FILE_BYTES`` and a stream with ``maxFilesPerTrigger`` set to the
