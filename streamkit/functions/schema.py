@@ -202,9 +202,14 @@ def evolve_variant(df: DataFrame, text_col: str, known: T.StructType | str, *,
     parsed = df.select("*", F.try_parse_json(F.col(f"`{text_col}`")).alias("_variant"))
     fields = F.try_variant_get(F.col("_variant"), "$", "map<string, variant>")
     rest = F.to_variant_object(F.map_filter(fields, lambda k, v: ~F.array_contains(names, k)))
-    quoted = lambda name: "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
+
+    def field(f: T.StructField) -> Column:
+        kind = f.dataType.simpleString()
+        if "'" in f.name:   # paths have no escapes
+            return F.try_variant_get(F.element_at(fields, F.lit(f.name)), "$", kind)
+        return F.try_variant_get(F.col("_variant"), f"$['{f.name}']", kind)
     return parsed.select(*[F.col(f"`{c}`") for c in df.columns],
-                         *[F.try_variant_get(F.col("_variant"), quoted(f.name), f.dataType.simpleString()).alias(f.name) for f in schema.fields],
+                         *[field(f).alias(f.name) for f in schema.fields],
                          rest.alias(rest_col))
 
 
