@@ -124,17 +124,17 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - n] + following[:n] if n else text
 
 
-_OUT = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
-                  ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
+_OUT = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.binary()),
+                  ("edited_fingerprint", pa.binary()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
 _ENDS = pa.schema([*_OUT, ("part", pa.int32()), ("first", pa.string()), ("last", pa.string())])
-_TYPES = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_TYPES = "doc_id long, n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def _compared(doc: int | None, own: str, sketch: np.ndarray, following: str, next_sketch: np.ndarray) -> tuple:
     changed = edited(own, following)
     other = fingerprint(changed) if changed != own else sketch
-    return (doc, len(own), hashlib.sha256(changed.encode()).hexdigest(), sketch.astype(">u4").tobytes().hex(),
-            other.astype(">u4").tobytes().hex(), near(sketch, other), near(sketch, next_sketch))
+    return (doc, len(own), hashlib.sha256(changed.encode()).hexdigest(), sketch.astype(">u4").tobytes(),
+            other.astype(">u4").tobytes(), near(sketch, other), near(sketch, next_sketch))
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -191,11 +191,16 @@ def fingerprints(docs: DataFrame, *, ranges: int | None = None, id_col: str = "d
     ends = found.where("part IS NOT NULL").select("part", "doc_id", "first", "last")
     parts = sorted(r.part for r in ends.select("part").collect())  # a number for each range
     if not parts:
-        return found.select(*_OUT.names)
+        return _written(found)
     following = docs.sparkSession.createDataFrame(list(zip(parts, parts[1:] + parts[:1])), "part int, next int")
     heads = ends.select(F.col("part").alias("next"), F.col("first").alias("text"))
     across = ends.join(following, "part").join(heads, "next").select("doc_id", "last", "text").mapInArrow(_across, _TYPES)
-    return found.where("part IS NULL").select(*_OUT.names).unionByName(across)
+    return _written(found.where("part IS NULL").select(*_OUT.names).unionByName(across))
+
+
+def _written(found: DataFrame) -> DataFrame:
+    """Fingerprints in hex; as tables they are kept in bytes."""
+    return found.select(*[F.lower(F.hex(c)).alias(c) if c.endswith("fingerprint") else F.col(c) for c in _OUT.names])
 
 
 @query("op8_order_minhash")
