@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streamkit.llm import hashing
@@ -141,6 +142,16 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), schema)], schema=schema)
 
 
+def _shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as zstd bytes, for the shuffle."""
+    pack = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 1000):
+            part = batch.slice(lo, 1000)
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array([pack.compress(t.encode()) for t in part.column(3).to_pylist()], pa.binary())],
+                                             names=["doc_id", "hash", "row", "text"])
+
+
 def _in_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of a range, in order; at its end its first text, and its last document for the next range's first text."""
     rows: list[tuple] = []
@@ -149,6 +160,7 @@ def _in_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(batch.num_rows):
             part, doc, text = (batch.column(c)[at].as_py() for c in range(3))
+            text = zstandard.decompress(text).decode()
             mine = fingerprint(text)
             if held is None:
                 first = text
@@ -184,7 +196,8 @@ def fingerprints(docs: DataFrame, *, ranges: int | None = None, id_col: str = "d
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     count = ranges or -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // RANGE)
     order = [F.col("doc_id").desc_nulls_last(), F.desc("hash"), F.desc("row")]  # a repeated id is spread too
-    placed = rows.withColumn("hash", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id()) \
+    placed = rows.select("doc_id", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"), "text") \
+        .mapInArrow(_shortened, "doc_id long, hash long, row long, text binary") \
         .repartitionByRange(max(1, int(count)), *order).sortWithinPartitions(*order)
     found = saved(placed.select(F.spark_partition_id().alias("part"), "doc_id", "text")
                   .mapInArrow(_in_range, _TYPES + ", part int, first string, last string"), "fingerprints")
