@@ -1,15 +1,13 @@
 """Connected components of an edge table by alternating large-star and
 small-star steps (Kiveris et al., "Connected Components in MapReduce and
-Beyond").  Every step is two joins over the edges, cut with written tables; the
-smallest neighbours are tables too, so that a join with them is one of two
-scans, in which Spark splits the edges of a hub.  Nothing is collected but a
-count and a checksum per round."""
+Beyond").  Every step is two joins over the edges, cut with checkpoint();
+nothing is collected but one count and checksum per round."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from streamkit.llm.registry import saved
+from streamkit.llm.registry import cut
 
 
 def _sum(edges: DataFrame):
@@ -20,16 +18,16 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b: long); ``root`` is the
     smallest node that can be reached.  Loops, repeats and both directions
     may occur; rows with a null end are left out.  An empty table gives none."""
-    state = saved(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "star")
+    state = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = _sum(state)
     while before[0]:
         both = state.unionByName(state.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = saved(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "star-low")
-        large = saved(both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                      .where("a <> b").distinct(), "star-large")
-        low = saved(large.groupBy("a").agg(F.min("b").alias("m")), "star-low")
-        old, state = state, saved(large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                                  .where("a <> b").unionByName(low.withColumnRenamed("m", "b")).distinct(), "star")
+        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")) \
+            .where("a <> b").distinct()
+        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        old, state = state, cut(large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                    .where("a <> b").unionByName(low.withColumnRenamed("m", "b")).distinct())
         after = _sum(state)
         if after == before and state.join(old, ["a", "b"], "left_anti").isEmpty():  # as many edges, none of them new
             break
