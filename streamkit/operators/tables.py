@@ -711,16 +711,29 @@ def delete_where(spark: SparkSession, path: str, predicate: str | Column) -> int
 MAX_BROADCAST_BATCHES = 1_000_000
 
 
+# a task of a rewrite takes files of so many rows in all, and no more than so many files
+TASK_ROWS, TASK_FILES = 1_000_000, 200
+
+# a rewrite's tasks move their own files into its staging folder, which becomes
+# the batches at the end: the driver does not move them one by one
+_REWRITE = {"partitionOverwriteMode": "dynamic", "mapreduce.fileoutputcommitter.algorithm.version": "2"}
+
+
+def _files_per_task(rows_per_file: int) -> int:
+    return max(1, min(TASK_FILES, TASK_ROWS // rows_per_file))
+
+
 def compact(spark: SparkSession, path: str, *, rows_per_file: int = 1_000_000,
             batches: Iterable[tuple[str, int]] | None = None) -> int:
     """Rewrite batches into files of about ``rows_per_file`` rows.
 
     Each batch is split into ceil(rows / rows_per_file) salt groups by a hash
     of the whole row, and the data is range-partitioned on (batch, salt), so
-    one task writes about one file and a very large batch is spread over
-    many tasks.  The per-batch file counts (one row per partition folder)
+    a very large batch is spread over many tasks.  A task takes ``_files_per_task``
+    groups and cuts its rows into files of at most ``rows_per_file``: small files
+    cost no task each.  The per-batch file counts (one row per partition folder)
     are broadcast when their number is within ``MAX_BROADCAST_BATCHES`` and
-    joined by shuffle past it; the files are the same.  Returns the number of range partitions.
+    joined by shuffle past it; the files are the same.  Returns the number of salt groups.
     """
     t = read_batches(spark, path, batches) if batches is not None else read(spark, path)
     parts_cols = _parts(spark, path)
@@ -741,8 +754,8 @@ def compact(spark: SparkSession, path: str, *, rows_per_file: int = 1_000_000,
     salted = (t.alias("t").join(sizes.alias("c"), _key_condition("t", "c", parts_cols, True))
                .select("t.*", "c._files")
                .withColumn("_salt", F.pmod(row_hash, F.col("_files"))).drop("_files"))
-    out = salted.repartitionByRange(parts, *parts_cols, "_salt").drop("_salt")
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out = salted.repartitionByRange(-(-parts // _files_per_task(rows_per_file)), *parts_cols, "_salt").drop("_salt")
+    (out.write.mode("overwrite").options(**_REWRITE)
         .option("maxRecordsPerFile", rows_per_file)
         .partitionBy(*parts_cols).parquet(path))
     return parts

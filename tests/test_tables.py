@@ -1,5 +1,7 @@
+import glob
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +108,21 @@ def test_compact_keeps_rows_and_cuts_files(spark, tmp):
     assert planned == 8 and after_files < files
 
 
+def test_compact_writes_many_small_files_in_few_tasks(spark, tmp, monkeypatch):
+    monkeypatch.setattr(tables, "TASK_FILES", 50, raising=False)
+    path = f"{tmp}/t"
+    rows = [(k, None if k % 7 == 0 else f"v{k}") for k in range(1000)] + [(None, None)] * 25 + [(5, "v5")] * 25
+    df = spark.createDataFrame(rows, "k bigint, v string")
+    for b in range(2):
+        tables.write_batch(df, path, "s", b)
+    before = sorted(map(str, tables.read(spark, path).collect()))
+    assert tables.compact(spark, path, rows_per_file=10) == 210
+    files = [f for f in glob.glob(f"{path}/**/*.parquet", recursive=True)]
+    assert len(files) >= 210 and max(pq.ParquetFile(f).metadata.num_rows for f in files) <= 10
+    assert 2 <= len({os.path.basename(f).split("-")[1] for f in files}) <= 5   # tasks: part numbers
+    assert sorted(map(str, tables.read(spark, path).collect())) == before
+
+
 def test_expire_removes_orphans_only(spark, tmp):
     path = f"{tmp}/t"
     tables.write_batch(spark.range(10), path, "s", 0)
