@@ -33,7 +33,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from urllib.parse import quote, unquote
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -300,11 +300,11 @@ def write_batches(df: DataFrame, path: str, stream_id: str, batch_col: str, *,
         delete_files(earlier).count()
 
 
-def _kept(df: DataFrame) -> DataFrame:
+def _kept(df: DataFrame, partition_by: Iterable[str] = ()) -> DataFrame:
     """``df`` as a table in the shared folder: what comes after reads it, whatever happens to its sources."""
     spark = df.sparkSession
     path = work_path(spark, "kept")
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -771,15 +771,38 @@ class Folded:
 
 
 def _file_count(df: DataFrame) -> int:
-    return df.select(F.col("_metadata.file_path").alias("f")).agg(F.count_distinct("f")).first()[0]
+    """Files of ``df``, hundreds of small ones opened by a task."""
+    with conf(df.sparkSession, {"spark.sql.files.openCostInBytes": str(256 * 1024)}):
+        return df.select(F.col("_metadata.file_path").alias("f")).agg(F.count_distinct("f")).first()[0]
+
+
+def _file_rows(df: DataFrame, pcols: list[str]) -> DataFrame:
+    """The files of ``df`` with their rows and the rows in files before them, within
+    each value of the partition columns: a short row per file, kept as it is read several times."""
+    sizes = df.groupBy(*pcols, F.col("_metadata.file_path").alias("_file")).agg(F.count(F.lit(1)).alias("_rows"))
+    return _kept(sizes.withColumn("_before", F.sum("_rows").over(Window.partitionBy(*pcols).orderBy("_file")) - F.col("_rows")).drop(*pcols))
+
+
+def _numbered(df: DataFrame, places: DataFrame, pcols: list[str], cols: list[str], rows_per_file: int) -> DataFrame:
+    """``cols`` of ``df``, a scan of whole files, spread over tasks that each get whole
+    runs of ``rows_per_file`` rows, so that only the last run of a partition value is shorter.
+    The table of files is broadcast as far as ``MAX_BROADCAST_BATCHES`` of them."""
+    seen = places.agg(F.sum("_rows").alias("rows"), F.count(F.lit(1)).alias("files")).first()
+    tasks = max(1, -(-(seen["rows"] or 0) // (rows_per_file * _files_per_task(rows_per_file))))
+    at = F.broadcast(places) if seen["files"] <= MAX_BROADCAST_BATCHES else places
+    named = [f"`{c}`" for c in cols]
+    rows = df.select(*named, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at")) \
+        .join(at, "_file").withColumn("_run", F.expr(f"(_before + _at) div {int(rows_per_file)}"))
+    return rows.repartitionByRange(tasks, *pcols, "_run").select(*named)
 
 
 def fold(spark: SparkSession, path: str, stream_id: str, *, upto: int | None = None, rows_per_file: int = 1_000_000,
          keys: list[str] | None = None, order_cols: list[str] | None = None) -> Folded:
     """Fold a writer's batches up to epoch ``upto`` (default: all it has) into one.
 
-    The rows are range-partitioned into files of about ``rows_per_file`` across
-    the batches' folders (within each value of the table's partition columns) and
+    The rows are numbered across the batches' folders (within each value of the
+    table's partition columns) and cut into files of ``rows_per_file``, the last one
+    shorter; a task writes ``_files_per_task`` of them.  They are
     written as one batch of a negative id, which no reader sees.  Then
     ``_folds.json`` is replaced, which is the commit: from there on readers see
     the folded batch instead of its parts, and writes of folded epochs (replays)
@@ -799,22 +822,21 @@ def fold(spark: SparkSession, path: str, stream_id: str, *, upto: int | None = N
     upto = max(done, -1 if last is None else last) if upto is None else int(upto)
     if upto <= done:
         return Folded(done, 0, 0)
-    src = src.where(F.col(BATCH_COL) <= upto)
-    before = _file_count(src)
-    rows = src.drop(STREAM_COL)
-    if keys:
-        rows = latest_by_key(rows, keys, order_cols or [BATCH_COL]).select(*[c for c in rows.columns if c != BATCH_COL])
-    else:
-        rows = rows.drop(BATCH_COL)
     if not keys and order_cols:
         raise ValueError("order_cols is for keys")
+    src = src.where(F.col(BATCH_COL) <= upto)
     pcols = partition_cols(stored_schema(spark, path))
-    n = rows.count()
-    parts = max(1, -(-n // rows_per_file))
-    spread = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])
-    out = (rows.repartitionByRange(parts, *pcols, spread) if n else rows.limit(0)) \
+    places = _file_rows(src, pcols)
+    before = places.count()
+    cols = [c for c in src.columns if c not in LAYOUT_COLS]
+    rows = src
+    if keys:
+        rows = _kept(latest_by_key(src.drop(STREAM_COL), keys, order_cols or [BATCH_COL]).select(*cols), pcols)
+        places = _file_rows(rows, pcols)
+    out = _numbered(rows, places, pcols, cols, rows_per_file) \
         .withColumn(STREAM_COL, F.lit(sid)).withColumn(BATCH_COL, F.lit(folded_id(upto)).cast("bigint"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT_COLS, *pcols).parquet(path))
+    (out.write.mode("overwrite").options(**_REWRITE).option("maxRecordsPerFile", rows_per_file)
+        .partitionBy(*LAYOUT_COLS, *pcols).parquet(path))
     _commit(spark, path, FOLDS_FILE, json.dumps({**folded, sid: upto}))
     after = _file_count(read(spark, path).where((F.col(STREAM_COL) == sid) & (F.col(BATCH_COL) == folded_id(upto))))
     return Folded(upto, before, after)

@@ -90,6 +90,26 @@ def test_fold_of_versions_and_of_partitioned_tables(spark, tmp):
     assert os.path.isdir(f"{part}/stream_id=s/batch_id=-4/day=1")
 
 
+def test_fold_writes_many_small_files_in_few_tasks(spark, tmp, monkeypatch):
+    monkeypatch.setattr(tables, "TASK_FILES", 50, raising=False)
+    for day, name in ((None, "plain"), ("day", "dated")):
+        path = f"{tmp}/{name}"
+        rows = [(k, None if k % 7 == 0 else f"v{k}", f"d{k % 3}" if k % 5 else None) for k in range(1003)] + [(None, None, None)] * 12 + [(5, "v5", "d2")] * 12
+        df = spark.createDataFrame(rows, "k bigint, v string, day string").repartition(3)
+        if day:
+            tables.overwrite(df.limit(0), path, partition_by=[day])
+        for b in range(2):
+            tables.write_batch(df, path, "s", b)
+        before = sorted(map(str, tables.read(spark, path).select("k", "v", "day").collect()))
+        done = tables.fold(spark, path, "s", rows_per_file=10)
+        sizes = [df.where(F.col("day").eqNullSafe(d)).count() * 2 for d in ("d0", "d1", "d2", None)] if day else [len(before)]
+        files = [f for f in data_files(path) if "batch_id=-" in f]
+        assert done.files_after == len(files) == sum(-(-n // 10) for n in sizes)
+        assert max(pq.ParquetFile(f).metadata.num_rows for f in files) <= 10
+        assert 2 <= len({os.path.basename(f).split("-")[1] for f in files}) <= 5   # tasks: part numbers
+        assert sorted(map(str, tables.read(spark, path).select("k", "v", "day").collect())) == before
+
+
 def test_vacuum_of_many_orphans(spark, tmp):
     path = f"{tmp}/t"
     tables.write_batch(spark.range(10).withColumnRenamed("id", "k"), path, "a:b c", 0)
