@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from streamkit.functions import decode
 from streamkit.operators import tables
-from streamkit.plans.topics import (EVENTS_PAYLOAD, EVENTS_TOPIC, events_messages, flush_messages,
+from streamkit.plans.topics import (EVENTS_PAYLOAD, EVENTS_TOPIC, STREAM_FILE_BYTES, events_messages, flush_messages,
     input_bytes, replay_layout, table, write_replay)
 from streamkit.session import work_path
 from streamkit.sources import generators as gen
@@ -39,15 +39,16 @@ def events_stream(spark: SparkSession, sf_dir: str, *, batches: int | None = Non
     if flush_types is not None:
         env = env.unionByName(flush_messages(spark, flush_types))
     files, per_batch = replay_layout(copies * input_bytes(spark, f"{sf_dir.rstrip('/')}/events.parquet"),
-                                     batches)
+                                     batches, STREAM_FILE_BYTES)
     path = write_replay(spark, env, "topic-events", files=files)
     st = replay_topic(spark, path, EVENTS_TOPIC, EVENTS_PAYLOAD, stream=True,
                       max_files_per_trigger=per_batch)
     return decode.cast_timestamps(st, ["ts"])
 
 
-# input bytes per state partition of a new stateful query
-STATE_BYTES = 64 * 1024 * 1024
+# input bytes per state partition of a new stateful query: a few hundred thousand events,
+# each read and written in the state store by one task
+STATE_BYTES = 8 * 1024 * 1024
 
 
 def state_partitions(spark: SparkSession, sf_dir: str, table_name: str = "events") -> int:

@@ -98,12 +98,17 @@ def in_order(spark: SparkSession, path: str, rank=None) -> None:
         fs.fs.setTimes(fs.p(f), now - 1000 * (len(files) - i), -1)
 
 
-def replay_layout(size_bytes: int, batches: int | None) -> tuple[int, int | None]:
+# a file of a streamed replay holds the messages of so many bytes of input: as JSON they
+# take several times that and are one row group, which one task reads
+STREAM_FILE_BYTES = 4 * 1024 * 1024
+
+
+def replay_layout(size_bytes: int, batches: int | None, file_bytes: int = TARGET_FILE_BYTES) -> tuple[int, int | None]:
     """(files to write, files per micro-batch) so that each file is about
-    ``TARGET_FILE_BYTES`` and a stream with ``maxFilesPerTrigger`` set to the
+    ``file_bytes`` and a stream with ``maxFilesPerTrigger`` set to the
     second number runs ``batches`` micro-batches (None: one micro-batch)."""
     n = max(1, batches or 1)
-    per_batch = max(1, -(-size_bytes // (n * TARGET_FILE_BYTES)))
+    per_batch = max(1, -(-size_bytes // (n * file_bytes)))
     return n * per_batch, (per_batch if batches else None)
 
 

@@ -171,3 +171,23 @@ def test_variants_keep_what_the_schema_does_not_know(spark):
     rows = got.select("a", "it's", F.try_variant_get("_rest", "$.n.x[1].y", "string").alias("y"), F.to_json("_rest").alias("rest")).collect()
     assert [tuple(r) for r in rows] == [(1, True, "z", '{"n":{"x":[1,{"y":"z"}]}}'), (None, None, None, "{}"), (None,) * 4, (None,) * 4, (None,) * 4, (2, None, None, '{"n":5}')]
     assert "n: VARIANT" in schema.variant_drift(got) or "n:" in schema.variant_drift(got)
+
+
+def test_stateful_streams_get_files_and_state_partitions_by_their_input(spark, tmp, monkeypatch):
+    from streamkit.plans import common
+    written = []
+    keep = common.write_replay
+
+    def noted(spark, env, name, *, files=None):
+        written.append(files)
+        return keep(spark, env, name, files=files)
+    monkeypatch.setattr(common, "input_bytes", lambda spark, path: 64 * 1024 * 1024)
+    monkeypatch.setattr(common, "write_replay", noted)
+    events = spark.range(300).select(F.col("id").alias("event_id"), F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")).alias("ts"), (F.col("id") % 9).alias("user_id"),
+                                     F.lit("click").alias("event_type"), F.lit(1.5).alias("value"), F.lit(None).cast("string").alias("props"))
+    events.withColumn("ts", F.expr("ts + make_interval(0, 0, 0, 0, 0, event_id)")).write.parquet(f"{tmp}/events.parquet")
+    assert common.state_partitions(spark, tmp) >= 8
+    st = common.events_stream(spark, tmp, batches=4)
+    assert written[0] >= 16 and written[0] % 4 == 0     # four tasks or more read a micro-batch
+    out = common.run_parquet(st, "sized")
+    assert sorted(r.event_id for r in out.select("event_id").collect()) == list(range(300))
