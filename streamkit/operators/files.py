@@ -1,16 +1,20 @@
-"""Listing and deleting files of a folder in Spark tasks.
+"""Listing, writing and deleting files of a folder in Spark tasks.
 
 Tasks open the store through ``pyarrow.fs`` by URI (local, S3, GCS, HDFS), so
-the driver neither lists files nor deletes them one by one."""
+the driver neither lists files nor deletes them one by one.  Many small files are
+written the same way: Hadoop's local file system starts a process (chmod) for every
+file it creates."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from urllib.parse import unquote
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from streamkit.session import FS
 
@@ -93,3 +97,67 @@ def delete_files(paths: DataFrame) -> DataFrame:
     also by an earlier attempt of a task, counts as removed."""
     spread = paths.select("path").distinct().repartition(paths.sparkSession.sparkContext.defaultParallelism, "path")
     return spread.mapInArrow(_delete, "path string, removed boolean")
+
+
+_CODECS = {"snappy": "snappy", "zstd": "zstd", "gzip": "gzip", "none": "none", "uncompressed": "none"}
+_LEAVES = (T.StringType, T.BinaryType, T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+           T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def writable(dtype: T.DataType) -> bool:
+    """True for types that pyarrow stores in Parquet as Spark does."""
+    if isinstance(dtype, T.StructType):
+        return bool(dtype.fields) and len(set(dtype.names)) == len(dtype.fields) and all(writable(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return writable(dtype.elementType)
+    if isinstance(dtype, T.MapType):
+        return writable(dtype.keyType) and writable(dtype.valueType)
+    return isinstance(dtype, _LEAVES)
+
+
+def _write(folder: str, codec: str, version: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.parquet as pq
+        task = TaskContext.get().partitionId()
+        system, top = _open(folder)
+        system.create_dir(top, recursive=True)
+
+        def store(number: int, parts: list[pa.RecordBatch]) -> tuple[str, int]:
+            # readers take dates and times of files that name Spark's version as they stand
+            whole = pa.Table.from_batches(parts).drop_columns(parts[0].schema.names[-1])
+            whole = whole.replace_schema_metadata({"org.apache.spark.version": version})
+            name = f"{top}/part-{task:05d}-{number:09d}.parquet"
+            # a hidden name first: another attempt of the task puts the same rows in the same place
+            fresh = f"{top}/.{uuid.uuid4().hex}"
+            pq.write_table(whole, fresh, filesystem=system, compression=codec, store_schema=False)
+            system.move(fresh, name)
+            return name, whole.num_rows
+
+        number, parts, done = None, [], []
+        for batch in batches:
+            runs = batch.column(batch.num_columns - 1).to_numpy()
+            cuts = [0, *((runs[1:] != runs[:-1]).nonzero()[0] + 1).tolist(), len(runs)]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if hi == lo:
+                    continue
+                if parts and number != int(runs[lo]):
+                    done.append(store(number, parts))
+                    parts = []
+                number = int(runs[lo])
+                parts.append(batch.slice(lo, hi - lo))
+        if parts:
+            done.append(store(number, parts))
+        yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in done], pa.string()), pa.array([n for _, n in done], pa.int64())], names=["path", "rows"])
+    return run
+
+
+def write_runs(df: DataFrame, folder: str, run_col: str) -> DataFrame:
+    """Writes the rows of ``df`` (types as in ``writable``) to Parquet files in
+    ``folder``, one per value of its last column ``run_col``, when the result (path,
+    rows; a row per file) is evaluated.  The rows of a run are in one partition of
+    ``df`` and few enough for a task's memory.  A file is named after its
+    task and run and moved into place whole, so a repeated task
+    replaces its files; nothing marks the folder as complete."""
+    spark = df.sparkSession
+    codec = _CODECS.get(spark.conf.get("spark.sql.parquet.compression.codec", "snappy").lower(), "snappy")
+    return df.sortWithinPartitions(run_col).mapInArrow(_write(folder, codec, spark.version), "path string, rows long")

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamkit.functions.schema import align, conform, readable_as, widen
-from streamkit.operators.files import delete_files, list_tree
+from streamkit.operators.files import delete_files, list_tree, writable, write_runs
 from streamkit.session import FS, conf, shared_dir, work_path
 
 STREAM_COL = "stream_id"
@@ -714,6 +714,10 @@ MAX_BROADCAST_BATCHES = 1_000_000
 # a task of a rewrite takes files of so many rows in all, and no more than so many files
 TASK_ROWS, TASK_FILES = 1_000_000, 200
 
+# a fold's files of so few rows are written by tasks themselves: opening a file through
+# Hadoop costs more than its rows do
+SMALL_FILE_ROWS = 20_000
+
 # a rewrite's tasks move their own files into its staging folder, which becomes
 # the batches at the end: the driver does not move them one by one
 _REWRITE = {"partitionOverwriteMode": "dynamic", "mapreduce.fileoutputcommitter.algorithm.version": "2"}
@@ -784,8 +788,8 @@ def _file_rows(df: DataFrame, pcols: list[str]) -> DataFrame:
 
 
 def _numbered(df: DataFrame, places: DataFrame, pcols: list[str], cols: list[str], rows_per_file: int) -> DataFrame:
-    """``cols`` of ``df``, a scan of whole files, spread over tasks that each get whole
-    runs of ``rows_per_file`` rows, so that only the last run of a partition value is shorter.
+    """``cols`` of ``df``, a scan of whole files, with the number ``_run`` of each row's run of
+    ``rows_per_file`` rows, spread over tasks that each get whole runs; only the last run of a partition value is shorter.
     The table of files is broadcast as far as ``MAX_BROADCAST_BATCHES`` of them."""
     seen = places.agg(F.sum("_rows").alias("rows"), F.count(F.lit(1)).alias("files")).first()
     tasks = max(1, -(-(seen["rows"] or 0) // (rows_per_file * _files_per_task(rows_per_file))))
@@ -793,7 +797,7 @@ def _numbered(df: DataFrame, places: DataFrame, pcols: list[str], cols: list[str
     named = [f"`{c}`" for c in cols]
     rows = df.select(*named, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at")) \
         .join(at, "_file").withColumn("_run", F.expr(f"(_before + _at) div {int(rows_per_file)}"))
-    return rows.repartitionByRange(tasks, *pcols, "_run").select(*named)
+    return rows.repartitionByRange(tasks, *pcols, "_run").select(*named, "_run")
 
 
 def fold(spark: SparkSession, path: str, stream_id: str, *, upto: int | None = None, rows_per_file: int = 1_000_000,
@@ -803,7 +807,8 @@ def fold(spark: SparkSession, path: str, stream_id: str, *, upto: int | None = N
     The rows are numbered across the batches' folders (within each value of the
     table's partition columns) and cut into files of ``rows_per_file``, the last one
     shorter; a task writes ``_files_per_task`` of them.  They are
-    written as one batch of a negative id, which no reader sees.  Then
+    written as one batch of a negative id, which no reader sees; files of up to
+    ``SMALL_FILE_ROWS`` rows by ``operators.files.write_runs``.  Then
     ``_folds.json`` is replaced, which is the commit: from there on readers see
     the folded batch instead of its parts, and writes of folded epochs (replays)
     insert nothing.  A fold that fails before is written again by the next one.
@@ -833,12 +838,22 @@ def fold(spark: SparkSession, path: str, stream_id: str, *, upto: int | None = N
     if keys:
         rows = _kept(latest_by_key(src.drop(STREAM_COL), keys, order_cols or [BATCH_COL]).select(*cols), pcols)
         places = _file_rows(rows, pcols)
-    out = _numbered(rows, places, pcols, cols, rows_per_file) \
-        .withColumn(STREAM_COL, F.lit(sid)).withColumn(BATCH_COL, F.lit(folded_id(upto)).cast("bigint"))
-    (out.write.mode("overwrite").options(**_REWRITE).option("maxRecordsPerFile", rows_per_file)
-        .partitionBy(*LAYOUT_COLS, *pcols).parquet(path))
+    out = _numbered(rows, places, pcols, cols, rows_per_file)
+    after = None
+    if before and not pcols and rows_per_file <= SMALL_FILE_ROWS and writable(src.select(*[f"`{c}`" for c in cols]).schema):
+        folder = f"{_stream_folders(spark, path)[sid]}/{BATCH_COL}={folded_id(upto)}"
+        FS(spark, path).delete(folder)   # of a fold that failed: no reader sees it
+        wrote = write_runs(out, folder, "_run").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files")).first()
+        if wrote["rows"] != places.agg(F.sum("_rows")).first()[0]:
+            raise OSError(f"{folder} holds {wrote['rows']} rows, which are not all")
+        after = wrote["files"]
+    else:
+        (out.drop("_run").withColumn(STREAM_COL, F.lit(sid)).withColumn(BATCH_COL, F.lit(folded_id(upto)).cast("bigint"))
+            .write.mode("overwrite").options(**_REWRITE).option("maxRecordsPerFile", rows_per_file)
+            .partitionBy(*LAYOUT_COLS, *pcols).parquet(path))
     _commit(spark, path, FOLDS_FILE, json.dumps({**folded, sid: upto}))
-    after = _file_count(read(spark, path).where((F.col(STREAM_COL) == sid) & (F.col(BATCH_COL) == folded_id(upto))))
+    if after is None:
+        after = _file_count(read(spark, path).where((F.col(STREAM_COL) == sid) & (F.col(BATCH_COL) == folded_id(upto))))
     return Folded(upto, before, after)
 
 

@@ -2,6 +2,7 @@
 
 import glob
 import os
+import shutil
 
 import pyarrow.parquet as pq
 import pytest
@@ -237,3 +238,38 @@ def test_rows_without_a_key_go_past_the_join(spark, tmp):
     per_task = [r[1] for r in rows.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()]
     assert sum(per_task) == 10_000 and max(per_task) == 1250                    # as they lay, in eight tasks
     assert rows.where("k IS NOT NULL").count() == sum(1 for i in range(0, 20_000, 2) if i % 120 >= 100)
+
+
+# ---------------------------------------------------------------- small files of a fold
+
+EVERY_TYPE = ["k AS k", "CAST(k AS string) AS s", "CAST(CAST(k AS string) AS binary) AS b", "CAST(k / 7 AS decimal(20, 6)) AS d", "CAST(k AS double) AS f", "k % 2 = 0 AS t",
+              "date_add(DATE'0999-12-25', CAST(k AS int)) AS day", "timestamp_seconds(k) AS at", "make_timestamp_ntz(1200, 1, 1, 0, 0, 0) + make_dt_interval(0, 0, 0, k) AS local",
+              "IF(k % 3 = 0, NULL, array(k, NULL)) AS `a b`", "map(CAST(k AS string), k) AS m", "named_struct('x', k, 'y', array(named_struct('z', NULLIF(k, 5)))) AS st"]
+
+
+def test_fold_writes_small_files_of_every_type_in_its_tasks(spark, tmp):
+    path = f"{tmp}/t"
+    rows = spark.range(1003).withColumnRenamed("id", "k").selectExpr(*EVERY_TYPE, "k % 3 AS b_no")
+    tables.write_batches(rows, path, "a/b %", "b_no")
+    before = sorted(tables.read(spark, path).drop("batch_id").collect(), key=lambda r: r.k)
+    folder = f"{glob.glob(f'{path}/stream_id=*')[0]}/batch_id=-3"
+    os.mkdir(folder)
+    shutil.copy(data_files(path)[0], f"{folder}/part-of-a-fold-that-failed.parquet")
+    done = tables.fold(spark, path, "a/b %", rows_per_file=50)
+    files = sorted(os.listdir(folder))
+    assert (done.upto, done.files_after) == (2, 21) and files == [f"part-00000-{i:09d}.parquet" for i in range(21)]   # no checksum, whose file costs a process
+    assert [pq.ParquetFile(f"{folder}/{f}").metadata.num_rows for f in files] == [50] * 20 + [3]
+    tables.vacuum(spark, path, retention_hours=0)
+    assert sorted(tables.read(spark, path).drop("batch_id").collect(), key=lambda r: r.k) == before
+
+
+@pytest.mark.parametrize("by, extra", [(["p"], "k % 2 AS p"), ([], "parse_json(CAST(k AS string)) AS v"), ([], "make_dt_interval(0, 0, 0, k) AS i")])
+def test_fold_of_partitioned_tables_and_other_types(spark, tmp, by, extra):
+    path = f"{tmp}/t"
+    rows = spark.range(100).withColumnRenamed("id", "k").selectExpr("k", extra)
+    tables.overwrite(rows.where("false"), path, partition_by=by)
+    tables.write_batches(rows.withColumn("b_no", F.col("k") % 3), path, "s", "b_no")
+    text = lambda: sorted(map(str, tables.read(spark, path).drop("batch_id").collect()))
+    before = text()
+    assert tables.fold(spark, path, "s", rows_per_file=20).files_after == (6 if by else 5)
+    assert text() == before and len(before) == 100
