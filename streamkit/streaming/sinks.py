@@ -96,6 +96,9 @@ class SinkSpec:
     # first start, so size it for the target volume
     state_store: str | None = None
     state_partitions: int | None = None
+    # rocksdb: keep the progress rows' count of state rows, which costs a read of
+    # the store for every row that is put or removed
+    count_state_rows: bool = True
     # table sinks: cap rows per output file (maxRecordsPerFile)
     rows_per_file: int | None = None
     # table_append: a column that stores when the micro-batch was written, which
@@ -194,6 +197,7 @@ def start(df: DataFrame, spec: SinkSpec) -> StreamingQuery:
         conf["spark.sql.streaming.stateStore.providerClass"] = STATE_PROVIDERS[spec.state_store]
         if spec.state_store == "rocksdb":
             conf["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
+            conf["spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"] = str(spec.count_state_rows).lower()
     if spec.merge_sessions:
         conf["spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"] = "true"
     if spec.state_partitions:

@@ -12,6 +12,7 @@ from streamkit.operators.audit import batch_metrics
 from streamkit.operators.joins import bucket_dimension, enrich_bounded, plan_bytes
 from streamkit.operators.windows import running_max, sessions
 from streamkit.plans.topics import write_arrivals
+from streamkit.streaming import sinks
 from streamkit.streaming.routes import enrich_router
 from streamkit.streaming.run import ProgressTable, drain, progress
 from streamkit.streaming.sinks import SinkSpec, Trigger, start
@@ -191,3 +192,17 @@ def test_stateful_streams_get_files_and_state_partitions_by_their_input(spark, t
     assert written[0] >= 16 and written[0] % 4 == 0     # four tasks or more read a micro-batch
     out = common.run_parquet(st, "sized")
     assert sorted(r.event_id for r in out.select("event_id").collect()) == list(range(300))
+
+
+def test_stateful_runs_do_not_read_the_state_to_count_it(spark, tmp, monkeypatch):
+    from streamkit.plans import common
+    settings, begin = [], sinks._start
+
+    def noted(df, spec):
+        settings.append((spec.state_store, df.sparkSession.conf.get("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", None)))
+        return begin(df, spec)
+    monkeypatch.setattr(sinks, "_start", noted)
+    spark.range(40).selectExpr("id", "timestamp_seconds(100000 + id) AS at").repartition(4).write.parquet(f"{tmp}/in")
+    st = spark.readStream.schema("id long, at timestamp").option("maxFilesPerTrigger", 1).parquet(f"{tmp}/in")
+    out = common.run_parquet(st.withWatermark("at", "1 minute").dropDuplicates(["id", "at"]), "counted", partitions=2)
+    assert out.count() == 40 and settings == [("rocksdb", "false")]
