@@ -47,6 +47,10 @@ class Words(Pieces):
     MARK = "\x01"
     ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
     LATIN = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")  # letters, then punctuation but the apostrophe
+    # the same of many words between blanks: words of letters, in which lower case is a matter of each character, and those with punctuation behind
+    LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c != "\u0130")
+    ALONE = re.compile(rf"(?<![^ ])[{LETTERS}]+(?![^ ])")
+    TAILED = re.compile(rf"(?<![^ ])([{LETTERS}]+)([!-&(-/:-@\[-`{{-~]+)(?![^ ])")
 
     def __init__(self, path: str, spec: dict):
         super().__init__(path)
@@ -73,25 +77,43 @@ class Words(Pieces):
         if word.isascii():
             return None if self.MARK in word else self.ASCII.findall(word.lower())
         found = self.LATIN.fullmatch(word)
-        if found and max(found[1]) < "\u0250" and "\u0130" not in word:
+        if found and found[1].isalpha() and max(found[1]) < "\u0250" and "\u0130" not in word:
             return [found[1].lower(), found[2]] if found[2] else [found[1].lower()]
         return None
 
     def _new(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words that are not kept."""
-        cut = [self._parts(w) if self.ranked is not None else None for w in words]
-        rest = [w for w, parts in zip(words, cut) if parts is None]
-        out = dict(zip(rest, self.whole(rest))) if rest else {}
-        plain = [(w, parts) for w, parts in zip(words, cut) if parts is not None]
-        if plain:
-            ids = np.array(self.ranked.encode_ordinary(self.MARK.join([p for _, parts in plain for p in parts]) + self.MARK), "<u4")
-            ends = np.flatnonzero(self.final[ids])[np.cumsum([len(parts) for _, parts in plain]) - 1] + 1
-            blob, lo = ids.tobytes(), 0
-            for (w, _), hi in zip(plain, (4 * ends).tolist()):
-                out[w] = blob[lo:hi]
-                lo = hi
+        """Ids of words that are not kept; each word once."""
+        if self.ranked is None:
+            return dict(zip(words, self.whole(words)))
+        joined = " ".join(words)
+        alone, tailed = self.ALONE.findall(joined), self.TAILED.findall(joined)
+        out = self._ranked_ids(alone, alone, 1)
+        out |= self._ranked_ids([a + b for a, b in tailed], list(itertools.chain.from_iterable(tailed)), 2)
+        rest, parts, counts = [], [], []
+        others = [w for w in words if w not in out]
+        for word in others:
+            cut = self._parts(word)
+            if cut is None:
+                rest.append(word)
+            else:
+                parts += cut
+                counts.append(len(cut))
+        if rest:
+            out.update(zip(rest, self.whole(rest)))
+        if counts:
+            out |= self._ranked_ids([w for w in others if w not in out], parts, np.array(counts))
         return out
 
+    def _ranked_ids(self, words: list[str], parts: list[str], counts: int | np.ndarray) -> dict[str, bytes]:
+        """Ids by the faster encoder of words cut into ``parts``, so many each."""
+        if not words:
+            return {}
+        ids = np.array(self.ranked.encode_ordinary(self.MARK.join(parts).lower() + self.MARK), "<u4")
+        last = np.flatnonzero(self.final[ids])
+        ends = (4 * (last[np.cumsum(np.broadcast_to(counts, len(words))) - 1] + 1)).tolist()
+        blob = ids.tobytes()
+        return {w: blob[lo:hi] for w, lo, hi in zip(words, [0, *ends], ends)}
+
     def ids(self, texts: list[str]) -> list[bytes]:
         if len(self.kept) > self.WORDS + self.PASSING:
             for w in list(itertools.islice(self.kept, self.WORDS, None)):

@@ -76,3 +76,14 @@ def test_null_and_repeated_ids_and_no_rows(spark):
     assert [r.doc_id for r in got] == [None, None, 1, 1, 1] and [r.start for r in got] == np.cumsum([0] + [r.n_tokens for r in got])[:-1].tolist()
     empty = T.write_tokens(spark.createDataFrame([], "doc_id long, text string"))
     assert T.read_documents(spark, empty).count() == 0 and T.read_span(spark, empty, 0, 9).count() == 0
+
+
+def test_new_words_are_cut_many_at_a_time(spark, monkeypatch):
+    words = T.encoder("word_bpe_49k.json")
+    plain = [f"{a}{b}{c}" for a in ("Word", "straße", "ÉTÉ", "ǅungla", "x") for b in ("", "q", "Zz") for c in ("", ".", "!?", "_)")]
+    odd = ["don't", "a1b", "½cup", "x²", "¾", "10³m", "İz", "ΟΔΟΣ", "日本", "'S", "\x01a", "a\x01", "é7", "e\u0301t"]
+    asked, cut = [], words._parts
+    monkeypatch.setattr(words, "_parts", lambda word: asked.append(word) or cut(word))
+    got = words._new(plain + odd)
+    assert got == dict(zip(plain + odd, words.whole(plain + odd)))
+    assert sorted(asked) == sorted(odd)
