@@ -13,6 +13,7 @@ per file: its documents and tokens, and the tokens in all files before."""
 from __future__ import annotations
 
 import functools
+import gc
 import itertools
 import re
 import zlib
@@ -115,6 +116,15 @@ class Words(Pieces):
         return {w: blob[lo:hi] for w, lo, hi in zip(words, [0, *ends], ends)}
 
     def ids(self, texts: list[str]) -> list[bytes]:
+        collects = gc.isenabled()
+        gc.disable()  # millions of words and no cycle among them: a collection would only walk over them
+        try:
+            return self._ids(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
         if len(self.kept) > self.WORDS + self.PASSING:
             for w in list(itertools.islice(self.kept, self.WORDS, None)):
                 del self.kept[w]

@@ -1,5 +1,6 @@
 """Token files: ids against the library, places, encodings and selective reads."""
 
+import gc
 import glob
 import zlib
 
@@ -87,3 +88,10 @@ def test_new_words_are_cut_many_at_a_time(spark, monkeypatch):
     got = words._new(plain + odd)
     assert got == dict(zip(plain + odd, words.whole(plain + odd)))
     assert sorted(asked) == sorted(odd)
+
+
+def test_no_garbage_collection_among_the_words(monkeypatch):
+    words = T.encoder("word_bpe_49k.json")
+    within, split = [], words._ids
+    monkeypatch.setattr(words, "_ids", lambda texts: within.append(gc.isenabled()) or split(texts))
+    assert words.ids(["some words", ""])[1] == b"" and within == [False] and gc.isenabled()
